@@ -1,0 +1 @@
+"""Intentionally empty: none of the work this library covers is a stream (see README)."""
