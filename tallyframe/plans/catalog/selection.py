@@ -108,7 +108,7 @@ def filter_tail_window(spark, sf):
 @query(
     "filter_having",
     """
-SELECT dropoff_nhood, count(*) AS Num, round(avg(tip_pct), 6) AS ave_tip FROM trips
+SELECT dropoff_nhood, count(*) AS Num, round(avg(tip_pct), 10) AS ave_tip FROM trips
 GROUP BY dropoff_nhood HAVING count(*) >= 10 AND avg(tip_pct) > 0.05
 """,
     "trips",
@@ -118,7 +118,7 @@ def filter_having(spark, sf):
     out = df.groupBy("dropoff_nhood").agg(
         F.count("*").alias("Num"), F.avg(ratio("tip_amount", "fare_amount")).alias("ave_tip")
     )
-    return tidy(out.filter((F.col("Num") >= 10) & (F.col("ave_tip") > 0.05)))
+    return tidy(out.filter((F.col("Num") >= 10) & (F.col("ave_tip") > 0.05)), 10)
 
 
 # --- columns -------------------------------------------------------------------------------
