@@ -12,17 +12,59 @@ from tallyframe.session import shuffle_partitions
 
 
 def group_apply(
-    df: DataFrame, keys: Sequence[str], f: Callable[[pd.DataFrame], pd.DataFrame], schema: str, max_rows: int = 1_000_000
+    df: DataFrame,
+    keys: Sequence[str],
+    f: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: str,
+    combine: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
+    max_rows: int = 1_000_000,
 ) -> DataFrame:
     """Any function of a pandas table, once per group.
 
     Each group becomes one pandas table in one task, so group sizes are checked
-    first: larger groups must be expressed as aggregates or windows instead.
+    first. Where a group is too large for that, ``combine`` must say how the
+    results of parts of a group merge (see :func:`group_combine`); a function
+    that cannot be merged has to be written as aggregates or windows.
     """
     largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest > max_rows:
-        raise ValueError(f"a group holds {largest} rows, more than {max_rows}; use aggregates or windows")
-    return df.groupBy(*keys).applyInPandas(f, schema)
+    if largest <= max_rows:
+        return df.groupBy(*keys).applyInPandas(f, schema)
+    if combine is None:
+        raise ValueError(f"a group holds {largest} rows, more than {max_rows}, and no combine function is given")
+    return group_combine(df, keys, f, combine, schema)
+
+
+def group_combine(
+    df: DataFrame,
+    keys: Sequence[str],
+    f: Callable[[pd.DataFrame], pd.DataFrame],
+    combine: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: str,
+) -> DataFrame:
+    """A mergeable function per group, for groups of any size.
+
+    ``f`` runs on each Arrow batch's part of a group where the rows lie, so only
+    partial results are shuffled; these are merged in two steps, first per
+    sending slot, so that a group present everywhere does not meet in one task.
+    """
+    keys = list(keys)
+
+    def partial(batches):
+        for batch in batches:
+            parts = [f(part) for _, part in batch.groupby(keys, dropna=False, sort=False)]
+            if parts:
+                yield pd.concat(parts, ignore_index=True)
+
+    slots = shuffle_partitions(df.sparkSession)
+    merge = lambda pdf: combine(pdf.drop(columns="_slot"))
+    return (
+        df.mapInPandas(partial, schema)
+        .withColumn("_slot", F.spark_partition_id() % slots)
+        .groupBy(*keys, "_slot")
+        .applyInPandas(merge, schema)
+        .groupBy(*keys)
+        .applyInPandas(combine, schema)
+    )
 
 
 def param_grid_apply(

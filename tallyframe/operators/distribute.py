@@ -183,13 +183,14 @@ def lag_columns(
     cols: Sequence[str],
     lags: Sequence[int],
     name: str = "{col}_LAG_{k}",
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Add the value ``k`` rows earlier in the same group, for each column and lag.
 
     Ordinary groups use one window. Groups holding more than an average shuffle
     partition are cut into ranges of the first order column, each range preceded
-    by the last few rows before it.
+    by the last few rows before it. ``hot_rows=None`` skips the look for such
+    groups where their size is bounded by construction.
     """
     keys, order = list(keys), list(order)
     new = {name.format(col=c, k=k): (c, k) for c in cols for k in lags}
@@ -198,6 +199,8 @@ def lag_columns(
         w = W.partitionBy(*by).orderBy(*order_by(*order))
         return part.withColumns({n: F.lag(c, k).over(w) for n, (c, k) in new.items()})
 
+    if hot_rows is None:
+        return add(df, keys)
     if not keys:
         if df.count() < hot_rows:
             return add(df, [])

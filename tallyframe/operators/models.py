@@ -3,106 +3,138 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass, replace
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyframe.functions.nulls import is_in
 from tallyframe.operators.formula import with_products
 from tallyframe.operators.tables import levels_of
 
 
-def level_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    return [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
+@dataclass
+class Design:
+    """The columns a model reads: numeric ones, level columns with their levels, and products.
 
-
-def drop_constant(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    """Columns that take more than one value; a constant one would make the fit singular."""
-    # Smallest and largest value tell the same as a distinct count, and merge as two cells.
-    ends = df.agg(*[F.min(c).eqNullSafe(F.max(c)).alias(f"c{i}") for i, c in enumerate(cols)]).first()
-    return [c for i, c in enumerate(cols) if not ends[f"c{i}"]]
-
-
-def drop_collinear(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    """Numeric columns that are no linear combination of the columns before them.
-
-    One pass sums the products of all columns; elimination on that k × k matrix
-    shows which columns add nothing.
+    Level columns are indexed by sorted level; the first level is the base. A
+    row is scorable when its numeric inputs are present and its levels known;
+    other rows keep their place and get a missing prediction.
     """
-    if not cols:
-        return []
-    import numpy as np
-
-    scaled = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).dropna()
-    assembled = VectorAssembler(inputCols=scaled.columns, outputCol="v").transform(scaled)
-    from pyspark.ml.stat import Correlation
 
-    r = Correlation.corr(assembled, "v").first()[0].toArray()
-    kept: list[int] = []
-    for i in range(len(cols)):
-        trial = np.nan_to_num(r[np.ix_([*kept, i], [*kept, i])])
-        if np.linalg.eigvalsh(trial)[0] > 1e-9:
-            kept.append(i)
-    return [cols[i] for i in kept]
+    numeric: list[str]
+    levels: dict[str, list[str]]
+    products: list[tuple[str, ...]]
+    one_hot: bool
 
+    @property
+    def names(self) -> list[str]:
+        """One name per entry of the feature vector."""
+        out = list(self.numeric)
+        for c, levels in self.levels.items():
+            out += [f"{c}{v}" for v in levels[1:]] if self.one_hot else [c]
+        return out
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        """Add the model's input columns and the ``_scorable`` flag."""
+        df = with_products(df, self.products)
+        ok, inputs = F.lit(True), {}
+        for c in self.numeric:
+            value = F.col(c).cast("double")
+            inputs[f"{c}__in"] = F.coalesce(value, F.lit(0.0))
+            ok = ok & value.isNotNull()
+        for c, levels in self.levels.items():
+            known = is_in(F.col(c).cast("string"), levels)
+            inputs[f"{c}__in"] = F.when(known, F.col(c).cast("string")).otherwise(levels[0])
+            ok = ok & known
+        return df.withColumns(inputs | {"_scorable": ok})
+
+    def stages(self) -> list:
+        stages, inputs = [], [f"{c}__in" for c in self.numeric]
+        for c, levels in self.levels.items():
+            # The encoder leaves out the last index, so the base level goes there.
+            order = levels[1:] + levels[:1] if self.one_hot else levels
+            stages.append(
+                StringIndexerModel.from_labels(order, inputCol=f"{c}__in", outputCol=f"{c}__index", handleInvalid="error")
+            )
+            inputs.append(f"{c}__index")
+            if self.one_hot:
+                stages.append(OneHotEncoder(inputCol=f"{c}__index", outputCol=f"{c}__dummies", dropLast=True))
+                inputs[-1] = f"{c}__dummies"
+        return [*stages, VectorAssembler(inputCols=inputs, outputCol="features")]
+
+
+@dataclass
+class Fit:
+    """A fitted model and the design it reads."""
 
-def feature_stages(
-    df: DataFrame, cols: Sequence[str], one_hot: bool, out: str = "features"
-) -> list:
-    """Index text columns by sorted level, optionally as dummies without the first level, and assemble.
+    pipeline: PipelineModel
+    design: Design
 
-    Levels are collected sorted (their number is checked), so the first one is
-    the base and a rerun gives the same model. Rows with a level not seen here
-    are left out when fitting and scored as missing.
-    """
-    text = level_columns(df, cols)
-    stages: list = []
-    inputs = [c for c in cols if c not in text]
-    for c in text:
-        levels = levels_of(df, c)
-        # The encoder drops the last index, so the base level goes there.
-        order = levels[1:] + levels[:1] if one_hot else levels
-        stages.append(
-            StringIndexerModel.from_labels(order, inputCol=c, outputCol=f"{c}__index", handleInvalid="skip")
-        )
-        inputs.append(f"{c}__index")
-        if one_hot:
-            stages.append(OneHotEncoder(inputCol=f"{c}__index", outputCol=f"{c}__dummies", dropLast=True))
-            inputs[-1] = f"{c}__dummies"
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="skip"))
-    return stages
+    @property
+    def model(self) -> Model:
+        return self.pipeline.stages[-1]
 
+    @property
+    def names(self) -> list[str]:
+        return self.design.names
 
-def feature_names(df: DataFrame, cols: Sequence[str], one_hot: bool) -> list[str]:
-    """One name per entry of the feature vector built by :func:`feature_stages`."""
-    text = level_columns(df, cols)
-    names = [c for c in cols if c not in text]
-    for c in text:
-        names += [f"{c}{v}" for v in levels_of(df, c)[1:]] if one_hot else [c]
-    return names
+    def transform(self, df: DataFrame) -> DataFrame:
+        """The rows with the model's output columns; no row is dropped."""
+        scored = self.pipeline.transform(self.design.prepare(df))
+        outputs = [c for c in ("prediction", "probability", "rawPrediction") if c in scored.columns]
+        return scored.select(
+            *df.columns, *[F.when(F.col("_scorable"), F.col(c)).alias(c) for c in outputs]
+        )
 
 
-class Fit:
-    """A fitted model with the term names its feature vector stands for."""
+def unknown_levels(fit: Fit, df: DataFrame) -> DataFrame:
+    """Levels of the data that the model has not seen: column, level, rows."""
+    text = [
+        F.struct(F.lit(c).alias("column"), F.when(~is_in(F.col(c).cast("string"), v), F.col(c).cast("string")).alias("level"))
+        for c, v in fit.design.levels.items()
+    ]
+    return (
+        df.select(F.inline(F.array(*text)))
+        .filter(F.col("level").isNotNull())
+        .groupBy("column", "level")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
 
-    def __init__(self, pipeline: PipelineModel, names: list[str], terms: list[tuple[str, ...]]):
-        self.pipeline, self.names, self.terms = pipeline, names, terms
 
-    @property
-    def model(self) -> Model:
-        return self.pipeline.stages[-1]
+def independent_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    """Columns that vary and are no linear combination of the columns before them.
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.pipeline.transform(with_products(df, self.terms))
+    One pass gives the k × k correlations; columns are then taken in turn while
+    the smallest eigenvalue stays away from zero.
+    """
+    if not cols:
+        return []
+    spread = df.agg(*[(F.max(c) - F.min(c)).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    varying = [c for i, c in enumerate(cols) if spread[f"c{i}"]]
+    if not varying:
+        return []
+    data = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(varying)])
+    vectors = VectorAssembler(inputCols=data.columns, outputCol="v").transform(data)
+    r = Correlation.corr(vectors, "v").first()[0].toArray()
+    kept: list[int] = []
+    for i in range(len(varying)):
+        trial = [*kept, i]
+        if np.linalg.eigvalsh(r[np.ix_(trial, trial)])[0] > 1e-9:
+            kept.append(i)
+    return [varying[i] for i in kept]
 
 
 def estimate_model(
@@ -111,38 +143,51 @@ def estimate_model(
     predictors: Sequence[str],
     estimator: Estimator,
     products: Sequence[tuple[str, ...]] = (),
+    levels: dict[str, Sequence[str]] | None = None,
     one_hot: bool = True,
     response_levels: Sequence[str] | None = None,
+    drop_singular: bool = False,
 ) -> Fit:
     """Fit any Spark ML estimator of ``response`` on ``predictors`` and product terms.
 
-    ``response_levels`` turns a text response into a class index. Rows with a
-    missing value in any used column are left out.
+    Text predictors become level columns, with the levels found in the data
+    unless ``levels`` declares them. ``response_levels`` turns a text response
+    into a class index. Rows with a missing value in any used column are left
+    out. ``drop_singular`` first removes constant and collinear predictors,
+    without which normal equations give no standard errors.
     """
-    terms = list(products)
-    cols = [*predictors, *["_x_".join(t) for t in terms]]
-    data = with_products(df, terms).select(response, *cols).dropna()
-    stages = feature_stages(data, cols, one_hot)
-    label = response
+    declared = dict(levels or {})
+    is_text = lambda c: c in declared or isinstance(df.schema[c].dataType, T.StringType)
+    text = [c for c in predictors if is_text(c)]
+    numeric = [c for c in predictors if c not in text]
+    crossed = ["_x_".join(t) for t in products]
+    label = F.col(response).cast("double")
     if response_levels is not None:
-        label = f"{response}__index"
-        stages.insert(
-            0,
-            StringIndexerModel.from_labels(
-                list(response_levels), inputCol=response, outputCol=label, handleInvalid="skip"
-            ),
-        )
-    prepare = Pipeline(stages=stages).fit(data)
-    names = feature_names(data, cols, one_hot)
-    ready = prepare.transform(data).select(F.col(label).cast("double").alias("label"), "features")
-    # Iterative fits read the rows many times; executors keep or spill their share.
-    ready.persist(StorageLevel.MEMORY_AND_DISK)
+        place = F.array_position(F.array(*[F.lit(v) for v in response_levels]), F.col(response).cast("string"))
+        label = F.when(place > 0, place - 1).cast("double")
+    data = with_products(df, products).select(label.alias("label"), *numeric, *crossed, *text).dropna()
+    # The fit reads these rows many times; executors keep or spill their share.
+    data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = estimator.copy({estimator.labelCol: "label", estimator.featuresCol: "features"}).fit(ready)
+        found = {c: list(declared.get(c) or levels_of(data, c)) for c in text}
+        if drop_singular:
+            found = {c: v for c, v in found.items() if len(v) > 1}
+            kept = independent_columns(data, [*numeric, *crossed])
+        else:
+            kept = [*numeric, *crossed]
+        design = Design(kept, found, [t for t in products if "_x_".join(t) in kept], one_hot)
+        # Products are columns of `data` already; only the inputs are prepared here.
+        ready = replace(design, products=[]).prepare(data)
+        encode = Pipeline(stages=design.stages()).fit(ready)
+        points = encode.transform(ready.filter("_scorable")).select("label", "features")
+        points.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fitted = estimator.copy({estimator.labelCol: "label", estimator.featuresCol: "features"}).fit(points)
+        finally:
+            points.unpersist()
     finally:
-        ready.unpersist()
-    scoring = [s for s in prepare.stages if s.getOutputCol() != label]
-    return Fit(PipelineModel([*scoring, fitted]), names, terms)
+        data.unpersist()
+    return Fit(PipelineModel([*encode.stages, fitted]), design)
 
 
 def linear_regression() -> LinearRegression:
@@ -276,19 +321,19 @@ def kmeans_step(df: DataFrame, vector: str, centres: DataFrame, max_centres: int
 
 
 def model_store(fit: Fit, folder: str, name: str, registry: str, spark: SparkSession) -> DataFrame:
-    """Save a fitted model under ``folder/name`` and record it in the registry table.
+    """Save a fitted model under ``folder/name`` and record it in the registry.
 
-    The registry keeps one row per name, the latest save; it is a folder of
-    one-row files, replaced by name.
+    The registry is a table with one row per name, kept as one folder per name
+    so that a new save replaces only its own row.
     """
     path = f"{folder}/{name}"
     fit.pipeline.write().overwrite().save(path)
-    row = [(name, dt.date.today(), path, fit.names, [list(t) for t in fit.terms])]
     entry = spark.createDataFrame(
-        row, "Model_Name string, created date, path string, feature_names array<string>, products array<array<string>>"
+        [(name, dt.date.today(), path, json.dumps(asdict(fit.design)))],
+        "Model_Name string, created date, path string, design string",
     )
-    entry.coalesce(1).write.mode("overwrite").parquet(f"{registry}/Model={name}")
-    return spark.read.parquet(registry)
+    entry.coalesce(1).write.mode("overwrite").parquet(f"{registry}/name={name}")
+    return spark.read.parquet(registry).drop("name")
 
 
 def model_load(registry: str, name: str, spark: SparkSession) -> Fit:
@@ -296,4 +341,6 @@ def model_load(registry: str, name: str, spark: SparkSession) -> Fit:
     row = spark.read.parquet(registry).filter(F.col("Model_Name") == name).first()
     if row is None:
         raise KeyError(name)
-    return Fit(PipelineModel.load(row["path"]), list(row["feature_names"]), [tuple(t) for t in row["products"]])
+    d = json.loads(row["design"])
+    design = Design(d["numeric"], d["levels"], [tuple(t) for t in d["products"]], d["one_hot"])
+    return Fit(PipelineModel.load(row["path"]), design)

@@ -119,15 +119,18 @@ def subs(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
     return docs.select(*doc_cols).join(labels, "doc_id").select(*wanted)
 
 
-def pollution(spark: SparkSession, sf: str) -> DataFrame:
+def pollution(spark: SparkSession, sf: str, users_per_station: int = 1) -> DataFrame:
     """Raw measurements with the raw file's column names: one row per station and day.
 
     A day with other events only has no measurement at all, but keeps its row.
+    Larger ``users_per_station`` gives fewer stations with fewer gaps, which
+    the model fits need.
     """
     events = read_table(spark, sf, "events")
     kind = {"NO2": "click", "O3": "view", "SO2": "purchase", "CO": "signup"}
     # One value column per kind of event, averaged map-side first.
-    daily = events.groupBy("user_id", F.col("ts").cast("date").alias("Date Local")).agg(
+    station = F.floor(F.col("user_id") / users_per_station)
+    daily = events.groupBy(station.alias("user_id"), F.col("ts").cast("date").alias("Date Local")).agg(
         *[F.avg(F.when(F.col("event_type") == k, F.col("value"))).alias(f"{p} Mean") for p, k in kind.items()]
     )
     u = F.col("user_id")

@@ -1 +1,287 @@
-"""Registered queries."""
+"""Registered queries: whole analyses."""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from tallyframe.functions import calendar as cal
+from tallyframe.functions.nulls import if_else
+from tallyframe.operators import evaluation, joins, models, scoring, splits
+from tallyframe.operators.rows import stack
+from tallyframe.plans import air_quality as aq
+from tallyframe.plans import bases
+from tallyframe.plans.bases import BASE_SQL, CALENDAR, MEANS, loans, nations_of, subs
+from tallyframe.plans.catalog.aggregates import trips_with_share
+from tallyframe.plans.catalog.selection import CLEAN
+from tallyframe.plans.catalog.shape import tidy
+from tallyframe.plans.registry import query
+from tallyframe.session import materialize, scratch_path
+from tallyframe.sources import files, sinks
+
+# --- neighbourhood summary -----------------------------------------------------------------
+
+
+@query(
+    "hood_summary",
+    """
+SELECT dropoff_nhood, pickup_nhood, round(avg(tip_pct), 10) AS ave_tip, round(avg(trip_distance), 10) AS ave_dist
+FROM trips WHERE pickup_nhood IN (SELECT nhood FROM nhoods) AND dropoff_nhood IN (SELECT nhood FROM nhoods)
+GROUP BY 1, 2 HAVING avg(trip_distance) > 3 AND avg(tip_pct) > 0.05
+""",
+    "trips nhoods",
+)
+def hood_summary(spark, sf):
+    """Mean tip share and distance between the neighbourhoods of one region."""
+    df = trips_with_share(spark, sf, "pickup_nhood", "dropoff_nhood", "trip_distance")
+    inside = joins.semi_on(df, nations_of(spark, sf), "nhood", "pickup_nhood", "dropoff_nhood")
+    out = inside.groupBy("dropoff_nhood", "pickup_nhood").agg(
+        F.avg("tip_pct").alias("ave_tip"), F.avg("trip_distance").alias("ave_dist")
+    )
+    return tidy(out.filter((F.col("ave_dist") > 3) & (F.col("ave_tip") > 0.05)), 10)
+
+
+# --- air quality ---------------------------------------------------------------------------
+
+P = aq.POLLUTANTS
+_lags = [(p, k) for p in P for k in aq.LAG_DAYS]
+
+BASE_SQL["calendar"] = (
+    [],
+    f"""
+SELECT row_number() OVER (ORDER BY d) AS DIM_DATE_KEY, CAST(d AS DATE) AS DATE
+FROM (SELECT unnest(generate_series(DATE '{CALENDAR[0]}', DATE '{CALENDAR[1]}', INTERVAL 1 DAY)) AS d)
+""",
+)
+BASE_SQL["daily"] = (
+    ["pollution"],
+    f"""
+SELECT {CLEAN.format(c='ADDRESS')} AS ADDRESS, DATE, {', '.join(CLEAN.format(c=c) + ' AS ' + c for c in aq.STATION[1:])},
+  SITE_NUM, {', '.join(f'{p}_MEAN' for p in P)}, CAST(year(DATE) AS BIGINT) AS YEAR, CAST(month(DATE) AS BIGINT) AS MONTH,
+  CAST(day(DATE) AS BIGINT) AS DAY, ADDRESS AS RAW
+FROM (SELECT ADDRESS, DATE, STATE, CITY, COUNTY, SITE_NUM,
+  {', '.join(f'CASE WHEN count({m}) = count(*) THEN avg({m}) END AS {m}' for m in MEANS)}
+  FROM pollution GROUP BY 1, 2, 3, 4, 5, 6) WHERE SO2_MEAN <= 100
+""",
+)
+BASE_SQL["history"] = (
+    ["daily", "calendar"],
+    f"""
+SELECT h.* EXCLUDE (RAW, {', '.join(f'{p}_L{k}' for p, k in _lags)}),
+  {', '.join(f'coalesce({p}_L{k}, {p}_MEDIAN) AS {p}_MEAN_LAG_{k}' for p, k in _lags)}, c.DIM_DATE_KEY
+FROM (SELECT *, dense_rank() OVER (ORDER BY ADDRESS) AS DIM_ADDRESS_KEY,
+  {', '.join(f'lag({p}_MEAN, {k}) OVER w AS {p}_L{k}' for p, k in _lags)},
+  {', '.join(f'CASE WHEN count({p}_MEAN) OVER g = count(*) OVER g THEN median({p}_MEAN) OVER g END AS {p}_MEDIAN' for p in P)}
+  FROM daily WINDOW w AS (PARTITION BY ADDRESS ORDER BY DATE, RAW, STATE, CITY, COUNTY, SITE_NUM), g AS (PARTITION BY ADDRESS)) h
+LEFT JOIN calendar c ON h.DATE = c.DATE
+""",
+)
+_measures = [*MEANS, *aq.MEDIANS.values(), *aq.LAGS]
+BASE_SQL["expected"] = (
+    ["history"],
+    f"""
+SELECT g.DIM_ADDRESS_KEY, g.DATE, g.DIM_DATE_KEY, CAST(month(g.DATE) AS BIGINT) AS MONTH, CAST(day(g.DATE) AS BIGINT) AS DAY,
+  CAST(year(g.DATE) AS BIGINT) AS YEAR,
+  {', '.join(f'coalesce(m.{p}_MEAN, d.{p}_MEDIAN) AS {p}_MEAN, d.{p}_MEDIAN' for p in P)}
+FROM (SELECT DIM_ADDRESS_KEY, CAST(last + CAST(k AS INTEGER) AS DATE) AS DATE, last_key + k AS DIM_DATE_KEY
+      FROM (SELECT DISTINCT DIM_ADDRESS_KEY FROM history),
+           (SELECT max(DATE) AS last, max(DIM_DATE_KEY) AS last_key FROM history), range(1, 366) t(k)) g
+LEFT JOIN (SELECT DIM_ADDRESS_KEY, MONTH, DAY, {', '.join(f'avg({m}) AS {m}' for m in MEANS)} FROM history GROUP BY 1, 2, 3) m
+  ON g.DIM_ADDRESS_KEY = m.DIM_ADDRESS_KEY AND month(g.DATE) = m.MONTH AND day(g.DATE) = m.DAY
+LEFT JOIN (SELECT DIM_ADDRESS_KEY, {', '.join(f'median({p}_MEAN) AS {p}_MEDIAN' for p in P)} FROM history GROUP BY 1) d
+  ON g.DIM_ADDRESS_KEY = d.DIM_ADDRESS_KEY
+""",
+)
+BASE_SQL["projection"] = (
+    ["expected"],
+    f"""
+SELECT DIM_DATE_KEY, DIM_ADDRESS_KEY, DATE, MONTH, DAY, YEAR, {', '.join([*MEANS, *aq.MEDIANS.values()])},
+  {', '.join(f'coalesce({c}, {m}) AS {c}' for c, m in aq.LAGS.items())}
+FROM (SELECT {', '.join(aq.PROJECTED_COLUMNS)} FROM history
+      WHERE DATE >= (SELECT max(DATE) FROM history) - INTERVAL 7 DAY
+      UNION ALL
+      SELECT DIM_DATE_KEY, DIM_ADDRESS_KEY, DATE, MONTH, DAY, YEAR, {', '.join([*MEANS, *aq.MEDIANS.values()])},
+        {', '.join(f'lag({p}_MEAN, {k}) OVER w' for p, k in _lags)}
+      FROM expected WINDOW w AS (PARTITION BY DIM_ADDRESS_KEY ORDER BY DATE))
+""",
+)
+
+
+def _rounded(columns) -> str:
+    return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
+
+
+def history(spark, sf, users_per_station: int = 1):
+    return aq.clean_history(bases.pollution(spark, sf, users_per_station), cal.dim_date(spark, *CALENDAR))
+
+
+@query(
+    "pollution_history",
+    f"""
+SELECT ADDRESS, DATE, STATE, CITY, COUNTY, SITE_NUM, YEAR, MONTH, DAY, DIM_ADDRESS_KEY, DIM_DATE_KEY, {_rounded(_measures)}
+FROM history
+""",
+    "history",
+)
+def pollution_history(spark, sf):
+    return tidy(history(spark, sf))
+
+
+@query(
+    "pollution_projection",
+    f"SELECT DIM_DATE_KEY, DIM_ADDRESS_KEY, DATE, MONTH, DAY, YEAR, {_rounded(_measures)} FROM projection",
+    "projection",
+)
+def pollution_projection(spark, sf):
+    return tidy(aq.project(materialize(history(spark, sf), "history")))
+
+
+@query("address_dim", "SELECT DISTINCT DIM_ADDRESS_KEY, SITE_NUM, ADDRESS, STATE, CITY, COUNTY FROM history", "history")
+def address_dim(spark, sf):
+    return tidy(aq.address_dim(history(spark, sf)))
+
+
+@query(
+    "pollution_all_view",
+    f"""
+SELECT DIM_ADDRESS_KEY, DIM_DATE_KEY, {', '.join(f'round({m}, 6) AS {m}_HIST' for m in MEANS)},
+  {', '.join(f'CAST(NULL AS DOUBLE) AS {m}_PRED' for m in MEANS)} FROM history
+UNION ALL SELECT DIM_ADDRESS_KEY, DIM_DATE_KEY, {', '.join('NULL' for m in MEANS)}, {', '.join(f'round({m}, 6)' for m in MEANS)}
+FROM projection
+""",
+    "projection",
+)
+def pollution_all_view(spark, sf):
+    # The projected means stand in for model predictions, which SQL cannot compute.
+    past = materialize(history(spark, sf), "history")
+    return sinks.define_view(tidy(aq.all_view(past, aq.project(past))), "US_POLLUTION_ALL")
+
+
+_TABLES = {
+    "Dim_Dates": ("calendar", "DIM_DATE_KEY", "DIM_DATE_KEY"),
+    "Dim_Pollution_Addresses": (
+        "(SELECT DISTINCT DIM_ADDRESS_KEY, SITE_NUM, ADDRESS, STATE, CITY, COUNTY FROM history)", "DIM_ADDRESS_KEY", "SITE_NUM"
+    ),
+    "Fact_US_Pollution_Historical": ("history", "DIM_ADDRESS_KEY", "SO2_MEAN"),
+    "Fact_US_Pollution_Projected": ("projection", "DIM_ADDRESS_KEY", "SO2_MEAN_LAG_7"),
+    "Fact_US_Pollution_Predicted": ("projection", "DIM_DATE_KEY", "SO2_MEAN"),
+}
+
+
+@query(
+    "star_load",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n, count(DISTINCT {key}) AS keys, "
+        f"round(sum(CAST({total} AS DOUBLE)), 3) AS total FROM {source}"
+        for name, (source, key, total) in _TABLES.items()
+    ),
+    "projection calendar",
+)
+def star_load(spark, sf):
+    """Write five CSV files, load each with declared types into its table, and report on the tables."""
+    past = materialize(history(spark, sf), "history")
+    future = materialize(aq.project(past), "projection")
+    contents = {
+        "Dim_Dates": cal.dim_date(spark, *CALENDAR),
+        "Dim_Pollution_Addresses": aq.address_dim(past),
+        "Fact_US_Pollution_Historical": past,
+        "Fact_US_Pollution_Projected": future,
+        "Fact_US_Pollution_Predicted": future.select("DIM_ADDRESS_KEY", "DIM_DATE_KEY", *MEANS),
+    }
+    folder = scratch_path(spark, "star")
+    reports = []
+    for name, (_, key, total) in _TABLES.items():
+        df = contents[name]
+        sinks.write_csv(df, f"{folder}/csv/{name}")
+        declared = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+        loaded = sinks.write_table(files.read_csv(spark, f"{folder}/csv/{name}", declared), name, f"{folder}/tables/{name}")
+        reports.append(
+            loaded.agg(
+                F.lit(name).alias("table_name"), F.count("*").alias("n"), F.count_distinct(key).alias("keys"),
+                F.sum(F.col(total).cast("double")).alias("total"),
+            )
+        )
+    return tidy(stack(*reports), 3)
+
+
+# Fifteen users share a station here, so that nearly every station has every pollutant on every day.
+STATION_USERS = 15
+
+
+@query("pollution_forecast")
+def pollution_forecast(spark, sf):
+    past = materialize(history(spark, sf, STATION_USERS), "history")
+    return tidy(aq.forecast(aq.project(past), aq.fit_pollutants(past)))
+
+
+# --- loan defaults -------------------------------------------------------------------------
+
+LOAN_PREDICTORS = ["creditScore", "houseAge", "yearsEmploy", "ccDebt", "year"]
+FLAG_LEVELS = ["current", "default"]
+
+
+def loan_parts(spark, sf):
+    """Loans with a default flag, split into train and validate."""
+    df = loans(spark, sf).withColumn("default_flag", if_else(F.col("default") == 1, "default", "current"))
+    return splits.split(df, "o_orderkey", 0.75)
+
+
+def loan_classifiers(train):
+    """The four classifiers of the comparison, fitted."""
+    fit = lambda estimator: models.estimate_model(
+        train, "default_flag", LOAN_PREDICTORS, estimator, response_levels=FLAG_LEVELS, one_hot=False
+    )
+    return {
+        "pred_logit_default": models.estimate_model(train, "default", LOAN_PREDICTORS, models.generalized("binomial")),
+        "pred_tree_default": fit(DecisionTreeClassifier(minInstancesPerNode=10, maxDepth=5, seed=1)),
+        "pred_forest_default": fit(RandomForestClassifier(numTrees=100, maxDepth=5, seed=1)),
+        "pred_gbm_default": fit(GBTClassifier(maxIter=100, maxDepth=1, stepSize=0.1, seed=1)),
+    }
+
+
+def default_probability(fit):
+    """The score column of a fit: a class probability, or a logistic mean."""
+    if hasattr(fit.model, "numClasses"):
+        return vector_to_array(F.col("probability"))[1]
+    return F.col("prediction")
+
+
+def score_all(df, fits, keep):
+    """Every fit's probability beside the kept columns, in one plan."""
+    for name, fit in fits.items():
+        df = fit.transform(df).select(*df.columns, default_probability(fit).alias(name))
+    return df.select(*keep, *fits)
+
+
+@query("default_model_comparison")
+def default_model_comparison(spark, sf):
+    parts = loan_parts(spark, sf)
+    fits = loan_classifiers(parts["train"])
+    scored = materialize(score_all(parts["validate"], fits, ["o_orderkey", "default"]), "scores")
+    return tidy(evaluation.auc(scored, "default", list(fits)))
+
+
+# --- subscriptions -------------------------------------------------------------------------
+
+SUBS_PREDICTORS = ["UniqueProducts", "TotalSales", "MarketingChannel", "FavCategory", "Region"]
+
+
+@query("subscription_model")
+def subscription_model(spark, sf):
+    """Stratified split, forest of 50 trees, ROC cutoff on the holdout, threshold scores as a confusion matrix."""
+    df = subs(spark, sf).withColumn("SubRenew", if_else(F.col("Subscription") == 1, "Yes", "No"))
+    labelled = materialize(splits.stratified_label(df, "doc_id", "SubRenew", 0.7), "subscriptions")
+    training, testing = (labelled.filter(F.col("part") == p) for p in ("train", "validate"))
+    fit = models.estimate_model(
+        training, "SubRenew", SUBS_PREDICTORS, RandomForestClassifier(numTrees=50, maxDepth=5, seed=1238),
+        response_levels=["No", "Yes"], one_hot=False,
+    )
+    scored = materialize(
+        fit.transform(testing).select("doc_id", "Subscription", "SubRenew", vector_to_array("probability")[1].alias("Yes")),
+        "renewal-scores",
+    )
+    cutoff = evaluation.roc_cutoff(evaluation.roc_points(scored, "Subscription", "Yes"), 0.1).select("cutoff").scalar()
+    renewed = scored.select("SubRenew", scoring.score_threshold("Yes", 0.60).alias("predicted"))
+    matrix = evaluation.confusion_matrix(renewed, "SubRenew", "predicted")
+    return tidy(matrix.withColumn("cutoff", cutoff))

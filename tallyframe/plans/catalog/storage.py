@@ -187,20 +187,26 @@ def collect_bounded(spark, sf):
 # --- user functions ------------------------------------------------------------------------
 
 
-def _spread(pdf: pd.DataFrame) -> pd.DataFrame:
+def _range(pdf: pd.DataFrame) -> pd.DataFrame:
     price = pdf["o_totalprice"].sort_values()
     return pd.DataFrame(
-        {"o_custkey": [pdf["o_custkey"].iloc[0]], "n": [len(price)], "spread": [price.iloc[-1] - price.iloc[0]]}
+        {"o_custkey": [pdf["o_custkey"].iloc[0]], "n": [len(price)], "low": [price.iloc[0]], "high": [price.iloc[-1]]}
+    )
+
+
+def _merge_ranges(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame(
+        {"o_custkey": [pdf["o_custkey"].iloc[0]], "n": [pdf["n"].sum()], "low": [pdf["low"].min()], "high": [pdf["high"].max()]}
     )
 
 
 @query(
     "group_apply",
-    "SELECT o_custkey, count(*) AS n, round(max(o_totalprice) - min(o_totalprice), 6) AS spread FROM orders GROUP BY 1",
+    "SELECT o_custkey, count(*) AS n, min(o_totalprice) AS low, max(o_totalprice) AS high FROM orders GROUP BY 1",
 )
 def group_apply(spark, sf):
     df = read_table(spark, sf, "orders").select("o_custkey", "o_totalprice")
-    return tidy(apply.group_apply(df, ["o_custkey"], _spread, "o_custkey bigint, n bigint, spread double"))
+    return tidy(apply.group_apply(df, ["o_custkey"], _range, "o_custkey bigint, n bigint, low double, high double", _merge_ranges))
 
 
 @query(
