@@ -310,8 +310,8 @@ def kmeans_step(df: DataFrame, vector: str, centres: DataFrame, max_centres: int
     distance = lambda c: F.aggregate(
         F.zip_with(point, c["centre"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x
     )
-    nearest = F.array_min(F.transform(packed, lambda c: F.struct(distance(c).alias("d"), c["cluster"].alias("cluster"))))
-    assigned = df.withColumn("_near", nearest).select(
+    nearest = F.array_min(F.transform("_centres", lambda c: F.struct(distance(c).alias("d"), c["cluster"].alias("cluster"))))
+    assigned = df.withColumn("_centres", packed).withColumn("_near", nearest).select(
         vector, F.col("_near.cluster").alias("cluster"), F.col("_near.d").alias("d")
     )
     v = array_to_vector(F.col(vector).cast("array<double>"))

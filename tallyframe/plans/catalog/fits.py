@@ -1 +1,494 @@
-"""Registered queries."""
+"""Registered queries: linear models from sums, Spark ML fits, scoring, model storage."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.sql import functions as F
+
+from tallyframe.functions.keys import RANGE, key_hash_sql
+from tallyframe.operators import formula, linear, models, scoring, splits
+from tallyframe.operators.tables import levels_of
+from tallyframe.plans import air_quality as aq
+from tallyframe.plans.bases import LONG_DAYS, MEANS, TRIP_KEY, air, loans, subs
+from tallyframe.plans.catalog.aggregates import trips_with_share
+from tallyframe.plans.catalog.composites import (
+    FLAG_LEVELS,
+    LOAN_PREDICTORS,
+    STATION_USERS,
+    history,
+    loan_parts,
+)
+from tallyframe.plans.catalog.selection import raw_pollution
+from tallyframe.plans.catalog.shape import tidy
+from tallyframe.plans.registry import query
+from tallyframe.session import materialize, scratch_path
+from tallyframe.sources import files, sinks
+from tallyframe.sources.files import read_table
+
+# --- least squares from sums ---------------------------------------------------------------
+
+
+@query(
+    "lm_simple",
+    """
+SELECT round(regr_slope(ave_tip, ave_dist), 9) AS slope, round(regr_intercept(ave_tip, ave_dist), 9) AS intercept,
+       round(regr_r2(ave_tip, ave_dist), 9) AS r_squared, count(*) AS n
+FROM (SELECT avg(tip_pct) AS ave_tip, avg(trip_distance) AS ave_dist FROM trips GROUP BY dropoff_nhood, pickup_nhood)
+""",
+    "trips",
+)
+def lm_simple(spark, sf):
+    df = trips_with_share(spark, sf, "dropoff_nhood", "pickup_nhood", "trip_distance")
+    means = df.groupBy("dropoff_nhood", "pickup_nhood").agg(
+        F.avg("tip_pct").alias("ave_tip"), F.avg("trip_distance").alias("ave_dist")
+    )
+    return tidy(linear.lm_simple(means, "ave_tip", "ave_dist"), 9)
+
+
+@query(
+    "lm_per_group",
+    """
+SELECT pickup_nhood, round(regr_slope(tip_amount, trip_distance), 6) AS slope,
+       round(regr_intercept(tip_amount, trip_distance), 6) AS intercept,
+       round(regr_r2(tip_amount, trip_distance), 6) AS r_squared, regr_count(tip_amount, trip_distance)::BIGINT AS n
+FROM trips GROUP BY pickup_nhood
+""",
+    "trips",
+)
+def lm_per_group(spark, sf):
+    df = trips_with_share(spark, sf, "pickup_nhood", "trip_distance")
+    return tidy(linear.lm_simple(df, "tip_amount", "trip_distance", ["pickup_nhood"]))
+
+
+# The same regressions in SQL: slopes of a and b come from the sums of squares within the levels (what a
+# level column leaves over), level terms from the level means. y = tip_amount, a = passenger_count, b = pickup_hour.
+GROUP_FIT_SQL = """
+WITH d AS (SELECT dropoff_dow AS g, pickup_nhood AS l, tip_amount AS y, CAST(passenger_count AS DOUBLE) AS a,
+           CAST(pickup_hour AS DOUBLE) AS b FROM trips),
+lev AS (SELECT g, l, count(*) AS n, avg(y) AS y, avg(a) AS a, avg(b) AS b FROM d GROUP BY 1, 2),
+s AS (SELECT d.g, sum((d.a - v.a) * (d.a - v.a)) AS aa, sum((d.a - v.a) * (d.b - v.b)) AS ab,
+      sum((d.b - v.b) * (d.b - v.b)) AS bb, sum((d.a - v.a) * (d.y - v.y)) AS ay, sum((d.b - v.b) * (d.y - v.y)) AS bys,
+      sum((d.y - v.y) * (d.y - v.y)) AS yy, count(*) AS n, count(DISTINCT d.l) AS k
+      FROM d JOIN lev v ON d.g = v.g AND d.l = v.l GROUP BY d.g),
+f AS (SELECT *, (bb * ay - ab * bys) / (aa * bb - ab * ab) AS ba, (aa * bys - ab * ay) / (aa * bb - ab * ab) AS b2,
+      aa * bb - ab * ab AS det FROM s),
+r AS (SELECT *, yy - ba * ay - b2 * bys AS rss, n - k - 2 AS dof FROM f),
+base AS (SELECT g, min(l) AS l0 FROM lev GROUP BY g),
+b0 AS (SELECT v.* FROM lev v JOIN base ON v.g = base.g AND v.l = base.l0),
+"""
+QUAD = "({x} * {x} * r.bb - 2 * {x} * {z} * r.ab + {z} * {z} * r.aa) / r.det"
+
+
+@query(
+    "lm_group_tidy",
+    GROUP_FIT_SQL
+    + f"""
+t AS (
+ SELECT r.g, 'passenger_count' AS term, ba AS e, sqrt(rss / dof * bb / det) AS se FROM r
+ UNION ALL SELECT r.g, 'pickup_hour', b2, sqrt(rss / dof * aa / det) FROM r
+ UNION ALL SELECT r.g, '(Intercept)', b0.y - ba * b0.a - b2 * b0.b,
+   sqrt(rss / dof * (1 / b0.n + {QUAD.format(x='b0.a', z='b0.b')})) FROM r JOIN b0 ON r.g = b0.g
+ UNION ALL SELECT r.g, 'pickup_nhood' || v.l, (v.y - b0.y) - ba * (v.a - b0.a) - b2 * (v.b - b0.b),
+   sqrt(rss / dof * (1 / v.n + 1 / b0.n + {QUAD.format(x='(v.a - b0.a)', z='(v.b - b0.b)')}))
+   FROM r JOIN b0 ON r.g = b0.g JOIN lev v ON r.g = v.g WHERE v.l <> b0.l)
+SELECT g AS dropoff_dow, term, round(e, 4) AS estimate, round(se, 4) AS std_error, round(e / se, 5) AS statistic FROM t
+""",
+    "trips",
+)
+def lm_group_tidy(spark, sf):
+    df = trips_with_share(spark, sf, "dropoff_dow", "pickup_nhood", "passenger_count", "pickup_hour")
+    fit = linear.lm_group_tidy(df, "tip_amount", "pickup_nhood", ["passenger_count", "pickup_hour"], ["dropoff_dow"])
+    # p-values need the t distribution, which SQL lacks; see lm_group_tidy_p.
+    return tidy(fit.drop("p_value"), 4, statistic=5)
+
+
+@query("lm_group_tidy_p")
+def lm_group_tidy_p(spark, sf):
+    df = trips_with_share(spark, sf, "dropoff_dow", "pickup_nhood", "passenger_count", "pickup_hour")
+    return tidy(linear.lm_group_tidy(df, "tip_amount", "pickup_nhood", ["passenger_count", "pickup_hour"], ["dropoff_dow"]))
+
+
+@query(
+    "lm_group_glance",
+    GROUP_FIT_SQL
+    + """
+tot AS (SELECT g, var_pop(y) * count(*) AS tss FROM d GROUP BY g),
+q AS (SELECT r.g, n, k + 2 AS p, dof, rss, tss, -n / 2 * (ln(2 * pi()) + ln(rss / n) + 1) AS ll FROM r JOIN tot ON r.g = tot.g)
+SELECT g AS dropoff_dow, round(1 - rss / tss, 6) AS r_squared, round(1 - rss / tss * (n - 1) / dof, 6) AS adj_r_squared,
+       round(sqrt(rss / dof), 4) AS sigma, round((tss - rss) / (p - 1) / (rss / dof), 5) AS f_statistic, p AS df,
+       round(-2 * ll + 2 * (p + 1), 3) AS aic, round(-2 * ll + ln(n) * (p + 1), 3) AS bic, n FROM q
+""",
+    "trips",
+)
+def lm_group_glance(spark, sf):
+    df = trips_with_share(spark, sf, "dropoff_dow", "pickup_nhood", "passenger_count", "pickup_hour")
+    fit = linear.lm_group_glance(df, "tip_amount", "pickup_nhood", ["passenger_count", "pickup_hour"], ["dropoff_dow"])
+    return tidy(fit.drop("p_value"), 6, sigma=4, f_statistic=5, aic=3, bic=3)
+
+
+LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_GRAM = ["1", *LINE_MEASURES]
+
+
+@query(
+    "gram_matrix",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS x, '{b}' AS y, round(sum({'1.0::DOUBLE' if a == '1' else a} * {'1.0::DOUBLE' if b == '1' else b}) "
+        f"/ count(*), 4) AS mean_product FROM lineitem"
+        for i, a in enumerate(_GRAM)
+        for b in _GRAM[i:]
+    ),
+)
+def gram_matrix(spark, sf):
+    # Shown per row, because sums of this size differ between engines in their last digits.
+    gram = linear.gram_matrix(read_table(spark, sf, "lineitem"), LINE_MEASURES)
+    n = gram.filter("x = '1' AND y = '1'").select("value").scalar()
+    return tidy(gram.select("x", "y", (F.col("value") / n).alias("mean_product")), 4)
+
+
+@query(
+    "lm_factor",
+    """
+WITH g AS (SELECT DayOfWeek AS l, count(*) AS n, avg(ArrDelay) AS m, var_pop(ArrDelay) AS v FROM air GROUP BY 1),
+s AS (SELECT sum(n * v) / (sum(n) - count(*)) AS s2 FROM g), b AS (SELECT m AS bm, n AS bn FROM g WHERE l = 'Monday')
+SELECT CASE WHEN l = 'Monday' THEN '(Intercept)' ELSE 'DayOfWeek' || l END AS term,
+       round(CASE WHEN l = 'Monday' THEN m ELSE m - bm END, 6) AS estimate,
+       round(sqrt(s2 * CASE WHEN l = 'Monday' THEN 1 / n ELSE 1 / n + 1 / bn END), 6) AS std_error FROM g, s, b
+""",
+    "air",
+)
+def lm_factor(spark, sf):
+    return tidy(linear.lm_factor(air(spark, sf, "ArrDelay", "DayOfWeek"), "ArrDelay", "DayOfWeek", LONG_DAYS[0]))
+
+
+@query(
+    "lm_factor_fit",
+    """
+WITH g AS (SELECT DayOfWeek AS l, avg(ArrDelay) AS m FROM air GROUP BY 1)
+SELECT CASE WHEN l = 'Monday' THEN '(Intercept)' ELSE 'DayOfWeek' || l END AS term,
+       round(CASE WHEN l = 'Monday' THEN m ELSE m - (SELECT m FROM g WHERE l = 'Monday') END, 4) AS estimate FROM g
+""",
+    "air",
+)
+def lm_factor_fit(spark, sf):
+    """The same regression through the general fit, with declared levels."""
+    df = air(spark, sf, "ArrDelay", "DayOfWeek")
+    fit = models.estimate_model(df, "ArrDelay", ["DayOfWeek"], models.linear_regression(), levels={"DayOfWeek": LONG_DAYS})
+    return tidy(models.model_summary(fit, spark).select("term", "estimate"), 4)
+
+
+# --- model terms ---------------------------------------------------------------------------
+
+INTERACT = ["SO2_MEAN", "O3_MEAN", "CO_MEAN"]
+_TERMS = [("O3_MEAN", "SO2_MEAN"), ("O3_MEAN", "CO_MEAN"), ("SO2_MEAN", "CO_MEAN")]
+
+
+@query(
+    "interaction_features",
+    "SELECT SITE_NUM, DATE, "
+    + ", ".join(f"round({c}, 6) AS {c}" for c in INTERACT)
+    + ", "
+    + ", ".join(f"round({a} * {b}, 7) AS {a}_x_{b}" for a, b in _TERMS)
+    + " FROM pollution",
+    "pollution",
+)
+def interaction_features(spark, sf):
+    df = raw_pollution(spark, sf).select("SITE_NUM", "DATE", *MEANS)
+    terms = formula.model_terms(df.columns, "NO2_MEAN", MEANS, ["SITE_NUM", "DATE"])
+    wide = formula.with_products(df, terms)
+    names = ["_x_".join(t) for t in terms]
+    return tidy(wide.select("SITE_NUM", "DATE", *names), 6, **{n: 7 for n in names if "_x_" in n})
+
+
+@query("lm_interactions")
+def lm_interactions(spark, sf):
+    past = materialize(history(spark, sf, STATION_USERS), "history")
+    fit = aq.fit_pollutants(past, ["NO2_MEAN"])["NO2_MEAN"]
+    return tidy(models.model_summary(fit, spark))
+
+
+# --- generalized linear models -------------------------------------------------------------
+
+
+@query("logit")
+def logit(spark, sf):
+    train = loan_parts(spark, sf)["train"]
+    fit = models.estimate_model(train, "default", LOAN_PREDICTORS, models.generalized("binomial"))
+    return tidy(models.model_summary(fit, spark), 9)
+
+
+@query("glm_poisson")
+def glm_poisson(spark, sf):
+    df = subs(spark, sf, "UniqueProducts", "TotalSales", "FavCategory", "Subscription")
+    scaled = df.withColumn("Thousands", F.col("TotalSales") / 1000)
+    fit = models.estimate_model(
+        scaled, "UniqueProducts", ["Thousands", "Subscription", "FavCategory"], models.generalized("poisson")
+    )
+    return tidy(models.model_summary(fit, spark), 6)
+
+
+@query("model_summary")
+def model_summary(spark, sf):
+    """Fit measures of a linear fit."""
+    df = air(spark, sf, "ArrDelay", "CRSDepTime", "DayOfWeek")
+    fit = models.estimate_model(
+        df, "ArrDelay", ["CRSDepTime", "DayOfWeek"], models.linear_regression(), levels={"DayOfWeek": LONG_DAYS}
+    )
+    return tidy(models.fit_measures(fit, spark))
+
+
+@query("estimate_model")
+def estimate_model(spark, sf):
+    """One call with data, terms and estimator, for three estimators."""
+    train = loan_parts(spark, sf)["train"]
+    fits = {
+        "logit": models.estimate_model(train, "default", LOAN_PREDICTORS, models.generalized("binomial")),
+        "linear": models.estimate_model(train, "default", LOAN_PREDICTORS, models.linear_regression()),
+        "tree": models.estimate_model(
+            train, "default_flag", LOAN_PREDICTORS, DecisionTreeClassifier(seed=1), response_levels=FLAG_LEVELS, one_hot=False
+        ),
+    }
+    rows = [(name, fit.model.__class__.__name__, len(fit.names)) for name, fit in fits.items()]
+    return spark.createDataFrame(rows, "name string, model string, terms bigint")
+
+
+# --- trees ---------------------------------------------------------------------------------
+
+
+def _tree(train):
+    return models.estimate_model(
+        train, "default_flag", LOAN_PREDICTORS, DecisionTreeClassifier(minInstancesPerNode=10, seed=1),
+        response_levels=FLAG_LEVELS, one_hot=False,
+    )
+
+
+@query("tree_classify")
+def tree_classify(spark, sf):
+    return models.tree_rules(_tree(loan_parts(spark, sf)["train"]), spark)
+
+
+@query("tree_regress")
+def tree_regress(spark, sf):
+    parts = loan_parts(spark, sf)
+    names = formula.predictors(parts["train"].columns, "ccDebt", ["default_flag", "trainvalidate", "o_orderkey"])
+    fit = models.estimate_model(parts["train"], "ccDebt", names, DecisionTreeRegressor(seed=1), one_hot=False)
+    scored = fit.transform(parts["validate"])
+    return tidy(scored.select("o_orderkey", "ccDebt", "prediction"))
+
+
+@query("tree_multiclass")
+def tree_multiclass(spark, sf):
+    df = loans(spark, sf).withColumn("year", F.col("year").cast("string"))
+    years = levels_of(df, "year")
+    fit = models.estimate_model(
+        df, "year", ["creditScore", "houseAge", "yearsEmploy", "ccDebt"], DecisionTreeClassifier(minInstancesPerNode=10, seed=1),
+        response_levels=years, one_hot=False,
+    )
+    return tidy(fit.transform(df).select("o_orderkey", *models.class_probabilities(years)))
+
+
+@query("forest")
+def forest(spark, sf):
+    parts = loan_parts(spark, sf)
+    fit = models.estimate_model(
+        parts["train"], "default_flag", LOAN_PREDICTORS, RandomForestClassifier(numTrees=100, seed=1),
+        response_levels=FLAG_LEVELS, one_hot=False,
+    )
+    return tidy(models.importance(fit, spark))
+
+
+@query("boosted_trees")
+def boosted_trees(spark, sf):
+    """Probability after all 100 rounds and after the first 10.
+
+    Boosting adds rounds one after the other, so a fit of 10 rounds with the
+    same seed is the first tenth of the longer one.
+    """
+    parts = loan_parts(spark, sf)
+    boost = lambda n: models.estimate_model(
+        parts["train"], "default_flag", LOAN_PREDICTORS, GBTClassifier(maxIter=n, maxDepth=1, stepSize=0.1, seed=1),
+        response_levels=FLAG_LEVELS, one_hot=False,
+    )
+    df = parts["validate"].select("o_orderkey", *LOAN_PREDICTORS)
+    for name, fit in {"pred_gbm_default": boost(100), "pred_gbm_first10": boost(10)}.items():
+        df = fit.transform(df).select(*df.columns, vector_to_array("probability")[1].alias(name))
+    return tidy(df.select("o_orderkey", "pred_gbm_default", "pred_gbm_first10"))
+
+
+# --- clusters ------------------------------------------------------------------------------
+
+
+@query(
+    "kmeans_step",
+    """
+WITH p AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+c AS (SELECT label AS cluster, i, avg(x) AS c FROM p GROUP BY 1, 2),
+d AS (SELECT vec_id, cluster, sum((x - c) * (x - c)) AS d FROM p JOIN c ON p.i = c.i GROUP BY 1, 2),
+a AS (SELECT vec_id, arg_min(cluster, d) AS cluster, min(d) AS d FROM d GROUP BY 1),
+s AS (SELECT cluster, count(*) AS size, sum(d) AS within_ss FROM a GROUP BY 1)
+SELECT CAST(s.cluster AS BIGINT) AS cluster, any_value(size) AS size, round(any_value(within_ss), 6) AS within_ss,
+       CAST(p.i AS BIGINT) AS dim, round(avg(x), 7) AS centre
+FROM a JOIN p ON a.vec_id = p.vec_id JOIN s ON a.cluster = s.cluster GROUP BY s.cluster, p.i
+""",
+)
+def kmeans_step(spark, sf):
+    """One round from the ten label means."""
+    points = read_table(spark, sf, "embeddings")
+    centres = models.mean_vectors(points, "embedding", "label").select(F.col("label").alias("cluster"), "centre")
+    step = models.kmeans_step(points, "embedding", centres)
+    long = step.select("cluster", "size", "within_ss", F.posexplode("centre").alias("dim", "centre"))
+    return tidy(long.withColumn("dim", F.col("dim") + 1), 6, centre=7)
+
+
+@query("kmeans")
+def kmeans(spark, sf):
+    points = read_table(spark, sf, "embeddings")
+    model = models.kmeans_fit(points, "embedding", 10)
+    return tidy(models.cluster_table(model, points, "embedding").select("cluster", "size", "within_ss"))
+
+
+@query("kmeans_multistart")
+def kmeans_multistart(spark, sf):
+    points = read_table(spark, sf, "embeddings")
+    _, costs = models.kmeans_multistart(points, "embedding", 10, starts=8)
+    return tidy(costs)
+
+
+# --- cross-validation ----------------------------------------------------------------------
+
+FOLD = f"chr(CAST(65 + ({key_hash_sql('l_orderkey')}) * 10 // {RANGE} AS INTEGER))"
+
+
+@query(
+    "cross_validate",
+    f"""
+WITH f AS (SELECT *, {FOLD} AS fold FROM air), t AS (SELECT DayOfWeek, fold, sum(ArrDelay) AS s, count(*) AS n FROM f GROUP BY 1, 2)
+SELECT {', '.join(TRIP_KEY)}, f.fold, ArrDelay, round((SELECT sum(s) / sum(n) FROM t
+  WHERE t.DayOfWeek = f.DayOfWeek AND t.fold <> f.fold), 6) AS ArrDelay_kFold_Pred FROM f
+""",
+    "air",
+)
+def cross_validate(spark, sf):
+    """Ten folds of a regression on the weekday; every row is predicted by the fit on the other folds."""
+    df = air(spark, sf, *TRIP_KEY, "DayOfWeek", "ArrDelay").withColumn("fold", splits.fold_label("l_orderkey"))
+    means = linear.out_of_fold_means(df, "ArrDelay", "DayOfWeek", "fold")
+    # Levels × folds rows: the optimizer sees their size and broadcasts them.
+    predicted = df.join(means.select("DayOfWeek", "fold", "prediction"), ["DayOfWeek", "fold"], "left")
+    return tidy(predicted.withColumnRenamed("prediction", "ArrDelay_kFold_Pred").drop("DayOfWeek"))
+
+
+@query("cross_validate_general")
+def cross_validate_general(spark, sf):
+    """The same loop for any estimator: fit on nine folds, score the tenth."""
+    df = air(spark, sf, "l_orderkey", "ArrDelay", "CRSDepTime", "DayOfWeek").withColumn("fold", splits.fold_label("l_orderkey"))
+    df = materialize(df, "folds")
+    errors = []
+    for fold in "ABCDEFGHIJ":
+        fit = models.estimate_model(
+            df.filter(F.col("fold") != fold), "ArrDelay", ["CRSDepTime", "DayOfWeek"], models.linear_regression(),
+            levels={"DayOfWeek": LONG_DAYS},
+        )
+        held_out = fit.transform(df.filter(F.col("fold") == fold))
+        errors.append(
+            held_out.groupBy("fold").agg(
+                F.count("*").alias("n"), F.sqrt(F.avg(F.pow(F.col("ArrDelay") - F.col("prediction"), 2))).alias("rmse")
+            )
+        )
+    return tidy(reduce(lambda a, b: a.unionByName(b), errors), 4)
+
+
+# --- scoring -------------------------------------------------------------------------------
+
+
+@query("score_keep_vars")
+def score_keep_vars(spark, sf):
+    """Probability and link scale under chosen names, beside the model's inputs and the key."""
+    parts = loan_parts(spark, sf)
+    fit = models.estimate_model(parts["train"], "default", LOAN_PREDICTORS, models.generalized("binomial"))
+    p = F.col("prediction")
+    return tidy(
+        scoring.score_keep(
+            fit, parts["validate"], ["o_orderkey", *LOAN_PREDICTORS],
+            [p.alias("pred_logit_default"), F.log(p / (1 - p)).alias("link_logit_default")],
+        )
+    )
+
+
+@query("attach_scores")
+def attach_scores(spark, sf):
+    parts = loan_parts(spark, sf)
+    scored = _tree(parts["train"]).transform(parts["validate"])
+    return tidy(scored.select("o_orderkey", "default_flag", *models.class_probabilities(FLAG_LEVELS, "pred_tree_")))
+
+
+@query(
+    "score_coef_table",
+    f"""
+WITH c AS (SELECT regr_slope(tip_amount, trip_distance) AS b, regr_intercept(tip_amount, trip_distance) AS a FROM trips)
+SELECT {', '.join(TRIP_KEY)}, round(a + b * trip_distance, 6) AS score FROM trips, c
+""",
+    "trips",
+)
+def score_coef_table(spark, sf):
+    df = trips_with_share(spark, sf, *TRIP_KEY, "trip_distance")
+    fit = linear.lm_simple(df, "tip_amount", "trip_distance")
+    pairs = F.array(
+        F.struct(F.lit("(Intercept)").alias("term"), F.col("intercept").alias("estimate")),
+        F.struct(F.lit("trip_distance").alias("term"), F.col("slope").alias("estimate")),
+    )
+    coefficients = fit.select(F.inline(pairs))
+    return tidy(scoring.score_with_coefficients(df, coefficients, ["trip_distance"]).select(*TRIP_KEY, "score"))
+
+
+@query("score_chain")
+def score_chain(spark, sf):
+    past = materialize(history(spark, sf, STATION_USERS), "history")
+    fits = aq.fit_pollutants(past)
+    chained = scoring.score_chain(
+        aq.as_levels(past), {m.replace("MEAN", "PRED"): f for m, f in fits.items()}, ["DIM_ADDRESS_KEY", "DIM_DATE_KEY"]
+    )
+    return tidy(chained)
+
+
+@query("score_csv")
+def score_csv(spark, sf):
+    """A tree fitted on the stored table scores rows read from a CSV file."""
+    parts = loan_parts(spark, sf)
+    fit = models.estimate_model(parts["train"], "ccDebt", ["creditScore", "houseAge", "yearsEmploy", "year"], DecisionTreeRegressor(seed=1), one_hot=False)
+    path = scratch_path(spark, "loans-csv")
+    columns = ["o_orderkey", "creditScore", "houseAge", "yearsEmploy", "ccDebt", "year"]
+    sinks.write_csv(parts["validate"].select(*columns), path)
+    schema = "o_orderkey bigint, creditScore double, houseAge bigint, yearsEmploy bigint, ccDebt double, year bigint"
+    return tidy(fit.transform(files.read_csv(spark, path, schema)).select("o_orderkey", "ccDebt", "prediction"))
+
+
+# --- model storage -------------------------------------------------------------------------
+
+
+def _stored(spark, sf):
+    past = materialize(history(spark, sf, STATION_USERS), "history")
+    folder = scratch_path(spark, "models")
+    fit = aq.fit_pollutants(past, ["CO_MEAN"])["CO_MEAN"]
+    listing = models.model_store(fit, f"{folder}/saved", "CO_MODEL", f"{folder}/registry", spark)
+    return past, folder, listing
+
+
+@query("model_store")
+def model_store(spark, sf):
+    _, _, listing = _stored(spark, sf)
+    return listing.select("Model_Name", F.length("design").cast("bigint").alias("design_length"))
+
+
+@query("model_load_score")
+def model_load_score(spark, sf):
+    past, folder, _ = _stored(spark, sf)
+    fit = models.model_load(f"{folder}/registry", "CO_MODEL", spark)
+    scored = fit.transform(aq.as_levels(aq.project(past)))
+    out = scored.select(
+        F.col("DIM_ADDRESS_KEY").cast("bigint"), F.col("DIM_DATE_KEY").cast("bigint"), F.bround("prediction", 3).alias("CO_MEAN")
+    )
+    return sinks.recreate_table(tidy(out), "Predictions_US_Pollution_CO", f"{folder}/predictions")
