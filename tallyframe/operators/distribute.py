@@ -38,15 +38,17 @@ def as_number(df: DataFrame, col: str) -> Column:
     raise TypeError(f"cannot cut {col} of type {kind.simpleString()} into ranges")
 
 
-def range_splits(df: DataFrame, col: str, parts: int | None = None) -> list[float]:
-    """At most ``parts - 1`` limits that cut ``col`` into ranges of similar row counts."""
+def range_splits(df: DataFrame, col: str, parts: int | None = None, with_count: bool = False):
+    """At most ``parts - 1`` limits that cut ``col`` into ranges of similar row counts.
+
+    With ``with_count`` also the number of rows, from the same pass.
+    """
     parts = parts or shuffle_partitions(df.sparkSession)
-    if parts < 2:
-        return []
-    fractions = [i / parts for i in range(1, parts)]
+    fractions = [i / parts for i in range(1, parts)] or [0.5]
     sketch = F.percentile_approx(as_number(df, col), fractions, 4 * parts)
-    limits = df.agg(sketch.alias("limits")).first()["limits"]
-    return sorted(set(limits or []))
+    found = df.agg(F.count(F.lit(1)).alias("n"), sketch.alias("limits")).first()
+    limits = sorted(set(found["limits"] or [])) if parts > 1 else []
+    return (found["n"], limits) if with_count else limits
 
 
 def bucketize(df: DataFrame, col: str, splits: Sequence[float], out: str) -> DataFrame:
@@ -118,13 +120,18 @@ def running_totals(
     return out.filter(~F.col("_seed")).drop("_seed")
 
 
-def row_positions(df: DataFrame, order: Sequence[Column], out: str = "ROW_NUMBER") -> DataFrame:
+def row_positions(
+    df: DataFrame, order: Sequence[Column], out: str = "ROW_NUMBER", one_task_rows: int = HOT_GROUP_ROWS
+) -> DataFrame:
     """Number all rows 1..n in a total order.
 
-    The sort is a range partitioning, so rows spread over all tasks; positions
-    inside each sorted part are pinned by a written table, and the part sizes
-    (one row per task) give each part its starting number.
+    Up to ``one_task_rows`` rows are numbered by one task. Beyond that, the sort
+    is a range partitioning, so rows spread over all tasks; positions inside
+    each sorted part are pinned by a written table, and the part sizes (one row
+    per task) give each part its starting number.
     """
+    if df.count() <= one_task_rows:
+        return df.withColumn(out, F.row_number().over(W.orderBy(*order)).cast("bigint"))
     sorted_rows = materialize(
         df.orderBy(*order).withColumn("_position", F.monotonically_increasing_id()), "row-positions"
     )
@@ -144,7 +151,7 @@ def row_positions(df: DataFrame, order: Sequence[Column], out: str = "ROW_NUMBER
     )
 
 
-def dense_key(df: DataFrame, col: str, out: str) -> DataFrame:
+def dense_key(df: DataFrame, col: str, out: str, one_task_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Dense rank of ``col`` in ascending order; a missing value gets a missing rank.
 
     Only the distinct values are ranked; the join back is left to the optimizer,
@@ -152,7 +159,7 @@ def dense_key(df: DataFrame, col: str, out: str) -> DataFrame:
     when they are not.
     """
     distinct = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    ranks = row_positions(distinct, [F.col(col).asc()], out)
+    ranks = row_positions(distinct, [F.col(col).asc()], out, one_task_rows)
     return df.join(ranks, col, "left")
 
 

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 TERM_SCHEMA = "term string, estimate double, std_error double, statistic double, p_value double"
 GLANCE_SCHEMA = (
@@ -57,18 +58,16 @@ def lm_factor(df: DataFrame, y: str, level: str, base: str) -> DataFrame:
         .groupBy(level)
         .agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean"), F.var_pop(y).alias("var"))
     )
-    fit = groups.agg(
-        F.max(F.when(F.col(level) == base, F.col("mean"))).alias("base_mean"),
-        F.max(F.when(F.col(level) == base, F.col("n"))).alias("base_n"),
-        (F.sum(F.col("n") * F.col("var")) / (F.sum("n") - F.count(F.lit(1)))).alias("sigma2"),
-    )
-    at = lambda c: fit.select(c).scalar()
+    # One row per level reaches this window.
+    whole = W.partitionBy()
     is_base = F.col(level) == base
-    error = F.when(is_base, 1 / F.col("n")).otherwise(1 / F.col("n") + 1 / at("base_n"))
+    of_base = lambda c: F.max(F.when(is_base, F.col(c))).over(whole)
+    sigma2 = F.sum(F.col("n") * F.col("var")).over(whole) / (F.sum("n").over(whole) - F.count(F.lit(1)).over(whole))
+    error = F.when(is_base, 1 / F.col("n")).otherwise(1 / F.col("n") + 1 / of_base("n"))
     return groups.select(
         F.when(is_base, "(Intercept)").otherwise(F.concat(F.lit(level), F.col(level))).alias("term"),
-        F.when(is_base, F.col("mean")).otherwise(F.col("mean") - at("base_mean")).alias("estimate"),
-        F.sqrt(at("sigma2") * error).alias("std_error"),
+        F.when(is_base, F.col("mean")).otherwise(F.col("mean") - of_base("mean")).alias("estimate"),
+        F.sqrt(sigma2 * error).alias("std_error"),
     )
 
 

@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.operators.distribute import running_totals
+from tallyframe.operators.distribute import range_splits, running_totals
+
+# Up to this many values, a group's buffer of distinct values fits any executor.
+BUFFERED_VALUES = 2_000_000
 
 
 def long_form(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -26,13 +29,15 @@ def quantiles(
     probs: Sequence[float],
     keys: Sequence[str] = (),
     approx: bool = False,
+    buffered: int = BUFFERED_VALUES,
 ) -> DataFrame:
     """Linear-interpolation quantiles of each column, missing values left out.
 
     One row per group and variable: ``n`` (values present) and ``q0``, ``q1``, …
     in the order of ``probs``. The built-in exact percentile keeps a group's
-    distinct values in one task's memory; here values are counted, ranked by
-    :func:`running_totals`, and the order statistics picked by a plain minimum.
+    distinct values in one task's memory, so it serves up to ``buffered`` values
+    in all. Beyond that, values are counted, ranked by :func:`running_totals`,
+    and the order statistics picked by a plain minimum: equally exact.
     """
     values = long_form(df, cols, keys).filter(F.col("value").isNotNull())
     by = [*keys, "variable"]
@@ -40,7 +45,12 @@ def quantiles(
         q = F.percentile_approx("value", list(probs), 10_000)
         out = values.groupBy(*by).agg(F.count("value").alias("n"), q.alias("_q"))
         return out.select(*by, "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
-    ranked = running_totals(values, "value", {"n": F.lit(1)}, by)
+    total, splits = range_splits(values, "value", with_count=True)
+    if total <= buffered:
+        q = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs]))
+        out = values.groupBy(*by).agg(F.count("value").alias("n"), q.alias("_q"))
+        return out.select(*by, "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
+    ranked = running_totals(values, "value", {"n": F.lit(1)}, by, splits=splits)
     aggs, picks = [], []
     for i, p in enumerate(probs):
         at = F.lit(float(p)) * (F.col("n_all") - 1)

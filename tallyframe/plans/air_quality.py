@@ -25,7 +25,7 @@ from tallyframe.operators.rows import stack, tail_window
 from tallyframe.operators.scoring import score_chain
 from tallyframe.operators.windows import fill_from
 from tallyframe.plans.bases import MEANS, POLLUTANTS
-from tallyframe.session import materialize
+from tallyframe.session import materialize, shuffle_partitions
 
 STATION = ["ADDRESS", "STATE", "CITY", "COUNTY"]
 MEDIANS = {f"{p}_MEAN": f"{p}_MEDIAN" for p in POLLUTANTS}
@@ -88,7 +88,10 @@ def project(history: DataFrame, days: int = 365, floor: str | None = None, lags_
     last_day, last_key = ends.select("DATE").scalar(), ends.select("DIM_DATE_KEY").scalar()
     tail = tail_window(history, "DATE", 7)
 
-    stations = history.select("DIM_ADDRESS_KEY").distinct()
+    # Each station grows to `days` rows below; without a stated number of partitions they would be
+    # merged by the size they have now.
+    parts = shuffle_partitions(history.sparkSession)
+    stations = history.select("DIM_ADDRESS_KEY").distinct().repartition(parts, "DIM_ADDRESS_KEY")
     grid = (
         joins.day_grid(stations, last_day, days)
         .withColumn("DIM_DATE_KEY", last_key + F.datediff("DATE", last_day))

@@ -8,10 +8,28 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.sources.files import read_table
+from tallyframe.sources import files
+
+# Schemas of the given tables.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
 
 DAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 LONG_DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
@@ -23,6 +41,15 @@ CALENDAR = ("2020-01-01", "2026-12-31")
 HOME_REGION = "ASIA"
 
 
+def read_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return files.read_table(spark, sf, name, TABLES[name])
+
+
+def weekday_name(d: Column, names: list[str]) -> Column:
+    """The name of a date's weekday, looked up by number: far cheaper per row than formatting the date."""
+    return F.element_at(F.array(*[F.lit(n) for n in names]), F.weekday(d) + 1)
+
+
 def nations_of(spark: SparkSession, sf: str, region: str = HOME_REGION) -> DataFrame:
     """Neighbourhood list: names of one region's nations."""
     read = partial(read_table, spark, sf)
@@ -30,34 +57,46 @@ def nations_of(spark: SparkSession, sf: str, region: str = HOME_REGION) -> DataF
     return read("nation").join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("nhood"))
 
 
-def trips(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
-    """Taxi-like trips, one per order line."""
+def trips(
+    spark: SparkSession, sf: str, *cols: str, pickup_in: DataFrame | None = None, dropoff_in: DataFrame | None = None
+) -> DataFrame:
+    """Taxi-like trips, one per order line.
+
+    ``pickup_in`` and ``dropoff_in`` (one column of names) keep trips between
+    those neighbourhoods only. They thin out suppliers and customers first, and
+    through them order lines and orders, before the two large tables meet.
+    """
     read = partial(read_table, spark, sf)
-    line = read("lineitem")
-    plain = {
+
+    def homes(table: str, key: str, nation: str, name: str, only: DataFrame | None) -> DataFrame:
+        names = read("nation").select(F.col("n_nationkey").alias(nation), F.col("n_name").alias(name))
+        if only is not None:
+            names = names.join(only.toDF(name), name, "left_semi")
+        return read(table).select(key, nation).join(names, nation)
+
+    df = read("lineitem")
+    if "pickup_nhood" in cols or pickup_in is not None:
+        supplier = homes("supplier", "s_suppkey", "s_nationkey", "p_name", pickup_in)
+        df = df.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    from_customer = "dropoff_nhood" in cols or dropoff_in is not None
+    if "pickup_dow" in cols or from_customer:
+        orders = read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        if from_customer:
+            customer = homes("customer", "c_custkey", "c_nationkey", "d_name", dropoff_in)
+            orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    computed = {
         "fare_amount": F.col("l_extendedprice"),
         "tip_amount": F.col("l_extendedprice") * F.col("l_discount"),
         "trip_distance": F.col("l_quantity"),
         "passenger_count": F.col("l_linenumber"),
         "pickup_hour": F.col("l_partkey") % 24,
-        "dropoff_dow": F.date_format(F.col("l_shipdate").cast("date"), "E"),
-        "pickup_dow": F.date_format(F.col("o_orderdate").cast("date"), "E"),
+        "dropoff_dow": weekday_name(F.col("l_shipdate").cast("date"), DAYS),
+        "pickup_dow": weekday_name(F.col("o_orderdate").cast("date"), DAYS),
         "dropoff_nhood": F.col("d_name"),
         "pickup_nhood": F.col("p_name"),
     }
-    df = line
-    if {"pickup_dow", "dropoff_nhood"} & set(cols):
-        orders = read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    if "dropoff_nhood" in cols:
-        home = read("nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("d_name"))
-        customer = read("customer").select("c_custkey", "c_nationkey").join(home, "c_nationkey")
-        df = df.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    if "pickup_nhood" in cols:
-        home = read("nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("p_name"))
-        supplier = read("supplier").select("s_suppkey", "s_nationkey").join(home, "s_nationkey")
-        df = df.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-    return df.select(*[plain[c].alias(c) if c in plain else F.col(c) for c in cols])
+    return df.select(*[computed[c].alias(c) if c in computed else F.col(c) for c in cols])
 
 
 def air(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
@@ -71,7 +110,7 @@ def air(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
         )
     df = df.withColumns(
         {
-            "DayOfWeek": F.date_format(F.col("l_shipdate").cast("date"), "EEEE"),
+            "DayOfWeek": weekday_name(F.col("l_shipdate").cast("date"), LONG_DAYS),
             "CRSDepTime": F.col("l_quantity"),
         }
     )

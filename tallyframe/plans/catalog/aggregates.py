@@ -10,16 +10,14 @@ from tallyframe.functions.nulls import ratio, strict_mean
 from tallyframe.operators import quantiles as quant
 from tallyframe.operators import select as sel
 from tallyframe.operators import summaries, tables
-from tallyframe.operators.joins import semi_on
-from tallyframe.plans.bases import MEANS, air, loans, nations_of, subs, trips
+from tallyframe.plans.bases import MEANS, air, loans, nations_of, read_table, subs, trips
 from tallyframe.plans.catalog.selection import raw_pollution
 from tallyframe.plans.catalog.shape import tidy
 from tallyframe.plans.registry import query
-from tallyframe.sources.files import read_table
 
 
-def trips_with_share(spark, sf, *cols):
-    df = trips(spark, sf, *dict.fromkeys([*cols, "tip_amount", "fare_amount"]))
+def trips_with_share(spark, sf, *cols, **only):
+    df = trips(spark, sf, *dict.fromkeys([*cols, "tip_amount", "fare_amount"]), **only)
     return df.withColumn("tip_pct", ratio("tip_amount", "fare_amount"))
 
 
@@ -332,7 +330,7 @@ FROM nation LEFT JOIN t ON n_name = pickup_nhood
     "trips nhoods",
 )
 def cube_means(spark, sf):
-    df = semi_on(trips_with_share(spark, sf, "pickup_nhood"), nations_of(spark, sf), "nhood", "pickup_nhood")
+    df = trips_with_share(spark, sf, "pickup_nhood", pickup_in=nations_of(spark, sf))
     return tidy(tables.cube_means(df, "tip_pct", "pickup_nhood", read_table(spark, sf, "nation").select("n_name")), 10)
 
 

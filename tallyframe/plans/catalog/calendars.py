@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe.functions import calendar as cal
+from tallyframe.plans.bases import read_table
 from tallyframe.plans.catalog.selection import raw_pollution
 from tallyframe.plans.catalog.shape import tidy
 from tallyframe.plans.registry import query
-from tallyframe.sources.files import read_table
 
 
 def days_of_orders(spark, sf):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import calendar as cal
 from tallyframe.functions.nulls import if_else
-from tallyframe.operators import evaluation, joins, models, scoring, splits
+from tallyframe.operators import evaluation, models, scoring, splits
 from tallyframe.operators.rows import stack
 from tallyframe.plans import air_quality as aq
 from tallyframe.plans import bases
@@ -34,8 +34,10 @@ GROUP BY 1, 2 HAVING avg(trip_distance) > 3 AND avg(tip_pct) > 0.05
 )
 def hood_summary(spark, sf):
     """Mean tip share and distance between the neighbourhoods of one region."""
-    df = trips_with_share(spark, sf, "pickup_nhood", "dropoff_nhood", "trip_distance")
-    inside = joins.semi_on(df, nations_of(spark, sf), "nhood", "pickup_nhood", "dropoff_nhood")
+    home = nations_of(spark, sf)
+    inside = trips_with_share(
+        spark, sf, "pickup_nhood", "dropoff_nhood", "trip_distance", pickup_in=home, dropoff_in=home
+    )
     out = inside.groupBy("dropoff_nhood", "pickup_nhood").agg(
         F.avg("tip_pct").alias("ave_tip"), F.avg("trip_distance").alias("ave_dist")
     )

@@ -13,7 +13,7 @@ from tallyframe.functions.keys import RANGE, key_hash_sql
 from tallyframe.operators import formula, linear, models, scoring, splits
 from tallyframe.operators.tables import levels_of
 from tallyframe.plans import air_quality as aq
-from tallyframe.plans.bases import LONG_DAYS, MEANS, TRIP_KEY, air, loans, subs
+from tallyframe.plans.bases import LONG_DAYS, MEANS, TRIP_KEY, air, loans, read_table, subs
 from tallyframe.plans.catalog.aggregates import trips_with_share
 from tallyframe.plans.catalog.composites import (
     FLAG_LEVELS,
@@ -27,7 +27,6 @@ from tallyframe.plans.catalog.shape import tidy
 from tallyframe.plans.registry import query
 from tallyframe.session import materialize, scratch_path
 from tallyframe.sources import files, sinks
-from tallyframe.sources.files import read_table
 
 # --- least squares from sums ---------------------------------------------------------------
 

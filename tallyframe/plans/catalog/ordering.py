@@ -8,12 +8,11 @@ from tallyframe.functions.keys import RANGE, key_hash_sql
 from tallyframe.operators import distribute, evaluation, rows, scoring, splits, windows
 from tallyframe.operators import select as sel
 from tallyframe.operators.linear import lm_simple
-from tallyframe.plans.bases import MEANS, TRIP_KEY, air, loans, subs, trips
+from tallyframe.plans.bases import MEANS, TRIP_KEY, air, loans, read_table, subs, trips
 from tallyframe.plans.catalog.aggregates import trips_with_share
 from tallyframe.plans.catalog.selection import raw_pollution
 from tallyframe.plans.catalog.shape import tidy
 from tallyframe.plans.registry import query
-from tallyframe.sources.files import read_table
 
 KEY = ", ".join(TRIP_KEY)
 H = key_hash_sql("o_orderkey")

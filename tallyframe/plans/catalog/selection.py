@@ -11,10 +11,9 @@ from tallyframe.operators import select as sel
 from tallyframe.operators.scoring import level_index
 from tallyframe.operators.tables import levels_of
 from tallyframe.plans import bases
-from tallyframe.plans.bases import TRIP_KEY, nations_of, subs, trips
+from tallyframe.plans.bases import TRIP_KEY, nations_of, read_table, subs, trips
 from tallyframe.plans.catalog.shape import big, r, tidy
 from tallyframe.plans.registry import query
-from tallyframe.sources.files import read_table
 
 KEY = ", ".join(TRIP_KEY)
 

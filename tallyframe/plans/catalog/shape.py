@@ -8,8 +8,13 @@ from pyspark.sql import types as T
 
 
 def r(c: Column | str, digits: int = 6) -> Column:
-    """Rounded, because engines add doubles in different orders."""
-    return F.round(F.col(c) if isinstance(c, str) else c, digits)
+    """Rounded half away from zero, because engines add doubles in different orders.
+
+    Plain arithmetic: the built-in ``round`` goes through a decimal per value.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    scale = F.lit(float(10**digits))
+    return F.signum(c) * F.floor(F.abs(c) * scale + 0.5) / scale
 
 
 def big(c: Column | str) -> Column:
@@ -22,13 +27,8 @@ def tidy(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), special.get(f.name, digits))
+            c = r(c.cast("double"), special.get(f.name, digits))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         out.append(c.alias(f.name))
     return df.select(*out)
-
-
-def rounded_sql(columns: str, digits: int = 6) -> str:
-    """``round(x, digits) AS x`` for each of the listed columns."""
-    return ", ".join(f"round({c}, {digits}) AS {c}" for c in columns.split())

@@ -6,13 +6,12 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tallyframe.operators import apply, summaries
-from tallyframe.plans.bases import LONG_DAYS, TRIP_KEY, air
+from tallyframe.plans.bases import LONG_DAYS, TRIP_KEY, air, read_table
 from tallyframe.plans.catalog.aggregates import trips_with_share
 from tallyframe.plans.catalog.shape import tidy
 from tallyframe.plans.registry import query
 from tallyframe.session import scratch_path
 from tallyframe.sources import files, sinks
-from tallyframe.sources.files import read_table
 
 ORDERS_SQL = "SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders"
 ORDERS_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate date, o_orderpriority string"

@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     # Split skewed join partitions even when the next aggregate must shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods beyond 8000 bytes; wide projections (28 lags, 47 columns)
+    # run faster split into several methods than fused into one such method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_folder: str | None = None

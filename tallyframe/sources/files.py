@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyframe.operators.scoring import align_levels
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A stored Parquet table."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """A stored Parquet table; a declared schema spares the job that reads it from the files."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def read_csv(

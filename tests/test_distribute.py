@@ -43,9 +43,10 @@ def test_running_totals_descending_without_keys(skewed):
     assert all(r.n_all == total for r in rows)
 
 
-def test_quantiles_match_numpy(skewed):
+@pytest.mark.parametrize("buffered", [0, 10_000])
+def test_quantiles_match_numpy(skewed, buffered):
     probs = [0.0, 0.05, 0.25, 0.5, 0.9, 1.0]
-    got = {r.k: r for r in quantiles.quantiles(skewed, ["v"], probs, ["k"]).collect()}
+    got = {r.k: r for r in quantiles.quantiles(skewed, ["v"], probs, ["k"], buffered=buffered).collect()}
     pdf = skewed.toPandas()
     for key in ("hot", "a", "b", None):
         x = pdf[pdf.k.isna() if key is None else pdf.k == key].v.dropna()
@@ -79,12 +80,13 @@ def test_lags_of_hot_groups(spark, skewed, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_row_positions_and_dense_key(skewed):
-    numbered = distribute.row_positions(skewed, [F.col("v").asc_nulls_last(), F.col("id")], "n")
+@pytest.mark.parametrize("one_task_rows", [0, 10_000])
+def test_row_positions_and_dense_key(skewed, one_task_rows):
+    numbered = distribute.row_positions(skewed, [F.col("v").asc_nulls_last(), F.col("id")], "n", one_task_rows)
     want = skewed.withColumn("n", F.row_number().over(W.orderBy(F.col("v").asc_nulls_last(), "id")).cast("bigint"))
     got = numbered.select(*want.columns)
     assert got.exceptAll(want).isEmpty() and got.count() == 3000
-    keys = dict(distribute.dense_key(skewed, "k", "r").select("k", "r").distinct().collect())
+    keys = dict(distribute.dense_key(skewed, "k", "r", one_task_rows).select("k", "r").distinct().collect())
     assert keys == {"a": 1, "b": 2, "hot": 3, None: None}
 
 
