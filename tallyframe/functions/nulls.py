@@ -48,7 +48,7 @@ def order_by(*cols: str) -> list[Column]:
 def ratio(num: Column | str, den: Column | str) -> Column:
     """Division where a zero denominator gives a missing value.
 
-    R would give Inf or NaN here; a missing value keeps later aggregates usable.
+    Infinities and NaN would spoil later aggregates.
     """
     return F.try_divide(_col(num).cast("double"), _col(den).cast("double"))
 

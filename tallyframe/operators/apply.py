@@ -72,11 +72,12 @@ def param_grid_apply(
 ) -> DataFrame:
     """Call a vectorized function over a table of parameters, spread over tasks.
 
-    Values shared by all calls travel with the function.
+    Values shared by all calls travel with the function. ``tasks`` spreads a
+    small grid of costly calls; a large one is spread by its own partitions.
     """
 
     def run(batches):
         for batch in batches:
             yield f(batch)
 
-    return grid.repartition(tasks or shuffle_partitions(grid.sparkSession)).mapInPandas(run, schema)
+    return (grid.repartition(tasks) if tasks else grid).mapInPandas(run, schema)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from tallyframe.operators.quantiles import long_form, quantiles
 
@@ -16,8 +18,7 @@ BIN_LABELS = ["Low", "Low-Med", "Med-Hi", "Hi"]
 WHISKER = 1.5
 
 
-def _stats(value: str) -> dict[str, Column]:
-    c = F.col(value)
+def _stats(c: Column) -> dict[str, Column]:
     return {
         "Mean": F.avg(c),
         "StdDev": F.stddev_samp(c),
@@ -29,57 +30,62 @@ def _stats(value: str) -> dict[str, Column]:
 
 
 def summary_numeric(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Mean, StdDev, Min, Max, ValidObs, MissingObs per column (and group), one pass."""
-    stats = _stats("value")
-    return long_form(df, cols, keys).groupBy(*keys, "variable").agg(*[c.alias(n) for n, c in stats.items()])
+    """Mean, StdDev, Min, Max, ValidObs, MissingObs per column (and group).
+
+    One pass computes every column's statistics side by side; only the few
+    result rows are then laid out long.
+    """
+    rows = []
+    for c in cols:
+        value = F.col(c).cast("double")
+        stats = [s.alias(n) for n, s in _stats(value).items()]
+        rows.append(F.struct(F.lit(c).alias("variable"), *stats))
+    return df.groupBy(*keys).agg(F.array(*rows).alias("_all")).select(*keys, F.inline("_all"))
 
 
 def summary_by_group(
     df: DataFrame, col: str, keys: Sequence[str], which: Sequence[str] | None = None
 ) -> DataFrame:
     """Chosen statistics of one column per group."""
-    stats = _stats(col)
+    stats = _stats(F.col(col))
     return df.groupBy(*keys).agg(*[stats[n].alias(n) for n in which or stats])
 
 
 def table_info(df: DataFrame) -> DataFrame:
-    """One row per column: type, lowest and highest value (as text), rows, missing, distinct levels.
+    """One row per column: type, lowest and highest value (as text), rows, missing, levels of text columns.
 
-    Levels are exact; they come from counting distinct (column, value) pairs,
-    which shuffles each distinct value once.
+    Levels are exact; they come from counting distinct (column, value) pairs of
+    the text columns, combined map-side before the shuffle.
     """
     fields = [f for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    kinds = {f.name: f.dataType.simpleString() for f in fields}
     ends = []
     for f in fields:
         c = F.col(f"`{f.name}`")
-        ends += [
+        ends.append(
             F.struct(
                 F.lit(f.name).alias("column"),
-                F.lit(kinds[f.name]).alias("type"),
+                F.lit(f.dataType.simpleString()).alias("type"),
                 F.min(c).cast("string").alias("low"),
                 F.max(c).cast("string").alias("high"),
                 F.count(F.lit(1)).alias("n"),
                 (F.count(F.lit(1)) - F.count(c)).alias("missing"),
             )
-        ]
-    info = df.agg(F.array(*ends).alias("_all")).select(F.inline("_all"))
-    pairs = F.inline(
-        F.array(
-            *[
-                F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").cast("string").alias("v"))
-                for f in fields
-            ]
         )
-    )
+    info = df.agg(F.array(*ends).alias("_all")).select(F.inline("_all"))
+    text = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
+    if not text:
+        return info.withColumn("levels", F.lit(None).cast("bigint"))
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("v")) for c in text]
     levels = (
-        df.select(pairs)
+        df.select(F.inline(F.array(*pairs)))
         .filter(F.col("v").isNotNull())
         .distinct()
         .groupBy("column")
         .agg(F.count(F.lit(1)).alias("levels"))
     )
-    return info.join(levels, "column", "left").withColumn("levels", F.coalesce("levels", F.lit(0)))
+    # A text column without values has no level.
+    none = F.when(F.col("column").isin(text), F.lit(0).cast("bigint"))
+    return info.join(levels, "column", "left").withColumn("levels", F.coalesce("levels", none))
 
 
 def summary_frame(df: DataFrame, numeric: Sequence[str], levels: Sequence[str]) -> DataFrame:
@@ -198,8 +204,6 @@ def histogram(df: DataFrame, col: str, bins: int = 20, keys: Sequence[str] = ())
     low = 0.0 if low is None else low
     number = F.least(F.floor((x - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("bigint")
     counts = df.filter(x.isNotNull()).groupBy(*keys, number.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    from pyspark.sql.window import Window as W
-
     # At most `bins` rows per group reach this window.
     share = F.col("count") * 100.0 / F.sum("count").over(W.partitionBy(*keys))
     return counts.select(
@@ -243,8 +247,6 @@ def box_stats(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
 
 def qq_points(df: DataFrame, col: str, points: int = 99) -> DataFrame:
     """Sample percentiles against the standard normal ones."""
-    from statistics import NormalDist
-
     probs = [(i + 1) / (points + 1) for i in range(points)]
     normal = NormalDist()
     rows = F.array(

@@ -72,8 +72,7 @@ def clean_history(raw: DataFrame, calendar: DataFrame, hot_rows: int = HOT_GROUP
     lagged = lag_columns(keyed, ["ADDRESS"], order, MEANS, LAG_DAYS, hot_rows=hot_rows)
     with_medians = lagged.join(group_medians(days, ["ADDRESS"], MEDIANS, strict=True), "ADDRESS", "left")
     filled = fill_from(with_medians, LAGS)
-    # The calendar's length is checked when it is made.
-    return joins.left_dim(filled, F.broadcast(calendar), "DATE", "DIM_DATE_KEY").select(*HISTORY_COLUMNS)
+    return joins.left_dim(filled, calendar, "DATE", "DIM_DATE_KEY").select(*HISTORY_COLUMNS)
 
 
 def project(history: DataFrame, days: int = 365, floor: str | None = None, lags_from_history: bool = False) -> DataFrame:

@@ -230,7 +230,57 @@ def glm_poisson(spark, sf):
     return tidy(models.model_summary(fit, spark), 6)
 
 
-@query("model_summary")
+@query(
+    "logit_factor",
+    """
+WITH g AS (SELECT DayOfWeek AS l, count(*) FILTER (ArrDelay > 10) AS a, count(*) FILTER (ArrDelay <= 10) AS b FROM air GROUP BY 1),
+m AS (SELECT ln(a / b) AS base, 1 / a + 1 / b AS v FROM g WHERE l = 'Monday')
+SELECT CASE WHEN l = 'Monday' THEN '(Intercept)' ELSE 'DayOfWeek' || l END AS term,
+       round(CASE WHEN l = 'Monday' THEN base ELSE ln(a / b) - base END, 5) AS estimate,
+       round(sqrt(CASE WHEN l = 'Monday' THEN v ELSE 1 / a + 1 / b + v END), 5) AS std_error FROM g, m
+""",
+    "air",
+)
+def logit_factor(spark, sf):
+    """Chance of a delay beyond 10 by weekday; one level column makes the estimates differences of log odds."""
+    df = air(spark, sf, "ArrDelay", "DayOfWeek").select((F.col("ArrDelay") > 10).cast("double").alias("late"), "DayOfWeek")
+    fit = models.estimate_model(df, "late", ["DayOfWeek"], models.generalized("binomial"), levels={"DayOfWeek": LONG_DAYS})
+    return tidy(models.model_summary(fit, spark).select("term", "estimate", "std_error"), 5)
+
+
+@query(
+    "glm_poisson_factor",
+    """
+WITH g AS (SELECT FavCategory AS l, sum(UniqueProducts) AS s, count(*) AS n FROM subs GROUP BY 1),
+m AS (SELECT ln(s / n) AS base, 1 / s AS v, l AS l0 FROM g WHERE l = (SELECT min(l) FROM g))
+SELECT CASE WHEN l = l0 THEN '(Intercept)' ELSE 'FavCategory' || l END AS term,
+       round(CASE WHEN l = l0 THEN base ELSE ln(s / n) - base END, 5) AS estimate,
+       round(sqrt(CASE WHEN l = l0 THEN v ELSE 1 / s + v END), 5) AS std_error FROM g, m
+""",
+    "subs",
+)
+def glm_poisson_factor(spark, sf):
+    """Counts by level: the estimates are differences of log means."""
+    fit = models.estimate_model(
+        subs(spark, sf, "UniqueProducts", "FavCategory"), "UniqueProducts", ["FavCategory"], models.generalized("poisson")
+    )
+    return tidy(models.model_summary(fit, spark).select("term", "estimate", "std_error"), 5)
+
+
+@query(
+    "model_summary",
+    """
+WITH v AS (SELECT DayOfWeek AS l, avg(ArrDelay) AS y, avg(CRSDepTime) AS x FROM air GROUP BY 1),
+s AS (SELECT sum((CRSDepTime - x) * (CRSDepTime - x)) AS xx, sum((CRSDepTime - x) * (ArrDelay - y)) AS xy,
+      sum((ArrDelay - y) * (ArrDelay - y)) AS yy, var_pop(ArrDelay) * count(*) AS tss, count(*) AS n
+      FROM air JOIN v ON DayOfWeek = l),
+f AS (SELECT yy - xy * xy / xx AS rss, tss, n, n - 8 AS dof FROM s)
+SELECT unnest(['r2', 'r2adj', 'rootMeanSquaredError', 'degreesOfFreedom', 'numInstances']) AS measure,
+       round(unnest([1 - rss / tss, 1 - rss / tss * (n - 1) / dof, sqrt(rss / n), CAST(dof AS DOUBLE), CAST(n AS DOUBLE)]), 6) AS value
+FROM f
+""",
+    "air",
+)
 def model_summary(spark, sf):
     """Fit measures of a linear fit."""
     df = air(spark, sf, "ArrDelay", "CRSDepTime", "DayOfWeek")
@@ -380,7 +430,19 @@ def cross_validate(spark, sf):
     return tidy(predicted.withColumnRenamed("prediction", "ArrDelay_kFold_Pred").drop("DayOfWeek"))
 
 
-@query("cross_validate_general")
+@query(
+    "cross_validate_general",
+    f"""
+WITH f AS (SELECT ArrDelay AS y, CRSDepTime AS x, DayOfWeek AS l, {FOLD} AS fold FROM air),
+k AS (SELECT DISTINCT fold AS held FROM f),
+v AS (SELECT held, l, avg(y) AS my, avg(x) AS mx FROM f, k WHERE fold <> held GROUP BY 1, 2),
+b AS (SELECT f2.held, sum((x - mx) * (y - my)) / sum((x - mx) * (x - mx)) AS b
+      FROM (SELECT * FROM f, k WHERE fold <> held) f2 JOIN v ON f2.held = v.held AND f2.l = v.l GROUP BY f2.held)
+SELECT fold, count(*) AS n, round(sqrt(avg(pow(y - (my + b * (x - mx)), 2))), 4) AS rmse
+FROM f JOIN v ON f.fold = v.held AND f.l = v.l JOIN b ON f.fold = b.held GROUP BY fold
+""",
+    "air",
+)
 def cross_validate_general(spark, sf):
     """The same loop for any estimator: fit on nine folds, score the tenth."""
     df = air(spark, sf, "l_orderkey", "ArrDelay", "CRSDepTime", "DayOfWeek").withColumn("fold", splits.fold_label("l_orderkey"))

@@ -125,7 +125,7 @@ def sink_append(spark, sf):
 @query("sink_recreate", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey")
 def sink_recreate(spark, sf):
     counts = read_table(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
-    sinks.recreate_table(counts.limit(1), "order_counts", scratch_path(spark, "recreate"))
+    sinks.recreate_table(counts.filter("n = 1"), "order_counts", scratch_path(spark, "recreate"))
     return sinks.recreate_table(counts, "order_counts", scratch_path(spark, "recreate"))
 
 
@@ -169,7 +169,9 @@ INFO_COLUMNS = {
     "table_info",
     " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", '{t}' AS type, CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high, "
-        f"count(*) AS n, count(*) - count({c}) AS missing, count(DISTINCT {c}) AS levels FROM orders"
+        f"count(*) AS n, count(*) - count({c}) AS missing, "
+        + (f"count(DISTINCT {c})" if t == "string" else "CAST(NULL AS BIGINT)")
+        + " AS levels FROM orders"
         for c, t in INFO_COLUMNS.items()
     ),
 )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -43,11 +44,9 @@ def write_split(df: DataFrame, level: str, path: str) -> None:
     df.hint("rebalance", level).write.mode("overwrite").partitionBy(level).parquet(path)
 
 
-def read_split(df_spark, path: str, level: str, value: str) -> DataFrame:
+def read_split(spark: SparkSession, path: str, level: str, value: str) -> DataFrame:
     """One level's rows; only its folder is read."""
-    from pyspark.sql import functions as F
-
-    return df_spark.read.parquet(path).filter(F.col(level) == value)
+    return spark.read.parquet(path).filter(F.col(level) == value)
 
 
 def define_view(df: DataFrame, name: str) -> DataFrame:
