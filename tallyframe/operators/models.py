@@ -22,7 +22,9 @@ from pyspark.sql import types as T
 
 from tallyframe.functions.nulls import is_in
 from tallyframe.operators.formula import with_products
+from tallyframe.operators.linear import student_t_two_sided
 from tallyframe.operators.tables import levels_of
+from tallyframe.session import materialize
 
 
 @dataclass
@@ -82,6 +84,9 @@ class Fit:
 
     pipeline: PipelineModel
     design: Design
+    # For an absorbed level column: its name, and a table of its levels' effects.
+    absorb: str | None = None
+    effects: DataFrame | None = None
 
     @property
     def model(self) -> Model:
@@ -93,7 +98,14 @@ class Fit:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """The rows with the model's output columns; no row is dropped."""
-        scored = self.pipeline.transform(self.design.prepare(df))
+        prepared = self.design.prepare(df)
+        if self.absorb:
+            effect = self.effects.select(F.col("level").alias("_level"), "effect")
+            prepared = prepared.join(effect, F.col(self.absorb).cast("string") == F.col("_level"), "left")
+        scored = self.pipeline.transform(prepared)
+        if self.absorb:
+            # A level without an effect was not seen: its prediction stays missing.
+            scored = scored.withColumn("prediction", F.col("prediction") + F.col("effect"))
         outputs = [c for c in ("prediction", "probability", "rawPrediction") if c in scored.columns]
         return scored.select(
             *df.columns, *[F.when(F.col("_scorable"), F.col(c)).alias(c) for c in outputs]
@@ -147,6 +159,7 @@ def estimate_model(
     one_hot: bool = True,
     response_levels: Sequence[str] | None = None,
     drop_singular: bool = False,
+    absorb: str | None = None,
 ) -> Fit:
     """Fit any Spark ML estimator of ``response`` on ``predictors`` and product terms.
 
@@ -155,6 +168,12 @@ def estimate_model(
     into a class index. Rows with a missing value in any used column are left
     out. ``drop_singular`` first removes constant and collinear predictors,
     without which normal equations give no standard errors.
+
+    ``absorb`` names a level column with more levels than dummies could hold
+    (linear fits only). Least squares with one dummy per level equals least
+    squares on the deviations from each level's means, so the levels are
+    averaged, the deviations fitted without an intercept, and the levels'
+    effects kept as a table that never leaves the executors.
     """
     declared = dict(levels or {})
     is_text = lambda c: c in declared or isinstance(df.schema[c].dataType, T.StringType)
@@ -165,7 +184,8 @@ def estimate_model(
     if response_levels is not None:
         place = F.array_position(F.array(*[F.lit(v) for v in response_levels]), F.col(response).cast("string"))
         label = F.when(place > 0, place - 1).cast("double")
-    data = with_products(df, products).select(label.alias("label"), *numeric, *crossed, *text).dropna()
+    extra = [F.col(absorb).cast("string").alias("_level")] if absorb else []
+    data = with_products(df, products).select(label.alias("label"), *numeric, *crossed, *text, *extra).dropna()
     # The fit reads these rows many times; executors keep or spill their share.
     data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -179,11 +199,40 @@ def estimate_model(
         # Products are columns of `data` already; only the inputs are prepared here.
         ready = replace(design, products=[]).prepare(data)
         encode = Pipeline(stages=design.stages()).fit(ready)
-        points = encode.transform(ready.filter("_scorable")).select("label", "features")
-        fitted = estimator.copy({estimator.labelCol: "label", estimator.featuresCol: "features"}).fit(points)
+        points = encode.transform(ready.filter("_scorable")).select("label", "features", *(["_level"] if absorb else []))
+        columns = {estimator.labelCol: "label", estimator.featuresCol: "features"}
+        effects = None
+        if absorb:
+            means = materialize(level_means(points), "level-means")
+            fitted = estimator.copy(columns | {estimator.fitIntercept: False}).fit(deviations(points, means))
+            effects = materialize(level_effects(means, fitted.coefficients.toArray().tolist()), "level-effects")
+        else:
+            fitted = estimator.copy(columns).fit(points)
     finally:
         data.unpersist()
-    return Fit(PipelineModel([*encode.stages, fitted]), design)
+    return Fit(PipelineModel([*encode.stages, fitted]), design, absorb, effects)
+
+
+def level_means(points: DataFrame) -> DataFrame:
+    """Mean label and mean features per level, combined map-side."""
+    return points.groupBy("_level").agg(
+        F.avg("label").alias("_label"), vector_to_array(Summarizer.mean(F.col("features"))).alias("_features")
+    )
+
+
+def deviations(points: DataFrame, means: DataFrame) -> DataFrame:
+    """Label and features minus their level's means."""
+    apart = F.zip_with(vector_to_array("features"), "_features", lambda x, m: x - m)
+    return points.join(means, "_level").select(
+        (F.col("label") - F.col("_label")).alias("label"), array_to_vector(apart).alias("features")
+    )
+
+
+def level_effects(means: DataFrame, coefficients: Sequence[float]) -> DataFrame:
+    """What the coefficients leave of each level's mean label."""
+    betas = F.array(*[F.lit(float(b)) for b in coefficients])
+    explained = F.aggregate(F.zip_with("_features", betas, lambda x, b: x * b), F.lit(0.0), lambda s, x: s + x)
+    return means.select(F.col("_level").alias("level"), (F.col("_label") - explained).alias("effect"))
 
 
 def linear_regression() -> LinearRegression:
@@ -201,8 +250,17 @@ def model_summary(fit: Fit, spark: SparkSession) -> DataFrame:
     m, s = fit.model, fit.model.summary
     estimates = [*m.coefficients.toArray().tolist(), m.intercept]
     names = [*fit.names, "(Intercept)"]
+    if fit.absorb:
+        estimates, names = estimates[:-1], names[:-1]
     try:
         errors, t, p = s.coefficientStandardErrors, s.tValues, s.pValues
+        if fit.absorb:
+            # The absorbed levels use up degrees of freedom the fit does not know of.
+            left = s.degreesOfFreedom - fit.effects.count()
+            grow = (s.degreesOfFreedom / left) ** 0.5 if left > 0 else float("nan")
+            errors = [e * grow for e in errors]
+            t = [v / grow for v in t]
+            p = [student_t_two_sided(v, left) for v in t]
     except Exception:  # no standard errors were computed for this solver
         errors = t = p = [None] * len(names)
     rows = [(n, float(b), *[None if v is None else float(v) for v in r]) for n, b, *r in zip(names, estimates, errors, t, p)]
@@ -324,9 +382,11 @@ def model_store(fit: Fit, folder: str, name: str, registry: str, spark: SparkSes
     """
     path = f"{folder}/{name}"
     fit.pipeline.write().overwrite().save(path)
+    if fit.absorb:
+        fit.effects.write.mode("overwrite").parquet(f"{path}-effects")
     entry = spark.createDataFrame(
-        [(name, dt.date.today(), path, json.dumps(asdict(fit.design)))],
-        "Model_Name string, created date, path string, design string",
+        [(name, dt.date.today(), path, json.dumps(asdict(fit.design)), fit.absorb)],
+        "Model_Name string, created date, path string, design string, absorb string",
     )
     entry.coalesce(1).write.mode("overwrite").parquet(f"{registry}/name={name}")
     return spark.read.parquet(registry).drop("name")
@@ -339,4 +399,5 @@ def model_load(registry: str, name: str, spark: SparkSession) -> Fit:
         raise KeyError(name)
     d = json.loads(row["design"])
     design = Design(d["numeric"], d["levels"], [tuple(t) for t in d["products"]], d["one_hot"])
-    return Fit(PipelineModel.load(row["path"]), design)
+    effects = spark.read.parquet(f"{row['path']}-effects") if row["absorb"] else None
+    return Fit(PipelineModel.load(row["path"]), design, row["absorb"], effects)

@@ -19,6 +19,7 @@ from tallyframe.plans.catalog.composites import (
     FLAG_LEVELS,
     LOAN_PREDICTORS,
     STATION_USERS,
+    default_probability,
     history,
     loan_parts,
 )
@@ -290,9 +291,20 @@ def model_summary(spark, sf):
     return tidy(models.fit_measures(fit, spark))
 
 
-@query("estimate_model")
+@query(
+    "estimate_model",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS n, round(avg(\"default\"), 6) AS mean_prediction FROM loans "
+        f"WHERE {key_hash_sql('o_orderkey')} < {int(0.75 * RANGE)}"
+        for name in ("logit", "linear", "tree")
+    ),
+    "loans",
+)
 def estimate_model(spark, sf):
-    """One call with data, terms and estimator, for three estimators."""
+    """One call with data, terms and estimator, for three estimators.
+
+    Each of them predicts the share of defaults right on average over the rows it was fitted on.
+    """
     train = loan_parts(spark, sf)["train"]
     fits = {
         "logit": models.estimate_model(train, "default", LOAN_PREDICTORS, models.generalized("binomial")),
@@ -301,8 +313,13 @@ def estimate_model(spark, sf):
             train, "default_flag", LOAN_PREDICTORS, DecisionTreeClassifier(seed=1), response_levels=FLAG_LEVELS, one_hot=False
         ),
     }
-    rows = [(name, fit.model.__class__.__name__, len(fit.names)) for name, fit in fits.items()]
-    return spark.createDataFrame(rows, "name string, model string, terms bigint")
+    scored = [
+        fit.transform(train).agg(
+            F.lit(name).alias("name"), F.count("*").alias("n"), F.avg(default_probability(fit)).alias("mean_prediction")
+        )
+        for name, fit in fits.items()
+    ]
+    return tidy(reduce(lambda a, b: a.unionByName(b), scored))
 
 
 # --- trees ---------------------------------------------------------------------------------
@@ -340,6 +357,29 @@ def tree_multiclass(spark, sf):
     return tidy(fit.transform(df).select("o_orderkey", *models.class_probabilities(years)))
 
 
+@query(
+    "tree_multiclass_totals",
+    "SELECT CAST(year AS VARCHAR) AS year, round(CAST(count(*) AS DOUBLE), 6) AS expected_rows FROM loans GROUP BY 1",
+    "loans",
+)
+def tree_multiclass_totals(spark, sf):
+    """Over the rows of the fit, each level's probabilities add up to its number of rows."""
+    df = loans(spark, sf).withColumn("year", F.col("year").cast("string"))
+    years = levels_of(df, "year")
+    fit = models.estimate_model(
+        df, "year", ["creditScore", "houseAge", "yearsEmploy", "ccDebt"], DecisionTreeClassifier(minInstancesPerNode=10, seed=1),
+        response_levels=years, one_hot=False,
+    )
+    sums = fit.transform(df).agg(*[F.sum(c).alias(y) for y, c in zip(years, _probabilities(years))])
+    cells = [F.struct(F.lit(y).alias("year"), F.col(f"`{y}`").alias("expected_rows")) for y in years]
+    return tidy(sums.select(F.inline(F.array(*cells))))
+
+
+def _probabilities(levels):
+    p = vector_to_array("probability")
+    return [p[i] for i in range(len(levels))]
+
+
 @query("forest")
 def forest(spark, sf):
     parts = loan_parts(spark, sf)
@@ -446,7 +486,10 @@ FROM f JOIN v ON f.fold = v.held AND f.l = v.l JOIN b ON f.fold = b.held GROUP B
 def cross_validate_general(spark, sf):
     """The same loop for any estimator: fit on nine folds, score the tenth."""
     df = air(spark, sf, "l_orderkey", "ArrDelay", "CRSDepTime", "DayOfWeek").withColumn("fold", splits.fold_label("l_orderkey"))
-    df = materialize(df, "folds")
+    # One folder per fold: fitting and scoring read only the folders they need.
+    path = scratch_path(spark, "folds")
+    sinks.write_split(df, "fold", path)
+    df = spark.read.schema(df.schema).parquet(path)
     errors = []
     for fold in "ABCDEFGHIJ":
         fit = models.estimate_model(

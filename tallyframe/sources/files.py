@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tallyframe.operators.scoring import align_levels
 
@@ -48,7 +49,8 @@ def csv_to_columnar(
     """Convert several CSV files to Parquet folders with declared types and levels; returns their paths."""
     paths = {}
     for name, path in files.items():
-        declared = {c: v for c, v in (levels or {}).items() if f"{c} " in schemas[name]}
+        names = T.StructType.fromDDL(schemas[name]).names
+        declared = {c: v for c, v in (levels or {}).items() if c in names}
         read_csv(spark, path, schemas[name], levels=declared).write.mode("overwrite").parquet(f"{out}/{name}")
         paths[name] = f"{out}/{name}"
     return paths

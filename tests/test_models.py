@@ -36,6 +36,22 @@ def test_exact_linear_fit_and_unknown_levels(spark, toy):
     assert [tuple(r) for r in models.unknown_levels(fit, new).collect()] == [("l", "q", 1)]
 
 
+def test_absorbed_levels_predict_like_dummies(spark, toy, tmp_path):
+    noisy = toy.withColumn("y", F.col("y") + F.sin(F.col("x") * 3 + F.col("z")))
+    dummies = models.estimate_model(noisy, "y", ["x", "z", "l"], models.linear_regression())
+    absorbed = models.estimate_model(noisy, "y", ["x", "z"], models.linear_regression(), absorb="l")
+    a = {(r.x, r.z, r.l): r.prediction for r in dummies.transform(noisy).collect()}
+    for r in absorbed.transform(noisy).collect():
+        assert math.isclose(a[r.x, r.z, r.l], r.prediction, abs_tol=1e-8)
+    se = lambda f: {r.term: r.std_error for r in models.model_summary(f, spark).collect()}
+    full, part = se(dummies), se(absorbed)
+    assert set(part) == {"x", "z"} and all(math.isclose(part[t], full[t], rel_tol=1e-8) for t in part)
+    models.model_store(absorbed, f"{tmp_path}/m", "absorbed", f"{tmp_path}/registry", spark)
+    again = models.model_load(f"{tmp_path}/registry", "absorbed", spark)
+    new = noisy.limit(1).withColumn("l", F.lit("unseen")).unionByName(noisy.filter("l = 'a'").limit(1))
+    assert sorted(r.prediction is None for r in again.transform(new).collect()) == [False, True]
+
+
 def test_predictions_equal_the_coefficient_table(spark, sf):
     parts = loan_parts(spark, sf)
     fit = models.estimate_model(parts["train"], "ccDebt", ["creditScore", "houseAge"], models.linear_regression())
