@@ -24,7 +24,7 @@ from tallyframe.functions.nulls import is_in
 from tallyframe.operators.formula import with_products
 from tallyframe.operators.linear import student_t_two_sided
 from tallyframe.operators.tables import levels_of
-from tallyframe.session import materialize
+from tallyframe.session import ensure_checkpoints, materialize
 
 
 @dataclass
@@ -201,6 +201,11 @@ def estimate_model(
         encode = Pipeline(stages=design.stages()).fit(ready)
         points = encode.transform(ready.filter("_scorable")).select("label", "features", *(["_level"] if absorb else []))
         columns = {estimator.labelCol: "label", estimator.featuresCol: "features"}
+        if estimator.hasParam("maxBins") and not one_hot:
+            # A tree needs a bin for every level it may split on.
+            most = max((len(v) for v in found.values()), default=0)
+            columns[estimator.maxBins] = max(most, estimator.getOrDefault("maxBins"))
+        ensure_checkpoints(df.sparkSession)
         effects = None
         if absorb:
             means = materialize(level_means(points), "level-means")

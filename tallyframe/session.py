@@ -63,6 +63,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tallyframe/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Give iterative fits (boosting) a checkpoint folder, unless the cluster has set one."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/tallyframe/checkpoints")
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -81,6 +81,12 @@ def test_class_probabilities_sum_to_one(spark, toy):
     assert "y" in " ".join(r.rule for r in models.tree_rules(fit, spark).collect())
 
 
+def test_tree_with_many_levels(spark):
+    df = spark.range(400).select((F.col("id") % 2).cast("double").alias("y"), (F.col("id") % 50).cast("string").alias("l"))
+    fit = models.estimate_model(df, "y", ["l"], DecisionTreeClassifier(seed=1), one_hot=False)
+    assert fit.transform(df).filter("prediction <> y").isEmpty()
+
+
 def test_stored_model_scores_alike(spark, toy, tmp_path):
     fit = models.estimate_model(toy, "y", ["x", "l"], models.linear_regression(), products=[("x", "z")])
     listing = models.model_store(fit, f"{tmp_path}/m", "toy", f"{tmp_path}/registry", spark)
