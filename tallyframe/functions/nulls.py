@@ -51,7 +51,3 @@ def ratio(num: Column | str, den: Column | str) -> Column:
     Infinities and NaN would spoil later aggregates.
     """
     return F.try_divide(_col(num).cast("double"), _col(den).cast("double"))
-
-
-def fill(c: Column | str, default: Column | str) -> Column:
-    return F.coalesce(_col(c), _col(default))
