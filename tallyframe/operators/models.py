@@ -212,7 +212,15 @@ def estimate_model(
             fitted = estimator.copy(columns | {estimator.fitIntercept: False}).fit(deviations(points, means))
             effects = materialize(level_effects(means, fitted.coefficients.toArray().tolist()), "level-effects")
         else:
-            fitted = estimator.copy(columns).fit(points)
+            # Other estimators keep their own form of the points between iterations; this one does not.
+            rereads = isinstance(estimator, GeneralizedLinearRegression)
+            if rereads:
+                points.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                fitted = estimator.copy(columns).fit(points)
+            finally:
+                if rereads:
+                    points.unpersist()
     finally:
         data.unpersist()
     return Fit(PipelineModel([*encode.stages, fitted]), design, absorb, effects)
