@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import mixing, sharding
+from tallyframe.llm import mixing, nearest, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_rendezvous_sharding": sharding.op3_rendezvous_sharding,
     "op4_mixing": mixing.op4_mixing,
+    "op8_block_nearest": nearest.op8_block_nearest,
 }
 
 SQL: dict[str, str] = {
