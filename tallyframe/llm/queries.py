@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import langid, mixing, nearest, packing, sharding, toxicity
+from tallyframe.llm import langid, mixing, nearest, packing, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
     "op2_language_mixture": langid.op2_language_mixture,
     "op3_rendezvous_sharding": sharding.op3_rendezvous_sharding,
     "op4_mixing": mixing.op4_mixing,
+    "op7_simhash": simhash.op7_simhash,
     "op8_block_nearest": nearest.op8_block_nearest,
     "op10_toxicity": toxicity.op10_toxicity,
 }
