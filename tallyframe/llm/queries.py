@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import langid, mixing, nearest, packing, sharding, simhash, toxicity
+from tallyframe.llm import chosenpath, langid, mixing, nearest, packing, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": mixing.op4_mixing,
     "op7_simhash": simhash.op7_simhash,
     "op8_block_nearest": nearest.op8_block_nearest,
+    "op9_chosen_path_join": chosenpath.op9_chosen_path_join,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
