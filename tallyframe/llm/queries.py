@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import chosenpath, langid, mixing, nearest, packing, sharding, simhash, toxicity
+from tallyframe.llm import chosenpath, langid, mixing, nearest, packing, revisits, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
     "op2_language_mixture": langid.op2_language_mixture,
     "op3_rendezvous_sharding": sharding.op3_rendezvous_sharding,
     "op4_mixing": mixing.op4_mixing,
+    "op5_warc_revisits": revisits.op5_warc_revisits,
     "op7_simhash": simhash.op7_simhash,
     "op8_block_nearest": nearest.op8_block_nearest,
     "op9_chosen_path_join": chosenpath.op9_chosen_path_join,
@@ -21,4 +22,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op4_mixing": mixing.OP4_SQL,
+    "op5_warc_revisits": revisits.OP5_SQL,
 }
