@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import chosenpath, langid, mixing, nearest, packing, revisits, sharding, simhash, toxicity
+from tallyframe.llm import chosenpath, langid, mixing, nearest, packing, revisits, sharding, simhash, tokencounts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.op1_packing,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_rendezvous_sharding": sharding.op3_rendezvous_sharding,
     "op4_mixing": mixing.op4_mixing,
     "op5_warc_revisits": revisits.op5_warc_revisits,
+    "op6_token_rollup": tokencounts.op6_token_rollup,
     "op7_simhash": simhash.op7_simhash,
     "op8_block_nearest": nearest.op8_block_nearest,
     "op9_chosen_path_join": chosenpath.op9_chosen_path_join,
