@@ -37,17 +37,22 @@ CAPACITY = 4096
 END_TOKEN = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose tokens a worker remembers.
-KNOWN_WORDS = 700_000
+KNOWN_WORDS = 800_000
 #: Documents tokenized together.
-BATCH = 256
+BATCH = 512
 #: Bounds of the search, independent of the data: fillings tried per opened sequence, and opened
 #: sequences over all branches. The best-fit solution is whole before the search begins.
 FILLINGS = 64
 STEPS = 2_000
 
-# One run of letters followed by one run of marks: the tokenizer cuts between them.
+# Runs of letters that lower-casing and composing leave as they are; the tokenizer cuts between
+# such a run and one of the marks listed, and never inside either.
+LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
 LETTERS_THEN_MARKS = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
-BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
+# Python takes these for white space and the tokenizer does not.
+SEPARATORS = re.compile("[\x1c-\x1f]")
+BLANKS = re.compile("[ \t\n\r]+")
+JOINED_WORDS = 2000
 
 
 # --- tokens -----------------------------------------------------------------------------------------
@@ -62,22 +67,50 @@ class WordTokens(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        plain = [w for w in words if LETTERS.fullmatch(w)]
+        other = [w for w in words if not LETTERS.fullmatch(w)]
+        found = {w: ids_of(e) for w, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False), strict=True)}
+        for at in range(0, len(plain), JOINED_WORDS):
+            part = plain[at : at + JOINED_WORDS]
+            together = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, word = np.array(together.ids, "<u4"), np.array(together.word_ids)
+            ends = np.append(np.flatnonzero(np.diff(word)) + 1, len(ids)) * 4
+            whole, start = ids.tobytes(), 0
+            for w, end in zip(part, ends.tolist(), strict=True):
+                found[w] = whole[start:end]
+                start = end
+        return found
 
     def documents(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts; words met for the first time are tokenized together."""
-        split = [(t if BEYOND_LATIN.search(t) else t.lower()).split() for t in texts]
-        fresh = {w for words in split for w in words if w not in self}
+        """Ids of whole texts; words not met before are tokenized together."""
+        split = [words_of(t) for t in texts]
+        local = dict.fromkeys(set().union(*split))
+        local = dict(zip(local, map(self.get, local), strict=True))
+        fresh = [w for w, ids in local.items() if ids is None]
         cut = {w: m.groups() for w in fresh if (m := LETTERS_THEN_MARKS.fullmatch(w))}
-        parts = list({p for w in fresh for p in cut.get(w, (w,)) if p not in self})
-        new = dict(zip(parts, self._encode(parts), strict=True))
+        parts = dict.fromkeys(p for w in fresh for p in cut.get(w, (w,)))
+        new = self._encode([p for p in parts if p not in self])
         for w, (letters, marks) in cut.items():
-            new[w] = (new[letters] if letters in new else self[letters]) + (new[marks] if marks in new else self[marks])
+            new[w] = (new.get(letters) or self[letters]) + (new.get(marks) or self[marks])
+        local.update(new)
         if len(self) + len(new) <= KNOWN_WORDS:
             self.update(new)
-            return [b"".join(map(self.__getitem__, words)) for words in split]
-        return [b"".join([self[w] if w in self else new[w] for w in words]) for words in split]
+        return [b"".join(map(local.__getitem__, words)) for words in split]
+
+
+def ids_of(encoding) -> bytes:
+    return np.array(encoding.ids, "<u4").tobytes()
+
+
+def words_of(text: str) -> list[str]:
+    """What white space separates; in lower case if that is sure to be what the tokenizer makes of it."""
+    try:
+        text.encode("latin-1")
+        text = text.lower()
+    except UnicodeEncodeError:
+        pass
+    return [w for w in BLANKS.split(text) if w] if SEPARATORS.search(text) else text.split()
 
 
 _known: dict[str, WordTokens] = {}
