@@ -214,17 +214,25 @@ def _split_large(threshold: float):
     return rows
 
 
-def deal_tiles(rows: DataFrame, group: str, key: str, tile: int) -> DataFrame:
-    """Cuts every group into pieces of about ``tile`` rows; pieces meet pairwise in tiles (i, j), i <= j, as sides 0 and 1."""
-    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).select(group, F.ceil(F.col("_n") / tile).cast("int").alias("_pieces"))
+def deal_tiles(rows: DataFrame, group: str, key: str, tile: int, sizes: DataFrame | None = None) -> DataFrame:
+    """Cuts every group into pieces of about ``tile`` rows; pieces meet pairwise in tiles (i, j), i <= j, as sides 0 and 1.
+
+    ``sizes`` (group, n) saves counting, and keeps only the groups it has.
+    """
+    if sizes is None:
+        sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.select(group, F.ceil(F.col("n") / tile).cast("int").alias("_pieces"))
     cut = rows.join(sizes, group).withColumn("_piece", F.pmod(F.xxhash64(key), F.col("_pieces")).cast("int"))
     meets = F.transform(
         F.sequence(F.lit(0), F.col("_pieces") - 1),
         lambda j: F.struct(F.least("_piece", j).alias("i"), F.greatest("_piece", j).alias("j"), (F.col("_piece") > j).cast("int").alias("side")),
     )
-    dealt = cut.withColumn("_tile", F.explode(meets)).select(*rows.columns, "_tile.i", "_tile.j", "_tile.side")
+    return cut.withColumn("_tile", F.explode(meets)).select(*rows.columns, "_tile.i", "_tile.j", "_tile.side")
+
+
+def by_tile(tiles: DataFrame, group: str) -> DataFrame:
     keys = [group, "i", "j"]
-    return dealt.repartition(shuffle_partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys, "side")
+    return tiles.repartition(shuffle_partitions(tiles.sparkSession), *keys).sortWithinPartitions(*keys, "side")
 
 
 def _compare_tiles(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -249,24 +257,25 @@ def candidate_links(records: DataFrame, threshold: float, depth: int) -> DataFra
         buckets = materialize(buckets.where("n > 1"), "buckets")
         # Small buckets with the same members are compared once.
         small = buckets.where(F.col("n") <= SMALL_BUCKET).groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
-        rows = members.join(small, "bucket").join(marks, "rid").select("bucket", "rid", "sketch")
+        rows = members.join(small, "bucket", "left_semi").join(marks, "rid").select("bucket", "rid", "sketch")
         dealt = rows.repartition(shuffle_partitions(records.sparkSession), "bucket").sortWithinPartitions("bucket", "rid")
         found = dealt.mapInPandas(_compare_small, "a long, b long")
         links = found if links is None else links.union(found)
-        large = buckets.where(F.col("n") > SMALL_BUCKET).select("bucket", *[f"pivot_{i}" for i in range(PIVOTS)])
+        large = buckets.where(F.col("n") > SMALL_BUCKET)
         if large.isEmpty():
             break
+        if level == depth:
+            # Paths of full length are not split further, and nothing is dropped: what they hold meets in tiles.
+            tiles = deal_tiles(members, "bucket", "rid", TILE_RECORDS, large.select("bucket", "n")).join(marks, "rid")
+            links = links.union(by_tile(tiles, "bucket").mapInPandas(_compare_tiles, "a long, b long"))
+            break
+        large = large.select("bucket", *[f"pivot_{i}" for i in range(PIVOTS)])
         for i in range(PIVOTS):
             large = large.join(marks.select(F.col("rid").alias(f"pivot_{i}"), F.col("sketch").alias(f"sketch_{i}")), f"pivot_{i}")
         rows = members.join(large, "bucket").join(marks, "rid")
         split = materialize(rows.mapInPandas(_split_large(threshold), "kind int, x long, y long"), "split")
         links = links.union(split.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")))
         members = split.where("kind = 1").select(F.col("x").alias("rid"), F.col("y").alias("bucket"))
-        if level == depth:
-            # Beyond the last level nothing is dropped: what is left in large buckets meets in tiles.
-            rest = members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bucket").join(marks, "rid")
-            tiles = deal_tiles(rest.select("bucket", "rid", "sketch"), "bucket", "rid", TILE_RECORDS)
-            links = links.union(tiles.mapInPandas(_compare_tiles, "a long, b long"))
     return links.distinct()
 
 
@@ -349,7 +358,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     wanted = texts.join(named.select(F.col("first_id").alias("doc_id"), "candidate", "rid", "copies", "digest").hint("shuffle_hash"), "doc_id")
     found = wanted.mapInPandas(_shingle_rows, "candidate long, rid long, copies long, shingles binary").dropDuplicates(["rid"])
     tiles = deal_tiles(materialize(found, "shingles"), "candidate", "rid", TILE_RECORDS)
-    exact = materialize(tiles.mapInPandas(_exact_tiles(threshold), "kind int, x long, y long"), "links")
+    exact = materialize(by_tile(tiles, "candidate").mapInPandas(_exact_tiles(threshold), "kind int, x long, y long"), "links")
 
     links = exact.where("kind = 0").groupBy(F.col("x").alias("rid")).agg(F.sum("y").alias("others"))
     roots = components(exact.where("kind = 1").select(F.col("x").alias("a"), F.col("y").alias("b")))
