@@ -44,7 +44,7 @@ MOST_RANGES = 50_000
 #: Rows of one table key that are compared in one piece.
 BUCKET_ROWS = 4096
 KNOWN_WORDS = 300_000
-TERMS_AT_ONCE = 1 << 15
+TERMS_AT_ONCE = 1 << 14
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -66,26 +66,32 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: str, known: WordHashes) -> np.ndarray:
-    """16 bytes."""
-    words = text.lower().split()
-    if not words:
+def word_hashes(words: list[str], known: WordHashes) -> np.ndarray:
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def mark_of(hashes: np.ndarray) -> np.ndarray:
+    """16 bytes, from the hashes of a text's words."""
+    if not len(hashes):
         return np.zeros(BITS // 8, np.uint8)
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     with np.errstate(over="ignore"):
-        terms = hashes if len(words) == 1 else hashes[:-1] * _M1 + mixed(hashes[1:])
+        terms = hashes if len(hashes) == 1 else hashes[:-1] * _M1 + mixed(hashes[1:])
         terms, times = np.unique(terms, return_counts=True)
-        # Whole weights: sums do not depend on their order.
-        weights = np.rint(64 * (1 + np.log(times)))
+        # Whole weights, in sums that float32 holds exactly: votes do not depend on their order.
+        weights = np.rint(64 * (1 + np.log(times))).astype(np.float32)
         votes = np.zeros(BITS)
         for at in range(0, len(terms), TERMS_AT_ONCE):
             part, weight = terms[at : at + TERMS_AT_ONCE], weights[at : at + TERMS_AT_ONCE]
             both = np.stack([mixed(part), mixed(part + _M1)], 1)
-            bits = np.unpackbits(both.view(np.uint8), axis=1).astype(np.float64)
-            votes += 2 * (weight @ bits) - weight.sum()
+            bits = np.unpackbits(both.view(np.uint8), axis=1).astype(np.float32)
+            votes += 2.0 * (weight @ bits) - float(weight.sum())
     return np.packbits(votes > 0)
 
 
+def fingerprint(text: str, known: WordHashes) -> np.ndarray:
+    return mark_of(word_hashes(text.lower().split(), known))
+
+
 def likeness(one: np.ndarray, other: np.ndarray) -> float:
     distance = int(np.unpackbits(one ^ other).sum())
     return float(max(0.0, np.cos(np.pi * distance / BITS)))
@@ -97,6 +103,21 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - third] + following[:third]
 
 
+def edited_hashes(text: str, own: np.ndarray, following: str, next_own: np.ndarray, known: WordHashes) -> np.ndarray:
+    """Word hashes of the edited text; only the words at its seam and its end have to be hashed."""
+    third = len(text) // 3
+    head, tail = text[: len(text) - third], following[:third]
+    before, after = head.split(), tail.split()
+    glued = bool(before and after) and not head[-1].isspace() and not tail[0].isspace()
+    seam = before[-1:]
+    if glued:
+        seam, after = [before[-1] + after[0]], after[1:]
+    middle = next_own[glued : glued + max(0, len(after) - 1)]
+    return np.concatenate([
+        own[: max(0, len(before) - 1)], word_hashes([w.lower() for w in seam], known), middle, word_hashes([w.lower() for w in after[-1:]], known),
+    ])
+
+
 def _fingerprint_rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come by range, in order; each range ends with the first row of the next one."""
     known, unzip = WordHashes(), zstandard.ZstdDecompressor()
@@ -107,18 +128,19 @@ def _fingerprint_rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]
             if held is None and helps:
                 continue  # a further row with the same key as the first of the next range
             text = unzip.decompress(body).decode("utf-8")
-            own = fingerprint(text, known)
+            own = word_hashes(text.lower().split(), known)
+            mark = mark_of(own)
             if held is not None:
                 if held[0] != place:
                     raise ValueError(f"range {held[0]} does not end with a following row")
-                _, before, earlier, mark = held
-                changed = edited(earlier, text)
-                changed_mark = fingerprint(changed, known)
+                _, before, earlier, earlier_own, earlier_mark = held
+                changed = hashlib.sha256(edited(earlier, text).encode("utf-8")).hexdigest()
+                changed_mark = mark_of(edited_hashes(earlier, earlier_own, text, own, known))
                 rows.append((
-                    before, len(earlier), hashlib.sha256(changed.encode("utf-8")).hexdigest(), mark.tobytes().hex(), changed_mark.tobytes().hex(),
-                    likeness(mark, changed_mark), likeness(mark, own),
+                    before, len(earlier), changed, earlier_mark.tobytes().hex(), changed_mark.tobytes().hex(),
+                    likeness(earlier_mark, changed_mark), likeness(earlier_mark, mark),
                 ))
-            held = None if helps else (place, None if pd.isna(key) else int(key), text, own)
+            held = None if helps else (place, None if pd.isna(key) else int(key), text, own, mark)
         yield pd.DataFrame(rows, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]).astype({"doc_id": "Int64"})
 
 

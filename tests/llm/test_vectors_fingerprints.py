@@ -79,6 +79,16 @@ def test_fingerprints(request, monkeypatch, name):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_edited_hashes_are_those_of_the_edited_text():
+    known = simhash.WordHashes()
+    texts = ["", "a", "a b", "ab cd ef gh", " lead and trail \n", "x" * 50, "Σίσυφος ΟΔΟΣ ΟΔΟΣ' B", "one\u2003two  three", "   ", "İx Yz ab"]
+    for text in texts:
+        for following in texts:
+            own, next_own = (simhash.word_hashes(t.lower().split(), known) for t in (text, following))
+            want = simhash.word_hashes([w.lower() for w in simhash.edited(text, following).split()], known)
+            assert np.array_equal(simhash.edited_hashes(text, own, following, next_own, known), want)
+
+
 def test_fingerprint_edges(spark, empty_docs):
     assert simhash.fingerprints(empty_docs).count() == 0
     one = simhash.fingerprints(spark.createDataFrame([(5, "abc def ghi")], "doc_id long, text string")).first()
