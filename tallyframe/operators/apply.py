@@ -11,27 +11,13 @@ from pyspark.sql import functions as F
 from tallyframe.session import shuffle_partitions
 
 
-def group_apply(
-    df: DataFrame,
-    keys: Sequence[str],
-    f: Callable[[pd.DataFrame], pd.DataFrame],
-    schema: str,
-    combine: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
-    max_rows: int = 1_000_000,
-) -> DataFrame:
-    """Any function of a pandas table, once per group.
+def group_apply(df: DataFrame, keys: Sequence[str], f: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Any function of a pandas table, once per whole group.
 
-    Each group becomes one pandas table in one task, so group sizes are checked
-    first. Where a group is too large for that, ``combine`` must say how the
-    results of parts of a group merge (see :func:`group_combine`); a function
-    that cannot be merged has to be written as aggregates or windows.
+    Each group becomes one pandas table in one task. For groups too large for that use
+    :func:`group_combine`, or write the function as aggregates or windows.
     """
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= max_rows:
-        return df.groupBy(*keys).applyInPandas(f, schema)
-    if combine is None:
-        raise ValueError(f"a group holds {largest} rows, more than {max_rows}, and no combine function is given")
-    return group_combine(df, keys, f, combine, schema)
+    return df.groupBy(*keys).applyInPandas(f, schema)
 
 
 def group_combine(

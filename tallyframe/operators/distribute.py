@@ -11,10 +11,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
@@ -22,9 +21,6 @@ from pyspark.sql.window import Window as W
 from tallyframe.functions.nulls import order_by
 from tallyframe.session import materialize, shuffle_partitions
 
-# Below this many rows a group is never worth splitting.
-HOT_GROUP_ROWS = 1_000_000
-
 
 def as_number(df: DataFrame, col: str) -> Column:
     """Order-preserving double for a numeric, date or timestamp column."""
@@ -38,21 +34,18 @@ def as_number(df: DataFrame, col: str) -> Column:
     raise TypeError(f"cannot cut {col} of type {kind.simpleString()} into ranges")
 
 
-def range_splits(df: DataFrame, col: str, parts: int | None = None, with_count: bool = False):
-    """At most ``parts - 1`` limits that cut ``col`` into ranges of similar row counts.
-
-    With ``with_count`` also the number of rows, from the same pass.
-    """
+def range_splits(df: DataFrame, col: str, parts: int | None = None) -> list[float]:
+    """At most ``parts - 1`` limits that cut ``col`` into ranges of similar row counts; NaN counts as missing."""
     parts = parts or shuffle_partitions(df.sparkSession)
-    fractions = [i / parts for i in range(1, parts)] or [0.5]
-    sketch = F.percentile_approx(as_number(df, col), fractions, 4 * parts)
-    found = df.agg(F.count(F.lit(1)).alias("n"), sketch.alias("limits")).first()
-    limits = sorted(set(found["limits"] or [])) if parts > 1 else []
-    return (found["n"], limits) if with_count else limits
+    if parts == 1:
+        return []
+    number = as_number(df, col)
+    sketch = F.percentile_approx(F.when(~F.isnan(number), number), [i / parts for i in range(1, parts)], 4 * parts)
+    return sorted(set(df.agg(sketch.alias("limits")).first()["limits"] or []))
 
 
 def bucketize(df: DataFrame, col: str, splits: Sequence[float], out: str) -> DataFrame:
-    """Range number of ``col``; missing values land in the last range."""
+    """Range number of ``col``; missing values and NaN land in the last range."""
     if not splits:
         return df.withColumn(out, F.lit(0))
     cut = Bucketizer(
@@ -120,38 +113,36 @@ def running_totals(
     return out.filter(~F.col("_seed")).drop("_seed")
 
 
-def row_positions(
-    df: DataFrame, order: Sequence[Column], out: str = "ROW_NUMBER", one_task_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
-    """Number all rows 1..n in a total order.
+def sorted_parts(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """The rows in a total order, as ``_part`` (range of the order) and ``_at`` (place in its part, from 0).
 
-    Up to ``one_task_rows`` rows are numbered by one task. Beyond that, the sort
-    is a range partitioning, so rows spread over all tasks; positions inside
-    each sorted part are pinned by a written table, and the part sizes (one row
-    per task) give each part its starting number.
+    The sort is a range partitioning, so rows spread over all tasks whatever the type or direction of
+    the order columns; a written table pins the parts and places.
     """
-    if df.count() <= one_task_rows:
-        return df.withColumn(out, F.row_number().over(W.orderBy(*order)).cast("bigint"))
-    sorted_rows = materialize(
-        df.orderBy(*order).withColumn("_position", F.monotonically_increasing_id()), "row-positions"
-    )
-    part = F.shiftright("_position", 33)
-    offset = F.col("_position").bitwiseAND((1 << 33) - 1)
+    placed = df.orderBy(*order).withColumn("_position", F.monotonically_increasing_id())
+    rows = materialize(placed, name)
+    return rows.withColumns({
+        "_part": F.shiftright("_position", 33), "_at": F.col("_position").bitwiseAND((1 << 33) - 1),
+    }).drop("_position")
+
+
+def row_positions(df: DataFrame, order: Sequence[Column], out: str = "ROW_NUMBER") -> DataFrame:
+    """Number all rows 1..n in a total order; the part sizes (one row per task) give each part its starting number."""
+    rows = sorted_parts(df, order, "row-positions")
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = (
-        sorted_rows.groupBy(part.alias("_part"))
+        rows.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
     return (
-        sorted_rows.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
-        .withColumn(out, F.col("_start") + offset + 1)
-        .drop("_part", "_start", "_position")
+        rows.join(F.broadcast(starts), "_part")  # one row per task of the sort
+        .withColumn(out, F.col("_start") + F.col("_at") + 1)
+        .drop("_part", "_start", "_at")
     )
 
 
-def dense_key(df: DataFrame, col: str, out: str, one_task_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def dense_key(df: DataFrame, col: str, out: str) -> DataFrame:
     """Dense rank of ``col`` in ascending order; a missing value gets a missing rank.
 
     Only the distinct values are ranked; the join back is left to the optimizer,
@@ -159,98 +150,44 @@ def dense_key(df: DataFrame, col: str, out: str, one_task_rows: int = HOT_GROUP_
     when they are not.
     """
     distinct = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    ranks = row_positions(distinct, [F.col(col).asc()], out, one_task_rows)
-    return df.join(ranks, col, "left")
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_GROUP_ROWS) -> list[Row]:
-    """Keys of groups larger than an average shuffle partition.
-
-    There can be no more of them than shuffle partitions, so the list is small
-    whatever the size of the table.
-    """
-    total = df.count()
-    if total < min_rows:
-        return []
-    floor = max(min_rows, total / shuffle_partitions(df.sparkSession))
-    return df.groupBy(*keys).count().filter(F.col("count") >= floor).select(*keys).collect()
+    return df.join(row_positions(distinct, [F.col(col).asc()], out), col, "left")
 
 
-def _is_one_of(groups: list[Row]) -> Column:
-    same = lambda row: reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in row.asDict().items()]
-    )
-    return reduce(lambda a, b: a | b, [same(g) for g in groups])
+def lag_in_groups(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], lags: Sequence[int], name: str = "{col}_LAG_{k}"
+) -> DataFrame:
+    """Like :func:`lag_columns`, each group in one task: for groups whose size is bounded by construction."""
+    w = W.partitionBy(*keys).orderBy(*order_by(*order))
+    return df.withColumns({name.format(col=c, k=k): F.lag(c, k).over(w) for c in cols for k in lags})
 
 
 def lag_columns(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    cols: Sequence[str],
-    lags: Sequence[int],
-    name: str = "{col}_LAG_{k}",
-    hot_rows: int | None = HOT_GROUP_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], lags: Sequence[int], name: str = "{col}_LAG_{k}"
 ) -> DataFrame:
     """Add the value ``k`` rows earlier in the same group, for each column and lag.
 
-    Ordinary groups use one window. Groups holding more than an average shuffle
-    partition are cut into ranges of the first order column, each range preceded
-    by the last few rows before it. ``hot_rows=None`` skips the look for such
-    groups where their size is bounded by construction.
+    Rows are sorted by group and order over all tasks, so a group may span several parts of the sort.
+    Each part is preceded by the last few rows before it; what these parts hand on is a few rows per
+    task. ``order`` may be of any sortable type, ``-name`` is descending, and rows should be unique in it.
     """
-    keys, order = list(keys), list(order)
-    new = {name.format(col=c, k=k): (c, k) for c in cols for k in lags}
-
-    def add(part: DataFrame, by: list) -> DataFrame:
-        w = W.partitionBy(*by).orderBy(*order_by(*order))
-        return part.withColumns({n: F.lag(c, k).over(w) for n, (c, k) in new.items()})
-
-    if hot_rows is None:
-        return add(df, keys)
-    if not keys:
-        if df.count() < hot_rows:
-            return add(df, [])
-        return _lag_in_ranges(df, keys, order, list(cols), max(lags), add)
-    hot = hot_groups(df, keys, hot_rows)
-    if not hot:
-        return add(df, keys)
-    is_hot = _is_one_of(hot)
-    split = _lag_in_ranges(df.filter(is_hot), keys, order, list(cols), max(lags), add)
-    return add(df.filter(~is_hot), keys).unionByName(split)
-
-
-def _lag_in_ranges(df, keys, order, cols, depth, add) -> DataFrame:
-    lead = order[0]
-    columns = df.columns
-    rows = bucketize(df, lead, range_splits(df, lead), "_bucket")
-    needed = list(dict.fromkeys([*order, *cols]))
-
-    # The last `depth` rows of every range, oldest first.
-    latest_first = [F.col(c).desc_nulls_first() for c in order]
-    last = W.partitionBy(*keys, "_bucket").orderBy(*latest_first)
+    keys, columns, depth = list(keys), df.columns, max(lags)
+    rows = sorted_parts(df, [*order_by(*keys), *order_by(*order)], "lags")
+    needed = list(dict.fromkeys([*keys, *cols]))
+    ends = rows.groupBy("_part").agg(F.max("_at").alias("_end"))
     tails = (
-        rows.select(*keys, "_bucket", *needed)
-        .withColumn("_back", F.row_number().over(last))
-        .filter(F.col("_back") <= depth)
-        .groupBy(*keys, "_bucket")
-        .agg(F.sort_array(F.collect_list(F.struct((-F.col("_back")).alias("_age"), *needed))).alias("_tail"))
+        rows.join(F.broadcast(ends), "_part")  # one row per task of the sort
+        .filter(F.col("_at") > F.col("_end") - depth)
+        .groupBy("_part")
+        .agg(F.sort_array(F.collect_list(F.struct("_at", *needed))).alias("_tail"))
     )
-    # Every range listed here has a row, so `depth` ranges back are enough.
-    earlier = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(-depth, -1)
+    # Every part listed here has a row, so ``depth`` parts back are enough.
+    earlier = W.orderBy("_part").rowsBetween(-depth, -1)
     before = F.flatten(F.collect_list("_tail").over(earlier))
-    halo = (
-        tails.select(*keys, "_bucket", before.alias("_before"))
-        .select(
-            *keys,
-            "_bucket",
-            F.explode(
-                F.slice("_before", F.greatest(F.lit(1), F.size("_before") - depth + 1), depth)
-            ).alias("_row"),
-        )
-        .select(*keys, "_bucket", *[F.col("_row")[c].alias(c) for c in needed if c not in keys])
-        .withColumn("_halo", F.lit(True))
+    halo = tails.select("_part", F.slice(before, F.greatest(F.lit(1), F.size(before) - depth + 1), depth).alias("_before"))
+    halo = halo.select("_part", F.posexplode("_before").alias("_i", "_row")).select(
+        "_part", (F.col("_i") - depth).cast("bigint").alias("_at"), *[F.col("_row")[c].alias(c) for c in needed]
     )
-    both = rows.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
-    out = add(both, [*keys, "_bucket"]).filter(~F.col("_halo")).drop("_halo", "_bucket")
-    return out.select(*columns, *[c for c in out.columns if c not in columns])
+    both = rows.unionByName(halo, allowMissingColumns=True)
+    w = W.partitionBy(*keys, "_part").orderBy("_at")
+    new = {name.format(col=c, k=k): F.lag(c, k).over(w) for c in cols for k in lags}
+    return both.withColumns(new).filter(F.col("_at") >= 0).select(*columns, *new)

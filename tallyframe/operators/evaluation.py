@@ -13,11 +13,11 @@ from tallyframe.operators.quantiles import long_form
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Counts per pair, and the share of each actual class predicted wrongly."""
+    """Counts per pair, and the share of each actual class predicted wrongly; a missing prediction is wrong."""
     counts = df.groupBy(actual, predicted).agg(F.count(F.lit(1)).alias("n"))
     # Classes × classes rows reach this window.
     by_class = W.partitionBy(actual)
-    wrong = F.sum(F.when(F.col(actual) != F.col(predicted), F.col("n")).otherwise(0)).over(by_class)
+    wrong = F.sum(F.when(F.col(actual).eqNullSafe(F.col(predicted)), 0).otherwise(F.col("n"))).over(by_class)
     return counts.withColumn("class_error", wrong / F.sum("n").over(by_class))
 
 
@@ -27,7 +27,7 @@ def roc_points(df: DataFrame, actual: str, score: str, keys: Sequence[str] = ())
     ``actual`` is 1 or 0. Ties share one point. Columns: ``keys``, ``cutoff``,
     ``tpr``, ``fpr``.
     """
-    rows = df.filter(F.col(score).isNotNull() & F.col(actual).isNotNull())
+    rows = df.filter(F.col(score).isNotNull() & ~F.isnan(score) & F.col(actual).isNotNull())
     hit = F.col(actual).cast("bigint")
     ranked = running_totals(rows, score, {"pos": hit, "neg": 1 - hit}, keys, descending=True)
     rate = lambda c: F.try_divide(F.col(f"{c}_run").cast("double"), F.col(f"{c}_all").cast("double"))
@@ -46,7 +46,7 @@ def auc(df: DataFrame, actual: str, scores: Sequence[str]) -> DataFrame:
     Between two neighbouring cutoffs the curve rises by the positives there and
     moves right by the negatives there, so no neighbour has to be looked up.
     """
-    long = long_form(df, scores, [actual]).filter(F.col("value").isNotNull() & F.col(actual).isNotNull())
+    long = long_form(df, scores, [actual]).filter(F.col("value").isNotNull() & ~F.isnan("value") & F.col(actual).isNotNull())
     hit = F.col(actual).cast("bigint")
     ranked = running_totals(
         long.withColumnRenamed("variable", "model"), "value", {"pos": hit, "neg": 1 - hit}, ["model"], descending=True

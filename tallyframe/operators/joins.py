@@ -8,16 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def left_on(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join in which a missing key matches a missing key; the left side's keys stay."""
+    theirs = other.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    return df.join(theirs, same, "left").drop(*[f"_key_{k}" for k in keys])
+
+
 def left_dim(df: DataFrame, dim: DataFrame, key: str, *attrs: str) -> DataFrame:
     """Attach only the named columns of a dimension."""
-    return df.join(dim.select(key, *attrs), key, "left")
+    return left_on(df, dim.select(key, *attrs), [key])
 
 
 def left_override(df: DataFrame, other: DataFrame, key: str, col: str) -> DataFrame:
     """Left join in which the other table's value wins where it has one."""
     theirs = other.select(key, F.col(col).alias("_theirs"))
     return (
-        df.join(theirs, key, "left")
+        left_on(df, theirs, [key])
         .withColumn(col, F.coalesce("_theirs", col))
         .drop("_theirs")
         .select(*df.columns)
@@ -31,7 +38,7 @@ def group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFram
     each whole group into one task.
     """
     per_group = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-    return df.join(per_group, list(keys), "left")
+    return left_on(df, per_group, list(keys))
 
 
 def semi_on(df: DataFrame, members: DataFrame, member: str, *cols: str) -> DataFrame:

@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.operators.distribute import range_splits, running_totals
-
-# Up to this many values, a group's buffer of distinct values fits any executor.
-BUFFERED_VALUES = 2_000_000
+from tallyframe.operators.distribute import running_totals
 
 
 def long_form(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -29,28 +26,21 @@ def quantiles(
     probs: Sequence[float],
     keys: Sequence[str] = (),
     approx: bool = False,
-    buffered: int = BUFFERED_VALUES,
 ) -> DataFrame:
-    """Linear-interpolation quantiles of each column, missing values left out.
+    """Linear-interpolation quantiles of each column, missing values and NaN left out.
 
     One row per group and variable: ``n`` (values present) and ``q0``, ``q1``, …
-    in the order of ``probs``. The built-in exact percentile keeps a group's
-    distinct values in one task's memory, so it serves up to ``buffered`` values
-    in all. Beyond that, values are counted, ranked by :func:`running_totals`,
-    and the order statistics picked by a plain minimum: equally exact.
+    in the order of ``probs``. Values are counted, ranked by :func:`running_totals`,
+    and the order statistics picked by a plain minimum, so no task holds a group's
+    values. ``approx`` is the choice of a sketch instead.
     """
-    values = long_form(df, cols, keys).filter(F.col("value").isNotNull())
+    values = long_form(df, cols, keys).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     by = [*keys, "variable"]
     if approx:
         q = F.percentile_approx("value", list(probs), 10_000)
         out = values.groupBy(*by).agg(F.count("value").alias("n"), q.alias("_q"))
         return out.select(*by, "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
-    total, splits = range_splits(values, "value", with_count=True)
-    if total <= buffered:
-        q = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs]))
-        out = values.groupBy(*by).agg(F.count("value").alias("n"), q.alias("_q"))
-        return out.select(*by, "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
-    ranked = running_totals(values, "value", {"n": F.lit(1)}, by, splits=splits)
+    ranked = running_totals(values, "value", {"n": F.lit(1)}, by)
     aggs, picks = [], []
     for i, p in enumerate(probs):
         at = F.lit(float(p)) * (F.col("n_all") - 1)
@@ -58,7 +48,8 @@ def quantiles(
         aggs.append(F.min(F.when(F.col("n_run") > F.ceil(at), F.col("value"))).alias(f"_hi{i}"))
         part = F.lit(float(p)) * (F.col("n") - 1)
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        picks.append((lo + (hi - lo) * (part - F.floor(part))).alias(f"q{i}"))
+        between = (F.ceil(part) - part) * lo + (part - F.floor(part)) * hi
+        picks.append(F.when((F.floor(part) == F.ceil(part)) | (lo == hi), lo).otherwise(between).alias(f"q{i}"))
     return ranked.groupBy(*by).agg(F.max("n_all").alias("n"), *aggs).select(*by, "n", *picks)
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.keys import RANGE, key_hash, key_order
+from tallyframe.functions.keys import key_order
 from tallyframe.functions.nulls import order_by
 
 
@@ -38,21 +38,9 @@ def tail_window(df: DataFrame, date: str, days: int) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
-    """Exactly ``n`` rows (all, if fewer), repeatable, chosen by the hash of a unique key.
-
-    The rows with the smallest hashes are taken. A hash limit somewhat above the
-    expected one drops nearly all other rows before the top-n, so that tasks do
-    not each hand on ``n`` candidates; should it prove too low, it is lifted.
-    """
-    total = df.count()
-    kept = df
-    if total > 4 * n:
-        share = (n + 6 * n**0.5 + 10) / total
-        limited = df.filter(key_hash(F.col(key), seed) < int(share * RANGE))
-        if limited.count() >= n:
-            kept = limited
+    """Exactly ``n`` rows (all, if fewer), repeatable: those with the smallest hashes of a unique key."""
     order = key_order(F.col(key), seed)
-    return kept.withColumn("_order", order).orderBy("_order").limit(n).drop("_order")
+    return df.withColumn("_order", order).orderBy("_order").limit(n).drop("_order")
 
 
 def stack(*parts: DataFrame, pad: bool = False) -> DataFrame:

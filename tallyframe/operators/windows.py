@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from tallyframe.functions.nulls import order_by
 from tallyframe.operators.distribute import running_totals
+from tallyframe.operators.joins import left_on
 from tallyframe.operators.quantiles import group_medians
 
 
@@ -23,7 +24,7 @@ def with_group_medians(
     df: DataFrame, keys: Sequence[str], cols: dict[str, str], strict: bool = True
 ) -> DataFrame:
     """Attach each column's group median to every row of the group."""
-    return df.join(group_medians(df, keys, cols, strict), list(keys), "left")
+    return left_on(df, group_medians(df, keys, cols, strict), list(keys))
 
 
 def fill_from(df: DataFrame, fills: dict[str, str]) -> DataFrame:
@@ -33,7 +34,7 @@ def fill_from(df: DataFrame, fills: dict[str, str]) -> DataFrame:
 
 def cumulative_share(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """Empirical distribution: share of the group's values at or below each distinct value."""
-    present = df.filter(F.col(value).isNotNull())
+    present = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     ranked = running_totals(present, value, {"n": F.lit(1)}, keys)
     return ranked.select(*keys, value, (F.col("n_run") / F.col("n_all")).alias("share"))
 

@@ -17,7 +17,7 @@ from tallyframe.functions.nulls import strict_mean
 from tallyframe.functions.strings import clean_key, trim_all
 from tallyframe.operators import joins
 from tallyframe.operators import select as sel
-from tallyframe.operators.distribute import HOT_GROUP_ROWS, dense_key, lag_columns
+from tallyframe.operators.distribute import dense_key, lag_columns, lag_in_groups
 from tallyframe.operators.formula import model_terms
 from tallyframe.operators.models import Fit, estimate_model, linear_regression
 from tallyframe.operators.quantiles import group_medians
@@ -45,7 +45,7 @@ PROJECTED_COLUMNS = [
 ]
 
 
-def clean_history(raw: DataFrame, calendar: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def clean_history(raw: DataFrame, calendar: DataFrame) -> DataFrame:
     """Daily means per station with keys, 28 lags and 4 medians.
 
     Means and medians are missing if any input is. Lags count rows, not days,
@@ -71,7 +71,7 @@ def clean_history(raw: DataFrame, calendar: DataFrame, hot_rows: int = HOT_GROUP
     days = materialize(cleaned, "daily-means")
     keyed = dense_key(days, "ADDRESS", "DIM_ADDRESS_KEY")
     order = ["DATE", "_RAW_ADDRESS", "STATE", "CITY", "COUNTY", "SITE_NUM"]
-    lagged = lag_columns(keyed, ["ADDRESS"], order, MEANS, LAG_DAYS, hot_rows=hot_rows)
+    lagged = lag_columns(keyed, ["ADDRESS"], order, MEANS, LAG_DAYS)
     with_medians = lagged.join(group_medians(days, ["ADDRESS"], MEDIANS, strict=True), "ADDRESS", "left")
     filled = fill_from(with_medians, LAGS)
     return joins.left_dim(filled, calendar, "DATE", "DIM_DATE_KEY").select(*HISTORY_COLUMNS)
@@ -108,10 +108,10 @@ def project(history: DataFrame, days: int = 365, floor: str | None = None, lags_
     if lags_from_history:
         near = tail.select("DIM_ADDRESS_KEY", "DATE", *MEANS, F.lit(True).alias("_past"))
         both = stack(expected.withColumn("_past", F.lit(False)), near, pad=True)
-        lagged = lag_columns(both, ["DIM_ADDRESS_KEY"], ["DATE"], MEANS, LAG_DAYS, hot_rows=None)
+        lagged = lag_in_groups(both, ["DIM_ADDRESS_KEY"], ["DATE"], MEANS, LAG_DAYS)
         lagged = lagged.filter(~F.col("_past")).drop("_past")
     else:
-        lagged = lag_columns(expected, ["DIM_ADDRESS_KEY"], ["DATE"], MEANS, LAG_DAYS, hot_rows=None)
+        lagged = lag_in_groups(expected, ["DIM_ADDRESS_KEY"], ["DATE"], MEANS, LAG_DAYS)
     out = fill_from(stack(tail.select(*PROJECTED_COLUMNS), lagged.select(*PROJECTED_COLUMNS)), LAGS)
     return out.filter(F.col("DATE") >= F.lit(floor).cast("date")) if floor else out
 

@@ -15,7 +15,9 @@ from tallyframe.plans.catalog.shape import tidy
 from tallyframe.plans.registry import query
 
 KEY = ", ".join(TRIP_KEY)
-H = key_hash_sql("o_orderkey")
+# Draws of the registered queries use a seed of their own.
+SEED = 11
+H = key_hash_sql("o_orderkey", SEED)
 
 # --- windows -------------------------------------------------------------------------------
 
@@ -172,7 +174,7 @@ def sort_aggregate(spark, sf):
 
 @query("sample_n", f"SELECT o_orderkey, o_totalprice FROM orders ORDER BY {H}, o_orderkey LIMIT 1000")
 def sample_n(spark, sf):
-    return rows.sample_n(read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 1000, "o_orderkey")
+    return rows.sample_n(read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 1000, "o_orderkey", SEED)
 
 
 # --- splits --------------------------------------------------------------------------------
@@ -184,7 +186,7 @@ def sample_n(spark, sf):
 )
 def split_train_validate(spark, sf):
     df = read_table(spark, sf, "orders").select("o_orderkey")
-    return df.withColumn("trainvalidate", splits.train_label("o_orderkey", 0.75))
+    return df.withColumn("trainvalidate", splits.train_label("o_orderkey", 0.75, SEED))
 
 
 @query(
@@ -196,7 +198,7 @@ SELECT CASE WHEN {H} < {int(0.7 * RANGE)} THEN 'train' ELSE 'validate' END AS pa
     "loans",
 )
 def split_one_pass(spark, sf):
-    parts = splits.split(loans(spark, sf, "o_orderkey", "ccDebt", "default"), "o_orderkey", 0.7)
+    parts = splits.split(loans(spark, sf, "o_orderkey", "ccDebt", "default"), "o_orderkey", 0.7, SEED)
     describe = lambda name: parts[name].agg(
         F.lit(name).alias("part"), F.count("*").alias("n"), F.avg("ccDebt").alias("mean_debt"), F.sum("default").alias("defaults")
     )
@@ -207,13 +209,13 @@ def split_one_pass(spark, sf):
     "split_stratified",
     f"""
 SELECT doc_id, Subscription, CASE WHEN k <= ceil(0.7::DOUBLE * n) THEN 'train' ELSE 'validate' END AS part FROM (
-  SELECT doc_id, Subscription, row_number() OVER (PARTITION BY Subscription ORDER BY {key_hash_sql('doc_id')}, doc_id) AS k,
+  SELECT doc_id, Subscription, row_number() OVER (PARTITION BY Subscription ORDER BY {key_hash_sql('doc_id', SEED)}, doc_id) AS k,
          count(*) OVER (PARTITION BY Subscription) AS n FROM subs)
 """,
     "subs",
 )
 def split_stratified(spark, sf):
-    return splits.stratified_label(subs(spark, sf, "doc_id", "Subscription"), "doc_id", "Subscription", 0.7)
+    return splits.stratified_label(subs(spark, sf, "doc_id", "Subscription"), "doc_id", "Subscription", 0.7, SEED)
 
 
 @query(
@@ -221,20 +223,20 @@ def split_stratified(spark, sf):
     f"SELECT o_orderkey, chr(CAST(65 + ({H}) * 10 // {RANGE} AS INTEGER)) AS fold FROM orders",
 )
 def kfold_assign(spark, sf):
-    return read_table(spark, sf, "orders").select("o_orderkey", splits.fold_label("o_orderkey", 10).alias("fold"))
+    return read_table(spark, sf, "orders").select("o_orderkey", splits.fold_label("o_orderkey", 10, SEED).alias("fold"))
 
 
 @query(
     "filter_fold",
     f"""
 SELECT round(regr_slope(ArrDelay, CRSDepTime), 6) AS slope, round(regr_intercept(ArrDelay, CRSDepTime), 6) AS intercept,
-       count(*) AS n FROM air WHERE chr(CAST(65 + ({key_hash_sql('l_orderkey')}) * 10 // {RANGE} AS INTEGER)) <> 'C'
+       count(*) AS n FROM air WHERE chr(CAST(65 + ({key_hash_sql('l_orderkey', SEED)}) * 10 // {RANGE} AS INTEGER)) <> 'C'
 """,
     "air",
 )
 def filter_fold(spark, sf):
     # The held-out fold is filtered inside the fit's own scan.
-    df = air(spark, sf, "l_orderkey", "ArrDelay", "CRSDepTime").filter(splits.fold_label("l_orderkey") != "C")
+    df = air(spark, sf, "l_orderkey", "ArrDelay", "CRSDepTime").filter(splits.fold_label("l_orderkey", 10, SEED) != "C")
     return tidy(lm_simple(df, "ArrDelay", "CRSDepTime").drop("r_squared"))
 
 

@@ -9,7 +9,6 @@ from tallyframe.functions.nulls import if_else, is_in, not_in, ratio
 from tallyframe.operators import joins, rows
 from tallyframe.operators import select as sel
 from tallyframe.operators.scoring import level_index
-from tallyframe.operators.tables import levels_of
 from tallyframe.plans import bases
 from tallyframe.plans.bases import TRIP_KEY, nations_of, read_table, subs, trips
 from tallyframe.plans.catalog.shape import big, r, tidy
@@ -70,9 +69,8 @@ def filter_not_missing(spark, sf):
     "trips nhoods",
 )
 def filter_bound_objects(spark, sf):
-    # A short list from outside becomes literals in the predicate; its length is checked.
-    names = levels_of(nations_of(spark, sf), "nhood", 1000)
-    return tidy(trips(spark, sf, *TRIP_KEY, "pickup_nhood").filter(is_in("pickup_nhood", names)))
+    # A list from outside is a table, of any length.
+    return tidy(joins.semi_on(trips(spark, sf, *TRIP_KEY, "pickup_nhood"), nations_of(spark, sf), "nhood", "pickup_nhood"))
 
 
 @query(

@@ -97,10 +97,18 @@ def src_sql_table(spark, sf):
     )
 
 
-@query("sink_csv", ORDERS_SQL + " WHERE o_totalprice > 100000")
+@query("csv_texts", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_texts(spark, sf):
+    """Texts with line breaks, quotes and blanks come back as they were."""
+    path = scratch_path(spark, "csv-texts")
+    sinks.write_csv(read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars"), path)
+    return files.read_csv(spark, path, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+
+@query("sink_csv", ORDERS_SQL)
 def sink_csv(spark, sf):
     path = scratch_path(spark, "sink-csv")
-    sinks.write_csv(some_orders(spark, sf).filter("o_totalprice > 100000"), path)
+    sinks.write_csv(some_orders(spark, sf), path)
     return files.read_csv(spark, path, ORDERS_SCHEMA)
 
 
@@ -195,19 +203,13 @@ def _range(pdf: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _merge_ranges(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame(
-        {"o_custkey": [pdf["o_custkey"].iloc[0]], "n": [pdf["n"].sum()], "low": [pdf["low"].min()], "high": [pdf["high"].max()]}
-    )
-
-
 @query(
     "group_apply",
     "SELECT o_custkey, count(*) AS n, min(o_totalprice) AS low, max(o_totalprice) AS high FROM orders GROUP BY 1",
 )
 def group_apply(spark, sf):
     df = read_table(spark, sf, "orders").select("o_custkey", "o_totalprice")
-    return tidy(apply.group_apply(df, ["o_custkey"], _range, "o_custkey bigint, n bigint, low double, high double", _merge_ranges))
+    return tidy(apply.group_apply(df, ["o_custkey"], _range, "o_custkey bigint, n bigint, low double, high double"))
 
 
 @query(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
-_local_folder: str | None = None
+_removed_at_end: set[str] = set()
 
 
 def get_spark(app_name: str = "tallyframe", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,24 +42,21 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster that
-    folder would exist on one machine alone.
+    Where that is unset, a folder beside the catalog's tables, which all executors reach as well.
     """
-    global _local_folder
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="tallyframe-")
-    return _local_folder
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for one run, unused before, inside the shared folder."""
+    """A path for one run, unused before, inside the shared folder; it goes when the application ends."""
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/tallyframe/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    root = f"{shared_folder(spark)}/tallyframe/{app}"
+    if root not in _removed_at_end:
+        _removed_at_end.add(root)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:

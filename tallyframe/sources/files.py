@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tallyframe.operators.scoring import align_levels
+from tallyframe.sources.sinks import MISSING
 
 
 def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
@@ -20,19 +21,19 @@ def read_csv(
     spark: SparkSession,
     path: str,
     schema: str | None = None,
-    missing: str | None = None,
+    missing: str = MISSING,
     levels: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Delimited text with a header.
 
     ``schema`` declares names and types; without it types are inferred, at the
     price of a second pass. ``missing`` is a token that stands for a missing
-    value. ``levels`` lists the allowed values of level columns; others become
+    value, as a field without quotes that is empty always does. Quoted line breaks
+    are part of a text, so a file is read by one task: write many files. ``levels`` lists the allowed values of level columns; others become
     missing.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", False)
-    if missing is not None:
-        reader = reader.option("nullValue", missing)
+    reader = spark.read.options(header=True, escape='"', multiLine=True, nullValue=missing, lineSep="\n")
+    reader = reader.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     df = reader.csv(path)
     return df.withColumns({c: align_levels(c, v) for c, v in (levels or {}).items()}) if levels else df

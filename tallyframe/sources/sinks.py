@@ -6,9 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Delimited text with a header, as one folder of part files."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+# What stands for a missing value, so that it differs from an empty text.
+MISSING = "\\N"
+
+
+def write_csv(df: DataFrame, path: str, missing: str = MISSING) -> None:
+    """Delimited text with a header, as one folder of part files; texts keep their blanks and line breaks."""
+    writer = df.write.mode("overwrite").options(header=True, escape='"', nullValue=missing, lineSep="\n")
+    writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def write_table(df: DataFrame, table: str, path: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,6 +18,7 @@ def spark():
     session = get_spark(
         "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="tallyframe-tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     return session

@@ -53,8 +53,9 @@ def test_history_with_split_station(spark, past):
         SCHEMA,
     )
     calendar = cal.dim_date(spark, "2016-01-01", "2017-12-31")
-    plain, split = aq.clean_history(raw, calendar), aq.clean_history(raw, calendar, hot_rows=50)
-    assert plain.exceptAll(split).isEmpty() and split.count() == 300
+    got = {r.DATE: r.NO2_MEAN_LAG_7 for r in aq.clean_history(raw, calendar).collect()}
+    start = dt.date(2016, 1, 1)
+    assert len(got) == 300 and all(got[start + dt.timedelta(days=i)] == (i - 7 if i >= 7 else 149.5) for i in range(300))
 
 
 def test_projection(past):

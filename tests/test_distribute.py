@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tallyframe.operators import apply, distribute, quantiles, splits, windows
+from tallyframe.operators import apply, distribute, joins, quantiles, splits, windows
 
 
 @pytest.fixture(scope="module")
@@ -43,10 +43,9 @@ def test_running_totals_descending_without_keys(skewed):
     assert all(r.n_all == total for r in rows)
 
 
-@pytest.mark.parametrize("buffered", [0, 10_000])
-def test_quantiles_match_numpy(skewed, buffered):
+def test_quantiles_match_numpy(skewed):
     probs = [0.0, 0.05, 0.25, 0.5, 0.9, 1.0]
-    got = {r.k: r for r in quantiles.quantiles(skewed, ["v"], probs, ["k"], buffered=buffered).collect()}
+    got = {r.k: r for r in quantiles.quantiles(skewed, ["v"], probs, ["k"]).collect()}
     pdf = skewed.toPandas()
     for key in ("hot", "a", "b", None):
         x = pdf[pdf.k.isna() if key is None else pdf.k == key].v.dropna()
@@ -63,33 +62,43 @@ def test_median_strictness(spark):
     assert strict == {"a": None, "b": 2.5, "c": None}
 
 
-@pytest.mark.parametrize("partitions", ["8", "64"])
-def test_lags_of_hot_groups(spark, skewed, partitions):
-    plain = distribute.lag_columns(skewed, ["k"], ["t", "id"], ["v", "id"], [1, 2, 7])
+@pytest.mark.parametrize("partitions", ["1", "8", "64"])
+@pytest.mark.parametrize("order", [["t", "id"], ["-t", "id"], ["name", "id"], ["-name", "-id"]])
+def test_lags_of_hot_groups(spark, skewed, partitions, order):
+    """Numeric, text and descending orders, with a group that spans several parts of the sort."""
+    df = skewed.withColumn("name", F.concat(F.lit("n"), (F.col("t") % 97).cast("string")))
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
-        assert [r.k for r in distribute.hot_groups(skewed, ["k"], 700)] == ["hot"]
-        split = distribute.lag_columns(skewed, ["k"], ["t", "id"], ["v", "id"], [1, 2, 7], hot_rows=700)
-        assert split.columns == plain.columns
-        assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
-        whole = distribute.lag_columns(skewed, [], ["t", "id"], ["id"], [1, 5], hot_rows=10)
-        one = distribute.lag_columns(skewed, [], ["t", "id"], ["id"], [1, 5])
-        assert whole.exceptAll(one).isEmpty() and whole.count() == 3000
+        for keys in (["k"], []):
+            plain = distribute.lag_in_groups(df, keys, order, ["v", "id"], [1, 2, 7])
+            split = distribute.lag_columns(df, keys, order, ["v", "id"], [1, 2, 7])
+            assert split.columns == plain.columns and split.count() == 3000
+            assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 10_000])
-def test_row_positions_and_dense_key(skewed, one_task_rows):
-    numbered = distribute.row_positions(skewed, [F.col("v").asc_nulls_last(), F.col("id")], "n", one_task_rows)
+def test_row_positions_and_dense_key(skewed):
+    numbered = distribute.row_positions(skewed, [F.col("v").asc_nulls_last(), F.col("id")], "n")
     want = skewed.withColumn("n", F.row_number().over(W.orderBy(F.col("v").asc_nulls_last(), "id")).cast("bigint"))
     got = numbered.select(*want.columns)
     assert got.exceptAll(want).isEmpty() and got.count() == 3000
-    keys = dict(distribute.dense_key(skewed, "k", "r", one_task_rows).select("k", "r").distinct().collect())
+    keys = dict(distribute.dense_key(skewed, "k", "r").select("k", "r").distinct().collect())
     assert keys == {"a": 1, "b": 2, "hot": 3, None: None}
 
 
+def test_nan_and_missing_keys(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("a", 1.0), ("a", nan), ("a", 3.0), (None, 5.0), (None, 7.0), ("b", None)], "k string, v double")
+    assert {r.k: r.q0 for r in quantiles.quantiles(df, ["v"], [0.5], ["k"]).collect()} == {"a": 2.0, None: 6.0}
+    assert windows.cumulative_share(df, "v", ["k"]).count() == 4
+    medians = {(r.k, r.m) for r in windows.with_group_medians(df.filter("k IS NULL"), ["k"], {"v": "m"}).collect()}
+    assert medians == {(None, 6.0)}
+    counted = joins.group_stats(df, ["k"], n=F.count(F.lit(1)))
+    assert counted.columns == ["k", "v", "n"] and {r.n for r in counted.filter("k IS NULL").collect()} == {2}
+
+
 def test_stratified_split_sizes(skewed):
     out = splits.stratified_label(skewed, "id", "k", 0.7)
     sizes = {(r.k, r.part): r["count"] for r in out.groupBy("k", "part").count().collect()}
@@ -112,7 +121,5 @@ def test_group_combine_equals_group_apply(skewed):
     f = lambda p: pd.DataFrame({"k": [p["k"].iloc[0]], "n": [len(p)], "total": [p["t"].sum()]})
     merge = lambda p: pd.DataFrame({"k": [p["k"].iloc[0]], "n": [p["n"].sum()], "total": [p["total"].sum()]})
     whole = {tuple(r) for r in apply.group_apply(skewed.select("k", "t"), ["k"], f, schema).collect()}
-    parts = {tuple(r) for r in apply.group_apply(skewed.select("k", "t"), ["k"], f, schema, merge, max_rows=100).collect()}
+    parts = {tuple(r) for r in apply.group_combine(skewed.select("k", "t"), ["k"], f, merge, schema).collect()}
     assert whole == parts and len(whole) == 4
-    with pytest.raises(ValueError):
-        apply.group_apply(skewed, ["k"], f, schema, max_rows=100)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import calendar as cal
 from tallyframe.functions import keys, nulls, strings
-from tallyframe.operators import rows
+from tallyframe.operators import rows, splits
+from tallyframe.sources import files, sinks
 
 
 def values(df, col="v"):
@@ -101,6 +102,24 @@ def test_key_hash_spreads_and_never_ties(spark):
         assert r.n == 100_000 and abs(r.share - 0.75) < 0.01
 
 
+def test_seeds_draw_independently(spark):
+    label = lambda seed: splits.train_label("id", 0.75, seed)
+    df = spark.range(100_000)
+    for a, b in ((1, 2), (1, 123_456), (0, 1)):
+        agree = df.filter(label(a) == label(b)).count() / 100_000
+        assert abs(agree - 0.625) < 0.01
+    missing = spark.createDataFrame([(None,), (5,)], "id bigint").select(splits.fold_label("id", 10).alias("f")).collect()
+    assert all(r.f is not None for r in missing)
+
+
+def test_csv_keeps_texts(spark, tmp_path):
+    texts = ["a\nb", "", None, " lead", "trail ", 'say "x", y', "c\r\nd", "\\N x", "tab\there", "#no comment"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i bigint, t string")
+    sinks.write_csv(df, str(tmp_path / "csv"))
+    back = files.read_csv(spark, str(tmp_path / "csv"), "i bigint, t string")
+    assert sorted(map(tuple, back.collect())) == list(enumerate(texts))
+
+
 def test_sample_n_is_exact_and_repeatable(spark):
     df = spark.range(10_000)
     first = {r.id for r in rows.sample_n(df, 500, "id").collect()}
