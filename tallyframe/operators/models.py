@@ -274,12 +274,16 @@ def model_summary(fit: Fit, spark: SparkSession) -> DataFrame:
             errors = [e * grow for e in errors]
             t = [v / grow for v in t]
             p = [student_t_two_sided(v, left) for v in t]
-    except Exception:  # no standard errors were computed for this solver
+    except Exception as e:
+        if "No Std. Error" not in str(e):  # the summary's own refusal: this solver computes none
+            raise
         errors = t = p = [None] * len(names)
     rows = [(n, float(b), *[None if v is None else float(v) for v in r]) for n, b, *r in zip(names, estimates, errors, t, p)]
-    return spark.createDataFrame(
-        rows, "term string, estimate double, std_error double, statistic double, p_value double"
-    )
+    table = spark.createDataFrame(rows, "term string, estimate double, std_error double, statistic double, p_value double")
+    if not fit.absorb:
+        return table
+    levels = fit.effects.select(F.concat(F.lit(f"{fit.absorb}_"), F.col("level")).alias("term"), F.col("effect").alias("estimate"))
+    return table.unionByName(levels, allowMissingColumns=True)
 
 
 def fit_measures(fit: Fit, spark: SparkSession) -> DataFrame:
@@ -364,14 +368,11 @@ def mean_vectors(df: DataFrame, vector: str, key: str) -> DataFrame:
     )
 
 
-def kmeans_step(df: DataFrame, vector: str, centres: DataFrame, max_centres: int = 1000) -> DataFrame:
+def kmeans_step(df: DataFrame, vector: str, centres: DataFrame) -> DataFrame:
     """One round from given centres (``cluster``, ``centre``): assign each point to the nearest, average.
 
-    The centres, a checked handful, are packed into one value that every row
-    carries, so points meet centres without a join.
+    The centres are packed into one value that every row carries, so points meet centres without a join.
     """
-    if centres.limit(max_centres + 1).count() > max_centres:
-        raise ValueError(f"more than {max_centres} centres")
     packed = centres.agg(F.sort_array(F.collect_list(F.struct("cluster", "centre"))).alias("all")).scalar()
     point = F.col(vector).cast("array<double>")
     distance = lambda c: F.aggregate(

@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_TERMS = 100_000
-
 
 def align_levels(c: str, levels: Sequence[str]) -> Column:
     """The value if it is a declared level, else missing."""
@@ -33,12 +31,11 @@ def score_with_coefficients(
 ) -> DataFrame:
     """Linear score from a table of ``term`` and ``estimate``.
 
-    The table is packed into one map value (its size is checked), and the score
+    The estimates of the terms asked for are packed into one map value, and the score
     is a sum within each row: the rows are neither lengthened nor shuffled.
     """
-    if coefficients.limit(MAX_TERMS + 1).count() > MAX_TERMS:
-        raise ValueError(f"more than {MAX_TERMS} coefficients")
-    packed = coefficients.agg(F.map_from_entries(F.collect_list(F.struct("term", "estimate")))).scalar()
+    wanted = coefficients.filter(F.col("term").isin([*terms, intercept]))
+    packed = wanted.agg(F.map_from_entries(F.collect_list(F.struct("term", "estimate")))).scalar()
     products = [F.col(t).cast("double") * F.coalesce(F.try_element_at("_b", F.lit(t)), F.lit(0.0)) for t in terms]
     start = F.coalesce(F.try_element_at("_b", F.lit(intercept)), F.lit(0.0))
     return df.withColumn("_b", packed).withColumn(out, reduce(lambda a, b: a + b, products, start)).drop("_b")

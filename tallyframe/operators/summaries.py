@@ -52,21 +52,20 @@ def summary_by_group(
 
 
 def table_info(df: DataFrame) -> DataFrame:
-    """One row per column: type, lowest and highest value (as text), rows, missing, levels of text columns.
+    """One row per column: type, lowest and highest value (as text; atomic types only), rows, missing, levels of text columns.
 
     Levels are exact; they come from counting distinct (column, value) pairs of
     the text columns, combined map-side before the shuffle.
     """
-    fields = [f for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    ends = []
+    fields, ends, none = df.schema.fields, [], F.lit(None).cast("string")
     for f in fields:
-        c = F.col(f"`{f.name}`")
+        c, atomic = F.col(f"`{f.name}`"), isinstance(f.dataType, T.AtomicType)
         ends.append(
             F.struct(
                 F.lit(f.name).alias("column"),
                 F.lit(f.dataType.simpleString()).alias("type"),
-                F.min(c).cast("string").alias("low"),
-                F.max(c).cast("string").alias("high"),
+                (F.min(c).cast("string") if atomic else none).alias("low"),
+                (F.max(c).cast("string") if atomic else none).alias("high"),
                 F.count(F.lit(1)).alias("n"),
                 (F.count(F.lit(1)) - F.count(c)).alias("missing"),
             )

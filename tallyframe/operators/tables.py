@@ -27,8 +27,7 @@ def levels_of(df: DataFrame, col: str, limit: int = MAX_LEVELS) -> list[str]:
 def table_oneway(df: DataFrame, col: str) -> DataFrame:
     """Count per level and share of all rows."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    # One row per level reaches this window.
-    return counts.withColumn("share", F.col("count") / F.sum("count").over(W.partitionBy()))
+    return counts.withColumn("share", F.col("count") / counts.agg(F.sum("count")).scalar())
 
 
 def table_twoway(df: DataFrame, row: str, col: str, levels: Sequence | None = None) -> DataFrame:

@@ -31,8 +31,6 @@ STATION = ["ADDRESS", "STATE", "CITY", "COUNTY"]
 MEDIANS = {f"{p}_MEAN": f"{p}_MEDIAN" for p in POLLUTANTS}
 LAG_DAYS = range(1, 8)
 LAGS = {f"{p}_MEAN_LAG_{k}": f"{p}_MEDIAN" for p in POLLUTANTS for k in LAG_DAYS}
-# A model holds this many stations as dummy columns.
-STATION_DUMMIES = 1000
 # Ceiling on SO2, and columns no model uses.
 SO2_CEILING = 100
 NOT_PREDICTORS = ["DATE", "COUNTY", "STATE", "SITE_NUM", "DIM_DATE_KEY", "CITY", *MEDIANS.values(), "ADDRESS"]
@@ -126,18 +124,12 @@ def as_levels(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in ("MONTH", "DAY", "DIM_ADDRESS_KEY")})
 
 
-def fit_pollutants(
-    history: DataFrame, responses: list[str] = MEANS, dummies: int = STATION_DUMMIES
-) -> dict[str, Fit]:
+def fit_pollutants(history: DataFrame, responses: list[str] = MEANS) -> dict[str, Fit]:
     """One linear model per pollutant: pairwise products of the others, lags, calendar and station levels.
 
-    Up to ``dummies`` stations enter as dummy columns; more are absorbed, which
-    gives the same predictions.
+    Stations are absorbed: each has a level of its own, found from its means, whatever their number.
     """
-    data = as_levels(history)
-    # Keys are dense, so the largest one is the number of stations.
-    stations = history.agg(F.max("DIM_ADDRESS_KEY")).first()[0] or 0
-    absorb = "DIM_ADDRESS_KEY" if stations > dummies else None
+    data, absorb = as_levels(history), "DIM_ADDRESS_KEY"
     fits = {}
     for response in responses:
         terms = model_terms(data.columns, response, MEANS, NOT_PREDICTORS)

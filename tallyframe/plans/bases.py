@@ -36,8 +36,6 @@ LONG_DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday",
 POLLUTANTS = ["NO2", "O3", "SO2", "CO"]
 MEANS = [f"{p}_MEAN" for p in POLLUTANTS]
 TRIP_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-# Calendar that covers the measurements and the year after them.
-CALENDAR = ("2020-01-01", "2026-12-31")
 HOME_REGION = "ASIA"
 
 
@@ -158,6 +156,12 @@ def subs(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
     return docs.select(*doc_cols).join(labels, "doc_id").select(*wanted)
 
 
+def calendar_span(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Whole years that cover the measurements and the year after them."""
+    ends = read_table(spark, sf, "events").agg(F.year(F.min("ts")).alias("first"), F.year(F.date_add(F.max("ts").cast("date"), 366)).alias("last")).first()
+    return f"{ends['first']:04d}-01-01", f"{ends['last']:04d}-12-31"
+
+
 def pollution(spark: SparkSession, sf: str, users_per_station: int = 1) -> DataFrame:
     """Raw measurements with the raw file's column names: one row per station and day.
 

@@ -12,7 +12,7 @@ from tallyframe.operators import evaluation, models, scoring, splits
 from tallyframe.operators.rows import stack
 from tallyframe.plans import air_quality as aq
 from tallyframe.plans import bases
-from tallyframe.plans.bases import BASE_SQL, CALENDAR, MEANS, loans, nations_of, subs
+from tallyframe.plans.bases import BASE_SQL, MEANS, loans, nations_of, subs
 from tallyframe.plans.catalog.aggregates import trips_with_share
 from tallyframe.plans.catalog.selection import CLEAN
 from tallyframe.plans.catalog.shape import tidy
@@ -51,9 +51,9 @@ _lags = [(p, k) for p in P for k in aq.LAG_DAYS]
 
 BASE_SQL["calendar"] = (
     [],
-    f"""
+    """
 SELECT row_number() OVER (ORDER BY d) AS DIM_DATE_KEY, CAST(d AS DATE) AS DATE
-FROM (SELECT unnest(generate_series(DATE '{CALENDAR[0]}', DATE '{CALENDAR[1]}', INTERVAL 1 DAY)) AS d)
+FROM (SELECT unnest(generate_series(make_date(year(min(ts)), 1, 1), make_date(year(CAST(max(ts) AS DATE) + 366), 12, 31), INTERVAL 1 DAY)) AS d FROM events)
 """,
 )
 BASE_SQL["daily"] = (
@@ -115,7 +115,7 @@ def _rounded(columns) -> str:
 
 
 def history(spark, sf, users_per_station: int = 1):
-    return aq.clean_history(bases.pollution(spark, sf, users_per_station), cal.dim_date(spark, *CALENDAR))
+    return aq.clean_history(bases.pollution(spark, sf, users_per_station), cal.dim_date(spark, *bases.calendar_span(spark, sf)))
 
 
 @query(
@@ -185,7 +185,7 @@ def star_load(spark, sf):
     past = materialize(history(spark, sf), "history")
     future = materialize(aq.project(past), "projection")
     contents = {
-        "Dim_Dates": cal.dim_date(spark, *CALENDAR),
+        "Dim_Dates": cal.dim_date(spark, *bases.calendar_span(spark, sf)),
         "Dim_Pollution_Addresses": aq.address_dim(past),
         "Fact_US_Pollution_Historical": past,
         "Fact_US_Pollution_Projected": future,

@@ -517,7 +517,7 @@ def score_keep_vars(spark, sf):
     return tidy(
         scoring.score_keep(
             fit, parts["validate"], ["o_orderkey", *LOAN_PREDICTORS],
-            [p.alias("pred_logit_default"), F.log(p / (1 - p)).alias("link_logit_default")],
+            [p.alias("pred_logit_default"), (F.log(p) - F.log1p(-p)).alias("link_logit_default")],
         )
     )
 
