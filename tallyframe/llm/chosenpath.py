@@ -195,7 +195,7 @@ def _compare_small(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _split_large(threshold: float):
-    """Links to pivots, and the next paths of records that are not close to one. kind 0: a link; 1: a path."""
+    """Links to pivots, and the next paths, with their sketches, of records that are not close to one. kind 0: a link; 1: a path."""
 
     def rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -206,23 +206,18 @@ def _split_large(threshold: float):
             pivot_ids = np.stack([batch[f"pivot_{i}"].to_numpy() for i in range(PIVOTS)], 1)
             close = (marks[:, None, :] == pivots).mean(2)
             row, which = np.nonzero((close >= MAY_LINK) & (pivot_ids != rid[:, None]))
-            yield pd.DataFrame({"kind": 0, "x": rid[row], "y": pivot_ids[row, which]})
+            yield pd.DataFrame({"kind": 0, "x": rid[row], "y": pivot_ids[row, which], "sketch": None})
             stays = np.flatnonzero(close.max(1) < COVERED)
             row, paths = chosen_paths(marks[stays], batch["bucket"].to_numpy().view(np.uint64)[stays], threshold)
-            yield pd.DataFrame({"kind": 1, "x": rid[stays][row], "y": paths.view(np.int64)})
+            yield pd.DataFrame({"kind": 1, "x": rid[stays][row], "y": paths.view(np.int64), "sketch": batch["sketch"].to_numpy()[stays][row]})
 
     return rows
 
 
-def deal_tiles(rows: DataFrame, group: str, key: str, tile: int, sizes: DataFrame | None = None) -> DataFrame:
-    """Cuts every group into pieces of about ``tile`` rows; pieces meet pairwise in tiles (i, j), i <= j, as sides 0 and 1.
-
-    ``sizes`` (group, n) saves counting, and keeps only the groups it has.
-    """
-    if sizes is None:
-        sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.select(group, F.ceil(F.col("n") / tile).cast("int").alias("_pieces"))
-    cut = rows.join(sizes, group).withColumn("_piece", F.pmod(F.xxhash64(key), F.col("_pieces")).cast("int"))
+def deal_tiles(rows: DataFrame, group: str, key: str, tile: int) -> DataFrame:
+    """Cuts every group of ``n`` rows into pieces of about ``tile``; pieces meet pairwise in tiles (i, j), i <= j, as sides 0 and 1."""
+    cut = rows.withColumn("_pieces", F.ceil(F.col("n") / tile).cast("int"))
+    cut = cut.withColumn("_piece", F.pmod(F.xxhash64(key), F.col("_pieces")).cast("int"))
     meets = F.transform(
         F.sequence(F.lit(0), F.col("_pieces") - 1),
         lambda j: F.struct(F.least("_piece", j).alias("i"), F.greatest("_piece", j).alias("j"), (F.col("_piece") > j).cast("int").alias("side")),
@@ -247,6 +242,7 @@ def _compare_tiles(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def candidate_links(records: DataFrame, threshold: float, depth: int) -> DataFrame:
     """Links between records (rid, sketch, paths) that span whatever may hang together."""
     marks = records.select("rid", "sketch")
+    sketched = lambda rows: rows if "sketch" in rows.columns else rows.join(marks, "rid")
     members = records.select("rid", F.explode("paths").alias("bucket"))
     links = None
     for level in range(1, depth + 1):
@@ -257,7 +253,7 @@ def candidate_links(records: DataFrame, threshold: float, depth: int) -> DataFra
         buckets = materialize(buckets.where("n > 1"), "buckets")
         # Small buckets with the same members are compared once.
         small = buckets.where(F.col("n") <= SMALL_BUCKET).groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
-        rows = members.join(small, "bucket", "left_semi").join(marks, "rid").select("bucket", "rid", "sketch")
+        rows = sketched(members.join(small, "bucket", "left_semi")).select("bucket", "rid", "sketch")
         dealt = rows.repartition(shuffle_partitions(records.sparkSession), "bucket").sortWithinPartitions("bucket", "rid")
         found = dealt.mapInPandas(_compare_small, "a long, b long")
         links = found if links is None else links.union(found)
@@ -266,16 +262,16 @@ def candidate_links(records: DataFrame, threshold: float, depth: int) -> DataFra
             break
         if level == depth:
             # Paths of full length are not split further, and nothing is dropped: what they hold meets in tiles.
-            tiles = deal_tiles(members, "bucket", "rid", TILE_RECORDS, large.select("bucket", "n")).join(marks, "rid")
+            tiles = deal_tiles(sketched(members.join(large.select("bucket", "n"), "bucket")), "bucket", "rid", TILE_RECORDS)
             links = links.union(by_tile(tiles, "bucket").mapInPandas(_compare_tiles, "a long, b long"))
             break
         large = large.select("bucket", *[f"pivot_{i}" for i in range(PIVOTS)])
         for i in range(PIVOTS):
             large = large.join(marks.select(F.col("rid").alias(f"pivot_{i}"), F.col("sketch").alias(f"sketch_{i}")), f"pivot_{i}")
-        rows = members.join(large, "bucket").join(marks, "rid")
-        split = materialize(rows.mapInPandas(_split_large(threshold), "kind int, x long, y long"), "split")
+        rows = sketched(members.join(large, "bucket"))
+        split = materialize(rows.mapInPandas(_split_large(threshold), "kind int, x long, y long, sketch binary"), "split")
         links = links.union(split.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")))
-        members = split.where("kind = 1").select(F.col("x").alias("rid"), F.col("y").alias("bucket"))
+        members = split.where("kind = 1").select(F.col("x").alias("rid"), F.col("y").alias("bucket"), "sketch")
     return links.distinct()
 
 
@@ -357,7 +353,9 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     named = materialize(named, "candidates")
     wanted = texts.join(named.select(F.col("first_id").alias("doc_id"), "candidate", "rid", "copies", "digest").hint("shuffle_hash"), "doc_id")
     found = wanted.mapInPandas(_shingle_rows, "candidate long, rid long, copies long, shingles binary").dropDuplicates(["rid"])
-    tiles = deal_tiles(materialize(found, "shingles"), "candidate", "rid", TILE_RECORDS)
+    found = materialize(found, "shingles")
+    sizes = found.groupBy("candidate").agg(F.count(F.lit(1)).alias("n"))
+    tiles = deal_tiles(found.join(sizes, "candidate"), "candidate", "rid", TILE_RECORDS)
     exact = materialize(by_tile(tiles, "candidate").mapInPandas(_exact_tiles(threshold), "kind int, x long, y long"), "links")
 
     links = exact.where("kind = 0").groupBy(F.col("x").alias("rid")).agg(F.sum("y").alias("others"))
