@@ -21,7 +21,7 @@ from tallyframe.operators.distribute import dense_key, lag_columns, lag_in_group
 from tallyframe.operators.formula import model_terms
 from tallyframe.operators.models import Fit, estimate_model, linear_regression
 from tallyframe.operators.quantiles import group_medians
-from tallyframe.operators.rows import stack, tail_window
+from tallyframe.operators.rows import stack
 from tallyframe.operators.scoring import score_chain
 from tallyframe.operators.windows import fill_from
 from tallyframe.plans.bases import MEANS, POLLUTANTS
@@ -83,25 +83,25 @@ def project(history: DataFrame, days: int = 365, floor: str | None = None, lags_
     median; ``lags_from_history`` lets them reach back into history instead.
     ``floor`` drops rows dated before it.
     """
-    ends = history.agg(F.max("DATE").alias("DATE"), F.max("DIM_DATE_KEY").alias("DIM_DATE_KEY"))
-    last_day, last_key = ends.select("DATE").scalar(), ends.select("DIM_DATE_KEY").scalar()
-    tail = tail_window(history, "DATE", 7)
-
-    # Each station grows to `days` rows below; without a stated number of partitions they would be
-    # merged by the size they have now.
-    parts = shuffle_partitions(history.sparkSession)
-    stations = history.select("DIM_ADDRESS_KEY").distinct().repartition(parts, "DIM_ADDRESS_KEY")
+    ends = history.agg(F.max("DATE").alias("day"), F.max("DIM_DATE_KEY").alias("key")).first()
+    last_day, last_key = F.lit(ends["day"]).cast("date"), F.lit(ends["key"])
+    tail = history.filter(F.col("DATE") >= F.date_sub(last_day, 7))
+
+    # One row per station, with its means by month and day (at most 366), grows to its days where it
+    # lies; without a stated number of partitions stations would be merged by the size they have now.
+    parts, key = shuffle_partitions(history.sparkSession), "DIM_ADDRESS_KEY"
+    month_day = F.col("MONTH") * 100 + F.col("DAY")
+    means = sel.agg_across(history.filter(F.col("DATE").isNotNull()), [key, "MONTH", "DAY"], MEANS, F.avg)
+    means = means.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(month_day.alias("d"), F.struct(*MEANS).alias("m")))).alias("_means"))
+    medians = group_medians(history, [key], MEDIANS)
+    stations = medians.join(means, key, "left").repartition(parts, key)
     grid = (
         joins.day_grid(stations, last_day, days)
         .withColumn("DIM_DATE_KEY", last_key + F.datediff("DATE", last_day))
         .withColumns({"MONTH": F.month("DATE"), "DAY": F.dayofmonth("DATE"), "YEAR": F.year("DATE")})
+        .withColumn("_mean", F.try_element_at("_means", month_day))
     )
-    month_day = sel.agg_across(history, ["DIM_ADDRESS_KEY", "MONTH", "DAY"], MEANS, F.avg)
-    medians = group_medians(history, ["DIM_ADDRESS_KEY"], MEDIANS)
-    expected = fill_from(
-        grid.join(month_day, ["DIM_ADDRESS_KEY", "MONTH", "DAY"], "left").join(medians, "DIM_ADDRESS_KEY", "left"),
-        MEDIANS,
-    )
+    expected = fill_from(grid.withColumns({m: F.col("_mean")[m] for m in MEANS}).drop("_mean", "_means"), MEDIANS)
     # A station has `days` rows here, so no group can grow hot.
     if lags_from_history:
         near = tail.select("DIM_ADDRESS_KEY", "DATE", *MEANS, F.lit(True).alias("_past"))

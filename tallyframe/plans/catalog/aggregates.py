@@ -434,10 +434,12 @@ TILE_LEVELS = [f"NATION_{i}" for i in (2, 7, 12, 17, 22)]
     "tile_matrix",
     "SELECT dropoff_nhood, "
     + ", ".join(f"round(avg(tip_pct) FILTER (pickup_nhood = '{n}'), 10) AS {n}" for n in TILE_LEVELS)
-    + " FROM trips GROUP BY dropoff_nhood",
-    "trips",
+    + " FROM trips WHERE pickup_nhood IN (SELECT nhood FROM nhoods) AND dropoff_nhood IN (SELECT nhood FROM nhoods) GROUP BY dropoff_nhood",
+    "trips nhoods",
 )
 def tile_matrix(spark, sf):
-    levels = tables.levels_of(nations_of(spark, sf), "nhood", 1000)
-    df = trips_with_share(spark, sf, "pickup_nhood", "dropoff_nhood")
+    # Both lists thin out the small tables before the large ones meet.
+    home = nations_of(spark, sf)
+    df = trips_with_share(spark, sf, "pickup_nhood", "dropoff_nhood", pickup_in=home, dropoff_in=home)
+    levels = tables.levels_of(home, "nhood")
     return tidy(tables.tile_matrix(df, "dropoff_nhood", "pickup_nhood", levels, "tip_pct"), 10)
