@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_rendezvous_sharding": sharding.OP3_SQL,
     "op4_mixing": mixing.OP4_SQL,
     "op5_warc_revisits": revisits.OP5_SQL,
 }

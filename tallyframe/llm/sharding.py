@@ -80,3 +80,30 @@ def shard_records(docs: DataFrame, shards: int = SHARDS, weights: Mapping[int, f
 
 def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_records(table(spark, sf_dir, "documents"))
+
+
+#: The same in SQL. CRC-32 is folded over a text's bytes with a table made from its polynomial.
+OP3_SQL = r"""
+WITH crc_table AS (
+  SELECT list(v ORDER BY n) AS tb FROM (
+    SELECT n, list_reduce([n::UBIGINT] || [0, 1, 2, 3, 4, 5, 6, 7]::UBIGINT[],
+      lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END) AS v
+    FROM range(256) r(n))),
+bodies AS (SELECT doc_id, encode(coalesce(text, '')) AS body FROM documents),
+sized AS (
+  SELECT doc_id, octet_length(body) + 8 AS size, xor(list_reduce([4294967295::UBIGINT] || list_transform(
+      range(0, octet_length(body) * 2, 2), lambda i: ('0x' || substr(hex(body), i + 1, 2))::UBIGINT),
+      lambda a, b: xor(a >> 8, tb[(xor(a, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32
+  FROM bodies, crc_table),
+costs AS (
+  SELECT doc_id, size, text_crc32, s AS shard,
+         -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || s), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE) / 4503599627370496) AS cost
+  FROM sized, range(25) r(s)),
+chosen AS (
+  SELECT doc_id, size, text_crc32, arg_min(shard, cost) FILTER (shard < 24) AS shard, arg_min(shard, cost) AS grown_shard
+  FROM costs GROUP BY ALL)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5('slot:' || coalesce(doc_id::VARCHAR, '') || ':' || text_crc32 || ':'), doc_id, text_crc32, size) - 1 AS slot,
+       grown_shard::INT AS grown_shard
+FROM chosen
+"""
