@@ -343,6 +343,12 @@ def kmeans_multistart(df: DataFrame, vector: str, k: int, starts: int = 8, itera
     return fits[costs.index(min(costs))], table
 
 
+def cluster_points(model, df: DataFrame, vector: str) -> DataFrame:
+    """The rows with the ``cluster`` of their vector."""
+    placed = model.transform(df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>"))))
+    return placed.withColumn("cluster", F.col("prediction").cast("bigint")).drop("features", "prediction")
+
+
 def cluster_table(model, df: DataFrame, vector: str) -> DataFrame:
     """Size and within sum of squares per cluster, with its centre."""
     points = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))

@@ -231,6 +231,40 @@ def glm_poisson(spark, sf):
     return tidy(models.model_summary(fit, spark), 6)
 
 
+LOAN_NUMBERS = ["creditScore", "houseAge", "yearsEmploy", "ccDebt"]
+
+
+@query(
+    "logit_score_equations",
+    " UNION ALL ".join(
+        f"SELECT '{x}' AS term, round(CAST(sum({x} * \"default\") AS DOUBLE) / sum(abs({x})), 6) AS weighted_share FROM loans "
+        f"WHERE {key_hash_sql('o_orderkey')} < {int(0.75 * RANGE)}"
+        for x in LOAN_NUMBERS
+    ),
+    "loans",
+)
+def logit_score_equations(spark, sf):
+    """A logistic fit with an intercept gives each predictor the same weighted sum over fitted chances as over outcomes."""
+    train = loan_parts(spark, sf)["train"]
+    fit = models.estimate_model(train, "default", LOAN_NUMBERS, models.generalized("binomial").setTol(1e-10))
+    sums = fit.transform(train).agg(*[(F.sum(F.col(x) * F.col("prediction")) / F.sum(F.abs(x))).alias(x) for x in LOAN_NUMBERS])
+    return tidy(sums.select(F.inline(F.array(*[F.struct(F.lit(x).alias("term"), F.col(x).alias("weighted_share")) for x in LOAN_NUMBERS]))))
+
+
+@query(
+    "poisson_score_equations",
+    """
+SELECT FavCategory, round(CAST(sum(UniqueProducts) AS DOUBLE) / count(*), 6) AS mean_fitted FROM subs GROUP BY 1
+""",
+    "subs",
+)
+def poisson_score_equations(spark, sf):
+    """A Poisson fit with a level for each category gives each category its mean count."""
+    df = subs(spark, sf, "UniqueProducts", "TotalSales", "FavCategory", "Subscription").withColumn("Thousands", F.col("TotalSales") / 1000)
+    fit = models.estimate_model(df, "UniqueProducts", ["Thousands", "Subscription", "FavCategory"], models.generalized("poisson").setTol(1e-10))
+    return tidy(fit.transform(df).groupBy("FavCategory").agg(F.avg("prediction").alias("mean_fitted")))
+
+
 @query(
     "logit_factor",
     """
@@ -440,6 +474,29 @@ def kmeans(spark, sf):
     return tidy(models.cluster_table(model, points, "embedding").select("cluster", "size", "within_ss"))
 
 
+@query(
+    "kmeans_decomposition",
+    """
+SELECT CAST(max(n) AS BIGINT) AS n, round(sum(ss), 6) AS total_ss FROM (
+  SELECT d, count(*) AS n, var_pop(x) * count(*) AS ss FROM (
+    SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d FROM embeddings) GROUP BY d)
+""",
+)
+def kmeans_decomposition(spark, sf):
+    """Clusters leave no point out, and squares within and between them add up to all squares."""
+    points = read_table(spark, sf, "embeddings")
+    model = models.kmeans_fit(points, "embedding", 10)
+    placed = models.cluster_points(model, points, "embedding").select("vec_id", "cluster", F.posexplode("embedding").alias("d", "x"))
+    x = F.col("x").cast("double")
+    cells = placed.groupBy("cluster", "d").agg(F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("within"))
+    centres = placed.groupBy("d").agg(F.avg(x).alias("centre"))
+    parts = cells.join(centres, "d").agg(
+        F.sum(F.col("within") + F.col("n") * F.pow(F.col("mean") - F.col("centre"), 2)).alias("total_ss"),
+        (F.sum("n") / F.countDistinct("d")).cast("bigint").alias("n"),
+    )
+    return tidy(parts.select("n", "total_ss"))
+
+
 @query("kmeans_multistart")
 def kmeans_multistart(spark, sf):
     points = read_table(spark, sf, "embeddings")
