@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tallyframe.operators.joins import left_on
+
 TERM_SCHEMA = "term string, estimate double, std_error double, statistic double, p_value double"
 GLANCE_SCHEMA = (
     "r_squared double, adj_r_squared double, sigma double, f_statistic double, p_value double, "
@@ -233,7 +235,7 @@ def out_of_fold_means(df: DataFrame, y: str, level: str, fold: str) -> DataFrame
     cells = df.groupBy(level, fold).agg(F.sum(y).alias("s"), F.count(y).alias("n"), F.sum(F.pow(y, F.lit(2))).alias("ss"))
     totals = cells.groupBy(level).agg(F.sum("s").alias("all_s"), F.sum("n").alias("all_n"))
     mean = F.try_divide(F.col("all_s") - F.col("s"), F.col("all_n") - F.col("n"))
-    return cells.join(totals, level).select(
+    return left_on(cells, totals, [level]).select(
         level, fold, "n", mean.alias("prediction"),
         (F.col("ss") - 2 * mean * F.col("s") + F.col("n") * mean * mean).alias("squared_error"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from tallyframe.operators.joins import left_on
 from tallyframe.operators.quantiles import long_form, quantiles
 
 # Fixed values.
@@ -211,9 +212,15 @@ def histogram(df: DataFrame, col: str, bins: int = 20, keys: Sequence[str] = ())
 
 
 def density_overlay(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
-    """Histogram density beside the normal density at each bin's centre."""
+    """Histogram density beside the normal density at each bin's centre.
+
+    A constant column is one bin without densities; a column without values has no bin.
+    """
     x = F.col(col).cast("double")
     low, high, mean, sd, n = df.agg(F.min(x), F.max(x), F.avg(x), F.stddev_samp(x), F.count(x)).first()
+    if low == high:
+        one = [(0, low, None, None)] if n else []
+        return df.sparkSession.createDataFrame(one, "bin bigint, centre double, density double, normal double")
     width = (high - low) / bins
     centre = F.col("bin_low") + width / 2
     z = (centre - mean) / sd
@@ -234,7 +241,7 @@ def box_stats(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
     x, reach = F.col(col).cast("double"), WHISKER * (F.col("q3") - F.col("q1"))
     inside = x.between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        df.join(q, keys)
+        left_on(df, q, keys).filter(F.col("n").isNotNull())
         .groupBy(*keys, "q1", "median", "q3", "n")
         .agg(
             F.min(F.when(inside, x)).alias("whisker_low"),

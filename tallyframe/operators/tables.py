@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tallyframe.operators.joins import left_on
+
 # A table of levels larger than this is not a cross-tabulation any more.
 MAX_LEVELS = 10_000
 
@@ -47,20 +49,19 @@ def crosstab_chisq(df: DataFrame, row: str, col: str) -> DataFrame:
     pairs = df.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
     by_row, by_col, whole = W.partitionBy(row), W.partitionBy(col), W.partitionBy()
     # Windows over the level table only: rows × columns of the cross-tabulation.
-    rows = pairs.select(row).distinct()
+    rows, every_col = pairs.select(row).distinct(), pairs.agg(F.collect_set(F.struct(col))).scalar()
     cells = (
-        rows.withColumn(col, F.explode(pairs.agg(F.collect_set(col)).scalar()))
-        .join(pairs, [row, col], "left")
+        left_on(rows.withColumn("_c", F.explode(every_col)).select(row, F.col("_c")[col].alias(col)), pairs, [row, col])
         .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
         .withColumn("row_total", F.sum("n").over(by_row))
         .withColumn("col_total", F.sum("n").over(by_col))
         .withColumn("total", F.sum("n").over(whole))
-        .withColumn("expected", F.col("row_total") * F.col("col_total") / F.col("total"))
-        .withColumn("contribution", F.pow(F.col("n") - F.col("expected"), 2) / F.col("expected"))
+        .withColumn("expected", F.try_divide(F.col("row_total") * F.col("col_total"), F.col("total")))
+        .withColumn("contribution", F.try_divide(F.pow(F.col("n") - F.col("expected"), F.lit(2)), F.col("expected")))
     )
-    df_ = (F.size(F.collect_set(row).over(whole)) - 1) * (F.size(F.collect_set(col).over(whole)) - 1)
+    df_ = (F.size(F.collect_set(F.struct(row)).over(whole)) - 1) * (F.size(F.collect_set(F.struct(col)).over(whole)) - 1)
     return cells.select(
-        row, col, "n", (F.col("n") / F.col("row_total")).alias("row_share"), "expected", "contribution",
+        row, col, "n", F.try_divide("n", "row_total").alias("row_share"), "expected", "contribution",
         F.sum("contribution").over(whole).alias("chisq"), df_.cast("bigint").alias("df"),
     )
 
@@ -104,13 +105,13 @@ def cube_binned(df: DataFrame, measure: str, x: str, y: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlations over rows complete in all columns, long form, one pass."""
+    """Pearson correlations over rows complete in all columns, long form, one pass; missing for a constant column."""
     complete = df.dropna(subset=list(cols))
     pairs = list(combinations_with_replacement(cols, 2))
-    row = complete.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    varies = lambda c: F.stddev_pop(c) > 0
+    row = complete.agg(*[F.when(varies(a) & varies(b), F.lit(1.0) if a == b else F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
         for left, right in {(a, b), (b, a)}:
-            r = F.lit(1.0) if a == b else F.col(f"r{i}")
-            cells.append(F.struct(F.lit(left).alias("x"), F.lit(right).alias("y"), r.alias("r")))
+            cells.append(F.struct(F.lit(left).alias("x"), F.lit(right).alias("y"), F.col(f"r{i}").alias("r")))
     return row.select(F.inline(F.array(*cells)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.nulls import ratio, strict_mean
 from tallyframe.operators import quantiles as quant
 from tallyframe.operators import select as sel
-from tallyframe.operators import summaries, tables
+from tallyframe.operators import joins, summaries, tables
 from tallyframe.plans.bases import MEANS, air, loans, nations_of, read_table, subs, trips
 from tallyframe.plans.catalog.selection import raw_pollution
 from tallyframe.plans.catalog.shape import tidy
@@ -310,7 +310,7 @@ def custom_aggregate(spark, sf):
     events = read_table(spark, sf, "events").select("event_type", "value")
     med = quant.group_medians(events, ["event_type"], {"value": "med"}, strict=True)
     cod = 100 * F.try_divide(F.avg(F.abs(F.col("value") - F.col("med"))), F.first("med"))
-    out = events.join(med, "event_type").groupBy("event_type").agg(
+    out = joins.left_on(events, med, ["event_type"]).groupBy("event_type").agg(
         cod.alias("CoD"), summaries.coefficient_of_variation(F.col("value")).alias("CoV")
     )
     return tidy(out)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tallyframe.operators import apply, distribute, joins, quantiles, splits, windows
+from tallyframe.operators import apply, distribute, evaluation, joins, linear, quantiles, splits, summaries, tables, windows
 
 
 @pytest.fixture(scope="module")
@@ -99,6 +99,22 @@ def test_nan_and_missing_keys(spark):
     assert counted.columns == ["k", "v", "n"] and {r.n for r in counted.filter("k IS NULL").collect()} == {2}
 
 
+def test_degenerate_columns(spark):
+    df = spark.createDataFrame([("a", "x", 1.0, 2.0), ("a", None, 1.0, 3.0), (None, "x", 1.0, 4.0), (None, "x", 1.0, 4.0)], "r string, c string, one double, v double")
+    cells = {(x.r, x.c): x.n for x in tables.crosstab_chisq(df, "r", "c").collect()}
+    assert cells == {("a", "x"): 1, ("a", None): 1, (None, "x"): 2, (None, None): 0}
+    r = {(x.x, x.y): x.r for x in tables.correlation_matrix(df, ["one", "v"]).collect()}
+    assert r == {("one", "one"): None, ("one", "v"): None, ("v", "one"): None, ("v", "v"): 1.0}
+    assert [tuple(x) for x in summaries.density_overlay(df, "one").collect()] == [(0, 1.0, None, None)]
+    assert summaries.density_overlay(df.filter("v > 9"), "v").count() == 0
+    boxes = {x.r: (x.n, x.median) for x in summaries.box_stats(df, "v", ["r"]).collect()}
+    assert boxes == {"a": (2, 2.5), None: (2, 4.0)}
+    folds = linear.out_of_fold_means(df, "v", "r", "c")
+    assert folds.count() == 3 and folds.filter("r IS NULL").count() == 1
+    wrong = evaluation.confusion_matrix(spark.createDataFrame([("Y", "Y"), ("Y", None)], "a string, p string"), "a", "p")
+    assert {x.class_error for x in wrong.collect()} == {0.5}
+
+
 def test_stratified_split_sizes(skewed):
     out = splits.stratified_label(skewed, "id", "k", 0.7)
     sizes = {(r.k, r.part): r["count"] for r in out.groupBy("k", "part").count().collect()}
