@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import table
+from tallyframe.llm.common import bounded_batches, table
 from tallyframe.llm.components import components
 from tallyframe.session import materialize, shuffle_partitions
 
@@ -340,7 +340,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     ``links`` counts the other documents whose similarity is at least the threshold, copies included.
     ``rid`` tells rows apart that share a doc_id.
     """
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    texts = bounded_batches(docs).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketched = texts.mapInPandas(_sketched(threshold, runs_needed(recall, depth)), "rid long, doc_id long, digest binary, size int, sketch binary, paths array<long>")
     sketched = materialize(sketched, "sketches")
     order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("doc_id"), F.col("rid").alias("rid"))

@@ -35,3 +35,16 @@ def empty_if_null(text: str = "text") -> Column:
 def held_out(key: str, folds: int, fold: int) -> Column:
     """True where crc32 of the key as text, modulo ``folds``, is ``fold``."""
     return F.crc32(key_text(key).cast("binary")) % folds == fold
+
+
+#: Rows per Arrow batch: texts may be long, and a worker holds a batch whole.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """The table as it is; its session hands Python at most BATCH_ROWS rows at once from now on."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    return df

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import held_out, key_text, order_hash, table
+from tallyframe.llm.common import bounded_batches, held_out, key_text, order_hash, table
 
 #: Documents the n-gram distributions are learned from at most, chosen by a hash of their key.
 SAMPLE_DOCUMENTS = 20_000
@@ -123,7 +123,7 @@ def fit_languages(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, key: str = "d
 
     What reaches the driver is one row of BUCKETS counts per language.
     """
-    usable = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & ~held_out(key, FOLDS, HELD_OUT_FOLD))
+    usable = bounded_batches(docs).where(F.col(text).isNotNull() & F.col(lang).isNotNull() & ~held_out(key, FOLDS, HELD_OUT_FOLD))
     rank = order_hash("language", key_text(key), F.col(lang))
     last = usable.select(rank.alias("_rank")).orderBy("_rank").limit(sample).agg(F.max("_rank")).first()[0]
     if last is None:
@@ -146,7 +146,7 @@ def identified(docs: DataFrame, languages: Languages, text: str = "text", into:
         for batch in batches:
             yield predict(shared.value, batch)
 
-    return docs.withColumn(into, identify(F.col(text)))
+    return bounded_batches(docs).withColumn(into, identify(F.col(text)))
 
 
 def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import table
+from tallyframe.llm.common import bounded_batches, table
 from tallyframe.session import materialize
 
 CAPACITY = 4096
 END_TOKEN = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose tokens a worker remembers.
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 500_000
 #: Documents tokenized together.
 BATCH = 512
 #: Bounds of the search, independent of the data: fillings tried per opened sequence, and opened
@@ -143,7 +143,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: in
         tokenizer = public_tokenizers.path(TOKENIZER)
     kind = docs.select(key).schema[0].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, _task int, _met long"
-    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = bounded_batches(docs).select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.mapInPandas(lambda batches: _pieces(batches, tokenizer, capacity), schema)
 
 

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import table
+from tallyframe.llm.common import bounded_batches, table
 from tallyframe.session import materialize, shuffle_partitions
 
 BITS = 128
@@ -146,7 +146,7 @@ def _fingerprint_rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]
 
 def with_following(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Texts dealt out by ranges of descending keys; the first row of a range also closes the range before it."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rows = bounded_batches(docs).select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     order = F.coalesce(F.col("doc_id"), F.lit(-(2**63))).alias("_order")
     keys = rows.select(order)
     count = keys.count()

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import empty_if_null, table
+from tallyframe.llm.common import bounded_batches, empty_if_null, table
 from tallyframe.llm.packing import TOKENIZER, WordTokens
 from tallyframe.session import materialize, scratch_path
 
@@ -138,7 +138,7 @@ def token_counts(docs: DataFrame, word_path: str | None = None, byte_path: str |
         import public_tokenizers
 
         word_path, byte_path = word_path or public_tokenizers.path(TOKENIZER), byte_path or public_tokenizers.path(RANKS)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", empty_if_null().alias("text"), F.md5(empty_if_null()).alias("digest"))
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", empty_if_null().alias("text"), F.md5(empty_if_null()).alias("digest"))
     schema = "doc_id long, source string, lang string, digest string, byte_tokens long, revised_tokens long, word_tokens long"
     return rows.mapInPandas(_count_rows(word_path, byte_path), schema)
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import held_out, key_text, order_hash, table
+from tallyframe.llm.common import bounded_batches, held_out, key_text, order_hash, table
 
 #: Labelled documents a machine is fitted on at most, chosen by a hash of their key.
 SAMPLE_DOCUMENTS = 12_000
@@ -165,7 +165,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUME
     usable = usable.where(~held_out("_key", FOLDS, HELD_OUT_FOLD))
     chosen = usable.orderBy(order_hash("toxicity", key_text("_key")), "toxic").limit(sample)
     # The sample's keys are bounded by ``sample``, so they can be sent to all executors.
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(chosen), "_key")
+    texts = bounded_batches(docs).select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(chosen), "_key")
     terms = texts.select("toxic", "text").mapInPandas(_sample_terms, "toxic int, terms array<int>")
     rows = terms.repartition(1).mapInPandas(_fit_rows, "term long, weight double, vector array<double>").orderBy("term").collect()
     kept = [r for r in rows if r["term"] >= 0]
@@ -206,7 +206,7 @@ def scored(docs: DataFrame, machine: Machine, text: str = "text", into: str = "t
             out = score_texts(shared.value, batch, known)
             yield pd.DataFrame({"score": out, "predicted": (out >= 0.5).astype(np.int32)})
 
-    return docs.withColumn(into, score(F.col(text)))
+    return bounded_batches(docs).withColumn(into, score(F.col(text)))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
