@@ -7,6 +7,7 @@ import json
 import re
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, replace
+from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
@@ -112,6 +113,20 @@ class Fit:
         )
 
 
+def boosted_chances(fit: Fit, df: DataFrame, rounds: Sequence[int], names: Sequence[str]) -> DataFrame:
+    """A boosted classifier's chance of the second class after each of some numbers of rounds, from one fit.
+
+    After n rounds the score is the weighted sum of the first n trees, and the chance its logistic at twice the score.
+    """
+    scored = fit.pipeline.transform(fit.design.prepare(df))
+    trees, weights = fit.model.trees, fit.model.treeWeights
+    for i in range(max(rounds)):
+        scored = trees[i].setPredictionCol(f"_tree_{i}").transform(scored)
+    score = lambda n: reduce(lambda a, b: a + b, [F.col(f"_tree_{i}") * float(weights[i]) for i in range(n)])
+    chance = lambda n: F.when(F.col("_scorable"), 1 / (1 + F.exp(-2 * score(n))))
+    return scored.select(*df.columns, *[chance(n).alias(name) for n, name in zip(rounds, names)])
+
+
 def unknown_levels(fit: Fit, df: DataFrame) -> DataFrame:
     """Levels of the data that the model has not seen: column, level, rows."""
     text = [

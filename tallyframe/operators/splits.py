@@ -18,7 +18,7 @@ def train_label(key: str, share: float = 0.75, seed: int = 0) -> Column:
 
 
 def split(df: DataFrame, key: str, share: float = 0.75, seed: int = 0) -> dict[str, DataFrame]:
-    """Both parts of a train/validate split; the label is computed in the same pass that reads them."""
+    """Both parts of a train/validate split, each a filter over the input; group by :func:`train_label` to read it once."""
     labelled = df.withColumn("trainvalidate", train_label(key, share, seed))
     return {p: labelled.filter(F.col("trainvalidate") == p) for p in ("train", "validate")}
 
