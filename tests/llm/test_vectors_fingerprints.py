@@ -122,3 +122,30 @@ def test_radius_search_finds_all(spark, bucket_rows):
     for mark, _, asked in rows:
         near = sum(n for other, n, _ in rows if other != mark and (int(other, 16) ^ int(mark, 16)).bit_count() <= simhash.RADIUS)
         assert got.get(mark, 0) == (near if asked else 0)
+
+
+@pytest.mark.parametrize("cell_rows", [1, 64])
+def test_radius_reaches_near_copies(spark, cell_rows):
+    """Texts with a five-word Jaccard similarity of at least 0.8 are within the radius, unrelated ones are not."""
+    draw = np.random.default_rng(5)
+    texts = []
+    for _ in range(60):
+        words = [f"w{x}" for x in draw.integers(0, 5000, 200)]
+        texts.append(words)
+        for changes in (1, 2, 3, 4):
+            copy = list(words)
+            for at in draw.choice(200, changes, replace=False):
+                copy[at] = f"x{draw.integers(0, 5000)}"
+            texts.append(copy)
+    known = simhash.WordHashes()
+    marks = [simhash.fingerprint(" ".join(t), known).tobytes().hex() for t in texts]
+    grams = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    rows = [(m, marks.count(m), True) for m in dict.fromkeys(marks)]
+    got = dict(map(tuple, simhash.near_counts(spark.createDataFrame(rows, "fingerprint string, copies long, asked boolean"), cell_rows=cell_rows).collect()))
+    met = wanted = 0
+    for i, mark in enumerate(marks):
+        near = [sum((int(m, 16) ^ int(mark, 16)).bit_count() <= simhash.RADIUS for m in (marks[j],)) for j in range(len(texts)) if j != i and len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j])]
+        met, wanted = met + sum(near), wanted + len(near)
+        other = sum(marks[j] != mark and (int(marks[j], 16) ^ int(mark, 16)).bit_count() <= simhash.RADIUS for j in range(len(texts)))
+        assert got.get(mark, 0) == other < 5
+    assert wanted > 400 and met >= 0.97 * wanted
