@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import bounded_batches, table
@@ -131,17 +131,17 @@ def _sketched(threshold: float, runs: int) -> Callable[[Iterable[pd.DataFrame]],
         known, number = WordHashes(), TaskContext.get().partitionId() << 36
         for batch in batches:
             out = []
-            for key, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for key, text, mark in zip(batch["doc_id"], batch["text"], batch["mark"], strict=True):
                 found = shingles(text, known)
                 number += 1
                 if len(found):
                     own = sketch(found)
                     _, paths = chosen_paths(np.repeat(own[None, :], runs, 0), starts, threshold)
                     digest = xxhash.xxh3_128_digest(found.tobytes())
-                    out.append((number, key, digest, len(found), own.tobytes(), np.unique(paths).view(np.int64)))
+                    out.append((number, key, mark, digest, len(found), own.tobytes(), np.unique(paths).view(np.int64)))
                 else:
-                    out.append((number, key, number.to_bytes(8, "big"), 0, b"", np.zeros(0, np.int64)))
-            yield pd.DataFrame(out, columns=["rid", "doc_id", "digest", "size", "sketch", "paths"])
+                    out.append((number, key, mark, number.to_bytes(8, "big"), 0, b"", np.zeros(0, np.int64)))
+            yield pd.DataFrame(out, columns=["rid", "doc_id", "mark", "digest", "size", "sketch", "paths"])
 
     return rows
 
@@ -334,24 +334,27 @@ def _shingle_rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out[np.array(same, bool)]
 
 
-def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, depth: int = DEPTH, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """rid, doc_id, class_id, class_size and links, one row per document.
+def text_mark(text: str) -> Column:
+    """Tells texts apart, also where doc_id is missing or repeated."""
+    return F.unhex(F.md5(F.col(text).cast("binary")))
 
-    ``links`` counts the other documents whose similarity is at least the threshold, copies included.
-    ``rid`` tells rows apart that share a doc_id.
-    """
-    texts = bounded_batches(docs).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketched = texts.mapInPandas(_sketched(threshold, runs_needed(recall, depth)), "rid long, doc_id long, digest binary, size int, sketch binary, paths array<long>")
+
+def marked_classes(docs: DataFrame, threshold: float, recall: float, depth: int, key: str, text: str) -> DataFrame:
+    """The columns of ``jaccard_classes``, with the mark of each text and the record that names its class (root)."""
+    texts = bounded_batches(docs).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), text_mark(text).alias("mark"))
+    sketched = texts.mapInPandas(_sketched(threshold, runs_needed(recall, depth)), "rid long, doc_id long, mark binary, digest binary, size int, sketch binary, paths array<long>")
     sketched = materialize(sketched, "sketches")
-    order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("doc_id"), F.col("rid").alias("rid"))
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("doc_id"), F.col("rid").alias("rid"), F.col("mark").alias("mark"))
     sets = sketched.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"))
-    sets = materialize(sets.select("digest", F.col("first.rid").alias("rid"), F.col("first.doc_id").alias("first_id"), "copies"), "sets")
+    sets = materialize(sets.select("digest", F.col("first.rid").alias("rid"), F.col("first.doc_id").alias("first_id"), F.col("first.mark").alias("first_mark"), "copies"), "sets")
 
     records = sketched.where("size > 0").select("rid", "sketch", "paths").join(sets.select("rid"), "rid", "left_semi")
     candidates = components(candidate_links(materialize(records, "records"), threshold, depth))
     named = candidates.select(F.col("node").alias("rid"), F.col("root").alias("candidate")).join(sets, "rid")
     named = materialize(named, "candidates")
-    wanted = texts.join(named.select(F.col("first_id").alias("doc_id"), "candidate", "rid", "copies", "digest").hint("shuffle_hash"), "doc_id")
+    # doc_id may be missing or repeated; with the mark it names a text.
+    fetched = named.select("first_id", "first_mark", "candidate", "rid", "copies", "digest").hint("shuffle_hash")
+    wanted = texts.join(fetched, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark")))
     found = wanted.mapInPandas(_shingle_rows, "candidate long, rid long, copies long, shingles binary").dropDuplicates(["rid"])
     found = materialize(found, "shingles")
     sizes = found.groupBy("candidate").agg(F.count(F.lit(1)).alias("n"))
@@ -363,18 +366,34 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     classed = sets.join(roots.select(F.col("node").alias("rid"), "root"), "rid", "left").join(links, "rid", "left")
     classed = materialize(classed.select("digest", "first_id", "copies", F.coalesce("root", "rid").alias("root"), F.coalesce("others", F.lit(0)).alias("others")), "classed")
     classes = classed.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    answer = classed.join(classes, "root").select("digest", "class_id", "class_size", (F.col("copies") - 1 + F.col("others")).alias("links"))
-    return sketched.select("rid", "doc_id", "digest").join(answer, "digest").select("rid", "doc_id", "class_id", "class_size", "links")
+    answer = classed.join(classes, "root").select("digest", "root", "class_id", "class_size", (F.col("copies") - 1 + F.col("others")).alias("links"))
+    return sketched.select("rid", "doc_id", "mark", "digest").join(answer, "digest").select("rid", "doc_id", "class_id", "class_size", "links", "mark", "root")
+
+
+def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, depth: int = DEPTH, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """rid, doc_id, class_id, class_size and links, one row per document.
+
+    ``links`` counts the other documents whose similarity is at least the threshold, copies included.
+    ``rid`` tells rows apart that share a doc_id.
+    """
+    return marked_classes(docs, threshold, recall, depth, key, text).drop("mark", "root")
 
 
 def first_of_each_class(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, of each class only the one with the least key; rows that share that key stay if their texts differ."""
-    classes = materialize(jaccard_classes(docs, threshold, key=key, text=text), "classes")
-    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_gone"))
-    named_again = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    """The documents, of each class only the one with the least key; rows that share that key stay if their texts differ.
+
+    Of a class in which no row has a key, the text with the least mark stays.
+    """
+    classes = materialize(marked_classes(docs, threshold, RECALL, DEPTH, key, text), "classes")
+    same_key = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    least = classes.where("class_id is null").groupBy("root").agg(F.min("mark").alias("least"))
+    later = classes.where("class_id is null").join(least, "root").where(F.col("mark") != F.col("least"))
+    gone = classes.where(~same_key).select("doc_id", "mark").unionByName(later.select("doc_id", "mark")).distinct()
+    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_gone_mark"))
+    named_again = classes.where(same_key).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     repeated = materialize(named_again.where("n > 1").select(F.col("doc_id").alias("_again")), "repeated")
     number = F.col(key).cast("long")
-    kept = docs.join(gone.distinct(), number == F.col("_gone"), "left_anti")
+    kept = docs.join(gone, number.eqNullSafe(F.col("_gone")) & (text_mark(text) == F.col("_gone_mark")), "left_anti")
     if repeated.isEmpty():
         return kept
     same = number.eqNullSafe(F.col("_again"))

@@ -233,3 +233,24 @@ def test_pipeline_stages(spark, docs, empty_docs, edge_docs):
         odd = corpus_pipeline.materialize(stage(spark, odd, sf), name)
         assert odd.columns == edge_docs.columns
     assert odd.where(F.col("text").isNull()).isEmpty() and langid.UNDETERMINED == "und"
+
+
+def test_near_copies_with_missing_and_repeated_keys(spark):
+    """Rows without a key, and rows that share one, are linked like any others, and only what stands for a class stays."""
+    words = [[f"g{g}w{i}" for i in range(100)] for g in range(4)]
+    near = [" ".join(w[:-1] + ["other"]) for w in words]
+    base = [" ".join(w) for w in words]
+    rows = [
+        (None, base[0]), (None, near[0]), (None, near[0]),  # no key in the class
+        (5, base[1]), (None, near[1]), (None, near[1]),  # a keyed row stands for rows without key
+        (7, near[1]),  # a copy of 5 ...
+        (7, base[2]), (9, near[2]),  # ... whose key names a class of its own
+        (8, base[3]), (8, near[3]),  # a shared key, different texts
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = chosenpath.jaccard_classes(table).select("class_id", "class_size", "links").collect()
+    want = [(None, 3, 2)] * 3 + [(5, 4, 3)] * 4 + [(7, 2, 1)] * 2 + [(8, 2, 1)] * 2
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    left = [tuple(r) for r in chosenpath.first_of_each_class(table).collect()]
+    assert len([x for x in left if x[0] is None]) == 1 and next(x for x in left if x[0] is None)[1] in (base[0], near[0])
+    assert sorted(x for x in left if x[0] is not None) == sorted([(5, base[1]), (7, base[2]), (8, base[3]), (8, near[3])])
