@@ -16,22 +16,22 @@ from tallyframe.llm import chosenpath, langid, mixing, packing, toxicity
 from tallyframe.llm.common import table
 from tallyframe.session import materialize
 
-#: A document stays if the languages learned explain it better than evenly random letters do, and
-#: if one of them has at least this share of it.
-LEAST_LANGUAGE_SHARE = 0.5
+def packed(docs: DataFrame) -> DataFrame:
+    """The rows whole beside their key and text, so that no column of theirs meets a name used by a stage."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine, learned on the labels, does not take for toxic."""
     machine = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, machine, into="_toxicity").where(F.col("_toxicity.predicted") == 0).drop("_toxicity")
+    return toxicity.scored(packed(docs), machine).where(F.col("toxicity.predicted") == 0).select("row.*")
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a leading language; texts that are missing, without letters or like no language go."""
-    found = langid.identified(docs, langid.fit_languages(docs), into="_language")
-    leading = (F.col("_language.lang_pred") != langid.UNDETERMINED) & (F.col("_language.fit") > 0) & (F.col("_language.score") >= LEAST_LANGUAGE_SHARE)
-    return found.where(leading).drop("_language")
+    """Documents in languages that were learned, one or several; texts that are missing or without letters go,
+    and those that evenly random letters explain better than the languages do."""
+    found = langid.identified(packed(docs), langid.fit_languages(docs))
+    return found.where((F.col("language.lang_pred") != langid.UNDETERMINED) & (F.col("language.fit") > 0)).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,8 @@ COORDINATES = 64
 #: Records of a bucket that are compared whole.
 SMALL_BUCKET = 128
 PIVOTS = 4
+#: Records of a bucket that pass its pivots in one task.
+WHOLE_BUCKET = 1024
 #: Sketch similarity from which two records may hang together: four standard errors below 0.8.
 MAY_LINK = 0.59
 #: Sketch similarity to a pivot from which a record leaves its bucket.
@@ -195,25 +197,46 @@ def _compare_small(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _split_large(threshold: float):
-    """Links to pivots, and the next paths, with their sketches, of records that are not close to one. kind 0: a link; 1: a path."""
+    """Links to pivots, and the next paths, with their sketches, of records that are not close to one. kind 0: a link; 1: a path.
+
+    Rows come by bucket and piece, the pivots of a bucket (``head``) before its members.
+    """
 
     def rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: tuple[np.ndarray, np.ndarray] | None = None
         for batch in batches:
             if not len(batch):
                 continue
-            marks, rid = sketch_matrix(batch["sketch"]), batch["rid"].to_numpy()
-            pivots = np.stack([sketch_matrix(batch[f"sketch_{i}"]) for i in range(PIVOTS)], 1)
-            pivot_ids = np.stack([batch[f"pivot_{i}"].to_numpy() for i in range(PIVOTS)], 1)
-            close = (marks[:, None, :] == pivots).mean(2)
-            row, which = np.nonzero((close >= MAY_LINK) & (pivot_ids != rid[:, None]))
-            yield pd.DataFrame({"kind": 0, "x": rid[row], "y": pivot_ids[row, which], "sketch": None})
+            head = batch["head"].to_numpy(bool)
+            ids = np.stack([batch[f"pivot_{i}"].to_numpy()[head] for i in range(PIVOTS)], 1).astype(np.int64).reshape(-1, PIVOTS)
+            known = [sketch_matrix(batch[f"sketch_{i}"][head]) for i in range(PIVOTS)]
+            marked = np.stack(known, 1).reshape(-1, PIVOTS, COORDINATES)
+            if held is not None:
+                ids, marked = np.concatenate([held[0], ids]), np.concatenate([held[1], marked])
+            at = (np.cumsum(head) - 1 + (held is not None))[~head]
+            held = ids[-1:], marked[-1:]
+            members = batch[~head]
+            if not len(members):
+                continue
+            marks, rid = sketch_matrix(members["sketch"]), members["rid"].to_numpy(np.int64)
+            close = np.stack([(marks == marked[at, i]).mean(1) for i in range(PIVOTS)], 1)
+            row, which = np.nonzero((close >= MAY_LINK) & (ids[at] != rid[:, None]))
+            yield pd.DataFrame({"kind": 0, "x": rid[row], "y": ids[at][row, which], "sketch": None})
             stays = np.flatnonzero(close.max(1) < COVERED)
-            row, paths = chosen_paths(marks[stays], batch["bucket"].to_numpy().view(np.uint64)[stays], threshold)
-            yield pd.DataFrame({"kind": 1, "x": rid[stays][row], "y": paths.view(np.int64), "sketch": batch["sketch"].to_numpy()[stays][row]})
+            row, paths = chosen_paths(marks[stays], members["bucket"].to_numpy(np.int64).view(np.uint64)[stays], threshold)
+            yield pd.DataFrame({"kind": 1, "x": rid[stays][row], "y": paths.view(np.int64), "sketch": members["sketch"].to_numpy()[stays][row]})
 
     return rows
 
 
+def _with_heads(members: DataFrame, large: DataFrame, pieces: int) -> DataFrame:
+    """The members of large buckets dealt to ``pieces`` by record, and the bucket's pivots once in each piece."""
+    inside = members.join(large.select("bucket"), "bucket", "left_semi").select(
+        "bucket", F.pmod(F.xxhash64("rid"), F.lit(pieces)).cast("int").alias("piece"), F.lit(False).alias("head"), "rid", "sketch")
+    heads = large.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)))).withColumn("head", F.lit(True))
+    return inside.unionByName(heads.drop("n"), allowMissingColumns=True)
+
+
 def deal_tiles(rows: DataFrame, group: str, key: str, tile: int) -> DataFrame:
     """Cuts every group of ``n`` rows into pieces of about ``tile``; pieces meet pairwise in tiles (i, j), i <= j, as sides 0 and 1."""
     cut = rows.withColumn("_pieces", F.ceil(F.col("n") / tile).cast("int"))
@@ -262,14 +285,24 @@ def candidate_links(records: DataFrame, threshold: float, depth: int) -> DataFra
             break
         if level == depth:
             # Paths of full length are not split further, and nothing is dropped: what they hold meets in tiles.
-            tiles = deal_tiles(sketched(members.join(large.select("bucket", "n"), "bucket")), "bucket", "rid", TILE_RECORDS)
-            links = links.union(by_tile(tiles, "bucket").mapInPandas(_compare_tiles, "a long, b long"))
+            # Buckets of one number of pieces, a power of two, are dealt together; there are as many numbers as doublings.
+            size = F.pow(2.0, F.ceil(F.log2(F.ceil(F.col("n") / TILE_RECORDS)))).cast("long") * TILE_RECORDS
+            sized = materialize(large.select("bucket", size.alias("n")), "full-paths")
+            for n in sorted(r["n"] for r in sized.select("n").distinct().collect()):
+                rows = sketched(members.join(sized.where(F.col("n") == n).select("bucket"), "bucket", "left_semi"))
+                tiles = deal_tiles(rows.select("bucket", "rid", "sketch", F.lit(n).alias("n")), "bucket", "rid", TILE_RECORDS)
+                links = links.union(by_tile(tiles, "bucket").mapInPandas(_compare_tiles, "a long, b long"))
             break
-        large = large.select("bucket", *[f"pivot_{i}" for i in range(PIVOTS)])
+        large = large.select("bucket", "n", *[f"pivot_{i}" for i in range(PIVOTS)])
         for i in range(PIVOTS):
             large = large.join(marks.select(F.col("rid").alias(f"pivot_{i}"), F.col("sketch").alias(f"sketch_{i}")), f"pivot_{i}")
-        rows = sketched(members.join(large, "bucket"))
-        split = materialize(rows.mapInPandas(_split_large(threshold), "kind int, x long, y long, sketch binary"), "split")
+        large, own = materialize(large, "heads"), sketched(members)
+        # A piece's pivots weigh no more than its share of the members does.
+        parts = shuffle_partitions(records.sparkSession)
+        whole = F.col("n") <= max(WHOLE_BUCKET, 4 * parts)
+        dealt = _with_heads(own, large.where(whole), 1).unionByName(_with_heads(own, large.where(~whole), parts))
+        dealt = dealt.repartition(parts, "bucket", "piece").sortWithinPartitions("bucket", "piece", F.col("head").desc())
+        split = materialize(dealt.mapInPandas(_split_large(threshold), "kind int, x long, y long, sketch binary"), "split")
         links = links.union(split.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")))
         members = split.where("kind = 1").select(F.col("x").alias("rid"), F.col("y").alias("bucket"), "sketch")
     return links.distinct()
@@ -389,15 +422,16 @@ def first_of_each_class(docs: DataFrame, threshold: float = THRESHOLD, key: str
     least = classes.where("class_id is null").groupBy("root").agg(F.min("mark").alias("least"))
     later = classes.where("class_id is null").join(least, "root").where(F.col("mark") != F.col("least"))
     gone = classes.where(~same_key).select("doc_id", "mark").unionByName(later.select("doc_id", "mark")).distinct()
-    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_gone_mark"))
     named_again = classes.where(same_key).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    repeated = materialize(named_again.where("n > 1").select(F.col("doc_id").alias("_again")), "repeated")
-    number = F.col(key).cast("long")
-    kept = docs.join(gone, number.eqNullSafe(F.col("_gone")) & (text_mark(text) == F.col("_gone_mark")), "left_anti")
-    if repeated.isEmpty():
-        return kept
-    same = number.eqNullSafe(F.col("_again"))
-    return kept.join(repeated, same, "left_anti").unionByName(kept.join(repeated, same, "left_semi").dropDuplicates([key, text]))
+    repeated = materialize(named_again.where("n > 1").select(F.col("doc_id").alias("again")), "repeated")
+    # Packed, so that no column of the input meets a name used here.
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).cast("long").alias("number"), text_mark(text).alias("own"))
+    kept = packed.join(gone, F.col("number").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("mark")), "left_anti")
+    if not repeated.isEmpty():
+        same = F.col("number").eqNullSafe(F.col("again"))
+        first = kept.join(repeated, same, "left_semi").dropDuplicates(["number", "own"])
+        kept = kept.join(repeated, same, "left_anti").unionByName(first)
+    return kept.select("row.*")
 
 
 def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,14 +37,16 @@ def held_out(key: str, folds: int, fold: int) -> Column:
     return F.crc32(key_text(key).cast("binary")) % folds == fold
 
 
-#: Rows per Arrow batch: texts may be long, and a worker holds a batch whole.
+#: Rows and bytes per Arrow batch: texts may be long, and a worker holds a batch whole.
 BATCH_ROWS = 1000
-_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = 32 << 20
+_ROWS_SETTING, _BYTES_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """The table as it is; its session hands Python at most BATCH_ROWS rows at once from now on."""
+    """The table as it is; its session hands Python at most BATCH_ROWS rows, and about BATCH_BYTES bytes, at once from now on."""
     conf = df.sparkSession.conf
-    if not 0 < int(conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
-        conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    if not 0 < int(conf.get(_ROWS_SETTING)) <= BATCH_ROWS:
+        conf.set(_ROWS_SETTING, str(BATCH_ROWS))
+    conf.set(_BYTES_SETTING, str(BATCH_BYTES))
     return df
