@@ -161,33 +161,95 @@ def lag_in_groups(
     return df.withColumns({name.format(col=c, k=k): F.lag(c, k).over(w) for c in cols for k in lags})
 
 
+def _sorts_before(left: dict[str, Column], right: dict[str, Column], order: Sequence[str]) -> Column:
+    """True if ``left`` comes before ``right`` in the order, missing values last."""
+    out = F.lit(False)
+    for name in reversed(order):
+        down, c = name.startswith("-"), name.removeprefix("-")
+        x, y = left[c], right[c]
+        ahead = F.when(x.isNull() | y.isNull(), x.isNotNull() & y.isNull()).otherwise(x > y if down else x < y)
+        out = ahead | (x.eqNullSafe(y) & out)
+    return out
+
+
+def _plain(order: Sequence[str]) -> list[str]:
+    return [name.removeprefix("-") for name in order]
+
+
+#: Sampled rows behind each limit of a range; affects balance only.
+SAMPLED_PER_CUT = 64
+
+
+def range_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame | None:
+    """Limits that cut the groups too large for one task: ``keys`` and ``_cuts``, the limits in order, in blocks; None if no group is.
+
+    A group is cut if it holds more than half of an even share of the rows, so there are at most two groups
+    to a task and about as many limits. Limits are sampled rows of the group, whatever the type of the order columns.
+    """
+    keys, parts = list(keys), shuffle_partitions(df.sparkSession)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    share = sizes.agg(F.sum("_n")).scalar() / (2 * parts)
+    large = materialize(sizes.filter((F.col("_n") > share) & (F.col("_n") > 1)).withColumn("_pieces", F.ceil(F.col("_n") / share)), "large-groups")
+    if large.isEmpty():
+        return None
+    columns = _plain(order)
+    named = large.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    rows = df.select(*dict.fromkeys([*keys, *columns])).join(F.broadcast(named), same)  # at most two groups to a task
+    sample = rows.filter(F.rand(17) * F.col("_n") < SAMPLED_PER_CUT * F.col("_pieces"))
+    inside = W.partitionBy(*keys)
+    placed = sample.withColumns({"_i": F.row_number().over(inside.orderBy(*order_by(*order))), "_m": F.count(F.lit(1)).over(inside)})
+    step = lambda i: F.floor(i * F.col("_pieces") / F.col("_m"))
+    limits = placed.filter(step(F.col("_i")) > step(F.col("_i") - 1)).filter(F.col("_i") < F.col("_m"))
+    found = limits.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_i", *columns))).alias("_limits"))
+    block = F.ceil(F.sqrt(F.size("_limits"))).cast("int")
+    starts = F.sequence(F.lit(1), F.size("_limits"), block)
+    return materialize(found.select(*keys, F.transform(starts, lambda i: F.slice("_limits", i, block)).alias("_cuts")), "range-cuts")
+
+
+def _range_of(order: Sequence[str]) -> Column:
+    """How many limits of ``_cuts`` a row does not come before: first among the blocks, then inside one."""
+    row = {c: F.col(c) for c in _plain(order)}
+    reached = lambda limit: ~_sorts_before(row, {c: limit[c] for c in row}, order)
+    block = F.size(F.filter("_cuts", lambda b: reached(b[0]))) - 1
+    own = F.when(block >= 0, F.size(F.col("_cuts")[0]) * block + F.size(F.filter(F.get("_cuts", block), reached)))
+    return F.coalesce(own, F.lit(0)).cast("int")
+
+
 def lag_columns(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], lags: Sequence[int], name: str = "{col}_LAG_{k}"
 ) -> DataFrame:
     """Add the value ``k`` rows earlier in the same group, for each column and lag.
 
-    Rows are sorted by group and order over all tasks, so a group may span several parts of the sort.
-    Each part is preceded by the last few rows before it; what these parts hand on is a few rows per
-    task. ``order`` may be of any sortable type, ``-name`` is descending, and rows should be unique in it.
+    Groups too large for one task are cut into ranges of the order (:func:`range_cuts`); each range is preceded by
+    the last few rows before it, which a bounded state per range hands on. The rows themselves are shuffled once.
+    ``order`` may be of any sortable type, ``-name`` is descending, and rows should be unique in it.
     """
+    if not keys:
+        return lag_columns(df.withColumn("_group", F.lit(0)), ["_group"], order, cols, lags, name).drop("_group")
     keys, columns, depth = list(keys), df.columns, max(lags)
-    rows = sorted_parts(df, [*order_by(*keys), *order_by(*order)], "lags")
+    cuts = range_cuts(df, keys, order)
+    lagged = lambda rows, w: rows.withColumns({name.format(col=c, k=k): F.lag(c, k).over(w) for c in cols for k in lags})
+    if cuts is None:
+        return lagged(df, W.partitionBy(*keys).orderBy(*order_by(*order)))
+    named = cuts.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    rows = df.join(F.broadcast(named), same, "left")  # at most two groups to a task
+    rows = rows.withColumn("_range", _range_of(order))
     needed = list(dict.fromkeys([*keys, *cols]))
-    ends = rows.groupBy("_part").agg(F.max("_at").alias("_end"))
-    tails = (
-        rows.join(F.broadcast(ends), "_part")  # one row per task of the sort
-        .filter(F.col("_at") > F.col("_end") - depth)
-        .groupBy("_part")
-        .agg(F.sort_array(F.collect_list(F.struct("_at", *needed))).alias("_tail"))
-    )
-    # Every part listed here has a row, so ``depth`` parts back are enough.
-    earlier = W.orderBy("_part").rowsBetween(-depth, -1)
-    before = F.flatten(F.collect_list("_tail").over(earlier))
-    halo = tails.select("_part", F.slice(before, F.greatest(F.lit(1), F.size(before) - depth + 1), depth).alias("_before"))
-    halo = halo.select("_part", F.posexplode("_before").alias("_i", "_row")).select(
-        "_part", (F.col("_i") - depth).cast("bigint").alias("_at"), *[F.col("_row")[c].alias(c) for c in needed]
+    from_end = [
+        F.col(c.removeprefix("-")).asc_nulls_first() if c.startswith("-") else F.col(c).desc_nulls_first() for c in order
+    ]
+    last = rows.filter(F.col("_cuts").isNotNull()).select(*dict.fromkeys([*needed, *_plain(order)]), "_range")
+    last = last.withColumn("_back", F.row_number().over(W.partitionBy(*keys, "_range").orderBy(*from_end))).filter(F.col("_back") <= depth)
+    # The rest has at most ``depth`` rows to a range.
+    ends = last.groupBy(*keys, "_range").agg(F.sort_array(F.collect_list(F.struct((-F.col("_back")).alias("_at"), F.struct(*needed).alias("_row")))).alias("_end"))
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(-depth, -1)
+    before = F.flatten(F.collect_list("_end").over(earlier))
+    halo = ends.select("_range", F.slice(before, F.greatest(F.lit(1), F.size(before) - depth + 1), depth).alias("_before"))
+    halo = halo.select("_range", F.posexplode("_before").alias("_i", "_one")).select(
+        "_range", (F.col("_i") - depth).alias("_at"), *[F.col("_one._row")[c].alias(c) for c in needed]
     )
-    both = rows.unionByName(halo, allowMissingColumns=True)
-    w = W.partitionBy(*keys, "_part").orderBy("_at")
-    new = {name.format(col=c, k=k): F.lag(c, k).over(w) for c in cols for k in lags}
-    return both.withColumns(new).filter(F.col("_at") >= 0).select(*columns, *new)
+    both = rows.select(*columns, "_range", F.lit(0).alias("_at")).unionByName(halo, allowMissingColumns=True)
+    new = lagged(both, W.partitionBy(*keys, "_range").orderBy("_at", *order_by(*order)))
+    return new.filter(F.col("_at") == 0).drop("_range", "_at")

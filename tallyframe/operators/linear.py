@@ -8,13 +8,13 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
+from pyspark.sql import types as T
 
 from tallyframe.operators.joins import left_on
+from tallyframe.session import materialize
 
-TERM_SCHEMA = "term string, estimate double, std_error double, statistic double, p_value double"
 GLANCE_SCHEMA = (
     "r_squared double, adj_r_squared double, sigma double, f_statistic double, p_value double, "
     "df bigint, aic double, bic double, n bigint"
@@ -60,11 +60,11 @@ def lm_factor(df: DataFrame, y: str, level: str, base: str) -> DataFrame:
         .groupBy(level)
         .agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean"), F.var_pop(y).alias("var"))
     )
-    # One row per level reaches this window.
-    whole = W.partitionBy()
+    groups = materialize(groups, "level-means")
     is_base = F.col(level) == base
-    of_base = lambda c: F.max(F.when(is_base, F.col(c))).over(whole)
-    sigma2 = F.sum(F.col("n") * F.col("var")).over(whole) / (F.sum("n").over(whole) - F.count(F.lit(1)).over(whole))
+    of_base = lambda c: groups.filter(is_base).agg(F.max(c)).scalar()
+    whole = lambda c: groups.agg(c).scalar()
+    sigma2 = whole(F.sum(F.col("n") * F.col("var"))) / (whole(F.sum("n")) - whole(F.count(F.lit(1))))
     error = F.when(is_base, 1 / F.col("n")).otherwise(1 / F.col("n") + 1 / of_base("n"))
     return groups.select(
         F.when(is_base, "(Intercept)").otherwise(F.concat(F.lit(level), F.col(level))).alias("term"),
@@ -74,114 +74,143 @@ def lm_factor(df: DataFrame, y: str, level: str, base: str) -> DataFrame:
 
 
 def level_sums(df: DataFrame, y: str, level: str, xs: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Per group and level, the sums behind ``y ~ level + xs``.
+    """Per group and level: rows ``n``, means ``m`` of ``xs`` and ``y``, and centred products ``c`` of every pair of them.
 
-    A level column's dummies are zero nearly everywhere, so their products are
-    just the sums within each level: a few columns here instead of one per pair
-    of dummies.
+    Products are taken about the level's own means, so a response far from zero costs no digits.
     """
-    numeric = [y, *xs]
+    numeric = [*xs, y]
     complete = df.dropna(subset=[*numeric, level])
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.sum(F.col(c).cast("double")).alias(f"s_{i}") for i, c in enumerate(numeric)]
-    aggs += [
-        F.sum(F.col(numeric[i]).cast("double") * F.col(numeric[j]).cast("double")).alias(f"p_{i}_{j}")
-        for i in range(len(numeric))
-        for j in range(i, len(numeric))
-    ]
-    return complete.groupBy(*keys, F.col(level).cast("string").alias("_level")).agg(*aggs)
-
-
-def _normal_equations(pdf: pd.DataFrame, xs: Sequence[str], level: str):
-    """XᵀX, Xᵀy, yᵀy, Σy, n and term names from one group's level sums."""
-    pdf = pdf.sort_values("_level").reset_index(drop=True)
-    k, m = len(xs), len(pdf)
-    total = pdf.drop(columns=["_level"]).select_dtypes("number").sum()
-    size = m + k  # intercept, m - 1 levels, k numeric terms
-    a, b = np.zeros((size, size)), np.zeros(size)
-    a[0, 0], b[0] = total["n"], total["s_0"]
-    for r in range(1, m):
-        a[0, r] = a[r, 0] = a[r, r] = pdf.at[r, "n"]
-        b[r] = pdf.at[r, "s_0"]
-    for i in range(1, k + 1):
-        c = m + i - 1
-        a[0, c] = a[c, 0] = total[f"s_{i}"]
-        b[c] = total[f"p_0_{i}"]
-        for r in range(1, m):
-            a[r, c] = a[c, r] = pdf.at[r, f"s_{i}"]
-        for j in range(i, k + 1):
-            a[c, m + j - 1] = a[m + j - 1, c] = total[f"p_{i}_{j}"]
-    names = ["(Intercept)"] + [f"{level}{v}" for v in pdf["_level"][1:]] + list(xs)
-    return a, b, total["p_0_0"], total["s_0"], int(total["n"]), names
-
-
-def _fit(pdf: pd.DataFrame, xs, level):
-    a, b, yy, sy, n, names = _normal_equations(pdf, xs, level)
-    # Columns are scaled to unit length first, which keeps the solve well conditioned.
+    value = [F.col(c).cast("double") for c in numeric]
+    pairs = [(i, j) for i in range(len(numeric)) for j in range(i, len(numeric))]
+    sums = complete.groupBy(*keys, F.col(level).cast("string").alias("_level")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.avg(v) for v in value]).alias("m"),
+        F.array(*[F.count(F.lit(1)) * F.covar_pop(value[i], value[j]) for i, j in pairs]).alias("c"),
+    )
+    return sums
+
+
+def _square(packed: Sequence[float], size: int) -> np.ndarray:
+    """A symmetric matrix from its upper triangle."""
+    out = np.zeros((size, size))
+    out[np.triu_indices(size)] = packed
+    return out + np.triu(out, 1).T
+
+
+def _scaled_inverse(a: np.ndarray) -> np.ndarray:
+    """Pseudo-inverse after scaling columns to unit length, which keeps it well conditioned; columns without spread give zeros."""
     scale = np.sqrt(np.diag(a))
-    keep = scale > 0
-    a, b, scale = a[np.ix_(keep, keep)], b[keep], scale[keep]
-    names = [t for t, k in zip(names, keep) if k]
-    inverse = np.linalg.pinv(a / np.outer(scale, scale), hermitian=True) / np.outer(scale, scale)
-    beta = inverse @ b
-    rss = max(yy - beta @ b, 0.0)
-    return names, beta, inverse, rss, yy - sy * sy / n, n
+    scale[scale <= 0] = 1.0
+    return np.linalg.pinv(a / np.outer(scale, scale), rcond=1e-12, hermitian=True) / np.outer(scale, scale)
 
 
-def lm_group_tidy(df: DataFrame, y: str, level: str, xs: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Per group, the coefficient table of ``y ~ level + xs``.
+FIT_SCHEMA = "beta array<double>, inverse array<array<double>>, rss double, dof bigint, tss double, rows bigint, levels bigint"
+
+
+def level_fits(sums: DataFrame, xs: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Per group, the fit of ``y ~ level + xs`` with the levels swept out: slopes, their unscaled covariance, residual sum.
 
-    Spark reduces the rows to one line of sums per group and level; only those
-    lines reach Python, where each group's small system is solved.
+    The dummies' block of the normal equations is diagonal, so what is left once it is eliminated is the sum
+    of the centred products over the levels, a matrix as wide as ``xs``, however many levels there are.
     """
-    keys = list(keys)
+    k, keys = len(xs), list(keys)
+    n, size = F.col("n"), k + 1
+    width = size * (size + 1) // 2
+    of_y = sums.groupBy(*keys).agg((F.sum(n * F.col("m")[k]) / F.sum(n)).alias("_mean"))
+    apart = F.col("m")[k] - F.col("_mean")
+    grouped = left_on(sums, of_y, keys).groupBy(*keys).agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("levels"),
+        F.array(*[F.sum(F.col("c")[i]) for i in range(width)]).alias("within"),
+        # Spread of the level means of y: what the levels alone explain.
+        F.sum(n * apart * apart).alias("between"),
+    )
+
+    @F.pandas_udf(FIT_SCHEMA)
+    def solve(within: pd.Series, between: pd.Series, rows: pd.Series, levels: pd.Series) -> pd.DataFrame:
+        out = []
+        for packed, over, count, many in zip(within, between, rows, levels, strict=True):
+            square = _square(packed, size)
+            s, b, yy = square[:k, :k], square[:k, k], square[k, k]
+            inverse = _scaled_inverse(s)
+            beta = inverse @ b
+            rss = max(yy - 2 * beta @ b + beta @ s @ beta, 0.0)
+            spread = int((np.diag(s) > 0).sum())
+            out.append((beta.tolist(), inverse.tolist(), rss, int(count) - int(many) - spread, yy + over, int(count), int(many)))
+        return pd.DataFrame(out, columns=["beta", "inverse", "rss", "dof", "tss", "rows", "levels"])
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        names, beta, inverse, rss, _, n = _fit(pdf, xs, level)
-        dof = n - len(beta)
-        se = np.sqrt(rss / dof * np.diag(inverse)) if dof > 0 else np.full(len(beta), np.nan)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = beta / se
-        p = [student_t_two_sided(v, dof) for v in t]
-        out = pd.DataFrame({"term": names, "estimate": beta, "std_error": se, "statistic": t, "p_value": p})
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[[*keys, "term", "estimate", "std_error", "statistic", "p_value"]]
+    return grouped.select(*keys, F.inline(F.array(solve("within", "between", "rows", "levels"))))
 
-    sums = level_sums(df, y, level, xs, keys)
-    return sums.groupBy(*keys).applyInPandas(solve, f"{_key_schema(sums, keys)}, {TERM_SCHEMA}")
+
+@F.pandas_udf(T.DoubleType())
+def student_p(t: pd.Series, dof: pd.Series) -> pd.Series:
+    return pd.Series([student_t_two_sided(v, int(d)) for v, d in zip(t, dof, strict=True)])
+
+
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def quadratic_form(x: Column, matrix: Column) -> Column:
+    """x' M x"""
+    return _dot(x, F.transform(matrix, lambda line: _dot(line, x)))
+
+
+def lm_group_tidy(df: DataFrame, y: str, level: str, xs: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Per group, the coefficient table of ``y ~ level + xs``, the first level as base.
+
+    Slopes come from one small system per group; each level's estimate and error then follow from its own
+    means by a join, so a group may have any number of levels. Columns without spread inside the levels give no row.
+    """
+    if not keys:
+        return lm_group_tidy(df.withColumn("_group", F.lit(0)), y, level, xs, ["_group"]).drop("_group")
+    keys, k = list(keys), len(xs)
+    sums = materialize(level_sums(df, y, level, xs, keys), "level-sums")
+    fits = materialize(level_fits(sums, xs, keys), "level-fits")
+    first = sums.groupBy(*keys).agg(F.min(F.struct("_level", "n", "m")).alias("_base"))
+    named = left_on(left_on(sums, fits, keys), first, keys)
+    sigma2 = F.when(F.col("dof") > 0, F.col("rss") / F.col("dof"))
+    x, x0 = F.slice("m", 1, k), F.slice(F.col("_base.m"), 1, k)
+    is_base = F.col("_level") == F.col("_base._level")
+    shift = F.zip_with(x, x0, lambda a, b: a - b)
+    own = F.col("m")[k] - _dot(F.col("beta"), x)
+    of_base = F.col("_base.m")[k] - _dot(F.col("beta"), x0)
+    levels = named.select(
+        *keys, F.when(is_base, "(Intercept)").otherwise(F.concat(F.lit(level), F.col("_level"))).alias("term"),
+        F.when(is_base, own).otherwise(own - of_base).alias("estimate"),
+        F.sqrt(sigma2 * F.when(is_base, 1 / F.col("n") + quadratic_form(x, F.col("inverse")))
+               .otherwise(1 / F.col("n") + 1 / F.col("_base.n") + quadratic_form(shift, F.col("inverse")))).alias("std_error"),
+        "dof")
+    slopes = F.array(*[
+        F.struct(F.lit(c).alias("term"), F.col("beta")[i].alias("estimate"), F.col("inverse")[i][i].alias("v")) for i, c in enumerate(xs)])
+    numbers = fits.select(*keys, F.inline(slopes), "dof", sigma2.alias("s2")).filter("v > 0").select(
+        *keys, "term", "estimate", F.sqrt(F.col("s2") * F.col("v")).alias("std_error"), "dof")
+    t = F.try_divide("estimate", "std_error")
+    rows = levels.unionByName(numbers).withColumn("statistic", t).withColumn("p_value", student_p(F.col("statistic"), F.col("dof")))
+    return rows.select(*keys, "term", "estimate", "std_error", "statistic", "p_value")
 
 
 def lm_group_glance(df: DataFrame, y: str, level: str, xs: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Per group, the fit measures of ``y ~ level + xs``."""
+    if not keys:
+        return lm_group_glance(df.withColumn("_group", F.lit(0)), y, level, xs, ["_group"]).drop("_group")
     keys = list(keys)
-
-    def measure(pdf: pd.DataFrame) -> pd.DataFrame:
-        names, beta, _, rss, tss, n = _fit(pdf, xs, level)
-        p = len(beta)
-        dof = n - p
-        r2 = 1 - rss / tss
-        f = (tss - rss) / (p - 1) / (rss / dof)
-        loglik = -n / 2 * (math.log(2 * math.pi) + math.log(rss / n) + 1)
-        row = {k: pdf[k].iloc[0] for k in keys} | {
-            "r_squared": r2,
-            "adj_r_squared": 1 - (1 - r2) * (n - 1) / dof,
-            "sigma": math.sqrt(rss / dof),
-            "f_statistic": f,
-            "p_value": f_upper_tail(f, p - 1, dof),
-            "df": p,
-            "aic": -2 * loglik + 2 * (p + 1),
-            "bic": -2 * loglik + math.log(n) * (p + 1),
-            "n": n,
-        }
-        return pd.DataFrame([row])
-
-    sums = level_sums(df, y, level, xs, keys)
-    return sums.groupBy(*keys).applyInPandas(measure, f"{_key_schema(sums, keys)}, {GLANCE_SCHEMA}")
-
-
-def _key_schema(df: DataFrame, keys: Sequence[str]) -> str:
-    return ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    fits = level_fits(materialize(level_sums(df, y, level, xs, keys), "level-sums"), xs, keys)
+
+    @F.pandas_udf(GLANCE_SCHEMA)
+    def measure(rss: pd.Series, tss: pd.Series, rows: pd.Series, dof: pd.Series) -> pd.DataFrame:
+        out = []
+        for rest, all_, n, left in zip(rss, tss, rows, dof, strict=True):
+            p = n - left
+            with np.errstate(divide="ignore", invalid="ignore"):
+                r2 = 1 - np.float64(rest) / all_
+                f = np.float64(all_ - rest) / (p - 1) / (np.float64(rest) / left)
+                loglik = -n / 2 * (math.log(2 * math.pi) + np.log(np.float64(rest) / n) + 1)
+                out.append((
+                    r2, 1 - (1 - r2) * np.float64(n - 1) / left, math.sqrt(rest / left) if left > 0 else math.nan, f, f_upper_tail(f, p - 1, left),
+                    p, -2 * loglik + 2 * (p + 1), -2 * loglik + math.log(n) * (p + 1), n))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in GLANCE_SCHEMA.split(", ")])
+
+    return fits.select(*keys, F.inline(F.array(measure("rss", "tss", "rows", "dof"))))
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
@@ -23,9 +25,10 @@ from pyspark.sql import types as T
 
 from tallyframe.functions.nulls import is_in
 from tallyframe.operators.formula import with_products
-from tallyframe.operators.linear import student_t_two_sided
+from tallyframe.operators.linear import quadratic_form, student_p, student_t_two_sided
 from tallyframe.operators.tables import levels_of
-from tallyframe.session import ensure_checkpoints, materialize
+from tallyframe.session import ensure_checkpoints, materialize, scratch_path
+from tallyframe.sources.published import PublishedTable
 
 
 @dataclass
@@ -34,7 +37,8 @@ class Design:
 
     Level columns are indexed by sorted level; the first level is the base. A
     row is scorable when its numeric inputs are present and its levels known;
-    other rows keep their place and get a missing prediction.
+    other rows keep their place and get a missing prediction. Levels are looked
+    up in a dictionary, so a column may have as many as the model has room for.
     """
 
     numeric: list[str]
@@ -59,19 +63,21 @@ class Design:
             inputs[f"{c}__in"] = F.coalesce(value, F.lit(0.0))
             ok = ok & value.isNotNull()
         for c, levels in self.levels.items():
-            known = is_in(F.col(c).cast("string"), levels)
-            inputs[f"{c}__in"] = F.when(known, F.col(c).cast("string")).otherwise(levels[0])
+            # The encoder leaves out the last index, so the base level goes there.
+            order = levels[1:] + levels[:1] if self.one_hot else levels
+            look_up = StringIndexerModel.from_labels(order, inputCol=f"{c}__text", outputCol=f"{c}__found", handleInvalid="keep")
+            df = look_up.transform(df.withColumn(f"{c}__text", F.col(c).cast("string")))
+            known = F.col(f"{c}__found") < len(levels)
+            inputs[f"{c}__index"] = F.when(known, F.col(f"{c}__found")).otherwise(0.0)
             ok = ok & known
-        return df.withColumns(inputs | {"_scorable": ok})
+        df = df.withColumns(inputs | {"_scorable": ok}).drop(*[f"{c}__{x}" for c in self.levels for x in ("text", "found")])
+        for c, levels in self.levels.items():
+            df = df.withMetadata(f"{c}__index", {"ml_attr": {"type": "nominal", "num_vals": len(levels), "name": f"{c}__index"}})
+        return df
 
     def stages(self) -> list:
         stages, inputs = [], [f"{c}__in" for c in self.numeric]
-        for c, levels in self.levels.items():
-            # The encoder leaves out the last index, so the base level goes there.
-            order = levels[1:] + levels[:1] if self.one_hot else levels
-            stages.append(
-                StringIndexerModel.from_labels(order, inputCol=f"{c}__in", outputCol=f"{c}__index", handleInvalid="error")
-            )
+        for c in self.levels:
             inputs.append(f"{c}__index")
             if self.one_hot:
                 stages.append(OneHotEncoder(inputCol=f"{c}__index", outputCol=f"{c}__dummies", dropLast=True))
@@ -88,6 +94,8 @@ class Fit:
     # For an absorbed level column: its name, and a table of its levels' effects.
     absorb: str | None = None
     effects: DataFrame | None = None
+    # The inverse of the deviations' sums of products, for the errors of the levels' effects.
+    inverse: list[list[float]] | None = None
 
     @property
     def model(self) -> Model:
@@ -221,11 +229,13 @@ def estimate_model(
             most = max((len(v) for v in found.values()), default=0)
             columns[estimator.maxBins] = max(most, estimator.getOrDefault("maxBins"))
         ensure_checkpoints(df.sparkSession)
-        effects = None
+        effects = inverse = None
         if absorb:
             means = materialize(level_means(points), "level-means")
-            fitted = estimator.copy(columns | {estimator.fitIntercept: False}).fit(deviations(points, means))
+            apart = deviations(points, means)
+            fitted = estimator.copy(columns | {estimator.fitIntercept: False}).fit(apart)
             effects = materialize(level_effects(means, fitted.coefficients.toArray().tolist()), "level-effects")
+            inverse = np.linalg.pinv(sums_of_products(apart), rcond=1e-14, hermitian=True).tolist()
         else:
             # Other estimators keep their own form of the points between iterations; this one does not.
             rereads = isinstance(estimator, GeneralizedLinearRegression)
@@ -238,13 +248,13 @@ def estimate_model(
                     points.unpersist()
     finally:
         data.unpersist()
-    return Fit(PipelineModel([*encode.stages, fitted]), design, absorb, effects)
+    return Fit(PipelineModel([*encode.stages, fitted]), design, absorb, effects, inverse)
 
 
 def level_means(points: DataFrame) -> DataFrame:
-    """Mean label and mean features per level, combined map-side."""
+    """Rows, mean label and mean features per level, combined map-side."""
     return points.groupBy("_level").agg(
-        F.avg("label").alias("_label"), vector_to_array(Summarizer.mean(F.col("features"))).alias("_features")
+        F.count(F.lit(1)).alias("_n"), F.avg("label").alias("_label"), vector_to_array(Summarizer.mean(F.col("features"))).alias("_features")
     )
 
 
@@ -257,10 +267,18 @@ def deviations(points: DataFrame, means: DataFrame) -> DataFrame:
 
 
 def level_effects(means: DataFrame, coefficients: Sequence[float]) -> DataFrame:
-    """What the coefficients leave of each level's mean label."""
+    """What the coefficients leave of each level's mean label; its rows and mean features."""
     betas = F.array(*[F.lit(float(b)) for b in coefficients])
     explained = F.aggregate(F.zip_with("_features", betas, lambda x, b: x * b), F.lit(0.0), lambda s, x: s + x)
-    return means.select(F.col("_level").alias("level"), (F.col("_label") - explained).alias("effect"))
+    return means.select(F.col("_level").alias("level"), (F.col("_label") - explained).alias("effect"), F.col("_n").alias("n"), F.col("_features").alias("means"))
+
+
+def sums_of_products(deviations: DataFrame) -> np.ndarray:
+    """X'X of features that average to zero, as wide as there are terms: from their correlations and deviations, one pass each."""
+    spread = deviations.agg(Summarizer.metrics("std", "count").summary(F.col("features")).alias("s")).select("s.std", "s.count").first()
+    sd = spread["std"].toArray()
+    r = Correlation.corr(deviations, "features").first()[0].toArray()
+    return np.nan_to_num(r) * np.outer(sd, sd) * (spread["count"] - 1)
 
 
 def linear_regression() -> LinearRegression:
@@ -297,8 +315,15 @@ def model_summary(fit: Fit, spark: SparkSession) -> DataFrame:
     table = spark.createDataFrame(rows, "term string, estimate double, std_error double, statistic double, p_value double")
     if not fit.absorb:
         return table
-    levels = fit.effects.select(F.concat(F.lit(f"{fit.absorb}_"), F.col("level")).alias("term"), F.col("effect").alias("estimate"))
-    return table.unionByName(levels, allowMissingColumns=True)
+    levels = fit.effects.select(F.concat(F.lit(f"{fit.absorb}_"), F.col("level")).alias("term"), F.col("effect").alias("estimate"), "n", "means")
+    if fit.inverse is None or errors[0] is None:
+        return table.unionByName(levels.drop("n", "means"), allowMissingColumns=True)
+    # A level's effect is its mean label less the slopes times its mean features: both parts vary.
+    sigma2 = s.meanSquaredError * s.numInstances / left if left > 0 else float("nan")
+    matrix = F.array(*[F.array(*[F.lit(float(v)) for v in line]) for line in fit.inverse])
+    levels = levels.withColumn("std_error", F.sqrt(F.lit(sigma2) * (1 / F.col("n") + quadratic_form(F.col("means"), matrix))))
+    levels = levels.withColumn("statistic", F.try_divide("estimate", "std_error")).withColumn("p_value", student_p(F.col("statistic"), F.lit(left)))
+    return table.unionByName(levels.drop("n", "means"))
 
 
 def fit_measures(fit: Fit, spark: SparkSession) -> DataFrame:
@@ -341,21 +366,95 @@ def kmeans_fit(df: DataFrame, vector: str, k: int, seed: int = 1, iterations: in
         points.unpersist()
 
 
-def kmeans_multistart(df: DataFrame, vector: str, k: int, starts: int = 8, iterations: int = 20):
-    """Best of several random starts by within-cluster sum of squares.
+#: Points that starts are drawn from: those with the smallest hashes, at most so many.
+START_SAMPLE = 10_000
+
+
+def start_centres(points: DataFrame, vector: str, k: int, count: int, seed: int, sample: int = START_SAMPLE) -> np.ndarray:
+    """``count`` sets of ``k`` different points each, drawn from a bounded sample that does not depend on the partitions."""
+    order = F.xxhash64(F.lit(seed), F.col(vector))
+    rows = points.select(vector, order.alias("_order")).orderBy("_order", vector).limit(max(sample, 2 * k)).collect()
+    pool = np.unique(np.array([r[0] for r in rows], float), axis=0)
+    if len(pool) < k:
+        raise ValueError(f"{len(pool)} different points for {k} clusters")
+    draw = np.random.default_rng(seed)
+    return np.stack([pool[draw.choice(len(pool), k, replace=False)] for _ in range(count)])
+
 
-    Returns the model and a table of every start's cost. The points are read
-    once and kept by the executors across starts.
+def assigned(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre and the squared distance to it, of every point for every set of centres: (sets, points) each."""
+    sets, k, width = centres.shape
+    cross = (points @ centres.reshape(-1, width).T).reshape(len(points), sets, k)
+    squares = (points**2).sum(1)[:, None, None] - 2 * cross + (centres**2).sum(2)[None]
+    nearest = squares.argmin(2)
+    return nearest.T, np.maximum(np.take_along_axis(squares, nearest[:, :, None], 2)[:, :, 0], 0.0).T
+
+
+def lloyd_round(points: DataFrame, vector: str, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One round of all sets of centres at once: counts (sets, k), sums (sets, k, width), within squares (sets).
+
+    A task sums over its points; the sums of a set meet in one row per task, and only they leave the executors.
     """
-    points = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
+    sets, k, width = centres.shape
+    shared = points.sparkSession.sparkContext.broadcast(centres)  # sets x k x width numbers, all of them parameters
+
+    def partial(batches):
+        mine, state = shared.value, np.zeros((sets, k * (width + 1) + 1))
+        for batch in batches:
+            for at in range(0, len(batch), 1024):
+                x = np.array(batch[vector].iloc[at : at + 1024].tolist(), float).reshape(-1, width)
+                nearest, squares = assigned(x, mine)
+                for i in range(sets):
+                    member = np.zeros((k, len(x)))
+                    member[nearest[i], np.arange(len(x))] = 1.0
+                    state[i, :k] += member.sum(1)
+                    state[i, k:-1] += (member @ x).ravel()
+                    state[i, -1] += squares[i].sum()
+        yield pd.DataFrame({"one": range(sets), "state": [line.tobytes() for line in state]})
+
+    def merged(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(x) for x in rows["state"]], axis=0)
+        return pd.DataFrame({"one": rows["one"].iloc[:1], "state": [total.tobytes()]})
+
+    schema = "one int, state binary"
+    rows = points.select(vector).mapInPandas(partial, schema).groupBy("one").applyInPandas(merged, schema).collect()
+    shared.unpersist()
+    state = np.stack([np.frombuffer(r["state"]) for r in sorted(rows, key=lambda r: r["one"])])
+    return state[:, :k], state[:, k:-1].reshape(sets, k, width), state[:, -1]
+
+
+def kmeans_multistart(
+    df: DataFrame, vector: str, k: int, runs: int = 8, starts: int = 50, iterations: int = 35, seed: int = 1, tolerance: float = 1e-9
+) -> tuple[DataFrame, DataFrame]:
+    """``runs`` times ``starts`` random starts of at most ``iterations`` rounds; the best by within-cluster sum of squares.
+
+    All starts are one state and every round one pass over the points, which the executors keep meanwhile; starts
+    whose centres rest take no further part. Returns the best centres (``cluster``, ``centre``) and a table of
+    ``run``, ``start``, ``rounds`` and ``within_ss``. A cluster that loses all its points keeps its centre.
+    """
+    points = df.select(F.col(vector).cast("array<double>").alias(vector)).filter(F.col(vector).isNotNull())
     points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fits = [KMeans(k=k, seed=s, initMode="random", maxIter=iterations).fit(points) for s in range(1, starts + 1)]
+        centres = np.concatenate([start_centres(points, vector, k, starts, seed + run) for run in range(runs)])
+        cost, rounds, moving = np.zeros(len(centres)), np.zeros(len(centres), int), np.arange(len(centres))
+        for _ in range(iterations):
+            counts, sums, _ = lloyd_round(points, vector, centres[moving])
+            means = np.where(counts[:, :, None] > 0, sums / np.maximum(counts, 1)[:, :, None], centres[moving])
+            shift = ((means - centres[moving]) ** 2).sum((1, 2))
+            centres[moving], rounds[moving] = means, rounds[moving] + 1
+            moving = moving[shift > tolerance]
+            if not len(moving):
+                break
+        cost = lloyd_round(points, vector, centres)[2]
     finally:
         points.unpersist()
-    costs = [float(f.summary.trainingCost) for f in fits]
-    table = df.sparkSession.createDataFrame(list(enumerate(costs, 1)), "start bigint, within_ss double")
-    return fits[costs.index(min(costs))], table
+    spark = df.sparkSession
+    table = [(i // starts + 1, i % starts + 1, int(n), float(c)) for i, (n, c) in enumerate(zip(rounds, cost, strict=True))]
+    best = [(i, c.tolist()) for i, c in enumerate(centres[int(cost.argmin())])]
+    return (
+        spark.createDataFrame(best, "cluster bigint, centre array<double>"),
+        spark.createDataFrame(table, "run bigint, start bigint, rounds bigint, within_ss double"),
+    )
 
 
 def cluster_points(model, df: DataFrame, vector: str) -> DataFrame:
@@ -409,30 +508,46 @@ def kmeans_step(df: DataFrame, vector: str, centres: DataFrame) -> DataFrame:
     )
 
 
-def model_store(fit: Fit, folder: str, name: str, registry: str, spark: SparkSession) -> DataFrame:
-    """Save a fitted model under ``folder/name`` and record it in the registry.
+STORED = (
+    "Model_Name string, created date, Model array<struct<path:string,content:binary>>, design string, absorb string, "
+    "effects array<struct<level:string,effect:double,n:bigint,means:array<double>>>, inverse array<array<double>>"
+)
+
+
+def model_store(fit: Fit, name: str, registry: str, spark: SparkSession) -> DataFrame:
+    """Keep a fitted model in one row of the registry table, and return the registry.
 
-    The registry is a table with one row per name, kept as one folder per name
-    so that a new save replaces only its own row.
+    The row holds the model's files, its design and the effects of absorbed levels, so it scores by itself. The
+    registry is published as a whole: readers see either the old row of that name or the new one.
     """
-    path = f"{folder}/{name}"
-    fit.pipeline.write().overwrite().save(path)
-    if fit.absorb:
-        fit.effects.write.mode("overwrite").parquet(f"{path}-effects")
-    entry = spark.createDataFrame(
-        [(name, dt.date.today(), path, json.dumps(asdict(fit.design)), fit.absorb)],
-        "Model_Name string, created date, path string, design string, absorb string",
-    )
-    entry.coalesce(1).write.mode("overwrite").parquet(f"{registry}/name={name}")
-    return spark.read.parquet(registry).drop("name")
+    path = scratch_path(spark, "model")
+    fit.pipeline.write().save(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    inside = F.concat(F.lit("/"), F.element_at(F.split("path", path.rsplit("/", 1)[1] + "/"), -1))
+    packed = files.agg(F.collect_list(F.struct(inside.alias("path"), "content")).alias("Model"))
+    entry = spark.createDataFrame([(name, dt.date.today(), json.dumps(asdict(fit.design)), fit.absorb, fit.inverse)],
+                                  "Model_Name string, created date, design string, absorb string, inverse array<array<double>>")
+    effects = fit.effects.agg(F.collect_list(F.struct("level", "effect", "n", "means"))).scalar() if fit.absorb else F.lit(None)
+    fields = T.StructType.fromDDL(STORED)
+    row = entry.withColumns({"Model": packed.scalar(), "effects": effects}).select(*[F.col(f.name).cast(f.dataType) for f in fields])
+    table = PublishedTable(spark, registry)
+    if not table.commits().isEmpty():
+        row = table.read().filter(F.col("Model_Name") != name).unionByName(row)
+    return table.publish(row.repartition(1), uuid.uuid4().hex)
 
 
 def model_load(registry: str, name: str, spark: SparkSession) -> Fit:
-    """Load the stored model of that name."""
-    row = spark.read.parquet(registry).filter(F.col("Model_Name") == name).first()
+    """Load the stored model of that name from its row."""
+    row = PublishedTable(spark, registry).read().filter(F.col("Model_Name") == name).first()
     if row is None:
         raise KeyError(name)
+    path = scratch_path(spark, "model")
+    for part in row["Model"]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path + part["path"])
+        out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+        out.write(part["content"])
+        out.close()
     d = json.loads(row["design"])
     design = Design(d["numeric"], d["levels"], [tuple(t) for t in d["products"]], d["one_hot"])
-    effects = spark.read.parquet(f"{row['path']}-effects") if row["absorb"] else None
-    return Fit(PipelineModel.load(row["path"]), design, row["absorb"], effects)
+    effects = spark.createDataFrame(row["effects"], T.StructType.fromDDL(STORED)["effects"].dataType.elementType) if row["absorb"] else None
+    return Fit(PipelineModel.load(path), design, row["absorb"], effects, row["inverse"])

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators.distribute import running_totals
+from tallyframe.operators.joins import left_on
+from tallyframe.session import materialize
 
 
 def long_form(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -20,19 +22,64 @@ def long_form(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> D
     return df.select(*keys, F.inline(F.array(*pairs)))
 
 
+#: Points of the sketch, and its accuracy: its values are off by at most one part in so many of the rows.
+GRID, ACCURACY = 2000, 10_000
+
+
+def _order_statistics(p: float, n: Column) -> tuple[Column, Column]:
+    """Places (from 0) of the two values that the quantile lies between."""
+    at = F.lit(float(p)) * (n - 1)
+    return F.floor(at), F.ceil(at)
+
+
+def _brackets(probs: Sequence[float], n: Column, grid: Column) -> Column:
+    """For each probability a range of values that holds its order statistics, from a sketch of the column."""
+    slack, out = 4.0 / ACCURACY, []
+    for p in sorted(probs):
+        low, high = _order_statistics(p, n)
+        first = F.floor((low / n - slack) * GRID) - 1
+        last = F.ceil(((high + 1) / n + slack) * GRID) + 1
+        end = lambda i, beyond: F.coalesce(F.get(grid, i.cast("int")), F.lit(beyond))
+        out.append(F.struct(end(first, float("-inf")).alias("lo"), end(last, float("inf")).alias("hi")))
+    return F.array(*out)
+
+
+def narrowed(values: DataFrame, probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """The values with their numbers (``n``), those that no order statistic of ``probs`` can be among lumped together.
+
+    One scan sketches each column, a second one counts: a value inside a range that may hold an order statistic
+    keeps its identity, the values between two such ranges become one row at the largest of them (``lump``).
+    Ranks inside the ranges stay what they were.
+    """
+    by = [*keys, "variable"]
+    grid = F.percentile_approx("value", [i / GRID for i in range(GRID + 1)], ACCURACY)
+    sketch = values.groupBy(*by).agg(F.count("value").alias("_n"), grid.alias("_grid"))
+    # Written, so that its size is known when the join with it is planned.
+    ranges = materialize(sketch.select(*by, _brackets(probs, F.col("_n"), F.col("_grid")).alias("_ranges")), "ranges")
+    v, rows = F.col("value"), left_on(values, ranges, by)
+    inside = F.exists("_ranges", lambda r: (v >= r["lo"]) & (v <= r["hi"]))
+    cell = F.size(F.filter("_ranges", lambda r: r["hi"] < v))
+    cells = rows.select(*by, "value", F.when(inside, v).alias("_own"), F.when(~inside, cell).alias("_cell"))
+    counts = cells.groupBy(*by, "_own", "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("_most"))
+    return counts.select(*by, F.coalesce("_own", "_most").alias("value"), "n", F.col("_own").isNull().cast("int").alias("lump"))
+
+
 def quantiles(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
     keys: Sequence[str] = (),
     approx: bool = False,
+    narrow: bool | None = None,
 ) -> DataFrame:
     """Linear-interpolation quantiles of each column, missing values and NaN left out.
 
     One row per group and variable: ``n`` (values present) and ``q0``, ``q1``, …
     in the order of ``probs``. Values are counted, ranked by :func:`running_totals`,
     and the order statistics picked by a plain minimum, so no task holds a group's
-    values. ``approx`` is the choice of a sketch instead.
+    values. ``narrow`` first lumps together what cannot hold an order statistic
+    (:func:`narrowed`), which pays where groups are large; without keys it is done unless refused.
+    ``approx`` is the choice of a sketch instead.
     """
     values = long_form(df, cols, keys).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     by = [*keys, "variable"]
@@ -40,16 +87,23 @@ def quantiles(
         q = F.percentile_approx("value", list(probs), 10_000)
         out = values.groupBy(*by).agg(F.count("value").alias("n"), q.alias("_q"))
         return out.select(*by, "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
-    ranked = running_totals(values, "value", {"n": F.lit(1)}, by)
+    narrow = not keys if narrow is None else narrow
+    if narrow:
+        values = materialize(narrowed(values, probs, keys), "narrowed")
+    ranked = running_totals(values, "value", {"n": F.col("n"), "lump": F.col("lump")} if narrow else {"n": F.lit(1)}, by)
     aggs, picks = [], []
     for i, p in enumerate(probs):
-        at = F.lit(float(p)) * (F.col("n_all") - 1)
-        aggs.append(F.min(F.when(F.col("n_run") > F.floor(at), F.col("value"))).alias(f"_lo{i}"))
-        aggs.append(F.min(F.when(F.col("n_run") > F.ceil(at), F.col("value"))).alias(f"_hi{i}"))
+        lower, upper = _order_statistics(p, F.col("n_all"))
+        aggs.append(F.min(F.when(F.col("n_run") > lower, F.col("value"))).alias(f"_lo{i}"))
+        aggs.append(F.min(F.when(F.col("n_run") > upper, F.col("value"))).alias(f"_hi{i}"))
+        # A lump between the two places would mean that the sketch broke its bound.
+        missed = (F.col("lump") > 0) & (F.col("n_run") > lower) & (F.col("n_run") - F.col("n") <= upper) if narrow else F.lit(False)
+        aggs.append(F.max(missed).alias(f"_missed{i}"))
         part = F.lit(float(p)) * (F.col("n") - 1)
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         between = (F.ceil(part) - part) * lo + (part - F.floor(part)) * hi
-        picks.append(F.when((F.floor(part) == F.ceil(part)) | (lo == hi), lo).otherwise(between).alias(f"q{i}"))
+        value = F.when((F.floor(part) == F.ceil(part)) | (lo == hi), lo).otherwise(between)
+        picks.append(F.when(F.col(f"_missed{i}"), F.raise_error(F.lit("order statistic outside its range"))).otherwise(value).alias(f"q{i}"))
     return ranked.groupBy(*by).agg(F.max("n_all").alias("n"), *aggs).select(*by, "n", *picks)
 
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from tallyframe.functions.nulls import order_by
+from tallyframe.functions.normal import inverse_normal
+from tallyframe.operators.distribute import running_totals
 from tallyframe.operators.joins import left_on
 from tallyframe.operators.quantiles import long_form, quantiles
 
@@ -52,9 +54,10 @@ def summary_by_group(
     return df.groupBy(*keys).agg(*[stats[n].alias(n) for n in which or stats])
 
 
-def table_info(df: DataFrame) -> DataFrame:
+def table_info(df: DataFrame, first: int = 0, order: Sequence[str] = ()) -> DataFrame:
     """One row per column: type, lowest and highest value (as text; atomic types only), rows, missing, levels of text columns.
 
+    With ``first`` the values of so many rows at the head of the table (of ``order``, if given) are listed too, as ``first_rows``.
     Levels are exact; they come from counting distinct (column, value) pairs of
     the text columns, combined map-side before the shuffle.
     """
@@ -72,6 +75,8 @@ def table_info(df: DataFrame) -> DataFrame:
             )
         )
     info = df.agg(F.array(*ends).alias("_all")).select(F.inline("_all"))
+    if first:
+        info = info.join(_first_rows(df, first, order), "column")
     text = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
     if not text:
         return info.withColumn("levels", F.lit(None).cast("bigint"))
@@ -88,6 +93,14 @@ def table_info(df: DataFrame) -> DataFrame:
     return info.join(levels, "column", "left").withColumn("levels", F.coalesce("levels", none))
 
 
+def _first_rows(df: DataFrame, first: int, order: Sequence[str]) -> DataFrame:
+    """column and first_rows: its values in the first rows as text, with a bar between them and nothing for a missing one."""
+    head = (df.orderBy(*order_by(*order)) if order else df).limit(first).withColumn("_at", F.monotonically_increasing_id())
+    cells = [F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias("v")) for c in df.columns]
+    rows = head.select("_at", F.inline(F.array(*cells))).groupBy("column").agg(F.sort_array(F.collect_list(F.struct("_at", "v"))).alias("_v"))
+    return rows.select("column", F.array_join(F.col("_v.v"), " | ").alias("first_rows"))
+
+
 def summary_frame(df: DataFrame, numeric: Sequence[str], levels: Sequence[str]) -> DataFrame:
     """Whole-table summary in long form: six numbers per numeric column, counts per level."""
     q = quantiles(df, numeric, [0.0, 0.25, 0.5, 0.75, 1.0])
@@ -126,19 +139,16 @@ def variable_profile(df: DataFrame, col: str, decimals: int = 2) -> DataFrame:
     )
     v = F.col("value")
     base = values.agg(
-        F.count(F.lit(1)).alias("N"), F.count(v).alias("valid"), F.sum(v).alias("Sum"),
-        F.avg(v).alias("Mean"), F.var_samp(v).alias("Variance"), F.min(v).alias("Low"), F.max(v).alias("High"),
+        F.count(F.lit(1)).alias("N"), F.count(v).alias("valid"), F.sum(v).alias("Sum"), F.avg(v).alias("Mean"),
+        F.var_samp(v).alias("Variance"), F.min(v).alias("Low"), F.max(v).alias("High"),
+        F.var_pop(v).alias("m2"), F.skewness(v).alias("skew"), F.kurtosis(v).alias("kurtosis"),
     )
     # Both tables have exactly one row, so their values travel as literals.
     b, m = base.first(), q.first()
-    mean, median = F.lit(b["Mean"]), F.lit(m["Median"] if m else None).cast("double")
-    centred = values.select(
-        (v - mean).alias("d"), F.abs(v - median).alias("a")
-    )
-    moments = centred.agg(
-        F.avg(F.pow("d", F.lit(3.0))).alias("m3"), F.avg(F.pow("d", F.lit(4.0))).alias("m4"), F.avg("a").alias("mean_abs")
-    ).first()
-    mad = quantiles(centred, ["a"], [0.5]).first()
+    median = F.lit(m["Median"] if m else None).cast("double")
+    apart = values.select(F.abs(v - median).alias("a"))
+    mean_abs = apart.agg(F.avg("a")).first()[0]
+    mad = quantiles(apart, ["a"], [0.5]).first()
     n, valid, sd = b["N"], b["valid"], (b["Variance"] or 0.0) ** 0.5
     per = lambda num, den: None if num is None or not den else num / den
     stats = [
@@ -157,9 +167,10 @@ def variable_profile(df: DataFrame, col: str, decimals: int = 2) -> DataFrame:
         ("Hi.75", m and m["Hi75"]),
         ("Hi.95", m and m["Hi95"]),
         ("Range.High", b["High"]),
-        ("Skew", per(moments["m3"], sd**3)),
-        ("Kurtosis", None if not sd else moments["m4"] / sd**4 - 3),
-        ("CoD", None if valid < n or not m else per(100 * moments["mean_abs"], m["Median"])),
+        # Merged central moments, divided by powers of the sample deviation.
+        ("Skew", None if not sd else b["skew"] * b["m2"] ** 1.5 / sd**3),
+        ("Kurtosis", None if not sd else (b["kurtosis"] + 3) * b["m2"] ** 2 / sd**4 - 3),
+        ("CoD", None if valid < n or not m else per(100 * mean_abs, m["Median"])),
         ("CoV", per(100 * sd, b["Mean"])),
     ]
     out = df.sparkSession.createDataFrame(
@@ -168,11 +179,10 @@ def variable_profile(df: DataFrame, col: str, decimals: int = 2) -> DataFrame:
     return out.withColumn("value", F.bround("value", decimals))
 
 
-def _quartiles(df: DataFrame, col: str) -> tuple[float, ...]:
+def _quartiles(df: DataFrame, col: str) -> tuple[Column, ...]:
+    """Lowest value, quartiles and highest value as constants, missing if the column has no values."""
     row = quantiles(df, [col], [0.0, 0.25, 0.5, 0.75, 1.0]).first()
-    if row is None:
-        raise ValueError(f"{col} has no values")
-    return tuple(row[f"q{i}"] for i in range(5))
+    return tuple(F.lit(row[f"q{i}"] if row else None).cast("double") for i in range(5))
 
 
 def outlier_flag(df: DataFrame, col: str, out: str = "outlier") -> DataFrame:
@@ -182,9 +192,9 @@ def outlier_flag(df: DataFrame, col: str, out: str = "outlier") -> DataFrame:
     return df.withColumn(out, (F.col(col) < q1 - reach) | (F.col(col) > q3 + reach))
 
 
-def quartile_bin(df: DataFrame, col: str, out: str = "bin") -> DataFrame:
-    """Four labelled bins at the quartiles; upper edges belong to the lower bin."""
-    _, q1, q2, q3, _ = _quartiles(df, col)
+def quartile_bin(df: DataFrame, col: str, out: str = "bin", of: DataFrame | None = None) -> DataFrame:
+    """Four labelled bins at the quartiles (of the column in ``of``, if given); upper edges belong to the lower bin."""
+    _, q1, q2, q3, _ = _quartiles(df if of is None else of, col)
     label = F.when(F.col(col) <= q1, BIN_LABELS[0])
     for edge, name in zip((q2, q3), BIN_LABELS[1:3]):
         label = label.when(F.col(col) <= edge, name)
@@ -235,7 +245,7 @@ def density_overlay(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 def box_stats(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
     """Quartiles, whisker ends, and number of values beyond them, per group."""
     keys = list(keys)
-    q = quantiles(df, [col], [0.25, 0.5, 0.75], keys).select(
+    q = quantiles(df, [col], [0.25, 0.5, 0.75], keys, narrow=True).select(
         *keys, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"), "n"
     )
     x, reach = F.col(col).cast("double"), WHISKER * (F.col("q3") - F.col("q1"))
@@ -251,14 +261,16 @@ def box_stats(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def qq_points(df: DataFrame, col: str, points: int = 99) -> DataFrame:
-    """Sample percentiles against the standard normal ones."""
-    probs = [(i + 1) / (points + 1) for i in range(points)]
-    normal = NormalDist()
-    rows = F.array(
-        *[
-            F.struct(F.lit(p).alias("p"), F.lit(normal.inv_cdf(p)).alias("theoretical"), F.col(f"q{i}").alias("sample"))
-            for i, p in enumerate(probs)
-        ]
-    )
-    return quantiles(df, [col], probs).select(F.inline(rows))
+def qq_points(df: DataFrame, col: str) -> DataFrame:
+    """Every distinct value against the standard normal value of its place in the order.
+
+    ``n`` rows share the value; ``p`` is the plotting position of the middle of their places, with the usual
+    offset of 1/2, or 3/8 for ten values or fewer; ``bin`` is the value's quartile bin.
+    """
+    values = df.select(F.col(col).cast("double").alias("sample")).filter(F.col("sample").isNotNull() & ~F.isnan("sample"))
+    ranked = running_totals(values, "sample", {"n": F.lit(1)})
+    offset = F.when(F.col("n_all") <= 10, 3 / 8).otherwise(1 / 2)
+    place = F.col("n_run") - (F.col("n") - 1) / 2
+    placed = ranked.withColumn("p", (place - offset) / (F.col("n_all") + 1 - 2 * offset))
+    binned = quartile_bin(placed, "sample", "bin", of=values)
+    return binned.select("sample", "n", "p", inverse_normal(F.col("p")).alias("theoretical"), "bin")

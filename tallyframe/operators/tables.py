@@ -9,21 +9,15 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
+from tallyframe.operators.distribute import row_positions
 from tallyframe.operators.joins import left_on
+from tallyframe.session import materialize
 
-# A table of levels larger than this is not a cross-tabulation any more.
-MAX_LEVELS = 10_000
-
-
-def levels_of(df: DataFrame, col: str, limit: int = MAX_LEVELS) -> list[str]:
-    """The sorted distinct values of a level column; refuses more than ``limit``."""
-    found = df.select(F.col(col).cast("string").alias("v")).filter("v IS NOT NULL").distinct().limit(limit + 1)
-    levels = sorted(r["v"] for r in found.collect())
-    if len(levels) > limit:
-        raise ValueError(f"{col} has more than {limit} levels")
-    return levels
+def levels_of(df: DataFrame, col: str) -> list[str]:
+    """The sorted distinct values of a level column: as many as a model has coefficients, or a wide table columns."""
+    found = df.select(F.col(col).cast("string").alias("v")).filter("v IS NOT NULL").distinct()
+    return sorted(r["v"] for r in found.collect())
 
 
 def table_oneway(df: DataFrame, col: str) -> DataFrame:
@@ -33,36 +27,61 @@ def table_oneway(df: DataFrame, col: str) -> DataFrame:
 
 
 def table_twoway(df: DataFrame, row: str, col: str, levels: Sequence | None = None) -> DataFrame:
-    """Counts with one column per level of ``col``, zero where a pair never occurs."""
-    levels = list(levels) if levels is not None else levels_of(df, col, 1000)
+    """Counts with one column per level of ``col``, zero where a pair never occurs; for many levels see :func:`table_long`."""
+    levels = list(levels) if levels is not None else levels_of(df, col)
     return df.groupBy(row).pivot(col, levels).agg(F.count(F.lit(1))).na.fill(0, [str(v) for v in levels])
 
 
+def table_long(df: DataFrame, row: str, col: str) -> DataFrame:
+    """Counts of the pairs that occur, one row each, whatever the number of levels, with the shares of their row."""
+    pairs = df.groupBy(row, col).agg(F.count(F.lit(1)).alias("count"))
+    totals = pairs.groupBy(row).agg(F.sum("count").alias("_total"))
+    return left_on(pairs, totals, [row]).select(row, col, "count", (F.col("count") / F.col("_total")).alias("row_share"))
+
+
 def tile_matrix(df: DataFrame, row: str, col: str, levels: Sequence, measure: str) -> DataFrame:
     """Group means laid out as row level × column level."""
     return df.groupBy(row).pivot(col, list(levels)).agg(F.avg(measure))
 
 
-def crosstab_chisq(df: DataFrame, row: str, col: str) -> DataFrame:
+def every_pair(rows: DataFrame, cols: DataFrame, col: str) -> DataFrame:
+    """Each row of ``rows`` beside each row of ``cols``, whose key ``col`` is distinct.
+
+    The columns' rows are numbered; every row counts up to their number where it lies and finds them by it.
+    """
+    numbered = materialize(row_positions(cols, [F.col(col).asc_nulls_first()], "_number"), "numbered")
+    count = numbered.agg(F.count(F.lit(1))).scalar()
+    wide = rows.withColumn("_count", count).filter("_count > 0")
+    return wide.withColumn("_number", F.explode(F.sequence(F.lit(1).cast("bigint"), "_count"))).join(numbered, "_number").drop("_number", "_count")
+
+
+def crosstab_chisq(df: DataFrame, row: str, col: str, absent: bool = True) -> DataFrame:
     """Per pair of levels: count, row share, expected count, chi-square contribution;
-    and on every row the table's statistic and degrees of freedom."""
-    pairs = df.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
-    by_row, by_col, whole = W.partitionBy(row), W.partitionBy(col), W.partitionBy()
-    # Windows over the level table only: rows × columns of the cross-tabulation.
-    rows, every_col = pairs.select(row).distinct(), pairs.agg(F.collect_set(F.struct(col))).scalar()
-    cells = (
-        left_on(rows.withColumn("_c", F.explode(every_col)).select(row, F.col("_c")[col].alias(col)), pairs, [row, col])
-        .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
-        .withColumn("row_total", F.sum("n").over(by_row))
-        .withColumn("col_total", F.sum("n").over(by_col))
-        .withColumn("total", F.sum("n").over(whole))
-        .withColumn("expected", F.try_divide(F.col("row_total") * F.col("col_total"), F.col("total")))
-        .withColumn("contribution", F.try_divide(F.pow(F.col("n") - F.col("expected"), F.lit(2)), F.col("expected")))
-    )
-    df_ = (F.size(F.collect_set(F.struct(row)).over(whole)) - 1) * (F.size(F.collect_set(F.struct(col)).over(whole)) - 1)
+    and on every row the table's statistic and degrees of freedom.
+
+    The statistic needs the pairs that occur and the totals only: what the others add is their expected
+    count. Pairs that never occur are laid out for the output, unless ``absent`` is False.
+    """
+    pairs = materialize(df.groupBy(row, col).agg(F.count(F.lit(1)).alias("n")), "pairs")
+    rows = pairs.groupBy(row).agg(F.sum("n").alias("row_total"))
+    cols = pairs.groupBy(col).agg(F.sum("n").alias("col_total"))
+    total = pairs.agg(F.sum("n")).scalar()
+    expected = F.try_divide(F.col("row_total") * F.col("col_total"), total)
+    contribution = F.try_divide(F.pow(F.col("n") - F.col("expected"), F.lit(2)), F.col("expected"))
+    present = left_on(left_on(pairs, rows, [row]), cols, [col]).withColumn("expected", expected).withColumn("contribution", contribution)
+    size = lambda table: table.agg(F.count(F.lit(1))).scalar()
+    sums = present.agg(F.sum("contribution").alias("seen"), F.sum("expected").alias("covered"), F.count(F.lit(1)).alias("cells"))
+    # With every cell present nothing is expected elsewhere.
+    whole = sums.select(
+        F.when(F.col("cells") == size(rows) * size(cols), F.col("seen")).otherwise(F.col("seen") + total - F.col("covered")).alias("chisq"),
+        ((size(rows) - 1) * (size(cols) - 1)).cast("bigint").alias("df"))
+    cells = present
+    if absent:
+        cells = left_on(every_pair(rows, cols, col), pairs, [row, col]).withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+        cells = cells.withColumn("expected", expected).withColumn("contribution", contribution)
     return cells.select(
         row, col, "n", F.try_divide("n", "row_total").alias("row_share"), "expected", "contribution",
-        F.sum("contribution").over(whole).alias("chisq"), df_.cast("bigint").alias("df"),
+        whole.select("chisq").scalar().alias("chisq"), whole.select("df").scalar().alias("df"),
     )
 
 
@@ -89,18 +108,16 @@ def cube_means(
 
 
 def cube_binned(df: DataFrame, measure: str, x: str, y: str) -> DataFrame:
-    """Mean and count of ``measure`` over every pair of integer bins of ``x`` and ``y``.
+    """Mean and count of ``measure`` over every pair of an integer bin of ``x`` and one of ``y`` that hold rows.
 
-    The grid is generated from the two bin ranges in one row, without a join.
+    Bins that no row falls into are no levels, so the table grows with the levels met, not with their range.
     """
     complete = df.filter(F.col(measure).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull())
     binned = complete.select(
         F.floor(x).cast("bigint").alias(x), F.floor(y).cast("bigint").alias(y), F.col(measure).alias("_m")
     )
-    cells = binned.groupBy(x, y).agg(F.avg("_m").alias(measure), F.count(F.lit(1)).alias("Counts"))
-    ends = cells.agg(*[f(c).alias(f"{n}_{c}") for c in (x, y) for n, f in (("lo", F.min), ("hi", F.max))])
-    span = lambda c: F.explode(F.sequence(f"lo_{c}", f"hi_{c}"))
-    grid = ends.withColumn(x, span(x)).withColumn(y, span(y)).select(x, y)
+    cells = materialize(binned.groupBy(x, y).agg(F.avg("_m").alias(measure), F.count(F.lit(1)).alias("Counts")), "cells")
+    grid = every_pair(cells.select(x).distinct(), cells.select(y).distinct(), y)
     return grid.join(cells, [x, y], "left").withColumn("Counts", F.coalesce("Counts", F.lit(0).cast("bigint")))
 
 

@@ -43,19 +43,13 @@ PROJECTED_COLUMNS = [
 ]
 
 
-def clean_history(raw: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Daily means per station with keys, 28 lags and 4 medians.
-
-    Means and medians are missing if any input is. Lags count rows, not days,
-    after the SO2 ceiling has removed some; they are ordered by date, then by
-    the address before cleaning, since two raw addresses may clean to one key.
-    A missing lag takes the station's median.
-    """
+def daily_means(raw: DataFrame) -> DataFrame:
+    """Daily means per station under cleaned names, without the days above the SO2 ceiling; a mean is missing if any input is."""
     named = sel.upper_names(raw).withColumnRenamed("DATE_LOCAL", "DATE")
     daily = named.groupBy("ADDRESS", "DATE", "STATE", "CITY", "COUNTY", "SITE_NUM").agg(
         *[strict_mean(m).alias(m) for m in MEANS]
     )
-    cleaned = daily.select(
+    return daily.select(
         F.col("ADDRESS").alias("_RAW_ADDRESS"),
         "DATE",
         clean_key(F.col("ADDRESS")).alias("ADDRESS"),
@@ -66,11 +60,27 @@ def clean_history(raw: DataFrame, calendar: DataFrame) -> DataFrame:
         F.month("DATE").alias("MONTH"),
         F.dayofmonth("DATE").alias("DAY"),
     ).filter(F.col("SO2_MEAN") <= SO2_CEILING)
-    days = materialize(cleaned, "daily-means")
-    keyed = dense_key(days, "ADDRESS", "DIM_ADDRESS_KEY")
+
+
+def keyed_days(days: DataFrame) -> DataFrame:
+    """Daily means with the dense key of their address."""
+    return dense_key(days, "ADDRESS", "DIM_ADDRESS_KEY")
+
+
+def clean_history(raw: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Daily means per station with keys, 28 lags and 4 medians.
+
+    Means and medians are missing if any input is. Lags count rows, not days,
+    after the SO2 ceiling has removed some; they are ordered by date, then by
+    the address before cleaning, since two raw addresses may clean to one key.
+    A missing lag takes the station's median.
+    """
+    days = materialize(daily_means(raw), "daily-means")
     order = ["DATE", "_RAW_ADDRESS", "STATE", "CITY", "COUNTY", "SITE_NUM"]
-    lagged = lag_columns(keyed, ["ADDRESS"], order, MEANS, LAG_DAYS)
-    with_medians = lagged.join(group_medians(days, ["ADDRESS"], MEDIANS, strict=True), "ADDRESS", "left")
+    lagged = lag_columns(days, ["ADDRESS"], order, MEANS, LAG_DAYS)
+    # One row per station: its key and its medians.
+    stations = group_medians(days, ["ADDRESS"], MEDIANS, strict=True)
+    with_medians = lagged.join(keyed_days(stations), "ADDRESS", "left")
     filled = fill_from(with_medians, LAGS)
     return joins.left_dim(filled, calendar, "DATE", "DIM_DATE_KEY").select(*HISTORY_COLUMNS)
 
@@ -114,9 +124,9 @@ def project(history: DataFrame, days: int = 365, floor: str | None = None, lags_
     return out.filter(F.col("DATE") >= F.lit(floor).cast("date")) if floor else out
 
 
-def address_dim(history: DataFrame) -> DataFrame:
-    """Distinct stations with their key."""
-    return history.select("DIM_ADDRESS_KEY", "SITE_NUM", *STATION).distinct()
+def address_dim(days: DataFrame) -> DataFrame:
+    """Distinct stations with their key, from keyed days or the history."""
+    return days.select("DIM_ADDRESS_KEY", "SITE_NUM", *STATION).distinct()
 
 
 def as_levels(df: DataFrame) -> DataFrame:
@@ -157,7 +167,7 @@ def forecast(projection: DataFrame, fits: dict[str, Fit]) -> DataFrame:
 
 
 def all_view(history: DataFrame, predicted: DataFrame) -> DataFrame:
-    """History and predictions stacked, each side's measures missing on the other."""
+    """History and predictions stacked, each side's measures missing on the other; ``_source`` tells them apart."""
     keys = ["DIM_ADDRESS_KEY", "DIM_DATE_KEY"]
-    side = lambda df, tag: df.select(*keys, *[F.col(m).alias(f"{m}_{tag}") for m in MEANS])
+    side = lambda df, tag: df.select(*keys, *[F.col(m).alias(f"{m}_{tag}") for m in MEANS], F.lit(tag).alias("_source"))
     return stack(side(history, "HIST"), side(predicted, "PRED"), pad=True)

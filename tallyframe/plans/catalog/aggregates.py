@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from statistics import NormalDist
+
 
 from pyspark.sql import functions as F
 
+from tallyframe.functions.normal import inverse_normal_sql
 from tallyframe.functions.nulls import ratio, strict_mean
 from tallyframe.operators import quantiles as quant
 from tallyframe.operators import select as sel
@@ -280,21 +281,19 @@ def box_stats(spark, sf):
     return tidy(summaries.box_stats(subs(spark, sf, "FavCategory", "TotalSales"), "TotalSales", ["FavCategory"]))
 
 
-_NORMAL = NormalDist()
-
-
 @query(
     "qq_points",
-    "SELECT round(p, 6) AS p, round(theoretical, 6) AS theoretical, round(sample, 6) AS sample FROM ("
-    + " UNION ALL ".join(
-        f"SELECT CAST({i / 100} AS DOUBLE) AS p, CAST({_NORMAL.inv_cdf(i / 100)!r} AS DOUBLE) AS theoretical, "
-        f"quantile_cont(value, {i / 100}) AS sample FROM events"
-        for i in range(1, 100)
-    )
-    + ")",
+    f"""
+WITH v AS (SELECT value AS sample, row_number() OVER (ORDER BY value) AS i, count(*) OVER () AS m FROM events WHERE value IS NOT NULL),
+g AS (SELECT sample, count(*) AS n, (avg(i) - any_value(CASE WHEN m <= 10 THEN 0.375 ELSE 0.5 END))
+      / (any_value(m) + 1 - 2 * any_value(CASE WHEN m <= 10 THEN 0.375 ELSE 0.5 END))::DOUBLE AS p FROM v GROUP BY sample)
+SELECT round(sample, 6) AS sample, n, round(p, 6) AS p, round({inverse_normal_sql("p")}, 6) AS theoretical,
+       CASE WHEN sample <= q1 THEN 'Low' WHEN sample <= q2 THEN 'Low-Med' WHEN sample <= q3 THEN 'Med-Hi' ELSE 'Hi' END AS bin
+FROM g, ({QUARTILES})
+""",
 )
 def qq_points(spark, sf):
-    return tidy(summaries.qq_points(read_table(spark, sf, "events"), "value", 99))
+    return tidy(summaries.qq_points(read_table(spark, sf, "events"), "value"))
 
 
 @query(
@@ -340,8 +339,7 @@ def cube_means(spark, sf):
 WITH c AS (SELECT CAST(floor(SO2_MEAN) AS BIGINT) AS s, CAST(floor(CO_MEAN) AS BIGINT) AS k, avg(NO2_MEAN) AS m,
            count(*) AS n FROM pollution WHERE NO2_MEAN IS NOT NULL AND SO2_MEAN IS NOT NULL AND CO_MEAN IS NOT NULL
            GROUP BY 1, 2),
-e AS (SELECT min(s) AS s0, max(s) AS s1, min(k) AS k0, max(k) AS k1 FROM c),
-g AS (SELECT s, unnest(range(k0, k1 + 1)) AS k FROM (SELECT unnest(range(s0, s1 + 1)) AS s, k0, k1 FROM e))
+g AS (SELECT s, k FROM (SELECT DISTINCT s FROM c), (SELECT DISTINCT k FROM c))
 SELECT g.s AS SO2_MEAN, g.k AS CO_MEAN, round(m, 6) AS NO2_MEAN, coalesce(n, 0) AS "Counts"
 FROM g LEFT JOIN c ON g.s = c.s AND g.k = c.k
 """,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from tallyframe.plans.catalog.shape import tidy
 from tallyframe.plans.registry import query
 from tallyframe.session import materialize, scratch_path
 from tallyframe.sources import files, sinks
+from tallyframe.sources.published import PublishedTable
 
 # --- neighbourhood summary -----------------------------------------------------------------
 
@@ -110,6 +113,17 @@ FROM (SELECT {', '.join(aq.PROJECTED_COLUMNS)} FROM history
 )
 
 
+# Fifteen users share a station here, so that nearly every station has every pollutant on every day, which the fits need.
+STATION_USERS = 15
+_AIR = ["pollution", "daily", "history", "expected", "projection"]
+_wide = lambda text: re.sub(rf"(?<![A-Za-z_])({'|'.join(_AIR)})(?![A-Za-z_])", r"\1_wide", text)
+for _name in _AIR:
+    _needs, _text = BASE_SQL[_name]
+    if _name == "pollution":
+        _text = _text.replace("FROM events", f"FROM (SELECT * REPLACE (user_id // {STATION_USERS} AS user_id) FROM events)")
+    BASE_SQL[f"{_name}_wide"] = ([n if n == "calendar" else f"{n}_wide" for n in _needs], _wide(_text))
+
+
 def _rounded(columns) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
 
@@ -141,33 +155,80 @@ def pollution_projection(spark, sf):
 
 @query("address_dim", "SELECT DISTINCT DIM_ADDRESS_KEY, SITE_NUM, ADDRESS, STATE, CITY, COUNTY FROM history", "history")
 def address_dim(spark, sf):
-    return tidy(aq.address_dim(history(spark, sf)))
+    return tidy(aq.address_dim(aq.keyed_days(aq.daily_means(bases.pollution(spark, sf)))))
+
+
+def scored_year(spark, sf):
+    """History, projection, and the projection scored by the fitted models, each written once; scores are published under ``folder``."""
+    past = materialize(history(spark, sf, STATION_USERS), "history")
+    future = materialize(aq.project(past), "projection")
+    fits = aq.fit_pollutants(past)
+    store = PublishedTable(spark, scratch_path(spark, "Fact_US_Pollution_Predicted"))
+    store.publish(aq.forecast(future, fits), "year ahead")
+    return past, future, fits, store
+
+
+@query("pollution_forecast")
+def pollution_forecast(spark, sf):
+    """The stored scores of the year ahead."""
+    return tidy(scored_year(spark, sf)[3].read())
+
+
+def _off(mine: str, theirs: str):
+    """Distance of two sums of scores; missing scores count on neither side."""
+    return F.abs(F.coalesce(F.sum(mine), F.lit(0.0)) - F.coalesce(F.sum(theirs), F.lit(0.0)))
+
+
+@query(
+    "pollution_forecast_stored",
+    f"""
+SELECT DIM_ADDRESS_KEY, count(*) AS n, count(DISTINCT DIM_DATE_KEY) AS days, min(DIM_DATE_KEY) AS first_day, max(DIM_DATE_KEY) AS last_day,
+       {', '.join(f'0.0::DOUBLE AS {m}_off' for m in MEANS)}, true AS scored FROM projection_wide GROUP BY 1
+""",
+    "projection_wide",
+)
+def pollution_forecast_stored(spark, sf):
+    """Per station the stored scores against freshly computed ones; a rerun of the publication changes nothing."""
+    _, future, fits, store = scored_year(spark, sf)
+    fresh = aq.forecast(future, fits)
+    stored = store.publish(fresh, "year ahead")
+    both = stored.join(fresh.withColumnsRenamed({m: f"{m}_fresh" for m in fits}), ["DIM_ADDRESS_KEY", "DIM_DATE_KEY"])
+    report = both.groupBy("DIM_ADDRESS_KEY").agg(
+        F.count("*").alias("n"), F.count_distinct("DIM_DATE_KEY").alias("days"), F.min("DIM_DATE_KEY").alias("first_day"), F.max("DIM_DATE_KEY").alias("last_day"),
+        *[_off(m, f"{m}_fresh").alias(f"{m}_off") for m in fits], (F.count("NO2_MEAN") > 0).alias("scored"))
+    return tidy(report)
 
 
 @query(
     "pollution_all_view",
     f"""
 SELECT DIM_ADDRESS_KEY, DIM_DATE_KEY, {', '.join(f'round({m}, 6) AS {m}_HIST' for m in MEANS)},
-  {', '.join(f'CAST(NULL AS DOUBLE) AS {m}_PRED' for m in MEANS)} FROM history
-UNION ALL SELECT DIM_ADDRESS_KEY, DIM_DATE_KEY, {', '.join('NULL' for m in MEANS)}, {', '.join(f'round({m}, 6)' for m in MEANS)}
-FROM projection
+  {', '.join(f'CAST(NULL AS DOUBLE) AS {m}_PRED_off' for m in MEANS)} FROM history_wide
+UNION ALL SELECT DIM_ADDRESS_KEY, DIM_DATE_KEY, {', '.join('NULL' for m in MEANS)}, {', '.join('0.0' for m in MEANS)}
+FROM projection_wide
 """,
-    "projection",
+    "projection_wide",
 )
 def pollution_all_view(spark, sf):
-    # The projected means stand in for model predictions, which SQL cannot compute.
-    past = materialize(history(spark, sf), "history")
-    return sinks.define_view(tidy(aq.all_view(past, aq.project(past))), "US_POLLUTION_ALL")
+    """The view of history and stored predictions; each prediction is returned as its difference from a fresh score, which SQL can state."""
+    past, future, fits, store = scored_year(spark, sf)
+    view = sinks.define_view(aq.all_view(past, store.read()), "US_POLLUTION_ALL")
+    fresh = aq.forecast(future, fits).select("DIM_ADDRESS_KEY", "DIM_DATE_KEY", *[F.col(m).alias(f"_{m}") for m in fits], F.lit(True).alias("_new"))
+    # A station has each day once as history and once as prediction at most; only the latter meets a fresh score.
+    told = view.withColumn("_new", F.col("_source") == "PRED").join(fresh, ["DIM_ADDRESS_KEY", "DIM_DATE_KEY", "_new"], "left")
+    off = [F.when(F.col("_new"), F.coalesce(F.col(f"{m}_PRED") - F.col(f"_{m}"), F.when(F.col(f"{m}_PRED").eqNullSafe(F.col(f"_{m}")), 0.0))).alias(f"{m}_PRED_off") for m in fits]
+    return tidy(told.select("DIM_ADDRESS_KEY", "DIM_DATE_KEY", *[f"{m}_HIST" for m in MEANS], *off))
 
 
 _TABLES = {
-    "Dim_Dates": ("calendar", "DIM_DATE_KEY", "DIM_DATE_KEY"),
+    "Dim_Dates": ("calendar", "DIM_DATE_KEY", "CAST(DIM_DATE_KEY AS DOUBLE)"),
     "Dim_Pollution_Addresses": (
-        "(SELECT DISTINCT DIM_ADDRESS_KEY, SITE_NUM, ADDRESS, STATE, CITY, COUNTY FROM history)", "DIM_ADDRESS_KEY", "SITE_NUM"
+        "(SELECT DISTINCT DIM_ADDRESS_KEY, SITE_NUM, ADDRESS, STATE, CITY, COUNTY FROM history_wide)", "DIM_ADDRESS_KEY", "CAST(SITE_NUM AS DOUBLE)"
     ),
-    "Fact_US_Pollution_Historical": ("history", "DIM_ADDRESS_KEY", "SO2_MEAN"),
-    "Fact_US_Pollution_Projected": ("projection", "DIM_ADDRESS_KEY", "SO2_MEAN_LAG_7"),
-    "Fact_US_Pollution_Predicted": ("projection", "DIM_DATE_KEY", "SO2_MEAN"),
+    "Fact_US_Pollution_Historical": ("history_wide", "DIM_ADDRESS_KEY", "SO2_MEAN"),
+    "Fact_US_Pollution_Projected": ("projection_wide", "DIM_ADDRESS_KEY", "SO2_MEAN_LAG_7"),
+    # What SQL can state of the scores: that the loaded ones add up to fresh ones.
+    "Fact_US_Pollution_Predicted": ("projection_wide", "DIM_DATE_KEY", "0.0"),
 }
 
 
@@ -178,45 +239,31 @@ _TABLES = {
         f"round(sum(CAST({total} AS DOUBLE)), 3) AS total FROM {source}"
         for name, (source, key, total) in _TABLES.items()
     ),
-    "projection calendar",
+    "projection_wide calendar",
 )
 def star_load(spark, sf):
     """Write five CSV files, load each with declared types into its table, and report on the tables."""
-    past = materialize(history(spark, sf), "history")
-    future = materialize(aq.project(past), "projection")
+    past, future, fits, store = scored_year(spark, sf)
     contents = {
         "Dim_Dates": cal.dim_date(spark, *bases.calendar_span(spark, sf)),
         "Dim_Pollution_Addresses": aq.address_dim(past),
         "Fact_US_Pollution_Historical": past,
         "Fact_US_Pollution_Projected": future,
-        "Fact_US_Pollution_Predicted": future.select("DIM_ADDRESS_KEY", "DIM_DATE_KEY", *MEANS),
+        "Fact_US_Pollution_Predicted": store.read(),
     }
     folder = scratch_path(spark, "star")
+    fresh = aq.forecast(future, fits).agg(F.sum("SO2_MEAN")).scalar()
     reports = []
     for name, (_, key, total) in _TABLES.items():
         df = contents[name]
         sinks.write_csv(df, f"{folder}/csv/{name}")
         declared = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-        loaded = sinks.write_table(files.read_csv(spark, f"{folder}/csv/{name}", declared), name, f"{folder}/tables/{name}")
-        reports.append(
-            loaded.agg(
-                F.lit(name).alias("table_name"), F.count("*").alias("n"), F.count_distinct(key).alias("keys"),
-                F.sum(F.col(total).cast("double")).alias("total"),
-            )
-        )
+        loaded = sinks.write_table(files.read_csv(spark, f"{folder}/csv/{name}", declared), sinks.own_name(name), f"{folder}/tables/{name}")
+        summed = F.abs(F.sum("SO2_MEAN") - fresh) if total == "0.0" else F.sum(F.expr(total))
+        reports.append(loaded.agg(F.lit(name).alias("table_name"), F.count("*").alias("n"), F.count_distinct(key).alias("keys"), F.coalesce(summed, F.lit(0.0)).alias("total")))
     return tidy(stack(*reports), 3)
 
 
-# Fifteen users share a station here, so that nearly every station has every pollutant on every day.
-STATION_USERS = 15
-
-
-@query("pollution_forecast")
-def pollution_forecast(spark, sf):
-    past = materialize(history(spark, sf, STATION_USERS), "history")
-    return tidy(aq.forecast(aq.project(past), aq.fit_pollutants(past)))
-
-
 # --- loan defaults -------------------------------------------------------------------------
 
 LOAN_PREDICTORS = ["creditScore", "houseAge", "yearsEmploy", "ccDebt", "year"]
@@ -258,7 +305,7 @@ def score_all(df, fits, keep):
 
 @query("default_model_comparison")
 def default_model_comparison(spark, sf):
-    parts = loan_parts(spark, sf)
+    parts = {name: materialize(part, name) for name, part in loan_parts(spark, sf).items()}
     fits = loan_classifiers(parts["train"])
     scored = materialize(score_all(parts["validate"], fits, ["o_orderkey", "default"]), "scores")
     return tidy(evaluation.auc(scored, "default", list(fits)))

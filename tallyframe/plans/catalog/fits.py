@@ -493,11 +493,25 @@ def kmeans_decomposition(spark, sf):
     return tidy(parts.select("n", "total_ss"))
 
 
-@query("kmeans_multistart")
+@query(
+    "kmeans_multistart",
+    """
+SELECT r AS run, s AS start, true AS settled, true AS below_total, true AS best_reproduced
+FROM range(1, 9) a(r), range(1, 51) b(s)
+""",
+)
 def kmeans_multistart(spark, sf):
+    """Eight runs of fifty starts. SQL can state how many there are, that their cost is below the total sum of squares,
+    and that the best centres' cost is found again by a plain round from them."""
     points = read_table(spark, sf, "embeddings")
-    _, costs = models.kmeans_multistart(points, "embedding", 10, starts=8)
-    return tidy(costs)
+    best, costs = models.kmeans_multistart(points, "embedding", 10)
+    again = models.kmeans_step(points, "embedding", best).agg(F.sum("within_ss")).scalar()
+    x = F.col("x").cast("double")
+    total = points.select(F.posexplode("embedding").alias("d", "x")).groupBy("d").agg((F.var_pop(x) * F.count(x)).alias("ss")).agg(F.sum("ss")).scalar()
+    least = costs.agg(F.min("within_ss")).scalar()
+    return costs.select(
+        "run", "start", (F.col("rounds") <= 35).alias("settled"), (F.col("within_ss") < total).alias("below_total"),
+        (F.abs(least - again) <= 1e-6 * least).alias("best_reproduced"))
 
 
 # --- cross-validation ----------------------------------------------------------------------
@@ -628,24 +642,31 @@ def score_csv(spark, sf):
 
 def _stored(spark, sf):
     past = materialize(history(spark, sf, STATION_USERS), "history")
-    folder = scratch_path(spark, "models")
+    registry = scratch_path(spark, "registry")
     fit = aq.fit_pollutants(past, ["CO_MEAN"])["CO_MEAN"]
-    listing = models.model_store(fit, f"{folder}/saved", "CO_MODEL", f"{folder}/registry", spark)
-    return past, folder, listing
+    return past, fit, registry, models.model_store(fit, "CO_MODEL", registry, spark)
 
 
 @query("model_store")
 def model_store(spark, sf):
-    _, _, listing = _stored(spark, sf)
-    return listing.select("Model_Name", F.length("design").cast("bigint").alias("design_length"))
+    listing = _stored(spark, sf)[3]
+    return listing.select("Model_Name", F.size("Model").cast("bigint").alias("files"), F.length("design").cast("bigint").alias("design_length"))
 
 
-@query("model_load_score")
+@query(
+    "model_load_score",
+    "SELECT DIM_ADDRESS_KEY, count(*) AS n, 0.0::DOUBLE AS off, 0::BIGINT AS changed FROM projection_wide GROUP BY 1",
+    "projection_wide",
+)
 def model_load_score(spark, sf):
-    past, folder, _ = _stored(spark, sf)
-    fit = models.model_load(f"{folder}/registry", "CO_MODEL", spark)
-    scored = fit.transform(aq.as_levels(aq.project(past)))
-    out = scored.select(
-        F.col("DIM_ADDRESS_KEY").cast("bigint"), F.col("DIM_DATE_KEY").cast("bigint"), F.bround("prediction", 3).alias("CO_MEAN")
-    )
-    return sinks.recreate_table(tidy(out), "Predictions_US_Pollution_CO", f"{folder}/predictions")
+    """Scores of the stored model, kept in a table; per station the rows and what differs from the scores of the model that was stored."""
+    past, fit, registry, _ = _stored(spark, sf)
+    future = materialize(aq.as_levels(aq.project(past)), "projection")
+    score = lambda f, into: f.transform(future).select(
+        F.col("DIM_ADDRESS_KEY").cast("bigint").alias("DIM_ADDRESS_KEY"), F.col("DIM_DATE_KEY").cast("bigint").alias("DIM_DATE_KEY"), F.bround("prediction", 3).alias(into))
+    loaded = score(models.model_load(registry, "CO_MODEL", spark), "CO_MEAN")
+    kept = sinks.recreate_table(tidy(loaded), sinks.own_name("Predictions_US_Pollution_CO"), scratch_path(spark, "predictions"))
+    both = kept.join(score(fit, "fresh"), ["DIM_ADDRESS_KEY", "DIM_DATE_KEY"])
+    off = F.abs(F.coalesce(F.sum("CO_MEAN"), F.lit(0.0)) - F.coalesce(F.sum("fresh"), F.lit(0.0)))
+    changed = F.count(F.when(~F.col("CO_MEAN").eqNullSafe(F.col("fresh")), 1))
+    return tidy(both.groupBy("DIM_ADDRESS_KEY").agg(F.count("*").alias("n"), off.alias("off"), changed.alias("changed")))

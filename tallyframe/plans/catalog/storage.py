@@ -112,29 +112,29 @@ def sink_csv(spark, sf):
     return files.read_csv(spark, path, ORDERS_SCHEMA)
 
 
-@query("sink_table_overwrite", ORDERS_SQL + " WHERE o_orderpriority = '1-URGENT'")
+@query("sink_table_overwrite", ORDERS_SQL)
 def sink_table_overwrite(spark, sf):
-    path = scratch_path(spark, "overwrite")
+    path, name = scratch_path(spark, "overwrite"), sinks.own_name("loaded_orders")
     df = some_orders(spark, sf)
     # The second load replaces the first.
-    sinks.write_table(df.filter("o_orderpriority = '2-HIGH'"), "loaded_orders", path)
-    return sinks.write_table(df.filter("o_orderpriority = '1-URGENT'"), "loaded_orders", path)
+    sinks.write_table(df.filter("o_orderpriority = '2-HIGH'"), name, path)
+    return sinks.write_table(df, name, path)
 
 
-@query("sink_append", ORDERS_SQL + " WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')")
+@query("sink_append", ORDERS_SQL)
 def sink_append(spark, sf):
     path = scratch_path(spark, "append")
     df = some_orders(spark, sf)
     sinks.append_rows(df.filter("o_orderpriority = '2-HIGH'"), path)
-    sinks.append_rows(df.filter("o_orderpriority = '1-URGENT'"), path)
+    sinks.append_rows(df.filter("o_orderpriority IS DISTINCT FROM '2-HIGH'"), path)
     return spark.read.parquet(path)
 
 
 @query("sink_recreate", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey")
 def sink_recreate(spark, sf):
-    counts = read_table(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
-    sinks.recreate_table(counts.filter("n = 1"), "order_counts", scratch_path(spark, "recreate"))
-    return sinks.recreate_table(counts, "order_counts", scratch_path(spark, "recreate"))
+    counts, name = read_table(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")), sinks.own_name("order_counts")
+    sinks.recreate_table(counts.filter("n = 1"), name, scratch_path(spark, "recreate"))
+    return sinks.recreate_table(counts, name, scratch_path(spark, "recreate"))
 
 
 @query(
@@ -175,16 +175,18 @@ INFO_COLUMNS = {
 
 @query(
     "table_info",
-    " UNION ALL ".join(
+    "WITH h AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 3)\n"
+    + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", '{t}' AS type, CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high, "
         f"count(*) AS n, count(*) - count({c}) AS missing, "
+        f"(SELECT string_agg(CAST({c} AS VARCHAR), ' | ' ORDER BY o_orderkey) FROM h) AS first_rows, "
         + (f"count(DISTINCT {c})" if t == "string" else "CAST(NULL AS BIGINT)")
         + " AS levels FROM orders"
         for c, t in INFO_COLUMNS.items()
     ),
 )
 def table_info(spark, sf):
-    return tidy(summaries.table_info(read_table(spark, sf, "orders")))
+    return tidy(summaries.table_info(read_table(spark, sf, "orders"), first=3, order=["o_orderkey"]))
 
 
 @query("collect_bounded", "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1")

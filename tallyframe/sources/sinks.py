@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def write_csv(df: DataFrame, path: str, missing: str = MISSING) -> None:
     writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
+def own_name(table: str) -> str:
+    """A catalog name of this call's own, so that two runs do not write one table."""
+    return f"{table}_{uuid.uuid4().hex[:12]}"
+
+
 def write_table(df: DataFrame, table: str, path: str) -> DataFrame:
     """Create or replace a catalog table stored at ``path``."""
     df.write.mode("overwrite").option("path", path).saveAsTable(table)

@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.operators import evaluation, formula, linear, scoring, summaries, tables
+from tallyframe.functions import normal
+from tallyframe.operators import evaluation, formula, linear, quantiles, scoring, summaries, tables
 from tallyframe.operators import select as sel
 
 
@@ -140,3 +141,80 @@ def test_scores(spark):
     assert [tuple(r) for r in got] == [("a", "Yes"), (None, "No"), (None, None)]
     coef = spark.createDataFrame([("(Intercept)", 1.0), ("x", 2.0)], "term string, estimate double")
     assert [r.score for r in scoring.score_with_coefficients(df, coef, ["x"]).collect()] == [5.0, 7.0, 9.0]
+
+
+def test_inverse_normal(spark):
+    from statistics import NormalDist
+
+    probs = [1e-300, 1e-100, 1e-20, 1e-9, 0.001, 0.07499, 0.075, 0.3, 0.5, 0.6, 0.925, 0.92501, 0.999, 1 - 1e-9]
+    df = spark.createDataFrame([(p,) for p in [*probs, 0.0, 1.0, -1.0]], "p double")
+    got = [r[0] for r in df.select(normal.inverse_normal(F.col("p"))).collect()]
+    assert all(math.isclose(g, NormalDist().inv_cdf(p), rel_tol=1e-9, abs_tol=1e-12) for g, p in zip(got, probs)) and got[-3:] == [None] * 3
+
+
+def test_qq_points_of_ties_and_few_values(spark):
+    df = spark.createDataFrame([(v,) for v in [1.0, 2.0, 2.0, 2.0, 5.0, None, float("nan")]], "v double")
+    rows = summaries.qq_points(df, "v").orderBy("sample").collect()
+    assert [(r.sample, r.n) for r in rows] == [(1.0, 1), (2.0, 3), (5.0, 1)]
+    assert np.allclose([r.p for r in rows], [(i - 0.375) / 5.25 for i in (1, 3, 5)])
+    assert rows[1].theoretical == 0 and [r.bin for r in rows] == ["Low", "Low", "Hi"]
+    assert summaries.qq_points(df.filter("v > 99"), "v").count() == 0
+    assert summaries.outlier_flag(df.filter("v IS NULL"), "v").collect()[0].outlier is None
+    assert summaries.quartile_bin(df.filter("v IS NULL"), "v").collect()[0].bin is None
+
+
+@pytest.mark.parametrize("draw", ["normal", "ties", "few", "infinite"])
+def test_narrowed_quantiles_equal_ranked_ones(spark, draw):
+    rng = np.random.default_rng(3)
+    x = {"normal": rng.normal(0, 1, 30_000), "ties": rng.integers(0, 7, 30_000) * 1.0, "few": rng.normal(0, 1, 7),
+         "infinite": np.append(rng.normal(0, 1, 500), [np.inf, -np.inf])}[draw]
+    df = spark.createDataFrame([(float(v), "ab"[i % 2]) for i, v in enumerate(x)], "x double, g string")
+    probs = [0.0, 0.05, 0.25, 0.3333, 0.5, 0.95, 1.0]
+    for keys in ([], ["g"]):
+        fast = quantiles.quantiles(df, ["x"], probs, keys, narrow=True).orderBy("variable", *keys).collect()
+        assert [tuple(r) for r in fast] == [tuple(r) for r in quantiles.quantiles(df, ["x"], probs, keys, narrow=False).orderBy("variable", *keys).collect()]
+    if draw == "normal":
+        got = quantiles.quantiles(df, ["x"], probs).first()
+        assert np.allclose([got[f"q{i}"] for i in range(len(probs))], np.quantile(x, probs))
+        kept = quantiles.narrowed(quantiles.long_form(df, ["x"]), [0.25, 0.5])
+        assert kept.count() < 1000 and kept.agg(F.sum("n")).first()[0] == len(x)
+
+
+def test_levels_of_any_number_in_one_group(spark):
+    """Fifty thousand levels in one group: slopes as from the deviations, level rows by hand."""
+    n = 50_000
+    df = spark.range(3 * n).select(
+        F.lit("g").alias("g"), (F.col("id") % n).cast("string").alias("l"), F.sin(F.col("id") * 0.7).alias("a"),
+        (1e6 + F.col("id") % n + 2 * F.sin(F.col("id") * 0.7) + F.cos(F.col("id") * 1.3)).alias("y"))
+    rows = {r.term: r for r in linear.lm_group_tidy(df, "y", "l", ["a"], ["g"]).filter("term IN ('a', '(Intercept)', 'l17')").collect()}
+    pdf = df.toPandas()
+    x, y = pdf["a"], pdf["y"] - 1e6
+    dx, dy = x - x.groupby(pdf["l"]).transform("mean"), y - y.groupby(pdf["l"]).transform("mean")
+    slope = (dx * dy).sum() / (dx**2).sum()
+    s2 = ((dy - slope * dx) ** 2).sum() / (3 * n - n - 1)
+    assert math.isclose(rows["a"].estimate, slope, rel_tol=1e-8) and math.isclose(rows["a"].std_error, math.sqrt(s2 / (dx**2).sum()), rel_tol=1e-6)
+    mean = lambda v, level: v[pdf["l"] == level].mean()
+    effect = lambda level: mean(y, level) - slope * mean(x, level)
+    assert math.isclose(rows["(Intercept)"].estimate - 1e6, effect("0"), rel_tol=1e-6)
+    assert math.isclose(rows["l17"].estimate, effect("17") - effect("0"), rel_tol=1e-6)
+    apart = mean(x, "17") - mean(x, "0")
+    assert math.isclose(rows["l17"].std_error, math.sqrt(s2 * (2 / 3 + apart**2 / (dx**2).sum())), rel_tol=1e-6)
+
+
+def test_bins_far_apart_do_not_fill_the_space_between(spark):
+    df = spark.createDataFrame([(1.0, 0.5, 3.0), (1e9, 2.5, 5.0), (1.5, 2.5, 7.0)], "x double, y double, m double")
+    cells = {(r.x, r.y): (r.m, r.Counts) for r in tables.cube_binned(df, "m", "x", "y").collect()}
+    assert cells == {(1, 0): (3.0, 1), (1, 2): (7.0, 1), (10**9, 0): (None, 0), (10**9, 2): (5.0, 1)}
+
+
+def test_sparse_crosstab(spark):
+    rows = [(f"r{i % 40}", f"c{(i * i) % 23}") for i in range(300)]
+    df = spark.createDataFrame(rows, "r string, c string")
+    full, seen = tables.crosstab_chisq(df, "r", "c").collect(), tables.crosstab_chisq(df, "r", "c", absent=False).collect()
+    names = lambda i: sorted({x[i] for x in rows})
+    observed = np.array([[sum(x == (a, b) for x in rows) for b in names(1)] for a in names(0)], float)
+    e = observed.sum(1)[:, None] * observed.sum(0)[None] / observed.sum()
+    assert len(full) == observed.size and len(seen) == (observed > 0).sum() < observed.size
+    for r in (*full, *seen):
+        assert math.isclose(r.chisq, ((observed - e) ** 2 / e).sum(), rel_tol=1e-9) and r.df == (observed.shape[0] - 1) * (observed.shape[1] - 1)
+    assert math.isclose(sum(r.contribution for r in full), full[0].chisq, rel_tol=1e-9)
