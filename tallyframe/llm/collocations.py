@@ -3,14 +3,15 @@
 A stripe is a prefix with a counter of the words that follow it. Tasks count stripes over bounded
 blocks of text; stripes of one prefix are merged element by element (prefix, next word, count), so a
 prefix followed by very many words is never one row. All numbers come from this one structure: the
-count of a phrase is its element, the stripe of the empty prefix holds the words and their total, the
-largest element of a prefix tells whether a longer phrase takes all its occurrences, and the elements
-of the longer prefixes tell the same of extensions to the left.
+count of a phrase is its element, the stripe of the empty prefix holds the words, the largest element
+of a prefix tells whether a longer phrase takes all its occurrences, and the elements of the longer
+prefixes tell the same of extensions to the left.
 
-Stripes are counted in three passes over the whole texts: words, pairs, longer phrases. A phrase
-cannot be more frequent than its parts, so a pass counts only what consists of parts frequent in the
-pass before. That is looked up in a bitmap of ``filter_bits`` bits, whose size does not grow with the
-corpus; a bit set by chance costs some counting and changes no result, since the exact counts decide.
+Most phrases are rare, and no rare one is worth a stripe. A phrase cannot be more frequent than its
+parts, so before the stripes one pass per length counts 64-bit hashes of the phrases whose parts were
+frequent a pass before, and keeps a bitmap of ``filter_bits`` bits, whose size does not grow with the
+corpus, of the frequent ones. Hashes that collide and bits set by chance only let more phrases pass:
+the stripes count words, exactly. Texts are split into words once; the passes read numbered words.
 
 Defined cases: a missing text counts as empty, a missing language as ``und``; words are cut by blank
 and tab only, pieces by ``.,;:!?`` and line ends, other characters belong to words; a repeated row
@@ -27,6 +28,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -50,14 +52,23 @@ _STRIPE = "lang string, prefix string, words array<string>, counts array<bigint>
 _STRIPE_ARROW = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 
 
+_BLOCK = "lang string, words array<string>, hashes binary, numbers binary, starts binary, n long"
+_BLOCK_ARROW = pa.schema([
+    ("lang", pa.string()), ("words", pa.list_(pa.string())), ("hashes", pa.binary()), ("numbers", pa.binary()), ("starts", pa.binary()), ("n", pa.int64())])
+_HASH_ARROW = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
+#: Phrases a task holds before it hands on their counts.
+HELD_PHRASES = 1 << 22
+_K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
 class _Numbers(dict):
-    """Numbers words in order of their first appearance; what lies between words has the first two numbers."""
+    """Numbers words in order of their first appearance from 1; what ends a piece is 0, and blanks between words -1."""
 
     def __init__(self):
-        super().__init__({b"": 0, b"\n": 1})
+        super().__init__({b"": -1, b"\n": 0})
 
     def __missing__(self, word):
-        self[word] = number = len(self)
+        self[word] = number = len(self) - 1
         return number
 
 
@@ -89,149 +100,185 @@ def _following(body: bytes, at: int, ahead: int) -> list[bytes]:
     return words
 
 
-class _Block:
-    """Words of some texts of one language as numbers, and which of them may start a phrase."""
-
-    def __init__(self, parts: Sequence[tuple[bytes, list[bytes]]]):
-        numbers, words, starts = _Numbers(), [], []
-        for body, after in parts:
-            tokens = body.replace(b"\n", b" \n ").split(b" ")
-            inside = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-            inside = inside[inside != 0]
-            words += [inside, np.array([*map(numbers.__getitem__, after), 1], np.int64)]
-            starts += [np.ones(len(inside), bool), np.zeros(len(after) + 1, bool)]
-        self.words, self.starts, self.spelled = np.concatenate(words), np.concatenate(starts), list(numbers)
-        self.is_word = self.words != 1
-
-    def vocabulary(self) -> pa.Array:
-        return pa.array(self.spelled, pa.binary()).cast(pa.string())
-
-
-def _known(lang: bytes, phrases: Iterator[bytes], bitmap: np.ndarray) -> np.ndarray:
-    """Whether each phrase's bit is set."""
-    start = zlib.crc32(lang + b"\0")
-    bits = np.fromiter((zlib.crc32(p, start) for p in phrases), np.int64) % (64 * len(bitmap))
-    return (bitmap[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1) == 1
-
-
-def _stripes(lang: str, prefixes: pa.Array, prefix: np.ndarray, words: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-    """One row per prefix from its elements, which stand together."""
-    first = np.flatnonzero(np.diff(prefix, prepend=-1))
-    offsets = pa.array(np.append(first, len(prefix)).astype(np.int32))
-    names = prefixes.take(pa.array(prefix[first]))
-    columns = [pa.array([lang] * len(first), pa.string()), names, pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64()))]
-    return pa.RecordBatch.from_arrays(columns, schema=_STRIPE_ARROW)
-
-
-def _count_words(block: _Block, lang: str) -> Iterator[pa.RecordBatch]:
-    counts = np.bincount(block.words[block.starts & block.is_word], minlength=len(block.spelled))
-    seen = np.flatnonzero(counts)
-    yield _stripes(lang, pa.array([""]), np.zeros(len(seen), np.int64), block.vocabulary().take(pa.array(seen)), counts[seen])
-
-
-def _pairs(block: _Block, lang: str, bitmap: np.ndarray):
-    """Places whose word and next word are both known, and the pair there as one number."""
-    known = _known(lang.encode(), block.spelled, bitmap)
-    known[:2] = False
-    ok = known[block.words]
-    at = np.flatnonzero(ok[:-1] & ok[1:])
-    return at, block.words[at] * len(block.spelled) + block.words[at + 1]
-
-
-def _count_pairs(block: _Block, lang: str, bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:
-    at, pair = _pairs(block, lang, bitmap)
-    found, counts = np.unique(pair[block.starts[at]], return_counts=True)
-    if len(found):
-        vocabulary, size = block.vocabulary(), len(block.spelled)
-        yield _stripes(lang, vocabulary, found // size, vocabulary.take(pa.array(found % size)), counts)
-
-
-def _count_longer(block: _Block, lang: str, bitmap: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
-    """Phrases of three words or more, all of whose pairs are known."""
-    at, pair = _pairs(block, lang, bitmap)
-    vocabulary, size = block.vocabulary(), len(block.spelled)
-    found, which = np.unique(pair, return_inverse=True)
-    known = _known(lang.encode(), (block.spelled[p // size] + b" " + block.spelled[p % size] for p in found.tolist()), bitmap)
-    runs = np.zeros(len(block.words) + longest, bool)
-    runs[at[known[which]]] = True
-    names = pc.binary_join_element_wise(vocabulary.take(pa.array(found // size)), vocabulary.take(pa.array(found % size)), " ")
-    keep = block.starts[at] & runs[at]
-    at, phrase = at[keep], which[keep]
-    for length in range(3, longest + 1):
-        more = runs[at + length - 2]
-        at = at[more]
-        key = phrase[more] * size + block.words[at + length - 1]
-        if not len(key):
-            return
-        found, phrase, counts = np.unique(key, return_inverse=True, return_counts=True)
-        words = vocabulary.take(pa.array(found % size))
-        yield _stripes(lang, names, found // size, words, counts)
-        names = pc.binary_join_element_wise(names.take(pa.array(found // size)), words, " ")
-
-
-def _counted(docs: DataFrame, shortest: int, longest: int, bitmap: np.ndarray | None, block_bytes: int) -> DataFrame:
-    """Elements (lang, prefix, word, f) of the merged stripes whose phrases have ``shortest`` to ``longest`` words."""
-    shared = None if bitmap is None else docs.sparkSession.sparkContext.broadcast(bitmap)
-
-    def count(lang: str, parts) -> Iterator[pa.RecordBatch]:
-        block = _Block(parts)
-        if shortest == 1:
-            return _count_words(block, lang)
-        return _count_pairs(block, lang, shared.value) if shortest == 2 else _count_longer(block, lang, shared.value, longest)
+def _numbered(lang: str, parts: Sequence[tuple[bytes, list[bytes]]]) -> pa.RecordBatch:
+    """A block: its different words with their hashes, the words in order as numbers, and which of them may start a phrase."""
+    numbers, order, starts = _Numbers(), [], []
+    for body, after in parts:
+        tokens = body.replace(b"\n", b" \n ").split(b" ")
+        inside = np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens))
+        inside = inside[inside >= 0]
+        order += [inside, np.array([*map(numbers.__getitem__, after), 0], np.int32)]
+        starts += [inside > 0, np.zeros(len(after) + 1, bool)]
+    own, words = np.concatenate(order), list(numbers)[2:]
+    may_start = np.concatenate(starts)
+    seed = zlib.crc32(lang.encode())
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    row = [
+        pa.array([lang]), pa.array([pa.array(words, pa.binary()).cast(pa.string()).to_pylist()], pa.list_(pa.string())),
+        pa.array([hashes.tobytes()]), pa.array([own.tobytes()]), pa.array([np.packbits(may_start).tobytes()]), pa.array([int(may_start.sum())])]
+    return pa.RecordBatch.from_arrays(row, schema=_BLOCK_ARROW)
+
+
+def text_blocks(docs: DataFrame, ahead: int, block_bytes: int) -> DataFrame:
+    """The texts (lang, text) as blocks of numbered words of one language, written once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list] = {}
         held: dict[str, int] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for part in _blocks(text.as_py().encode().lower().translate(_CLEAN), longest - 1, block_bytes):
+                for part in _blocks(text.as_py().encode().lower().translate(_CLEAN), ahead, block_bytes):
                     waiting.setdefault(lang, []).append(part)
                     held[lang] = held.get(lang, 0) + len(part[0])
                     if held[lang] >= block_bytes:
-                        yield from count(lang, waiting.pop(lang))
+                        yield _numbered(lang, waiting.pop(lang))
                         held[lang] = 0
-            if sum(held.values()) >= block_bytes:
+            if sum(held.values()) >= 4 * block_bytes:
                 for lang in list(waiting):
-                    yield from count(lang, waiting.pop(lang))
+                    yield _numbered(lang, waiting.pop(lang))
                 held = {}
         for lang, parts in waiting.items():
-            yield from count(lang, parts)
+            yield _numbered(lang, parts)
 
-    stripes = bounded_batches(docs).mapInArrow(work, _STRIPE)
-    elements = stripes.select("lang", "prefix", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("n"))))
-    return elements.groupBy("lang", "prefix", "word").agg(F.sum("n").alias("f"))
+    return materialize(bounded_batches(docs).mapInArrow(work, _BLOCK), "text-blocks")
 
 
-def _phrase() -> Column:
-    return F.when(F.col("prefix") == "", F.col("word")).otherwise(F.concat("prefix", F.lit(" "), "word"))
+class _Block:
+    """A block's numbered words; ``known`` are the bitmaps of frequent phrases of 1, 2, ... words."""
+
+    def __init__(self, hashes: bytes, numbers: bytes, starts: bytes, known: list[np.ndarray]):
+        self.order = np.frombuffer(numbers, np.int32)
+        self.starts = np.unpackbits(np.frombuffer(starts, np.uint8), count=len(self.order)).astype(bool)
+        self.hashes = np.concatenate([np.zeros(1, np.uint64), np.frombuffer(hashes, np.uint64)])
+        self.known = known
+
+    def _is_known(self, length: int, hashes: np.ndarray) -> np.ndarray:
+        bitmap = self.known[length - 1]
+        bits = hashes % np.uint64(64 * len(bitmap))
+        return (bitmap[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1) == 1
+
+    def phrases(self, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places and hashes of the phrases of 1, 2, ... ``length`` words whose shorter parts are all known."""
+        of_word = _mixed(self.hashes)
+        at = np.flatnonzero(self.order > 0)
+        hashes = of_word[self.order[at]]
+        yield at, hashes
+        if length == 1:
+            return
+        fine = self._is_known(1, of_word)
+        fine[0] = False
+        keep = fine[self.order[at]]
+        for n in range(2, length + 1):
+            run = np.zeros(len(self.order) + 1, bool)
+            run[at[keep]] = True
+            keep &= run[at + 1]
+            at, before = at[keep], hashes[keep]
+            with np.errstate(over="ignore"):
+                hashes = _mixed(before * _K1 + self.hashes[self.order[at + n - 1]])
+            yield at, hashes
+            if n < length:
+                keep = self._is_known(n, hashes)
+
+    def counted(self, length: int) -> np.ndarray:
+        """Hashes of all phrases of that length that start here, one per occurrence."""
+        for at, hashes in self.phrases(length):
+            pass
+        return hashes[self.starts[at]]
+
+    def stripes(self, lang: str, words: pa.Array, longest: int) -> Iterator[pa.RecordBatch]:
+        """The stripes of all known phrases: one row per prefix."""
+        size = len(self.hashes)
+        names, number = pa.array([""]), np.zeros(len(self.order), np.int64)
+        for n, (at, hashes) in enumerate(self.phrases(longest), 1):
+            at = at[self._is_known(n, hashes)]
+            if not len(at):
+                return
+            found, which = np.unique(number[at] * size + self.order[at + n - 1], return_inverse=True)
+            counts = np.bincount(which[self.starts[at]], minlength=len(found))
+            prefix, word = found // size, words.take(pa.array(found % size - 1))
+            seen = np.flatnonzero(counts)
+            if len(seen):
+                first = np.flatnonzero(np.diff(prefix[seen], prepend=-1))
+                offsets = pa.array(np.append(first, len(seen)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(offsets, word.take(pa.array(seen))), pa.ListArray.from_arrays(offsets, pa.array(counts[seen], pa.int64()))]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(first), pa.string()), names.take(pa.array(prefix[seen][first])), *lists], schema=_STRIPE_ARROW)
+            names = word if n == 1 else pc.binary_join_element_wise(names.take(pa.array(prefix)), word, " ")
+            number[at] = which
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * _K2
+        return (x ^ (x >> np.uint64(27))) * _K1
+
+
+def _hash_counts(blocks: DataFrame, length: int, shared) -> DataFrame:
+    """hash and n: how often each phrase of that length was met, where its shorter parts are known."""
+
+    def merged(held: list[np.ndarray]) -> pa.RecordBatch:
+        found, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts, pa.int64())], schema=_HASH_ARROW)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                held.append(_Block(**row, known=shared.value).counted(length))
+                if sum(map(len, held)) >= HELD_PHRASES:
+                    yield merged(held)
+                    held = []
+        if held:
+            yield merged(held)
+
+    counts = blocks.select("hashes", "numbers", "starts").mapInArrow(work, "hash long, n long")
+    return counts.groupBy("hash").agg(F.sum("n").alias("n"))
 
 
 def _bitmap(frequent: DataFrame, filter_bits: int) -> np.ndarray:
-    """A bit for each phrase: as words of 64 bits, at most filter_bits / 64 of them."""
-    bits = frequent.select((F.crc32(F.concat("lang", F.lit("\0"), _phrase()).cast("binary")) % filter_bits).alias("bit"))
+    """A bit for each hash: as words of 64 bits, at most filter_bits / 64 of them. ``filter_bits`` divides 2^64, so signs do not matter."""
+    bits = frequent.select(F.pmod("hash", F.lit(filter_bits)).alias("bit"))
     packed = bits.select(F.expr("bit div 64").alias("at"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("mask"))
     words = packed.groupBy("at").agg(F.bit_or("mask").alias("mask")).toPandas()
     out = np.zeros(filter_bits // 64, np.uint64)
-    out[words["at"].to_numpy()] = words["mask"].to_numpy().view(np.uint64)
+    out[words["at"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).view(np.uint64)
     return out
 
 
+def merged_stripes(blocks: DataFrame, longest: int, shared) -> DataFrame:
+    """Elements (lang, prefix, word, f) of all stripes."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in ("hashes", "numbers", "starts")}
+                yield from _Block(**row, known=shared.value).stripes(batch.column("lang")[i].as_py(), batch.column("words")[i].values, longest)
+
+    stripes = blocks.select("lang", "words", "hashes", "numbers", "starts").mapInArrow(work, _STRIPE)
+    elements = stripes.select("lang", "prefix", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("n"))))
+    return elements.groupBy("lang", "prefix", "word").agg(F.sum("n").alias("f"))
+
+
+def _phrase() -> Column:
+    return F.when(F.col("prefix") == "", F.col("word")).otherwise(F.concat("prefix", F.lit(" "), "word"))
+
+
 def frequent_phrases(
     docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST,
     filter_bits: int = FILTER_BITS, block_bytes: int = BLOCK_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """Elements (lang, prefix, word, f) of all phrases of up to ``longest`` words found ``least`` times or more, and (lang, n), the words read."""
-    if longest < 2 or filter_bits % 64:
-        raise ValueError("longest must be at least 2, filter_bits a multiple of 64")
+    if longest < 2 or filter_bits < 64 or filter_bits & (filter_bits - 1):
+        raise ValueError("longest must be at least 2, filter_bits a power of two from 64 on")
+    context = docs.sparkSession.sparkContext
     rows = docs.select(F.coalesce(F.col(lang), F.lit(UNDETERMINED)).alias("lang"), empty_if_null(text).alias("text"))
-    words = materialize(_counted(rows, 1, 1, None, block_bytes), "words")
-    totals = materialize(words.groupBy("lang").agg(F.sum("f").alias("n")), "word-totals")
-    frequent = words.where(F.col("f") >= least)
-    for shortest, most in ((2, 2), (3, longest))[: 1 + (longest > 2)]:
-        bitmap = _bitmap(frequent, filter_bits)
-        longer = _counted(rows, shortest, most, bitmap, block_bytes).where(F.col("f") >= least)
-        frequent = frequent.unionByName(materialize(longer, "phrases"))
-    return frequent, totals
+    blocks = text_blocks(rows, longest - 1, block_bytes)
+    totals = materialize(blocks.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
+    known: list[np.ndarray] = []
+    for length in range(1, longest + 1):
+        counts = _hash_counts(blocks, length, context.broadcast(known))
+        known.append(_bitmap(counts.where(F.col("n") >= least), filter_bits))
+    elements = merged_stripes(blocks, longest, context.broadcast(known)).where(F.col("f") >= least)
+    return elements, totals
 
 
 def _looked_up(rows: DataFrame, key: str, known: DataFrame, into: str) -> DataFrame:
