@@ -54,6 +54,8 @@ MAY_LINK = 0.59
 #: Sketch similarity to a pivot from which a record leaves its bucket.
 COVERED = 0.92
 TILE_RECORDS = 512
+#: Sketches a side of a tile has, of buckets whose paths have full length.
+TILE_SKETCHES = 1024
 COLUMNS_AT_ONCE = 8192
 KNOWN_WORDS = 300_000
 SHINGLES_AT_ONCE = 4096
@@ -220,7 +222,14 @@ def _split_large(threshold: float):
                 continue
             marks, rid = sketch_matrix(members["sketch"]), members["rid"].to_numpy(np.int64)
             close = np.stack([(marks == marked[at, i]).mean(1) for i in range(PIVOTS)], 1)
-            row, which = np.nonzero((close >= MAY_LINK) & (ids[at] != rid[:, None]))
+            # Pivots that hang together are linked by their own rows; one link to any of them is enough.
+            together = np.stack([spanning(np.stack([(m == other).mean(1) for other in m]) >= MAY_LINK) for m in marked])[at]
+            linked = (close >= MAY_LINK) & (ids[at] != rid[:, None])
+            own = (ids[at] == rid[:, None]).any(1)
+            for i in range(1, PIVOTS):
+                for j in range(i):
+                    linked[:, i] &= own | ~linked[:, j] | (together[:, i] != together[:, j])
+            row, which = np.nonzero(linked)
             yield pd.DataFrame({"kind": 0, "x": rid[row], "y": ids[at][row, which], "sketch": None})
             stays = np.flatnonzero(close.max(1) < COVERED)
             row, paths = chosen_paths(marks[stays], members["bucket"].to_numpy(np.int64).view(np.uint64)[stays], threshold)
@@ -229,9 +238,9 @@ def _split_large(threshold: float):
     return rows
 
 
-def _with_heads(members: DataFrame, large: DataFrame, pieces: int) -> DataFrame:
+def _with_heads(members: DataFrame, sketched: Callable[[DataFrame], DataFrame], large: DataFrame, pieces: int) -> DataFrame:
     """The members of large buckets dealt to ``pieces`` by record, and the bucket's pivots once in each piece."""
-    inside = members.join(large.select("bucket"), "bucket", "left_semi").select(
+    inside = sketched(members.join(large.select("bucket"), "bucket", "left_semi")).select(
         "bucket", F.pmod(F.xxhash64("rid"), F.lit(pieces)).cast("int").alias("piece"), F.lit(False).alias("head"), "rid", "sketch")
     heads = large.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)))).withColumn("head", F.lit(True))
     return inside.unionByName(heads.drop("n"), allowMissingColumns=True)
@@ -285,22 +294,23 @@ def candidate_links(records: DataFrame, threshold: float, depth: int) -> DataFra
             break
         if level == depth:
             # Paths of full length are not split further, and nothing is dropped: what they hold meets in tiles.
-            # Buckets of one number of pieces, a power of two, are dealt together; there are as many numbers as doublings.
-            size = F.pow(2.0, F.ceil(F.log2(F.ceil(F.col("n") / TILE_RECORDS)))).cast("long") * TILE_RECORDS
-            sized = materialize(large.select("bucket", size.alias("n")), "full-paths")
-            for n in sorted(r["n"] for r in sized.select("n").distinct().collect()):
-                rows = sketched(members.join(sized.where(F.col("n") == n).select("bucket"), "bucket", "left_semi"))
-                tiles = deal_tiles(rows.select("bucket", "rid", "sketch", F.lit(n).alias("n")), "bucket", "rid", TILE_RECORDS)
+            # Buckets of one number of pieces, rounded up to three binary digits, are dealt together: four numbers to a doubling.
+            pieces = F.ceil(F.col("n") / TILE_SKETCHES)
+            step = F.greatest(F.lit(1.0), F.pow(2.0, F.floor(F.log2(pieces)) - 2))
+            sized = materialize(large.select("bucket", (F.ceil(pieces / step) * step).cast("long").alias("pieces")), "full-paths")
+            for many in sorted(r["pieces"] for r in sized.select("pieces").distinct().collect()):
+                rows = sketched(members.join(sized.where(F.col("pieces") == many).select("bucket"), "bucket", "left_semi"))
+                tiles = deal_tiles(rows.select("bucket", "rid", "sketch", F.lit(many * TILE_SKETCHES).alias("n")), "bucket", "rid", TILE_SKETCHES)
                 links = links.union(by_tile(tiles, "bucket").mapInPandas(_compare_tiles, "a long, b long"))
             break
         large = large.select("bucket", "n", *[f"pivot_{i}" for i in range(PIVOTS)])
         for i in range(PIVOTS):
             large = large.join(marks.select(F.col("rid").alias(f"pivot_{i}"), F.col("sketch").alias(f"sketch_{i}")), f"pivot_{i}")
-        large, own = materialize(large, "heads"), sketched(members)
+        large = materialize(large, "heads")
         # A piece's pivots weigh no more than its share of the members does.
         parts = shuffle_partitions(records.sparkSession)
         whole = F.col("n") <= max(WHOLE_BUCKET, 4 * parts)
-        dealt = _with_heads(own, large.where(whole), 1).unionByName(_with_heads(own, large.where(~whole), parts))
+        dealt = _with_heads(members, sketched, large.where(whole), 1).unionByName(_with_heads(members, sketched, large.where(~whole), parts))
         dealt = dealt.repartition(parts, "bucket", "piece").sortWithinPartitions("bucket", "piece", F.col("head").desc())
         split = materialize(dealt.mapInPandas(_split_large(threshold), "kind int, x long, y long, sketch binary"), "split")
         links = links.union(split.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")))

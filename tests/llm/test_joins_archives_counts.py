@@ -67,6 +67,8 @@ def near_copies(spark, groups, each, words=120, changed=2, seed=0):
 def test_large_buckets_lose_no_link(spark, monkeypatch, groups, each, small):
     monkeypatch.setattr(chosenpath, "SMALL_BUCKET", small)
     monkeypatch.setattr(chosenpath, "TILE_RECORDS", 40)
+    monkeypatch.setattr(chosenpath, "TILE_SKETCHES", 40)
+    monkeypatch.setattr(chosenpath, "WHOLE_BUCKET", 60)
     rows = near_copies(spark, groups, each)
     got = chosenpath.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).drop("rid").toPandas()
     assert sorted(clean(got.values.tolist())) == sorted(plain_classes(rows))
