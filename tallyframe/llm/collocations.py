@@ -39,9 +39,9 @@ from tallyframe.session import materialize
 LONGEST = 5
 LEAST = 100
 TOP = 2000
-FILTER_BITS = 1 << 26
+FILTER_BITS = 1 << 25
 #: Bytes of text that a task counts at once.
-BLOCK_BYTES = 1 << 23
+BLOCK_BYTES = 1 << 22
 SALTS = 64
 
 UNDETERMINED = "und"
@@ -57,7 +57,7 @@ _BLOCK_ARROW = pa.schema([
     ("lang", pa.string()), ("words", pa.list_(pa.string())), ("hashes", pa.binary()), ("numbers", pa.binary()), ("starts", pa.binary()), ("n", pa.int64())])
 _HASH_ARROW = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
 #: Phrases a task holds before it hands on their counts.
-HELD_PHRASES = 1 << 22
+HELD_PHRASES = 1 << 20
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -114,7 +114,7 @@ def _numbered(lang: str, parts: Sequence[tuple[bytes, list[bytes]]]) -> pa.Recor
     seed = zlib.crc32(lang.encode())
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
     row = [
-        pa.array([lang]), pa.array([pa.array(words, pa.binary()).cast(pa.string()).to_pylist()], pa.list_(pa.string())),
+        pa.array([lang]), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(words, pa.binary()).cast(pa.string())),
         pa.array([hashes.tobytes()]), pa.array([own.tobytes()]), pa.array([np.packbits(may_start).tobytes()]), pa.array([int(may_start.sum())])]
     return pa.RecordBatch.from_arrays(row, schema=_BLOCK_ARROW)
 
@@ -144,13 +144,14 @@ def text_blocks(docs: DataFrame, ahead: int, block_bytes: int) -> DataFrame:
 
 
 class _Block:
-    """A block's numbered words; ``known`` are the bitmaps of frequent phrases of 1, 2, ... words."""
+    """A block's numbered words; ``shared`` holds the bitmaps of frequent phrases of 1, 2, ... words."""
 
-    def __init__(self, hashes: bytes, numbers: bytes, starts: bytes, known: list[np.ndarray]):
-        self.order = np.frombuffer(numbers, np.int32)
-        self.starts = np.unpackbits(np.frombuffer(starts, np.uint8), count=len(self.order)).astype(bool)
-        self.hashes = np.concatenate([np.zeros(1, np.uint64), np.frombuffer(hashes, np.uint64)])
-        self.known = known
+    def __init__(self, batch: pa.RecordBatch, i: int, shared: list):
+        of = lambda c, kind: np.frombuffer(batch.column(c)[i].as_buffer(), kind)
+        self.order = of("numbers", np.int32)
+        self.starts = np.unpackbits(of("starts", np.uint8), count=len(self.order)).astype(bool)
+        self.hashes = np.concatenate([np.zeros(1, np.uint64), of("hashes", np.uint64)])
+        self.known = [b.value for b in shared]
 
     def _is_known(self, length: int, hashes: np.ndarray) -> np.ndarray:
         bitmap = self.known[length - 1]
@@ -212,7 +213,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
         return (x ^ (x >> np.uint64(27))) * _K1
 
 
-def _hash_counts(blocks: DataFrame, length: int, shared) -> DataFrame:
+def _hash_counts(blocks: DataFrame, length: int, shared: list) -> DataFrame:
     """hash and n: how often each phrase of that length was met, where its shorter parts are known."""
 
     def merged(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -222,8 +223,8 @@ def _hash_counts(blocks: DataFrame, length: int, shared) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
-            for row in batch.to_pylist():
-                held.append(_Block(**row, known=shared.value).counted(length))
+            for i in range(batch.num_rows):
+                held.append(_Block(batch, i, shared).counted(length))
                 if sum(map(len, held)) >= HELD_PHRASES:
                     yield merged(held)
                     held = []
@@ -244,14 +245,13 @@ def _bitmap(frequent: DataFrame, filter_bits: int) -> np.ndarray:
     return out
 
 
-def merged_stripes(blocks: DataFrame, longest: int, shared) -> DataFrame:
+def merged_stripes(blocks: DataFrame, longest: int, shared: list) -> DataFrame:
     """Elements (lang, prefix, word, f) of all stripes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in ("hashes", "numbers", "starts")}
-                yield from _Block(**row, known=shared.value).stripes(batch.column("lang")[i].as_py(), batch.column("words")[i].values, longest)
+                yield from _Block(batch, i, shared).stripes(batch.column("lang")[i].as_py(), batch.column("words")[i].values, longest)
 
     stripes = blocks.select("lang", "words", "hashes", "numbers", "starts").mapInArrow(work, _STRIPE)
     elements = stripes.select("lang", "prefix", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("n"))))
@@ -273,11 +273,11 @@ def frequent_phrases(
     rows = docs.select(F.coalesce(F.col(lang), F.lit(UNDETERMINED)).alias("lang"), empty_if_null(text).alias("text"))
     blocks = text_blocks(rows, longest - 1, block_bytes)
     totals = materialize(blocks.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
-    known: list[np.ndarray] = []
+    known = []
     for length in range(1, longest + 1):
-        counts = _hash_counts(blocks, length, context.broadcast(known))
-        known.append(_bitmap(counts.where(F.col("n") >= least), filter_bits))
-    elements = merged_stripes(blocks, longest, context.broadcast(known)).where(F.col("f") >= least)
+        frequent = _hash_counts(blocks, length, list(known)).where(F.col("n") >= least)
+        known.append(context.broadcast(_bitmap(frequent, filter_bits)))  # filter_bits / 8 bytes
+    elements = merged_stripes(blocks, longest, known).where(F.col("f") >= least)
     return elements, totals
 
 
