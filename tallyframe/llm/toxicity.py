@@ -5,11 +5,17 @@ machine learns a vector per term; the product of two terms' vectors weighs their
 document (an insult with the mention of a group), which additive weights cannot. The machine is
 fitted on a bounded sample of labelled documents and then scores every document of any table.
 
+Of the sample's terms the machine keeps those that tell the labels apart: by themselves, or by their
+meeting. The latter are found from counts of all pairs of words that meet in toxic documents, so a
+word whose share of toxic documents is the usual one is kept if it goes with another one. Words kept
+for their meetings alone stay only if they lower the loss on a part of the sample set aside.
+
 Defined cases: a missing or empty text, or one without words, is scored by the machine's bias
 alone; very long texts are read whole; labels of documents that are missing, and missing labels,
 take no part; repeated labels count repeatedly; without labels of both kinds every score is the
 share of toxic labels (0 without labels); an empty table gives an empty result; columns other than
-key and text are ignored by the scores, whatever their names, and carried along by ``scored``.
+key and text are ignored by the scores, whatever their names, and carried along by ``scored``,
+except that a column of the name ``into`` is replaced.
 """
 
 from __future__ import annotations
@@ -33,6 +39,19 @@ STEMS = (3, 4, 5)
 #: Terms a machine keeps at most: those that tell the labels apart best.
 KEPT_TERMS = 2048
 LEAST_DOCUMENTS = 5
+TELLING = 15.0
+#: Pairs of words a machine keeps terms for at most; toxic documents a pair must be met in, and what its
+#: chi-squared statistic must exceed those of its words by, far beyond what chance gives among millions of pairs.
+KEPT_PAIRS, LEAST_MEETINGS, TELLING_TOGETHER = 512, 8, 60.0
+#: Documents of the sample that pairs are counted in at most, and pairs counted in all: terms in more documents than
+#: the first of these shares that keeps to it take no part in pairs.
+PAIRED_DOCUMENTS, PAIRS_IN_ALL = 4_000, 150_000_000
+SHARES = (1.0, 0.7, 0.5, 0.35, 0.25, 0.18, 0.12, 0.08, 0.05)
+PAIR_BITS = 24
+PAIRS_AT_ONCE = 1 << 20
+#: One in this many of the learned documents decides whether pairs are worth keeping.
+SET_ASIDE = 5
+LOWER_LOSS = 0.98
 FACTORS = 8
 ROUNDS = 300
 LEARNING_RATE = 0.05
@@ -92,19 +111,88 @@ def stacked(kept: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return document, place, value, len(kept)
 
 
-def telling_terms(terms: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """Hashes whose presence goes with either label, by the chi-squared statistic of their two-by-two table."""
+def presence_statistic(met: np.ndarray, met_toxic: np.ndarray, n: int, n1: float) -> np.ndarray:
+    """Chi-squared of presence against label, from how often something is present, in all and in toxic documents."""
+    expected = met * n1 / n
+    spread = met * (1 - met / n) * (n1 / n) * (1 - n1 / n)
+    return np.where((met >= LEAST_DOCUMENTS) & (met < n), (met_toxic - expected) ** 2 / np.maximum(spread, 1e-9), 0.0)
+
+
+def telling_terms(terms: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes whose presence goes with either label; and the statistic of every hash."""
     every = np.concatenate(terms) if terms else np.zeros(0, np.int64)
-    sizes = np.array([len(x) for x in terms])
-    of = np.repeat(toxic, sizes)
-    n, n1 = len(toxic), float(toxic.sum())
-    both = np.bincount(every, minlength=1 << HASH_BITS).astype(float)
-    ones = np.bincount(every, of, 1 << HASH_BITS)
-    expected = both * n1 / n
-    spread = both * (1 - both / n) * (n1 / n) * (1 - n1 / n)
-    chi = np.where((both >= LEAST_DOCUMENTS) & (both < n), (ones - expected) ** 2 / np.maximum(spread, 1e-9), 0.0)
-    best = np.argsort(-chi, kind="stable")[:KEPT_TERMS]
-    return np.sort(best[chi[best] > 15.0])
+    of = np.repeat(toxic, [len(x) for x in terms])
+    met = np.bincount(every, minlength=1 << HASH_BITS).astype(float)
+    statistic = presence_statistic(met, np.bincount(every, of, 1 << HASH_BITS), len(toxic), float(toxic.sum()))
+    best = np.argsort(-statistic, kind="stable")[:KEPT_TERMS]
+    return np.sort(best[statistic[best] > TELLING]), statistic
+
+
+def pairs_of(terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a document's terms, the lower first, some rows of their triangle at once."""
+    step = max(1, PAIRS_AT_ONCE // max(1, len(terms)))
+    for at in range(0, len(terms) - 1, step):
+        rows = np.arange(at, min(at + step, len(terms) - 1))
+        many = len(terms) - 1 - rows
+        ends = np.cumsum(many)
+        yield np.repeat(terms[rows], many), terms[np.arange(ends[-1]) - np.repeat(ends - many, many) + np.repeat(rows + 1, many)]
+
+
+def pair_buckets(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return ((a * 0x9E3779B1 + b * 0x85EBCA6B) >> 5) & ((1 << PAIR_BITS) - 1)
+
+
+def telling_pairs(terms: list[np.ndarray], toxic: np.ndarray, statistic: np.ndarray) -> np.ndarray:
+    """Terms of pairs that go with toxicity far more than either term does.
+
+    A first count by hash buckets leaves few pairs, which are then counted exactly. Equal documents count once.
+    """
+    own = sorted({x.tobytes(): i for i, x in reversed(list(enumerate(terms)))}.values())
+    own = own[:: -(-len(own) // PAIRED_DOCUMENTS)]
+    n, label = len(own), toxic[own]
+    frequency = np.bincount(np.concatenate([terms[i] for i in own]), minlength=1 << HASH_BITS)
+    for share in SHARES:
+        fit = (frequency >= LEAST_MEETINGS) & (frequency <= share * n)
+        rows = [terms[i][fit[terms[i]]] for i in own]
+        if sum(len(r) * (len(r) - 1) // 2 for r in rows) <= PAIRS_IN_ALL:
+            break
+    met = np.zeros((2, 1 << PAIR_BITS), np.int64)
+    waiting: list[list[np.ndarray]] = [[], []]
+
+    def flush(which: int) -> None:
+        if waiting[which]:
+            met[which] += np.bincount(np.concatenate(waiting[which]), minlength=met.shape[1])
+            waiting[which].clear()
+
+    for row, y in zip(rows, label, strict=True):
+        for a, b in pairs_of(row):
+            waiting[int(y)].append(pair_buckets(a, b).astype(np.int32))
+            if sum(map(len, waiting[int(y)])) > 8 * PAIRS_AT_ONCE:
+                flush(int(y))
+    flush(0), flush(1)
+    rough = presence_statistic(met.sum(0).astype(float), met[1].astype(float), n, float(label.sum()))
+    rough[met[1] < LEAST_MEETINGS] = 0.0
+    del met
+    hits = [np.zeros(0, np.int64)]
+    for row, y in zip(rows, label, strict=True):
+        if y:
+            for a, b in pairs_of(row):
+                # Pairs that share a bucket blur the rough statistic, so the bar is lower here.
+                hit = rough[pair_buckets(a, b)] - np.maximum(statistic[a], statistic[b]) > TELLING_TOGETHER / 2
+                hits.append((a[hit] << HASH_BITS) | b[hit])
+    found = np.unique(np.concatenate(hits))
+    if not len(found):
+        return found
+    pairs = np.stack([found >> HASH_BITS, found & ((1 << HASH_BITS) - 1)], 1)
+    holds = {int(t): np.zeros(n, bool) for t in np.unique(pairs)}
+    for i, row in enumerate(rows):
+        for t in row[np.isin(row, pairs)].tolist():
+            holds[t][i] = True
+    both = np.array([[(m := holds[a] & holds[b]).sum(), m[label == 1].sum()] for a, b in pairs.tolist()], float)
+    gain = presence_statistic(both[:, 0], both[:, 1], n, float(label.sum())) - statistic[pairs].max(1)
+    gain[both[:, 1] < LEAST_MEETINGS] = 0.0
+    best = np.argsort(-gain, kind="stable")[:KEPT_PAIRS]
+    return np.unique(pairs[best[gain[best] > TELLING_TOGETHER]])
 
 
 def fit_machine(terms: list[np.ndarray], toxic: np.ndarray) -> Machine:
@@ -113,9 +201,26 @@ def fit_machine(terms: list[np.ndarray], toxic: np.ndarray) -> Machine:
     if n1 in (0.0, float(n)):
         share = n1 / n if n else 0.0
         return Machine(float(np.log((share + 1e-6) / (1 - share + 1e-6))))
-    kept = telling_terms(terms, toxic)
+    alone, statistic = telling_terms(terms, toxic)
+    both = np.union1d(alone, telling_pairs(terms, toxic, statistic))
+    if len(both) > len(alone):
+        # The terms are those of all learned documents, the two machines compared here learn from a part of them.
+        judges = np.arange(n) % SET_ASIDE == 0
+        losses = []
+        for kept in (alone, both):
+            machine = fit_terms([t for t, j in zip(terms, judges, strict=True) if not j], toxic[~judges], kept)
+            chance = machine.score([places(t, kept) for t, j in zip(terms, judges, strict=True) if j])
+            chance = np.clip(chance, 1e-6, 1 - 1e-6)
+            losses.append(-np.mean(np.where(toxic[judges] == 1, np.log(chance), np.log(1 - chance))))
+        alone = both if losses[1] < LOWER_LOSS * losses[0] else alone
+    return fit_terms(terms, toxic, alone)
+
+
+def fit_terms(terms: list[np.ndarray], toxic: np.ndarray, kept: np.ndarray) -> Machine:
+    """The machine of given terms."""
+    n, n1 = len(toxic), float(toxic.sum())
     draw = np.random.default_rng(7)
-    machine = Machine(float(np.log(n1 / (n - n1))), kept, np.zeros(len(kept)), draw.normal(0, 0.05, (len(kept), FACTORS)))
+    machine = Machine(float(np.log((n1 + 1e-6) / (n - n1 + 1e-6))), kept, np.zeros(len(kept)), draw.normal(0, 0.05, (len(kept), FACTORS)))
     rows = [places(x, kept) for x in terms]
     document, place, value, count = stacked(rows)
     state = {k: (0.0, 0.0) for k in ("bias", "weights", "vectors")}

@@ -85,17 +85,53 @@ def test_machine_learns_a_meeting_of_terms():
         rows.append(np.unique(np.array(noise + [toxicity.hashed("insult")] * a + [toxicity.hashed("group")] * b + [toxicity.hashed("plain")] * (1 - a))))
         labels.append(a == b)
     y = np.array(labels, float)
-    kept = np.unique(np.concatenate(rows))
-    old = toxicity.telling_terms
-    toxicity.telling_terms = lambda *_: kept
-    try:
-        machine = toxicity.fit_machine(rows, y)
-    finally:
-        toxicity.telling_terms = old
+    machine = toxicity.fit_machine(rows, y)
     score = machine.score([toxicity.places(r, machine.terms) for r in rows])
     assert ((score >= 0.5) == (y == 1)).mean() > 0.95
 
 
+def test_a_meeting_is_learned_among_many_other_terms():
+    """A group mention at the usual share of toxic documents turns toxic beside an insult; plainly toxic words are there as well."""
+    draw = np.random.default_rng(4)
+    group, insult, plain = (toxicity.hashed(w + " ") for w in ("group", "insult", "plainlytoxic"))
+    vocabulary = np.array([toxicity.hashed(f"n{i}") for i in range(3000)])
+
+    def documents(count):
+        rows, labels, met = [], [], []
+        for _ in range(count):
+            words = vocabulary[np.unique((3000 * draw.random(120) ** 2).astype(int))].tolist()
+            has = draw.random(3) < (0.15, 0.15, 0.05)
+            rows.append(np.unique(np.array(words + [t for t, h in zip((group, insult, plain), has) if h])))
+            labels.append(bool(has[2] or (has[0] and has[1])))
+            met.append((has[0] and has[1], has[2], has[0] != has[1]))
+        return rows, np.array(labels, float), np.array(met)
+
+    machine = toxicity.fit_machine(*documents(2500)[:2])
+    rows, y, met = documents(1500)
+    found = machine.score([toxicity.places(r, machine.terms) for r in rows]) >= 0.5
+    assert found[met[:, 0]].mean() > 0.8 and found[met[:, 1]].mean() > 0.9
+    assert found[met[:, 2] & (y == 0)].mean() < 0.05 and found[y == 0].mean() < 0.02
+
+
+def test_score_is_the_sum_over_pairs():
+    draw = np.random.default_rng(2)
+    machine = toxicity.Machine(-0.3, np.arange(9), draw.normal(size=9), draw.normal(size=(9, toxicity.FACTORS)))
+    rows = [np.array([0, 3, 4, 8]), np.array([5]), np.zeros(0, np.int64), np.arange(9)]
+    for row, got in zip(rows, machine.score(rows)):
+        x = 1 / np.sqrt(max(len(row), 1))
+        raw = machine.bias + sum(machine.weights[i] * x for i in row)
+        raw += sum(machine.vectors[i] @ machine.vectors[j] * x * x for a, i in enumerate(row) for j in row[a + 1 :])
+        assert np.isclose(got, 1 / (1 + np.exp(-raw)))
+
+
+def test_pairs_of_a_document(monkeypatch):
+    monkeypatch.setattr(toxicity, "PAIRS_AT_ONCE", 10)
+    for size in (0, 1, 2, 7, 30):
+        terms = np.arange(size) * 3
+        got = [p for a, b in toxicity.pairs_of(terms) for p in zip(a.tolist(), b.tolist())]
+        assert got == [(3 * i, 3 * j) for i in range(size) for j in range(i + 1, size)]
+
+
 def test_toxicity_edges(spark, edge_docs, empty_docs):
     labels = spark.createDataFrame([(12, 1), (4, 0), (5, 0), (12, None), (None, 1), (999, 1)], "doc_id long, toxic int")
     machine = toxicity.fit_toxicity(edge_docs, labels)
