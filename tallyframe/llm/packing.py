@@ -37,7 +37,7 @@ CAPACITY = 4096
 END_TOKEN = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose tokens a worker remembers.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 700_000
 #: Documents tokenized together.
 BATCH = 512
 #: Bounds of the search, independent of the data: fillings tried per opened sequence, and opened
@@ -48,7 +48,7 @@ STEPS = 2_000
 # Runs of letters that lower-casing and composing leave as they are; the tokenizer cuts between
 # such a run and one of the marks listed, and never inside either.
 LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
-LETTERS_THEN_MARKS = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+LAST_MARK = re.compile(r"(?<=[a-zß-öø-ÿ])[!,.:;?](?!\S)")
 # Python takes these for white space and the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 BLANKS = re.compile("[ \t\n\r]+")
@@ -58,59 +58,81 @@ JOINED_WORDS = 2000
 # --- tokens -----------------------------------------------------------------------------------------
 
 
-class WordTokens(dict):
-    """The ids of a word as little-endian bytes. The tokenizer never joins tokens across white space."""
+class _Words(dict):
+    """Numbers words as they are met, and lists the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
+class WordTokens:
+    """The ids of words, remembered up to a bound. The tokenizer never joins tokens across white space."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def _encode(self, words: list[str]) -> dict[str, bytes]:
-        plain = [w for w in words if LETTERS.fullmatch(w)]
-        other = [w for w in words if not LETTERS.fullmatch(w)]
-        found = {w: ids_of(e) for w, e in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False), strict=True)}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.ids = _Words(), np.zeros(0, "<u4")
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self) -> None:
+        """Tokenize the new words: plain ones many at once, since their tokens can be told apart again."""
+        new, self.words.new = self.words.new, []
+        plain, other = [], []
+        for i, w in enumerate(new):
+            (plain if LETTERS.fullmatch(w) else other).append(i)
+        lengths, ids = np.zeros(len(new), np.int64), []
         for at in range(0, len(plain), JOINED_WORDS):
             part = plain[at : at + JOINED_WORDS]
-            together = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, word = np.array(together.ids, "<u4"), np.array(together.word_ids)
-            ends = np.append(np.flatnonzero(np.diff(word)) + 1, len(ids)) * 4
-            whole, start = ids.tobytes(), 0
-            for w, end in zip(part, ends.tolist(), strict=True):
-                found[w] = whole[start:end]
-                start = end
-        return found
+            together = self.tokenizer.encode(" ".join([new[i] for i in part]), add_special_tokens=False)
+            lengths[part] = np.bincount(np.array(together.word_ids), minlength=len(part))
+            ids.append(np.array(together.ids, "<u4"))
+        found = self.tokenizer.encode_batch([new[i] for i in other], add_special_tokens=False)
+        lengths[other] = [len(e.ids) for e in found]
+        ids += [np.array(e.ids, "<u4") for e in found]
+        stored = np.array(plain + other, np.int64)
+        starts = np.zeros(len(new), np.int64)
+        starts[stored] = len(self.ids) + np.cumsum(lengths[stored]) - lengths[stored]
+        self.ids = np.concatenate([self.ids, *ids])
+        self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
 
     def documents(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts; words not met before are tokenized together."""
-        split = [words_of(t) for t in texts]
-        local = dict.fromkeys(set().union(*split))
-        local = dict(zip(local, map(self.get, local), strict=True))
-        fresh = [w for w, ids in local.items() if ids is None]
-        cut = {w: m.groups() for w in fresh if (m := LETTERS_THEN_MARKS.fullmatch(w))}
-        parts = dict.fromkeys(p for w in fresh for p in cut.get(w, (w,)))
-        new = self._encode([p for p in parts if p not in self])
-        for w, (letters, marks) in cut.items():
-            new[w] = (new.get(letters) or self[letters]) + (new.get(marks) or self[marks])
-        local.update(new)
-        if len(self) + len(new) <= KNOWN_WORDS:
-            self.update(new)
-        return [b"".join(map(local.__getitem__, words)) for words in split]
-
-
-def ids_of(encoding) -> bytes:
-    return np.array(encoding.ids, "<u4").tobytes()
+        """Ids of whole texts, little-endian; words not met before are tokenized together."""
+        if len(self.words) > KNOWN_WORDS:
+            self._forget()
+        number = self.words.__getitem__
+        split = [np.fromiter(map(number, words), np.int64) for words in map(words_of, texts)]
+        if self.words.new:
+            self._learn()
+        out = []
+        for words in split:
+            lengths = self.lengths[words]
+            ends = np.cumsum(lengths)
+            total = int(ends[-1]) if len(ends) else 0
+            out.append(self.ids[np.arange(total) + np.repeat(self.starts[words] - (ends - lengths), lengths)].tobytes())
+        return out
 
 
 def words_of(text: str) -> list[str]:
-    """What white space separates; in lower case if that is sure to be what the tokenizer makes of it."""
+    """What white space separates, and marks at the end of a word by themselves; in lower case if that is sure to be
+    what the tokenizer makes of it."""
     try:
         text.encode("latin-1")
         text = text.lower()
     except UnicodeEncodeError:
         pass
-    return [w for w in BLANKS.split(text) if w] if SEPARATORS.search(text) else text.split()
+    if SEPARATORS.search(text):
+        return [w for w in BLANKS.split(text) if w]
+    return LAST_MARK.sub(r" \g<0>", text).split()
 
 
 _known: dict[str, WordTokens] = {}
