@@ -199,7 +199,7 @@ def _compare_small(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _split_large(threshold: float):
-    """Links to pivots, and the next paths, with their sketches, of records that are not close to one. kind 0: a link; 1: a path.
+    """A row per record that has any: the pivots it is linked to, and its next paths unless it is close to one, with its sketch.
 
     Rows come by bucket and piece, the pivots of a bucket (``head``) before its members.
     """
@@ -229,11 +229,16 @@ def _split_large(threshold: float):
             for i in range(1, PIVOTS):
                 for j in range(i):
                     linked[:, i] &= own | ~linked[:, j] | (together[:, i] != together[:, j])
-            row, which = np.nonzero(linked)
-            yield pd.DataFrame({"kind": 0, "x": rid[row], "y": ids[at][row, which], "sketch": None})
             stays = np.flatnonzero(close.max(1) < COVERED)
             row, paths = chosen_paths(marks[stays], members["bucket"].to_numpy(np.int64).view(np.uint64)[stays], threshold)
-            yield pd.DataFrame({"kind": 1, "x": rid[stays][row], "y": paths.view(np.int64), "sketch": members["sketch"].to_numpy()[stays][row]})
+            row, next_paths = stays[row], paths.view(np.int64)
+            of = lambda values, places: np.split(values, np.cumsum(np.bincount(places, minlength=len(rid)))[:-1])
+            linked_row, which = np.nonzero(linked)
+            goes_on = np.bincount(row, minlength=len(rid)) > 0
+            out = pd.DataFrame({
+                "x": rid, "pivots": of(ids[at][linked_row, which], linked_row), "paths": of(next_paths, row),
+                "sketch": np.where(goes_on, members["sketch"].to_numpy(), None)})
+            yield out[goes_on | linked.any(1)]
 
     return rows
 
@@ -312,9 +317,9 @@ def candidate_links(records: DataFrame, threshold: float, depth: int) -> DataFra
         whole = F.col("n") <= max(WHOLE_BUCKET, 4 * parts)
         dealt = _with_heads(members, sketched, large.where(whole), 1).unionByName(_with_heads(members, sketched, large.where(~whole), parts))
         dealt = dealt.repartition(parts, "bucket", "piece").sortWithinPartitions("bucket", "piece", F.col("head").desc())
-        split = materialize(dealt.mapInPandas(_split_large(threshold), "kind int, x long, y long, sketch binary"), "split")
-        links = links.union(split.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")))
-        members = split.where("kind = 1").select(F.col("x").alias("rid"), F.col("y").alias("bucket"), "sketch")
+        split = materialize(dealt.mapInPandas(_split_large(threshold), "x long, pivots array<long>, paths array<long>, sketch binary"), "split")
+        links = links.union(split.select(F.col("x").alias("a"), F.explode("pivots").alias("b")))
+        members = split.select(F.col("x").alias("rid"), F.explode("paths").alias("bucket"), "sketch")
     return links.distinct()
 
 
