@@ -39,9 +39,9 @@ from tallyframe.session import materialize
 LONGEST = 5
 LEAST = 100
 TOP = 2000
-FILTER_BITS = 1 << 25
+FILTER_BITS = 1 << 24
 #: Bytes of text that a task counts at once.
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
 SALTS = 64
 
 UNDETERMINED = "und"

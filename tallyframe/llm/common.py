@@ -39,7 +39,7 @@ def held_out(key: str, folds: int, fold: int) -> Column:
 
 #: Rows and bytes per Arrow batch: texts may be long, and a worker holds a batch whole.
 BATCH_ROWS = 1000
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 16 << 20
 _ROWS_SETTING, _BYTES_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
