@@ -670,3 +670,116 @@ def model_load_score(spark, sf):
     off = F.abs(F.coalesce(F.sum("CO_MEAN"), F.lit(0.0)) - F.coalesce(F.sum("fresh"), F.lit(0.0)))
     changed = F.count(F.when(~F.col("CO_MEAN").eqNullSafe(F.col("fresh")), 1))
     return tidy(both.groupBy("DIM_ADDRESS_KEY").agg(F.count("*").alias("n"), off.alias("off"), changed.alias("changed")))
+
+
+# --- what SQL can state of fits it cannot make ------------------------------------------------
+
+_HASH = key_hash_sql("o_orderkey")
+_TRAIN, _VALIDATE = f"{_HASH} < {int(0.75 * RANGE)}", f"{_HASH} >= {int(0.75 * RANGE)}"
+_FLAG = "CASE WHEN \"default\" = 1 THEN 'default' ELSE 'current' END"
+
+
+def _proper(*chances):
+    """Whether all chances lie between 0 and 1."""
+    return reduce(lambda a, b: a & b, [F.col(c).between(0.0, 1.0) for c in chances])
+
+
+@query("tree_classify_totals", f"SELECT {_FLAG} AS default_flag, CAST(count(*) AS DOUBLE) AS expected_rows FROM loans WHERE {_TRAIN} GROUP BY 1", "loans")
+def tree_classify_totals(spark, sf):
+    """Over the rows of the fit, each class's chances add up to its number of rows."""
+    train = loan_parts(spark, sf)["train"]
+    sums = _tree(train).transform(train).agg(*[F.sum(c).alias(v) for v, c in zip(FLAG_LEVELS, _probabilities(FLAG_LEVELS))])
+    return tidy(sums.select(F.inline(F.array(*[F.struct(F.lit(v).alias("default_flag"), F.col(v).alias("expected_rows")) for v in FLAG_LEVELS]))))
+
+
+@query("tree_regress_totals", f"SELECT count(*) AS n, round(avg(ccDebt), 4) AS mean_prediction FROM loans WHERE {_TRAIN}", "loans")
+def tree_regress_totals(spark, sf):
+    """Over the rows of the fit, leaf means average to the response's mean."""
+    train = loan_parts(spark, sf)["train"]
+    fit = models.estimate_model(train, "ccDebt", ["creditScore", "houseAge", "yearsEmploy", "year"], DecisionTreeRegressor(seed=1), one_hot=False)
+    return tidy(fit.transform(train).agg(F.count("prediction").alias("n"), F.avg("prediction").alias("mean_prediction")), 4)
+
+
+@query("attach_scores_rows", f"SELECT o_orderkey, {_FLAG} AS default_flag, true AS proper, true AS whole FROM loans WHERE {_VALIDATE}", "loans")
+def attach_scores_rows(spark, sf):
+    """Every held-out row is scored once, its chances are proper and add up to one."""
+    scored = attach_scores(spark, sf)
+    whole = F.abs(F.col("pred_tree_current") + F.col("pred_tree_default") - 1) < 1e-5
+    return scored.select("o_orderkey", "default_flag", _proper("pred_tree_current", "pred_tree_default").alias("proper"), whole.alias("whole"))
+
+
+@query("forest_rows", f"SELECT o_orderkey, true AS proper FROM loans WHERE {_VALIDATE}", "loans")
+def forest_rows(spark, sf):
+    """Every held-out row is scored by a forest."""
+    parts = loan_parts(spark, sf)
+    fit = models.estimate_model(
+        parts["train"], "default_flag", LOAN_PREDICTORS, RandomForestClassifier(numTrees=20, seed=1), response_levels=FLAG_LEVELS, one_hot=False)
+    scored = fit.transform(parts["validate"]).select("o_orderkey", vector_to_array("probability")[1].alias("p"))
+    return scored.select("o_orderkey", _proper("p").alias("proper"))
+
+
+@query("boosted_trees_rows", f"SELECT o_orderkey, true AS proper FROM loans WHERE {_VALIDATE}", "loans")
+def boosted_trees_rows(spark, sf):
+    return boosted_trees(spark, sf).select("o_orderkey", _proper("pred_gbm_default", "pred_gbm_first10").alias("proper"))
+
+
+@query(
+    "score_keep_vars_rows",
+    f"SELECT o_orderkey, {', '.join(f'round({c}, 6) AS {c}' if c in ('creditScore', 'ccDebt') else c for c in LOAN_PREDICTORS)}, true AS proper, true AS linked FROM loans WHERE {_VALIDATE}",
+    "loans",
+)
+def score_keep_vars_rows(spark, sf):
+    """The kept inputs are the table's, and the link is the score's logit."""
+    scored = score_keep_vars(spark, sf)
+    back = F.abs(1 / (1 + F.exp(-F.col("link_logit_default"))) - F.col("pred_logit_default")) < 1e-5
+    return scored.select("o_orderkey", *LOAN_PREDICTORS, _proper("pred_logit_default").alias("proper"), back.alias("linked"))
+
+
+@query("score_csv_rows", f"SELECT o_orderkey, round(ccDebt, 6) AS ccDebt, true AS same FROM loans WHERE {_VALIDATE}", "loans")
+def score_csv_rows(spark, sf):
+    """Rows read from a CSV file score as the stored ones do."""
+    parts = loan_parts(spark, sf)
+    fit = models.estimate_model(parts["train"], "ccDebt", ["creditScore", "houseAge", "yearsEmploy", "year"], DecisionTreeRegressor(seed=1), one_hot=False)
+    stored = tidy(fit.transform(parts["validate"]).select("o_orderkey", F.col("prediction").alias("stored")))
+    return score_csv(spark, sf).join(stored, "o_orderkey").select("o_orderkey", "ccDebt", (F.abs(F.col("prediction") - F.col("stored")) < 1e-3).alias("same"))
+
+
+@query("score_chain_rows", "SELECT DIM_ADDRESS_KEY, count(*) AS n, true AS same FROM history_wide GROUP BY 1", "history_wide")
+def score_chain_rows(spark, sf):
+    """A chain of models gives each row what the models give it one by one."""
+    past = materialize(aq.as_levels(history(spark, sf, STATION_USERS)), "history")
+    fits = aq.fit_pollutants(past, ["NO2_MEAN", "CO_MEAN"])
+    keys = ["DIM_ADDRESS_KEY", "DIM_DATE_KEY"]
+    both = scoring.score_chain(past, {f"{m}_chained": f for m, f in fits.items()}, keys)
+    for m, f in fits.items():
+        both = both.join(f.transform(past).select(*keys, F.col("prediction").alias(f"{m}_alone")), keys)
+    same = reduce(lambda a, b: a & b, [F.col(f"{m}_chained").eqNullSafe(F.col(f"{m}_alone")) for m in fits])
+    return both.groupBy(F.col("DIM_ADDRESS_KEY").cast("bigint").alias("DIM_ADDRESS_KEY")).agg(F.count("*").alias("n"), F.every(same).alias("same"))
+
+
+_MAINS = [*MEANS[1:], *[f"{m}_LAG_{k}" for m in MEANS for k in aq.LAG_DAYS]]
+
+
+@query(
+    "lm_interactions_normal_equations",
+    f"""
+WITH complete AS (SELECT * FROM history_wide WHERE {' AND '.join(f'{c} IS NOT NULL' for c in ['NO2_MEAN', *_MAINS])}),
+x AS (UNPIVOT (SELECT NO2_MEAN AS y, {', '.join(_MAINS)}, O3_MEAN * SO2_MEAN AS O3_x_SO2, O3_MEAN * CO_MEAN AS O3_x_CO, SO2_MEAN * CO_MEAN AS SO2_x_CO FROM complete)
+      ON COLUMNS(* EXCLUDE (y)) INTO NAME term VALUE v)
+SELECT term, count(*) AS n, round(sum(v * y), 3) AS sum_xy, true AS solved FROM x GROUP BY term
+""",
+    "history_wide",
+)
+def lm_interactions_normal_equations(spark, sf):
+    """At the fit each term is orthogonal to what is left: its sums of products with response and fitted values agree."""
+    past = materialize(aq.as_levels(history(spark, sf, STATION_USERS)), "history")
+    fit = aq.fit_pollutants(past, ["NO2_MEAN"])["NO2_MEAN"]
+    y, fitted, crossed = F.col("NO2_MEAN"), F.col("prediction"), [("O3", "SO2"), ("O3", "CO"), ("SO2", "CO")]
+    complete = fit.transform(past).dropna(subset=["NO2_MEAN", *_MAINS])
+    terms = [F.struct(F.lit(c).alias("term"), F.col(c).alias("v")) for c in _MAINS]
+    terms += [F.struct(F.lit(f"{a}_x_{b}").alias("term"), (F.col(f"{a}_MEAN") * F.col(f"{b}_MEAN")).alias("v")) for a, b in crossed]
+    rows = complete.select(y.alias("y"), fitted.alias("fitted"), F.inline(F.array(*terms)))
+    sums = rows.groupBy("term").agg(
+        F.count("*").alias("n"), F.sum(F.col("v") * F.col("y")).alias("sum_xy"),
+        (F.abs(F.sum(F.col("v") * (F.col("y") - F.col("fitted")))) <= 1e-6 * F.sum(F.abs(F.col("v") * F.col("y")))).alias("solved"))
+    return tidy(sums, 3)

@@ -42,10 +42,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder beside the catalog's tables, which all executors reach as well.
+    Where that is unset, a folder beside the catalog's tables, which all executors reach as well. A cluster whose
+    catalog lies on the driver's own disk has no such folder, so there the setting is asked for.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch").rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    own_disk = "://" not in warehouse or warehouse.startswith("file:")
+    if own_disk and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{warehouse}/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -62,7 +69,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def ensure_checkpoints(spark: SparkSession) -> None:
     """Give iterative fits (boosting) a checkpoint folder, unless the cluster has set one."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/tallyframe/checkpoints")
+        spark.sparkContext.setCheckpointDir(scratch_path(spark, "checkpoints"))
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
