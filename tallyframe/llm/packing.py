@@ -6,9 +6,12 @@ those counts decides which lengths fill a sequence together and how often, and e
 looks its place up by its length and its rank among the pieces of that length.
 
 The search is bin completion: the longest remaining length opens a sequence, the undominated
-fillings of the rest are enumerated, and branches whose waste cannot beat the incumbent are cut.
-The incumbent starts as the best-fit solution. A filling is used as often as the remaining counts
-allow, so the work depends on the number of lengths and not on the number of documents.
+fillings of the rest are enumerated, and branches whose waste exceeds what a better solution may
+waste are cut. The incumbent starts as the best-fit solution. Small problems are searched whole. A
+large incumbent is improved by reopening: some of its most wasteful sequences and a few others, with
+a sequence's worth of waste together, are searched for one sequence less, and what is found replaces
+them as often as they occur together. A filling is used as often as counts allow, so the work depends
+on the number of lengths and not on the number of documents. It ends at a lower bound of any packing.
 
 Defined cases: a missing or empty text has no tokens of its own, so it is a piece of length 1 (the
 end token); texts longer than a sequence are cut into full pieces and a last, shorter one; repeated
@@ -40,10 +43,16 @@ TOKENIZER = "word_bpe_49k.json"
 KNOWN_WORDS = 700_000
 #: Documents tokenized together.
 BATCH = 512
-#: Bounds of the search, independent of the data: fillings tried per opened sequence, and opened
-#: sequences over all branches. The best-fit solution is whole before the search begins.
-FILLINGS = 64
-STEPS = 2_000
+#: Bounds of the search, none of which grows with the documents: fillings enumerated and kept per opened sequence (and
+#: nodes looked at for each), kept fillings that others are compared with, sequences searched whole, fillings tried in a
+#: search, reopenings for each different length, and sequences drawn beside the wasteful ones.
+FILLINGS = 16
+LOOKED_PER_FILLING = 40
+DOMINATORS = 8
+SEARCHED_WHOLE = 40
+TRIES, TRIES_WHOLE = 150, 3_000
+REOPENED_PER_LENGTH = 1
+MOST_WASTEFUL, DRAWN_BESIDE = 200, 4
 
 # Runs of letters that lower-casing and composing leave as they are; the tokenizer cuts between
 # such a run and one of the marks listed, and never inside either.
@@ -242,14 +251,14 @@ def completions(lengths: Lengths, first: int, capacity: int, limit: int = FILLIN
         if not length or rest == 0:
             filling = merged([(first, 1), *parts])
             found.setdefault(filling, rest)
-            return rest == 0 or len(found) >= limit or looked > 40 * limit
+            return rest == 0 or len(found) >= limit or looked > LOOKED_PER_FILLING * limit
         free = int(lengths.counts[length]) - (length == first)
         for take in range(min(free, rest // length), -1, -1):
             if take == 0 and free and not lengths.longest(min(rest, length - 1)):
                 break  # leaving a fitting length out, with nothing else to add, is dominated
             if descend(rest - take * length, length - 1, [*parts, (length, take)] if take else parts):
                 return True
-            if looked > 40 * limit:
+            if looked > LOOKED_PER_FILLING * limit:
                 return True
         return False
 
@@ -257,7 +266,7 @@ def completions(lengths: Lengths, first: int, capacity: int, limit: int = FILLIN
     ordered = sorted(found.items(), key=lambda x: (x[1], [-n for part in x[0] for n in part]))
     kept: list[tuple[tuple[int, int], ...]] = []
     for filling, _ in ordered:
-        if not any(dominates(other, filling) for other in kept[:8]):
+        if not any(dominates(other, filling) for other in kept[:DOMINATORS]):
             kept.append(filling)
     return kept
 
@@ -273,68 +282,138 @@ def times_possible(counts: np.ndarray, filling: tuple[tuple[int, int], ...]) ->
     return min(int(counts[length]) // n for length, n in filling)
 
 
-def pack_lengths(counts: np.ndarray, capacity: int = CAPACITY, steps: int = STEPS) -> list[Filling]:
-    """As few sequences as the search finds for ``counts[length]`` pieces of each length."""
-    total = int((counts * np.arange(len(counts))).sum())
-    least = -(-total // capacity)
+def waste_of(filling: tuple[tuple[int, int], ...], capacity: int) -> int:
+    return capacity - sum(length * n for length, n in filling)
 
-    def greedy(counts: np.ndarray, choose: Callable[[Lengths, int], tuple[tuple[int, int], ...]]) -> list[Filling]:
-        left, out = Lengths(counts.copy()), []
-        while first := left.longest(capacity):
-            filling = choose(left, first)
-            times = times_possible(left.counts, filling)
-            for length, n in filling:
-                left.counts[length] -= n * times
-            out.append(Filling(filling, times))
-        return out
 
-    def sequences(fillings: list[Filling]) -> int:
-        return sum(f.times for f in fillings)
+def least_sequences(counts: np.ndarray, capacity: int) -> int:
+    """No packing has fewer: pieces above half a sequence need one each, and shorter ones the room that those leave."""
+    lengths = np.arange(len(counts))
+    pieces, tokens = np.concatenate([[0], np.cumsum(counts)]), np.concatenate([[0], np.cumsum(counts * lengths)])
+    count = lambda lo, hi: pieces[hi + 1] - pieces[lo]
+    total = lambda lo, hi: tokens[hi + 1] - tokens[lo]
+    half, best = capacity // 2, -(-int(tokens[-1]) // capacity)
+    for short in range(half + 1):
+        # Beside a piece longer than capacity - short nothing of at least ``short`` fits.
+        alone, beside = count(capacity - short + 1, capacity), count(half + 1, capacity - short)
+        room = beside * capacity - total(half + 1, capacity - short)
+        more = total(short, half) - room
+        best = max(best, int(alone + beside + max(0, -(-int(more) // capacity))))
+    return best
 
-    incumbent = greedy(counts, lambda left, first: best_fit(left, first, capacity))
-    if sequences(incumbent) > least:
-        other = greedy(counts, lambda left, first: completions(left, first, capacity, 16)[0])
-        incumbent = min(incumbent, other, key=sequences)
-    budget = steps
-    # Depth-first over fillings; a level's waste is final, so waste bounds the sequences from below.
-    stack: list[Iterator[tuple[tuple[int, int], ...]]] = []
-    path: list[Filling] = []
-    left, used, waste = Lengths(counts.copy()), 0, 0
 
-    def spread(filling: tuple[tuple[int, int], ...]) -> int:
-        return capacity - sum(length * n for length, n in filling)
+def packed_into(pieces: dict[int, int], capacity: int, sequences: int, tries: int) -> list[tuple[tuple[int, int], ...]] | None:
+    """A packing of pieces (length to number) into at most so many sequences, found depth-first, or None."""
+    counts = np.zeros(capacity + 1, np.int64)
+    counts[list(pieces)] = list(pieces.values())
+    spare = sequences * capacity - sum(length * n for length, n in pieces.items())
+    left, path = Lengths(counts), []
+    stack: list[Iterator[tuple[tuple[int, int], ...]]] = []
 
     def open_level() -> None:
         first = left.longest(capacity)
-        stack.append(iter(completions(left, first, capacity, 8) if first else ()))
+        stack.append(iter(completions(left, first, capacity) if first else ()))
 
-    if sequences(incumbent) > least:
-        open_level()
-    while stack and budget and sequences(incumbent) > least:
+    if spare < 0:
+        return None
+    open_level()
+    while stack:
         filling = next(stack[-1], None)
         if filling is None:
             stack.pop()
             if path:
                 last = path.pop()
-                for length, n in last.parts:
-                    left.counts[length] += n * last.times
-                used, waste = used - last.times, waste - spread(last.parts) * last.times
-                left = Lengths(left.counts)
+                for length, n in last:
+                    counts[length] += n
+                spare, left = spare + waste_of(last, capacity), Lengths(counts)
             continue
-        budget -= 1
-        times = times_possible(left.counts, filling)
-        bound = -(-(total + waste + spread(filling) * times) // capacity)
-        if bound >= sequences(incumbent):
+        tries -= 1
+        if tries < 0:
+            return None
+        # What is wasted stays so: a branch that wastes more than there is to spare cannot end in time.
+        if waste_of(filling, capacity) > spare:
             continue
         for length, n in filling:
-            left.counts[length] -= n * times
-        used, waste = used + times, waste + spread(filling) * times
-        path.append(Filling(filling, times))
+            counts[length] -= n
+        spare -= waste_of(filling, capacity)
+        path.append(filling)
         if not left.longest(capacity):
-            if used < sequences(incumbent):
-                incumbent = list(path)
+            return path
         open_level()
-    return incumbent
+    return None
+
+
+def pieces_of(pool: dict[tuple[tuple[int, int], ...], int]) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for filling, copies in pool.items():
+        for length, n in filling:
+            out[length] = out.get(length, 0) + n * copies
+    return out
+
+
+def reopened(times: dict[tuple[tuple[int, int], ...], int], capacity: int, least: int, rounds: int) -> dict[tuple[tuple[int, int], ...], int]:
+    """The packing (filling to how often) with fewer sequences, where reopening some of them finds one less."""
+    times, draw = dict(times), np.random.default_rng(3)
+    if (size := sum(times.values())) <= SEARCHED_WHOLE:
+        while size > least and (found := packed_into(pieces_of(times), capacity, size - 1, TRIES_WHOLE)):
+            times = {f: found.count(f) for f in found}
+            size = len(found)
+        return times
+    for _ in range(rounds):
+        if size <= least:
+            break
+        wasteful = sorted((f for f in times if waste_of(f, capacity)), key=lambda f: (-waste_of(f, capacity), f))[:MOST_WASTEFUL]
+        pool: dict[tuple[tuple[int, int], ...], int] = {}
+        wasted = 0
+        for i in draw.permutation(len(wasteful)).tolist():
+            pool[wasteful[i]] = 1
+            wasted += waste_of(wasteful[i], capacity)
+            if wasted >= 1.05 * capacity or len(pool) == SEARCHED_WHOLE:
+                break
+        if wasted < capacity:
+            continue
+        every = list(times)
+        for i in draw.integers(0, len(every), DRAWN_BESIDE).tolist():
+            pool[every[i]] = 1
+        found = packed_into(pieces_of(pool), capacity, len(pool) - 1, TRIES)
+        if found is None:
+            continue
+        together = min(times[f] for f in pool)
+        for f in pool:
+            times[f] -= together
+            if not times[f]:
+                del times[f]
+        for f in found:
+            times[f] = times.get(f, 0) + together
+        size -= together * (len(pool) - len(found))
+    return times
+
+
+def pack_lengths(counts: np.ndarray, capacity: int = CAPACITY, rounds: int | None = None) -> list[Filling]:
+    """As few sequences as the search finds for ``counts[length]`` pieces of each length.
+
+    ``rounds`` reopenings are tried at most, by default in proportion to the different lengths.
+    """
+    least = least_sequences(counts, capacity)
+
+    def greedy(choose: Callable[[Lengths, int], tuple[tuple[int, int], ...]]) -> dict[tuple[tuple[int, int], ...], int]:
+        left, out = Lengths(counts.copy()), {}
+        while first := left.longest(capacity):
+            filling = choose(left, first)
+            times = times_possible(left.counts, filling)
+            for length, n in filling:
+                left.counts[length] -= n * times
+            out[filling] = out.get(filling, 0) + times
+        return out
+
+    size = lambda packing: sum(packing.values())
+    incumbent = greedy(lambda left, first: best_fit(left, first, capacity))
+    if size(incumbent) > least:
+        incumbent = min(incumbent, greedy(lambda left, first: completions(left, first, capacity)[0]), key=size)
+    if size(incumbent) > least:
+        rounds = REOPENED_PER_LENGTH * int((counts > 0).sum()) if rounds is None else rounds
+        incumbent = reopened(incumbent, capacity, least, rounds)
+    return [Filling(filling, times) for filling, times in incumbent.items()]
 
 
 # --- places -----------------------------------------------------------------------------------------

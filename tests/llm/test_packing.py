@@ -76,3 +76,25 @@ def optimum(lengths, capacity):
                 new = (used, full + lengths[i]) if full + lengths[i] <= capacity else (used + 1, lengths[i])
                 best[done | 1 << i] = min(best[done | 1 << i], new)
     return best[-1][0]
+
+
+def test_search_beats_both_greedy_passes_at_thousands_of_lengths():
+    lengths = np.random.default_rng(1).integers(600, 3000, 100_000)
+    counts = np.bincount(lengths, minlength=4097)
+    greedy, found = (packing.pack_lengths(counts, 4096, rounds) for rounds in (0, 250))
+    least = packing.least_sequences(counts, 4096)
+    size = lambda fillings: sum(f.times for f in fillings)
+    assert (counts > 0).sum() > 2000 and least <= size(found) <= size(greedy) - 30
+    used = np.zeros_like(counts)
+    for f in found:
+        assert packing.waste_of(f.parts, 4096) >= 0
+        for length, n in f.parts:
+            used[length] += n * f.times
+    assert (used == counts).all()
+
+
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=12))
+@settings(max_examples=60, deadline=None)
+def test_lower_bound(lengths):
+    counts = np.bincount(lengths, minlength=31)
+    assert packing.least_sequences(counts, 30) <= sum(f.times for f in packing.pack_lengths(counts, 30))
