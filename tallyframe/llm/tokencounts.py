@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import bounded_batches, empty_if_null, table
@@ -34,6 +35,9 @@ GROUP = ["source", "lang", "tokenizer"]
 RANKS = "byte_bpe_50k.tiktoken"
 BYTE_BPE, WORD_BPE = "byte_bpe_50k", "word_bpe_49k"
 COMMIT_TYPE = "batch_id string, attempt string"
+FOLD_TYPE = "attempt string, folded string"
+#: Cells that the copies of one text are dealt to.
+SALTS = 64
 DELTA_TYPE = "source string, lang string, tokenizer string, documents long, tokens long"
 
 
@@ -54,12 +58,17 @@ def signed_deltas(changes: DataFrame) -> DataFrame:
 
 
 class TokenStore:
-    """Committed batches of deltas under a folder that all executors share."""
+    """Committed batches of deltas under a folder that all executors share.
+
+    An attempt holds deltas, and counts if a commit names it. :meth:`fold` adds up what counts into one more
+    attempt that stands for all of it, so reading does not grow with the number of batches ever committed.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         """Opens the store; a new one begins with empty tables."""
         self.spark, self.path = spark, path.rstrip("/")
         spark.createDataFrame([], COMMIT_TYPE).write.mode("ignore").parquet(f"{self.path}/commits")
+        spark.createDataFrame([], FOLD_TYPE).write.mode("ignore").parquet(f"{self.path}/folds")
         spark.createDataFrame([], f"{DELTA_TYPE}, attempt string").write.mode("ignore").partitionBy("attempt").parquet(f"{self.path}/attempts")
 
     def _commits(self) -> DataFrame:
@@ -67,16 +76,25 @@ class TokenStore:
         rows = self.spark.read.schema(COMMIT_TYPE).parquet(f"{self.path}/commits")
         return rows.groupBy("batch_id").agg(F.min("attempt").alias("attempt"))
 
+    def _counting(self) -> DataFrame:
+        """The attempts that make up the totals: those of commits and folds that no fold stands for."""
+        folds = self.spark.read.schema(FOLD_TYPE).parquet(f"{self.path}/folds")
+        named = self._commits().select("attempt").union(folds.select("attempt")).distinct()
+        return named.join(folds.select(F.col("folded").alias("attempt")), "attempt", "left_anti")
+
     def is_committed(self, batch_id: str) -> bool:
         return not self._commits().where(F.col("batch_id") == batch_id).isEmpty()
 
+    def _written(self, deltas: DataFrame) -> str:
+        attempt = uuid.uuid4().hex
+        deltas.withColumn("attempt", F.lit(attempt)).write.mode("append").partitionBy("attempt").parquet(f"{self.path}/attempts")
+        return attempt
+
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Adds a batch; False, and no work, if it is there already."""
         if self.is_committed(batch_id):
             return False
-        attempt = uuid.uuid4().hex
-        deltas = signed_deltas(changes).withColumn("attempt", F.lit(attempt))
-        deltas.write.mode("append").partitionBy("attempt").parquet(f"{self.path}/attempts")
+        attempt = self._written(signed_deltas(changes))
         commit = self.spark.range(1).select(F.lit(batch_id).alias("batch_id"), F.lit(attempt).alias("attempt"))
         commit.write.mode("append").parquet(f"{self.path}/commits")
         return True
@@ -84,10 +102,30 @@ class TokenStore:
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, documents and tokens over all committed batches."""
         attempts = self.spark.read.schema(f"{DELTA_TYPE}, attempt string").parquet(f"{self.path}/attempts")
-        counted = attempts.join(self._commits(), "attempt", "left_semi")
+        counted = attempts.join(self._counting(), "attempt", "left_semi")
         sums = counted.groupBy(*GROUP).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
         return sums.where("documents <> 0 or tokens <> 0")
 
+    def fold(self) -> None:
+        """Let one attempt stand for all that count now. A fold that dies before its row changes nothing; one fold at a time."""
+        counting = [r["attempt"] for r in self._counting().collect()]  # one row per batch since the last fold
+        if len(counting) < 2:
+            return
+        attempt = self._written(self.totals())
+        rows = self.spark.createDataFrame([(attempt, old) for old in counting], FOLD_TYPE)
+        rows.coalesce(1).write.mode("append").parquet(f"{self.path}/folds")
+
+    def clean(self) -> int:
+        """Removes attempts that do not count, of dead writers or folded; the number removed. For times when nobody writes."""
+        keep = {r["attempt"] for r in self._counting().collect()}
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/attempts")
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        there = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("attempt=")]
+        gone = [p for p in there if p.getName().removeprefix("attempt=") not in keep]
+        for path in gone:
+            files.delete(path, True)
+        return len(gone)
+
 
 # --- counting ---------------------------------------------------------------------------------------
 
@@ -146,16 +184,21 @@ def token_counts(docs: DataFrame, word_path: str | None = None, byte_path: str |
 def batches_of(counts: DataFrame) -> dict[str, DataFrame]:
     """The history that the query plays: all documents come in, counted by one tokenizer; later a second
     tokenizer version counts them too; exact copies but the one of least doc_id are deleted; and
-    documents with runs of white space are revised."""
+    documents with runs of white space are revised. A column ``row`` that numbers the rows spreads those without a key."""
     group = ["source", "lang"]
     none = F.lit(None).cast("long").alias("old_tokens")
 
     def change(kind: str, tokenizer: str, tokens: str, rows: DataFrame, old=none) -> DataFrame:
         return rows.select(F.lit(kind).alias("kind"), *group, F.lit(tokenizer).alias("tokenizer"), F.col(tokens).alias("tokens"), old)
 
-    first = counts.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    copies = counts.join(first, "digest").where(F.col("doc_id") > F.col("first_id"))
-    kept = counts.join(first, "digest").where(~(F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))))
+    # Copies of one text are many where it is common: they meet in cells, and a text's cells are few.
+    row = F.col("row") if "row" in counts.columns else F.lit(0)
+    salted = counts.withColumn("_salt", F.pmod(F.xxhash64(F.col("doc_id"), row), F.lit(SALTS)))
+    cells = salted.groupBy("digest", "_salt").agg(F.min("doc_id").alias("_least"))
+    cells = cells.select("digest", "_salt", F.min("_least").over(W.partitionBy("digest")).alias("first_id"))
+    told = salted.join(cells, ["digest", "_salt"])
+    later = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))
+    copies, kept = told.where(later), told.where(~later)
     return {
         "1-insert": change("insert", BYTE_BPE, "byte_tokens", counts),
         "2-second-version": change("insert", WORD_BPE, "word_tokens", counts),
@@ -165,8 +208,10 @@ def batches_of(counts: DataFrame) -> dict[str, DataFrame]:
 
 
 def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = materialize(token_counts(table(spark, sf_dir, "documents")), "token-counts")
+    counts = token_counts(table(spark, sf_dir, "documents")).withColumn("row", F.monotonically_increasing_id())
+    counts = materialize(counts, "token-counts")
     store = TokenStore(spark, scratch_path(spark, "token-store"))
     for batch_id, changes in batches_of(counts).items():
         store.commit(batch_id, changes)
+    store.fold()
     return store.totals()

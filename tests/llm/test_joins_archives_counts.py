@@ -207,6 +207,25 @@ def test_store_commits_once(spark, tmp_path, edge_docs, empty_docs):
         assert again.commit(f"edge-{name}", changes)
 
 
+def test_folds_stand_for_batches(spark, tmp_path):
+    kind = "kind string, source string, lang string, tokenizer string, tokens long, old_tokens long"
+    store = tokencounts.TokenStore(spark, str(tmp_path / "store"))
+    batch = lambda n: spark.createDataFrame([("insert", "a", "en", "t", n, None), ("insert", "b", None, "t", 1, None)], kind)
+    for i in range(3):
+        store.commit(f"b{i}", batch(10 + i))
+    want = set(map(tuple, store.totals().collect()))
+    assert want == {("a", "en", "t", 3, 33), ("b", None, "t", 3, 3)}
+    store.fold()
+    assert set(map(tuple, store.totals().collect())) == want and store._counting().count() == 1
+    assert not store.commit("b1", batch(99)) and store.commit("b3", batch(7))
+    # A fold that died before its row leaves an attempt that does not count.
+    store._written(store.totals())
+    assert ("a", "en", "t", 4, 40) in set(map(tuple, store.totals().collect()))
+    store.fold()
+    assert store.clean() == 6 and store.clean() == 0
+    assert set(map(tuple, tokencounts.TokenStore(spark, store.path).totals().collect())) == {("a", "en", "t", 4, 40), ("b", None, "t", 4, 4)}
+
+
 def test_pipeline_stages(spark, docs, empty_docs, edge_docs):
     sf = "/root/testdata/sf0.01"
     table = spark.read.parquet(f"{sf}/documents.parquet")
