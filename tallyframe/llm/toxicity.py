@@ -45,10 +45,12 @@ TELLING = 15.0
 KEPT_PAIRS, LEAST_MEETINGS, TELLING_TOGETHER = 512, 8, 60.0
 #: Documents of the sample that pairs are counted in at most, and pairs counted in all: terms in more documents than
 #: the first of these shares that keeps to it take no part in pairs.
-PAIRED_DOCUMENTS, PAIRS_IN_ALL = 4_000, 150_000_000
+PAIRED_DOCUMENTS, PAIRS_IN_ALL = 4_000, 60_000_000
 SHARES = (1.0, 0.7, 0.5, 0.35, 0.25, 0.18, 0.12, 0.08, 0.05)
 PAIR_BITS = 24
 PAIRS_AT_ONCE = 1 << 20
+#: Pairs that are counted exactly at most: the most telling ones by the rough count.
+EXACT_PAIRS = 20_000
 #: One in this many of the learned documents decides whether pairs are worth keeping.
 SET_ASIDE = 5
 LOWER_LOSS = 0.98
@@ -118,14 +120,19 @@ def presence_statistic(met: np.ndarray, met_toxic: np.ndarray, n: int, n1: float
     return np.where((met >= LEAST_DOCUMENTS) & (met < n), (met_toxic - expected) ** 2 / np.maximum(spread, 1e-9), 0.0)
 
 
-def telling_terms(terms: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes whose presence goes with either label; and the statistic of every hash."""
+def presence(terms: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every hash the number of documents that hold it, and its statistic."""
     every = np.concatenate(terms) if terms else np.zeros(0, np.int64)
     of = np.repeat(toxic, [len(x) for x in terms])
     met = np.bincount(every, minlength=1 << HASH_BITS).astype(float)
-    statistic = presence_statistic(met, np.bincount(every, of, 1 << HASH_BITS), len(toxic), float(toxic.sum()))
+    return met, presence_statistic(met, np.bincount(every, of, 1 << HASH_BITS), len(toxic), float(toxic.sum()))
+
+
+def telling_terms(terms: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Hashes whose presence goes with either label."""
+    _, statistic = presence(terms, toxic)
     best = np.argsort(-statistic, kind="stable")[:KEPT_TERMS]
-    return np.sort(best[statistic[best] > TELLING]), statistic
+    return np.sort(best[statistic[best] > TELLING])
 
 
 def pairs_of(terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -142,7 +149,7 @@ def pair_buckets(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a * 0x9E3779B1 + b * 0x85EBCA6B) >> 5) & ((1 << PAIR_BITS) - 1)
 
 
-def telling_pairs(terms: list[np.ndarray], toxic: np.ndarray, statistic: np.ndarray) -> np.ndarray:
+def telling_pairs(terms: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     """Terms of pairs that go with toxicity far more than either term does.
 
     A first count by hash buckets leaves few pairs, which are then counted exactly. Equal documents count once.
@@ -150,7 +157,7 @@ def telling_pairs(terms: list[np.ndarray], toxic: np.ndarray, statistic: np.ndar
     own = sorted({x.tobytes(): i for i, x in reversed(list(enumerate(terms)))}.values())
     own = own[:: -(-len(own) // PAIRED_DOCUMENTS)]
     n, label = len(own), toxic[own]
-    frequency = np.bincount(np.concatenate([terms[i] for i in own]), minlength=1 << HASH_BITS)
+    frequency, statistic = presence([terms[i] for i in own], label)
     for share in SHARES:
         fit = (frequency >= LEAST_MEETINGS) & (frequency <= share * n)
         rows = [terms[i][fit[terms[i]]] for i in own]
@@ -173,20 +180,23 @@ def telling_pairs(terms: list[np.ndarray], toxic: np.ndarray, statistic: np.ndar
     rough = presence_statistic(met.sum(0).astype(float), met[1].astype(float), n, float(label.sum()))
     rough[met[1] < LEAST_MEETINGS] = 0.0
     del met
-    hits = [np.zeros(0, np.int64)]
+    best: dict[int, float] = {}
     for row, y in zip(rows, label, strict=True):
         if y:
             for a, b in pairs_of(row):
                 # Pairs that share a bucket blur the rough statistic, so the bar is lower here.
-                hit = rough[pair_buckets(a, b)] - np.maximum(statistic[a], statistic[b]) > TELLING_TOGETHER / 2
-                hits.append((a[hit] << HASH_BITS) | b[hit])
-    found = np.unique(np.concatenate(hits))
-    if not len(found):
-        return found
+                gain = rough[pair_buckets(a, b)] - np.maximum(statistic[a], statistic[b])
+                hit = gain > TELLING_TOGETHER / 2
+                best.update(zip(((a[hit] << HASH_BITS) | b[hit]).tolist(), gain[hit].tolist(), strict=True))
+    if not best:
+        return np.zeros(0, np.int64)
+    found = np.array(sorted(best, key=lambda p: (-best[p], p))[:EXACT_PAIRS], np.int64)
     pairs = np.stack([found >> HASH_BITS, found & ((1 << HASH_BITS) - 1)], 1)
+    wanted = np.zeros(1 << HASH_BITS, bool)
+    wanted[pairs] = True
     holds = {int(t): np.zeros(n, bool) for t in np.unique(pairs)}
     for i, row in enumerate(rows):
-        for t in row[np.isin(row, pairs)].tolist():
+        for t in row[wanted[row]].tolist():
             holds[t][i] = True
     both = np.array([[(m := holds[a] & holds[b]).sum(), m[label == 1].sum()] for a, b in pairs.tolist()], float)
     gain = presence_statistic(both[:, 0], both[:, 1], n, float(label.sum())) - statistic[pairs].max(1)
@@ -201,8 +211,8 @@ def fit_machine(terms: list[np.ndarray], toxic: np.ndarray) -> Machine:
     if n1 in (0.0, float(n)):
         share = n1 / n if n else 0.0
         return Machine(float(np.log((share + 1e-6) / (1 - share + 1e-6))))
-    alone, statistic = telling_terms(terms, toxic)
-    both = np.union1d(alone, telling_pairs(terms, toxic, statistic))
+    alone = telling_terms(terms, toxic)
+    both = np.union1d(alone, telling_pairs(terms, toxic))
     if len(both) > len(alone):
         # The terms are those of all learned documents, the two machines compared here learn from a part of them.
         judges = np.arange(n) % SET_ASIDE == 0
