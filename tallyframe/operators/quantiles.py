@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,7 +24,7 @@ def long_form(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> D
 
 
 #: Points of the sketch, and its accuracy: its values are off by at most one part in so many of the rows.
-GRID, ACCURACY = 2000, 10_000
+GRID, ACCURACY = 200, 2_000
 
 
 def _order_statistics(p: float, n: Column) -> tuple[Column, Column]:
@@ -44,24 +45,42 @@ def _brackets(probs: Sequence[float], n: Column, grid: Column) -> Column:
     return F.array(*out)
 
 
-def narrowed(values: DataFrame, probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+def _literal(ranges: dict[str, list]) -> Column:
+    """The ranges of each variable as one constant expression, parsed at once."""
+    number = lambda x: f"double('{x!r}')"
+    pair = lambda r: f"named_struct('lo', {number(r['lo'])}, 'hi', {number(r['hi'])})"
+    name = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    cases = " ".join(f"WHEN {name(v)} THEN array({', '.join(map(pair, r))})" for v, r in ranges.items())
+    return F.expr(f"CASE variable {cases} END") if ranges else F.lit(None).cast("array<struct<lo:double,hi:double>>")
+
+
+def narrowed(values: DataFrame, probs: Sequence[float], keys: Sequence[str] = ()) -> tuple[DataFrame, list[float] | None]:
     """The values with their numbers (``n``), those that no order statistic of ``probs`` can be among lumped together.
 
     One scan sketches each column, a second one counts: a value inside a range that may hold an order statistic
     keeps its identity, the values between two such ranges become one row at the largest of them (``lump``).
-    Ranks inside the ranges stay what they were.
+    Ranks inside the ranges stay what they were. Without keys there is one row of ranges to a column, which the
+    driver holds; their limits are returned as well, to cut the rest of the work at.
     """
     by = [*keys, "variable"]
-    grid = F.percentile_approx("value", [i / GRID for i in range(GRID + 1)], ACCURACY)
+    # One parsed text: as many single literals would each be a call to the JVM.
+    points = ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1))
+    grid = F.expr(f"percentile_approx(value, array({points}), {ACCURACY})")
     sketch = values.groupBy(*by).agg(F.count("value").alias("_n"), grid.alias("_grid"))
-    # Written, so that its size is known when the join with it is planned.
-    ranges = materialize(sketch.select(*by, _brackets(probs, F.col("_n"), F.col("_grid")).alias("_ranges")), "ranges")
-    v, rows = F.col("value"), left_on(values, ranges, by)
+    ranges, limits = sketch.select(*by, _brackets(probs, F.col("_n"), F.col("_grid")).alias("_ranges")), None
+    if keys:
+        # Written, so that its size is known when the join with it is planned.
+        rows = left_on(values, materialize(ranges, "ranges"), by)
+    else:
+        found = {r["variable"]: r["_ranges"] for r in ranges.collect()}
+        rows = values.withColumn("_ranges", _literal(found))
+        limits = sorted({r["lo"] for rs in found.values() for r in rs if math.isfinite(r["lo"])})
+    v = F.col("value")
     inside = F.exists("_ranges", lambda r: (v >= r["lo"]) & (v <= r["hi"]))
     cell = F.size(F.filter("_ranges", lambda r: r["hi"] < v))
     cells = rows.select(*by, "value", F.when(inside, v).alias("_own"), F.when(~inside, cell).alias("_cell"))
     counts = cells.groupBy(*by, "_own", "_cell").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("_most"))
-    return counts.select(*by, F.coalesce("_own", "_most").alias("value"), "n", F.col("_own").isNull().cast("int").alias("lump"))
+    return counts.select(*by, F.coalesce("_own", "_most").alias("value"), "n", F.col("_own").isNull().cast("int").alias("lump")), limits
 
 
 def quantiles(
@@ -89,8 +108,12 @@ def quantiles(
         return out.select(*by, "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
     narrow = not keys if narrow is None else narrow
     if narrow:
-        values = materialize(narrowed(values, probs, keys), "narrowed")
-    ranked = running_totals(values, "value", {"n": F.col("n"), "lump": F.col("lump")} if narrow else {"n": F.lit(1)}, by)
+        values, limits = narrowed(values, probs, keys)
+        if limits is None:
+            values = materialize(values, "narrowed")
+        ranked = running_totals(values, "value", {"n": F.col("n"), "lump": F.col("lump")}, by, splits=limits)
+    else:
+        ranked = running_totals(values, "value", {"n": F.lit(1)}, by)
     aggs, picks = [], []
     for i, p in enumerate(probs):
         lower, upper = _order_statistics(p, F.col("n_all"))
