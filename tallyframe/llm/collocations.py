@@ -8,8 +8,8 @@ of a prefix tells whether a longer phrase takes all its occurrences, and the ele
 prefixes tell the same of extensions to the left.
 
 Most phrases are rare, and no rare one is worth a stripe. A phrase cannot be more frequent than its
-parts, so before the stripes one pass per length counts 64-bit hashes of the phrases whose parts were
-frequent a pass before, and keeps a bitmap of ``filter_bits`` bits, whose size does not grow with the
+parts, so before the stripes one pass per length counts 64-bit hashes of the phrases whose longer parts
+were frequent a pass before, and keeps a bitmap of ``filter_bits`` bits, whose size does not grow with the
 corpus, of the frequent ones. Hashes that collide and bits set by chance only let more phrases pass:
 the stripes count words, exactly. Texts are split into words once; the passes read numbered words.
 
@@ -28,7 +28,6 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -48,13 +47,14 @@ UNDETERMINED = "und"
 #: Fixed values of the task: what ends a piece, what parts words.
 PIECE_ENDS, BLANKS = ".,;:!?\n\x0b\x0c\r", " \t"
 _CLEAN = bytes(10 if chr(b) in PIECE_ENDS else 32 if chr(b) in BLANKS else b for b in range(256))
-_STRIPE = "lang string, prefix string, words array<string>, counts array<bigint>"
-_STRIPE_ARROW = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+#: The stripes of a block whose prefixes have one length.
+_SHEET = "lang string, stripes array<struct<prefix:string,words:array<string>,counts:array<bigint>>>"
+_STRIPE_FIELDS = [pa.field("prefix", pa.string()), pa.field("words", pa.list_(pa.string())), pa.field("counts", pa.list_(pa.int64()))]
+_SHEET_ARROW = pa.schema([("lang", pa.string()), ("stripes", pa.list_(pa.struct(_STRIPE_FIELDS)))])
 
 
-_BLOCK = "lang string, words array<string>, hashes binary, numbers binary, starts binary, n long"
-_BLOCK_ARROW = pa.schema([
-    ("lang", pa.string()), ("words", pa.list_(pa.string())), ("hashes", pa.binary()), ("numbers", pa.binary()), ("starts", pa.binary()), ("n", pa.int64())])
+_BLOCK = "lang string, words array<string>, numbers binary, starts binary, n long"
+_BLOCK_ARROW = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.string())), ("numbers", pa.binary()), ("starts", pa.binary()), ("n", pa.int64())])
 _HASH_ARROW = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
 #: Phrases a task holds before it hands on their counts.
 HELD_PHRASES = 1 << 20
@@ -101,7 +101,7 @@ def _following(body: bytes, at: int, ahead: int) -> list[bytes]:
 
 
 def _numbered(lang: str, parts: Sequence[tuple[bytes, list[bytes]]]) -> pa.RecordBatch:
-    """A block: its different words with their hashes, the words in order as numbers, and which of them may start a phrase."""
+    """A block: its different words, the words in order as numbers, and which of them may start a phrase."""
     numbers, order, starts = _Numbers(), [], []
     for body, after in parts:
         tokens = body.replace(b"\n", b" \n ").split(b" ")
@@ -111,11 +111,9 @@ def _numbered(lang: str, parts: Sequence[tuple[bytes, list[bytes]]]) -> pa.Recor
         starts += [inside > 0, np.zeros(len(after) + 1, bool)]
     own, words = np.concatenate(order), list(numbers)[2:]
     may_start = np.concatenate(starts)
-    seed = zlib.crc32(lang.encode())
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
     row = [
         pa.array([lang]), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(words, pa.binary()).cast(pa.string())),
-        pa.array([hashes.tobytes()]), pa.array([own.tobytes()]), pa.array([np.packbits(may_start).tobytes()]), pa.array([int(may_start.sum())])]
+        pa.array([own.tobytes()]), pa.array([np.packbits(may_start).tobytes()]), pa.array([int(may_start.sum())])]
     return pa.RecordBatch.from_arrays(row, schema=_BLOCK_ARROW)
 
 
@@ -143,14 +141,29 @@ def text_blocks(docs: DataFrame, ahead: int, block_bytes: int) -> DataFrame:
     return materialize(bounded_batches(docs).mapInArrow(work, _BLOCK), "text-blocks")
 
 
+def _word_hashes(words: pa.StringArray, lang: str) -> np.ndarray:
+    """64-bit hashes of words, none of them empty: polynomials over their bytes."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    starts, lengths = ends[:-1] - ends[0], np.diff(ends)
+    body = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].astype(np.uint64)
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(int(lengths.max()), _K1, np.uint64))
+        hashes = np.add.reduceat((body + np.uint64(1)) * powers[np.arange(len(body)) - np.repeat(starts, lengths)], starts)
+        return _mixed(hashes + np.uint64(zlib.crc32(lang.encode())) * _K2)
+
+
 class _Block:
     """A block's numbered words; ``shared`` holds the bitmaps of frequent phrases of 1, 2, ... words."""
 
     def __init__(self, batch: pa.RecordBatch, i: int, shared: list):
         of = lambda c, kind: np.frombuffer(batch.column(c)[i].as_buffer(), kind)
+        self.lang, self.spelled = batch.column("lang")[i].as_py(), batch.column("words")[i].values
         self.order = of("numbers", np.int32)
         self.starts = np.unpackbits(of("starts", np.uint8), count=len(self.order)).astype(bool)
-        self.hashes = np.concatenate([np.zeros(1, np.uint64), of("hashes", np.uint64)])
+        self.hashes = np.concatenate([np.zeros(1, np.uint64), _word_hashes(self.spelled, self.lang)])
         self.known = [b.value for b in shared]
 
     def _is_known(self, length: int, hashes: np.ndarray) -> np.ndarray:
@@ -159,16 +172,15 @@ class _Block:
         return (bitmap[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1) == 1
 
     def phrases(self, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Places and hashes of the phrases of 1, 2, ... ``length`` words whose shorter parts are all known."""
+        """Places and hashes of the phrases of 1, 2, ... ``length`` words whose parts of two words or more are all known."""
         of_word = _mixed(self.hashes)
         at = np.flatnonzero(self.order > 0)
         hashes = of_word[self.order[at]]
         yield at, hashes
         if length == 1:
             return
-        fine = self._is_known(1, of_word)
-        fine[0] = False
-        keep = fine[self.order[at]]
+        # Nearly all words of a large corpus are frequent, so pairs are counted without a look at them.
+        keep = np.ones(len(at), bool)
         for n in range(2, length + 1):
             run = np.zeros(len(self.order) + 1, bool)
             run[at[keep]] = True
@@ -186,12 +198,13 @@ class _Block:
             pass
         return hashes[self.starts[at]]
 
-    def stripes(self, lang: str, words: pa.Array, longest: int) -> Iterator[pa.RecordBatch]:
-        """The stripes of all known phrases: one row per prefix."""
-        size = len(self.hashes)
+    def stripes(self, longest: int) -> Iterator[pa.RecordBatch]:
+        """The stripes of all known phrases: one sheet for each length."""
+        size, words = len(self.hashes), self.spelled
         names, number = pa.array([""]), np.zeros(len(self.order), np.int64)
         for n, (at, hashes) in enumerate(self.phrases(longest), 1):
-            at = at[self._is_known(n, hashes)]
+            # A phrase whose prefix is not known passed by a bit set by chance: it is rare.
+            at = at[self._is_known(n, hashes) & (number[at] >= 0)]
             if not len(at):
                 return
             found, which = np.unique(number[at] * size + self.order[at + n - 1], return_inverse=True)
@@ -202,8 +215,11 @@ class _Block:
                 first = np.flatnonzero(np.diff(prefix[seen], prepend=-1))
                 offsets = pa.array(np.append(first, len(seen)).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(offsets, word.take(pa.array(seen))), pa.ListArray.from_arrays(offsets, pa.array(counts[seen], pa.int64()))]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(first), pa.string()), names.take(pa.array(prefix[seen][first])), *lists], schema=_STRIPE_ARROW)
+                stripes = pa.StructArray.from_arrays([names.take(pa.array(prefix[seen][first])), *lists], fields=_STRIPE_FIELDS)
+                sheet = pa.ListArray.from_arrays(pa.array([0, len(stripes)], pa.int32()), stripes)
+                yield pa.RecordBatch.from_arrays([pa.array([self.lang]), sheet], schema=_SHEET_ARROW)
             names = word if n == 1 else pc.binary_join_element_wise(names.take(pa.array(prefix)), word, " ")
+            number = np.full(len(self.order), -1, np.int64)
             number[at] = which
 
 
@@ -231,7 +247,7 @@ def _hash_counts(blocks: DataFrame, length: int, shared: list) -> DataFrame:
         if held:
             yield merged(held)
 
-    counts = blocks.select("hashes", "numbers", "starts").mapInArrow(work, "hash long, n long")
+    counts = blocks.select("lang", "words", "numbers", "starts").mapInArrow(work, "hash long, n long")
     return counts.groupBy("hash").agg(F.sum("n").alias("n"))
 
 
@@ -251,9 +267,10 @@ def merged_stripes(blocks: DataFrame, longest: int, shared: list) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                yield from _Block(batch, i, shared).stripes(batch.column("lang")[i].as_py(), batch.column("words")[i].values, longest)
+                yield from _Block(batch, i, shared).stripes(longest)
 
-    stripes = blocks.select("lang", "words", "hashes", "numbers", "starts").mapInArrow(work, _STRIPE)
+    sheets = blocks.select("lang", "words", "numbers", "starts").mapInArrow(work, _SHEET)
+    stripes = sheets.select("lang", F.inline("stripes"))
     elements = stripes.select("lang", "prefix", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("n"))))
     return elements.groupBy("lang", "prefix", "word").agg(F.sum("n").alias("f"))
 

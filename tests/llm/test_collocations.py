@@ -52,7 +52,8 @@ def test_small_blocks_and_a_full_bitmap_change_nothing(spark):
     want = plain(rows, least=4)
     assert want and found(df, least=4) == want
     assert found(df, least=4, block_bytes=64) == want
-    assert found(df, least=4, filter_bits=64) == want
+    for bits in (64, 256, 2048):
+        assert found(df, least=4, filter_bits=bits) == want
     assert found(df, least=4, longest=2) == plain(rows, longest=2, least=4)
 
 
