@@ -47,8 +47,8 @@ KEPT_PAIRS, LEAST_MEETINGS, TELLING_TOGETHER = 512, 8, 60.0
 #: the first of these shares that keeps to it take no part in pairs.
 PAIRED_DOCUMENTS, PAIRS_IN_ALL = 4_000, 60_000_000
 SHARES = (1.0, 0.7, 0.5, 0.35, 0.25, 0.18, 0.12, 0.08, 0.05)
-PAIR_BITS = 24
-PAIRS_AT_ONCE = 1 << 20
+PAIR_BITS = 23
+PAIRS_AT_ONCE = 1 << 18
 #: Pairs that are counted exactly at most: the most telling ones by the rough count.
 EXACT_PAIRS = 20_000
 #: One in this many of the learned documents decides whether pairs are worth keeping.
@@ -163,12 +163,12 @@ def telling_pairs(terms: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
         rows = [terms[i][fit[terms[i]]] for i in own]
         if sum(len(r) * (len(r) - 1) // 2 for r in rows) <= PAIRS_IN_ALL:
             break
-    met = np.zeros((2, 1 << PAIR_BITS), np.int64)
+    met = np.zeros((2, 1 << PAIR_BITS), np.int32)
     waiting: list[list[np.ndarray]] = [[], []]
 
     def flush(which: int) -> None:
         if waiting[which]:
-            met[which] += np.bincount(np.concatenate(waiting[which]), minlength=met.shape[1])
+            met[which] += np.bincount(np.concatenate(waiting[which]), minlength=met.shape[1]).astype(np.int32)
             waiting[which].clear()
 
     for row, y in zip(rows, label, strict=True):
@@ -177,8 +177,10 @@ def telling_pairs(terms: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
             if sum(map(len, waiting[int(y)])) > 8 * PAIRS_AT_ONCE:
                 flush(int(y))
     flush(0), flush(1)
-    rough = presence_statistic(met.sum(0).astype(float), met[1].astype(float), n, float(label.sum()))
-    rough[met[1] < LEAST_MEETINGS] = 0.0
+    rough = np.zeros(met.shape[1], np.float32)
+    for at in range(0, len(rough), PAIRS_AT_ONCE):
+        some = met[:, at : at + PAIRS_AT_ONCE].astype(float)
+        rough[at : at + PAIRS_AT_ONCE] = np.where(some[1] < LEAST_MEETINGS, 0.0, presence_statistic(some.sum(0), some[1], n, float(label.sum())))
     del met
     best: dict[int, float] = {}
     for row, y in zip(rows, label, strict=True):
