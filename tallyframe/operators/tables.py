@@ -107,17 +107,23 @@ def cube_means(
     return every.join(out, level, "left").withColumn("Counts", F.coalesce("Counts", F.lit(0).cast("bigint")))
 
 
-def cube_binned(df: DataFrame, measure: str, x: str, y: str) -> DataFrame:
-    """Mean and count of ``measure`` over every pair of an integer bin of ``x`` and one of ``y`` that hold rows.
+def cube_binned(df: DataFrame, measure: str, x: str, y: str, empty_bins: bool = False) -> DataFrame:
+    """Mean and count of ``measure`` over every pair of an integer bin of ``x`` and one of ``y``.
 
-    Bins that no row falls into are no levels, so the table grows with the levels met, not with their range.
+    With ``empty_bins`` the bins run from the least to the greatest that hold rows, as the levels of a cut variable do.
+    Without, bins that no row falls into are no levels, so the table grows with the levels met, not with their range.
     """
     complete = df.filter(F.col(measure).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull())
     binned = complete.select(
         F.floor(x).cast("bigint").alias(x), F.floor(y).cast("bigint").alias(y), F.col(measure).alias("_m")
     )
     cells = materialize(binned.groupBy(x, y).agg(F.avg("_m").alias(measure), F.count(F.lit(1)).alias("Counts")), "cells")
-    grid = every_pair(cells.select(x).distinct(), cells.select(y).distinct(), y)
+    if empty_bins:
+        ends = cells.agg(F.min(x), F.max(x) + 1, F.min(y), F.max(y) + 1).first()
+        x0, x1, y0, y1 = [end or 0 for end in ends]
+        grid = df.sparkSession.range(x0, x1).toDF(x).crossJoin(df.sparkSession.range(y0, y1).toDF(y))
+    else:
+        grid = every_pair(cells.select(x).distinct(), cells.select(y).distinct(), y)
     return grid.join(cells, [x, y], "left").withColumn("Counts", F.coalesce("Counts", F.lit(0).cast("bigint")))
 
 

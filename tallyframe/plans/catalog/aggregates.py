@@ -339,14 +339,15 @@ def cube_means(spark, sf):
 WITH c AS (SELECT CAST(floor(SO2_MEAN) AS BIGINT) AS s, CAST(floor(CO_MEAN) AS BIGINT) AS k, avg(NO2_MEAN) AS m,
            count(*) AS n FROM pollution WHERE NO2_MEAN IS NOT NULL AND SO2_MEAN IS NOT NULL AND CO_MEAN IS NOT NULL
            GROUP BY 1, 2),
-g AS (SELECT s, k FROM (SELECT DISTINCT s FROM c), (SELECT DISTINCT k FROM c))
+e AS (SELECT min(s) AS s0, max(s) AS s1, min(k) AS k0, max(k) AS k1 FROM c),
+g AS (SELECT s, unnest(range(k0, k1 + 1)) AS k FROM (SELECT unnest(range(s0, s1 + 1)) AS s, k0, k1 FROM e))
 SELECT g.s AS SO2_MEAN, g.k AS CO_MEAN, round(m, 6) AS NO2_MEAN, coalesce(n, 0) AS "Counts"
 FROM g LEFT JOIN c ON g.s = c.s AND g.k = c.k
 """,
     "pollution",
 )
 def cube_binned(spark, sf):
-    return tidy(tables.cube_binned(raw_pollution(spark, sf), "NO2_MEAN", "SO2_MEAN", "CO_MEAN"))
+    return tidy(tables.cube_binned(raw_pollution(spark, sf), "NO2_MEAN", "SO2_MEAN", "CO_MEAN", empty_bins=True))
 
 
 @query(

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tallyframe.functions import normal
 from tallyframe.operators import evaluation, formula, linear, quantiles, scoring, summaries, tables
 from tallyframe.operators import select as sel
@@ -207,6 +208,20 @@ def test_bins_far_apart_do_not_fill_the_space_between(spark):
     assert cells == {(1, 0): (3.0, 1), (1, 2): (7.0, 1), (10**9, 0): (None, 0), (10**9, 2): (5.0, 1)}
 
 
+def test_empty_bins_between_others_are_levels_where_asked(spark):
+    df = spark.createDataFrame([(-1.5, 0.5, 3.0), (1.2, 2.5, 5.0), (1.5, 2.5, 7.0), (9.0, 9.0, None)], "x double, y double, m double")
+    cells = {(r.x, r.y): (r.m, r.Counts) for r in tables.cube_binned(df, "m", "x", "y", empty_bins=True).collect()}
+    want = {(x, y): (None, 0) for x in range(-2, 2) for y in range(3)}
+    assert cells == want | {(-2, 0): (3.0, 1), (1, 2): (6.0, 2)}
+    assert not tables.cube_binned(df.limit(0), "m", "x", "y", empty_bins=True).collect()
+
+
+def test_binned_cube_of_the_history_has_no_gaps(spark, sf):
+    cells = {(r.SO2_MEAN, r.CO_MEAN) for r in entry.queries()["cube_binned"](spark, sf).collect()}
+    full = lambda i: range(min(c[i] for c in cells), max(c[i] for c in cells) + 1)
+    assert cells == {(s, c) for s in full(0) for c in full(1)}
+
+
 def test_sparse_crosstab(spark):
     rows = [(f"r{i % 40}", f"c{(i * i) % 23}") for i in range(300)]
     df = spark.createDataFrame(rows, "r string, c string")
