@@ -2,7 +2,9 @@
 
 A stripe is a prefix with a counter of the words that follow it. Tasks count stripes over bounded
 blocks of text; stripes of one prefix are merged element by element (prefix, next word, count), so a
-prefix followed by very many words is never one row. All numbers come from this one structure: the
+prefix followed by very many words is never one row. A task merges the stripes of its blocks, deals their
+elements to cells by a hash of the phrase and hands on one sheet per cell; where the sheets of a cell meet
+they are merged again before their elements become rows. All numbers come from this one structure: the
 count of a phrase is its element, the stripe of the empty prefix holds the words, the largest element
 of a prefix tells whether a longer phrase takes all its occurrences, and the elements of the longer
 prefixes tell the same of extensions to the left.
@@ -33,7 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import bounded_batches, empty_if_null, table
-from tallyframe.session import materialize
+from tallyframe.session import materialize, shuffle_partitions
 
 LONGEST = 5
 LEAST = 100
@@ -47,17 +49,26 @@ UNDETERMINED = "und"
 #: Fixed values of the task: what ends a piece, what parts words.
 PIECE_ENDS, BLANKS = ".,;:!?\n\x0b\x0c\r", " \t"
 _CLEAN = bytes(10 if chr(b) in PIECE_ENDS else 32 if chr(b) in BLANKS else b for b in range(256))
-#: The stripes of a block whose prefixes have one length.
-_SHEET = "lang string, stripes array<struct<prefix:string,words:array<string>,counts:array<bigint>>>"
-_STRIPE_FIELDS = [pa.field("prefix", pa.string()), pa.field("words", pa.list_(pa.string())), pa.field("counts", pa.list_(pa.int64()))]
-_SHEET_ARROW = pa.schema([("lang", pa.string()), ("stripes", pa.list_(pa.struct(_STRIPE_FIELDS)))])
+#: Elements of stripes; the part of them that lies in one cell is a sheet.
+_ELEMENT_ARROW = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+_DEALT_ARROW = pa.schema([("cell", pa.int32()), *_ELEMENT_ARROW])
+_SHEET = "cell int, lang string, prefixes array<string>, words array<string>, counts array<bigint>"
+_LISTED = [("prefixes", "prefix"), ("words", "word"), ("counts", "n")]
+_SHEET_ARROW = pa.schema([("cell", pa.int32()), ("lang", pa.string()), *[(many, pa.list_(_ELEMENT_ARROW.field(one).type)) for many, one in _LISTED]])
+CELLS = 256
+#: Elements a task holds before it hands them on.
+HELD_ELEMENTS = 1 << 18
 
 
 _BLOCK = "lang string, words array<string>, numbers binary, starts binary, n long"
 _BLOCK_ARROW = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.string())), ("numbers", pa.binary()), ("starts", pa.binary()), ("n", pa.int64())])
 _HASH_ARROW = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
-#: Phrases a task holds before it hands on their counts.
-HELD_PHRASES = 1 << 20
+#: Row groups and pages of a few blocks, so that writer and reader hold no more of them at once.
+_FEW_AT_ONCE = {"parquet.block.size": str(4 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.row.count.limit": "1"}
+#: Phrases a task holds before it hands on their counts, and phrases handed on at once.
+HELD_PHRASES, HANDED_PHRASES = 1 << 19, 1 << 16
+#: Times as many partitions as usual for these counts, whose keys are nearly all different.
+DEALT = 4
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -138,7 +149,7 @@ def text_blocks(docs: DataFrame, ahead: int, block_bytes: int) -> DataFrame:
         for lang, parts in waiting.items():
             yield _numbered(lang, parts)
 
-    return materialize(bounded_batches(docs).mapInArrow(work, _BLOCK), "text-blocks")
+    return materialize(bounded_batches(docs).mapInArrow(work, _BLOCK), "text-blocks", **_FEW_AT_ONCE)
 
 
 def _word_hashes(words: pa.StringArray, lang: str) -> np.ndarray:
@@ -198,27 +209,27 @@ class _Block:
             pass
         return hashes[self.starts[at]]
 
-    def stripes(self, longest: int) -> Iterator[pa.RecordBatch]:
-        """The stripes of all known phrases: one sheet for each length."""
+    def stripes(self, longest: int) -> Iterator[pa.Table]:
+        """The elements of the stripes of all known phrases, with their cells: one table for each length."""
         size, words = len(self.hashes), self.spelled
         names, number = pa.array([""]), np.zeros(len(self.order), np.int64)
         for n, (at, hashes) in enumerate(self.phrases(longest), 1):
             # A phrase whose prefix is not known passed by a bit set by chance: it is rare.
-            at = at[self._is_known(n, hashes) & (number[at] >= 0)]
+            fine = self._is_known(n, hashes) & (number[at] >= 0)
+            at, hashes = at[fine], hashes[fine]
             if not len(at):
                 return
             found, which = np.unique(number[at] * size + self.order[at + n - 1], return_inverse=True)
             counts = np.bincount(which[self.starts[at]], minlength=len(found))
-            prefix, word = found // size, words.take(pa.array(found % size - 1))
+            prefix, word = names.take(pa.array(found // size)), words.take(pa.array(found % size - 1))
+            cells = np.empty(len(found), np.int32)
+            cells[which] = (hashes % np.uint64(CELLS)).astype(np.int32)
             seen = np.flatnonzero(counts)
             if len(seen):
-                first = np.flatnonzero(np.diff(prefix[seen], prepend=-1))
-                offsets = pa.array(np.append(first, len(seen)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(offsets, word.take(pa.array(seen))), pa.ListArray.from_arrays(offsets, pa.array(counts[seen], pa.int64()))]
-                stripes = pa.StructArray.from_arrays([names.take(pa.array(prefix[seen][first])), *lists], fields=_STRIPE_FIELDS)
-                sheet = pa.ListArray.from_arrays(pa.array([0, len(stripes)], pa.int32()), stripes)
-                yield pa.RecordBatch.from_arrays([pa.array([self.lang]), sheet], schema=_SHEET_ARROW)
-            names = word if n == 1 else pc.binary_join_element_wise(names.take(pa.array(prefix)), word, " ")
+                lang, own = pa.repeat(self.lang, len(seen)), pa.array(seen)
+                columns = [lang, prefix.take(own), word.take(own), pa.array(counts[seen], pa.int64())]
+                yield pa.Table.from_arrays([pa.array(cells[seen]), *columns], schema=_DEALT_ARROW)
+            names = word if n == 1 else pc.binary_join_element_wise(prefix, word, " ")
             number = np.full(len(self.order), -1, np.int64)
             number[at] = which
 
@@ -232,9 +243,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def _hash_counts(blocks: DataFrame, length: int, shared: list) -> DataFrame:
     """hash and n: how often each phrase of that length was met, where its shorter parts are known."""
 
-    def merged(held: list[np.ndarray]) -> pa.RecordBatch:
+    def merged(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         found, counts = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts, pa.int64())], schema=_HASH_ARROW)
+        for i in range(0, len(found), HANDED_PHRASES):
+            some = slice(i, i + HANDED_PHRASES)
+            yield pa.RecordBatch.from_arrays([pa.array(found[some].view(np.int64)), pa.array(counts[some], pa.int64())], schema=_HASH_ARROW)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -242,13 +255,15 @@ def _hash_counts(blocks: DataFrame, length: int, shared: list) -> DataFrame:
             for i in range(batch.num_rows):
                 held.append(_Block(batch, i, shared).counted(length))
                 if sum(map(len, held)) >= HELD_PHRASES:
-                    yield merged(held)
+                    yield from merged(held)
                     held = []
         if held:
-            yield merged(held)
+            yield from merged(held)
 
     counts = blocks.select("lang", "words", "numbers", "starts").mapInArrow(work, "hash long, n long")
-    return counts.groupBy("hash").agg(F.sum("n").alias("n"))
+    # Tasks have added up what they can; adding up again before the shuffle takes much memory and leaves out few rows.
+    dealt = counts.repartition(DEALT * shuffle_partitions(blocks.sparkSession), "hash")
+    return dealt.groupBy("hash").agg(F.sum("n").alias("n"))
 
 
 def _bitmap(frequent: DataFrame, filter_bits: int) -> np.ndarray:
@@ -261,17 +276,55 @@ def _bitmap(frequent: DataFrame, filter_bits: int) -> np.ndarray:
     return out
 
 
+def _merged(parts: Iterator[pa.Table]) -> Iterator[pa.Table]:
+    """The elements, equal ones in one, as far as HELD_ELEMENTS at once tell."""
+
+    def one() -> pa.Table:
+        table = pa.concat_tables(held)
+        keys = [c for c in table.column_names if c != "n"]
+        sums = table.group_by(keys, use_threads=False).aggregate([("n", "sum")])
+        return sums.select([*keys, "n_sum"]).rename_columns([*keys, "n"])
+
+    held: list[pa.Table] = []
+    for part in parts:
+        held.append(part)
+        if sum(map(len, held)) >= HELD_ELEMENTS:
+            held = [one()]
+            if len(held[0]) >= HELD_ELEMENTS // 2:
+                yield held.pop()
+    if held:
+        yield one()
+
+
+def _sheets(elements: pa.Table) -> pa.RecordBatch:
+    """One row per cell and language."""
+    elements = elements.sort_by([("lang", "ascending"), ("cell", "ascending")]).combine_chunks()
+    column = lambda name: elements[name].combine_chunks()
+    langs, cells = column("lang"), column("cell")
+    first = np.flatnonzero((np.diff(cells.to_numpy(), prepend=-1) != 0) | (np.diff(langs.dictionary_encode().indices.to_numpy(), prepend=-1) != 0))
+    ends = pa.array(np.append(first, len(cells)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, column(one)) for _, one in _LISTED]
+    return pa.RecordBatch.from_arrays([cells.take(pa.array(first)), langs.take(pa.array(first)), *lists], schema=_SHEET_ARROW)
+
+
+def _elements(sheets: pa.RecordBatch) -> pa.Table:
+    langs = sheets.column("lang").take(pc.list_parent_indices(sheets.column("words")))
+    return pa.Table.from_arrays([langs, *[sheets.column(many).flatten() for many, _ in _LISTED]], schema=_ELEMENT_ARROW)
+
+
 def merged_stripes(blocks: DataFrame, longest: int, shared: list) -> DataFrame:
     """Elements (lang, prefix, word, f) of all stripes."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                yield from _Block(batch, i, shared).stripes(longest)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = (part for b in batches for i in range(b.num_rows) for part in _Block(b, i, shared).stripes(longest))
+        yield from map(_sheets, _merged(parts))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for elements in _merged(map(_elements, batches)):
+            yield from elements.combine_chunks().to_batches()
 
-    sheets = blocks.select("lang", "words", "numbers", "starts").mapInArrow(work, _SHEET)
-    stripes = sheets.select("lang", F.inline("stripes"))
-    elements = stripes.select("lang", "prefix", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("n"))))
+    sheets = blocks.select("lang", "words", "numbers", "starts").mapInArrow(count, _SHEET)
+    elements = sheets.repartition("cell").mapInArrow(merge, "lang string, prefix string, word string, n long")
     return elements.groupBy("lang", "prefix", "word").agg(F.sum("n").alias("f"))
 
 
@@ -288,7 +341,8 @@ def frequent_phrases(
         raise ValueError("longest must be at least 2, filter_bits a power of two from 64 on")
     context = docs.sparkSession.sparkContext
     rows = docs.select(F.coalesce(F.col(lang), F.lit(UNDETERMINED)).alias("lang"), empty_if_null(text).alias("text"))
-    blocks = text_blocks(rows, longest - 1, block_bytes)
+    # The passes read one block at once: a few MB in all, on either side of the pipe.
+    blocks = bounded_batches(text_blocks(rows, longest - 1, block_bytes), block_bytes)
     totals = materialize(blocks.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
     known = []
     for length in range(1, longest + 1):

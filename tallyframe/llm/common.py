@@ -43,10 +43,10 @@ BATCH_BYTES = 16 << 20
 _ROWS_SETTING, _BYTES_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def bounded_batches(df: DataFrame) -> DataFrame:
-    """The table as it is; its session hands Python at most BATCH_ROWS rows, and about BATCH_BYTES bytes, at once from now on."""
+def bounded_batches(df: DataFrame, most_bytes: int = BATCH_BYTES) -> DataFrame:
+    """The table as it is; its session hands Python at most BATCH_ROWS rows, and about ``most_bytes`` bytes, at once from now on."""
     conf = df.sparkSession.conf
     if not 0 < int(conf.get(_ROWS_SETTING)) <= BATCH_ROWS:
         conf.set(_ROWS_SETTING, str(BATCH_ROWS))
-    conf.set(_BYTES_SETTING, str(BATCH_BYTES))
+    conf.set(_BYTES_SETTING, str(most_bytes))
     return df

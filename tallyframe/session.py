@@ -72,12 +72,12 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(scratch_path(spark, "checkpoints"))
 
 
-def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+def materialize(df: DataFrame, name: str = "step", **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage in a way that survives lost executors, and pins values that a
-    recomputation could change (row positions, partition ids).
+    recomputation could change (row positions, partition ids). ``options`` go to the writer.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

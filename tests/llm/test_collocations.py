@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +58,29 @@ def test_small_blocks_and_a_full_bitmap_change_nothing(spark):
     assert found(df, least=4, longest=2) == plain(rows, longest=2, least=4)
 
 
+def test_stripes_are_added_up_before_they_become_rows(spark, monkeypatch):
+    texts = [(lang, " ".join(f"{lang}{i % 7} b{i % 3}" for i in range(k, k + 40))) for k in range(60) for lang in "xy"]
+    blocks = collocations.text_blocks(spark.createDataFrame(texts, "lang string, text string").repartition(3), 1, 64)
+    known = [spark.sparkContext.broadcast(np.full(1, 2**64 - 1, np.uint64))] * 2
+    want = Counter()
+    for lang, text in texts:
+        words = text.split()
+        for prefix, word in [("", w) for w in words] + list(zip(words, words[1:])):
+            want[lang, prefix, word] += 1
+    merged = collocations.merged_stripes(blocks, 2, known)
+    assert {(r.lang, r.prefix, r.word): r.f for r in merged.collect()} == want
+    assert blocks.count() > 60 and "Generate" not in merged._jdf.queryExecution().toString()
+    # Small holds hand on more tables, and change no number.
+    for held in (4, 1000):
+        monkeypatch.setattr(collocations, "HELD_ELEMENTS", held)
+        parts = (t for b in blocks.toArrow().to_batches() for i in range(b.num_rows) for t in collocations._Block(b, i, known).stripes(2))
+        again = Counter()
+        for sheets in map(collocations._sheets, collocations._merged(parts)):
+            for r in collocations._elements(sheets).to_pylist():
+                again[r["lang"], r["prefix"], r["word"]] += r["n"]
+        assert again == want
+
+
 def test_edges(edge_docs, empty_docs):
     rows = [tuple(r) for r in edge_docs.select("lang", "text").collect()]
     for least in (1, 2):
