@@ -14,7 +14,9 @@ still found if its ends hang together at all.
 
 A large bucket first compares all its records with a few pivots. A record very close to a pivot
 needs no further splitting there: by the triangle inequality of Jaccard distance, whatever it is
-linked to is near the pivot as well and hangs together with it.
+linked to is near the pivot as well and hangs together with it. What is left of a bucket is split
+again only if many records lie outside its largest family that hangs together by the pivots. If few
+do, they are compared with all the others there, which finds whatever splitting could.
 
 Defined cases: words are what white space separates, in lower case; a text of fewer than five words
 is one shingle; a missing text, or one without words, is linked to nothing and a class of its own;
@@ -56,6 +58,8 @@ COVERED = 0.92
 TILE_RECORDS = 512
 #: Sketches a side of a tile has, of buckets whose paths have full length.
 TILE_SKETCHES = 1024
+#: Records outside a large bucket's main family that are compared with all of it, half a side of a tile.
+FEW_OUTSIDE = 512
 COLUMNS_AT_ONCE = 8192
 KNOWN_WORDS = 300_000
 SHINGLES_AT_ONCE = 4096
@@ -185,6 +189,10 @@ def sketch_matrix(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint32).reshape(-1, COORDINATES)
 
 
+def may_link(marks: np.ndarray, others: np.ndarray) -> np.ndarray:
+    return np.concatenate([(marks[at : at + 64, None, :] == others[None, :, :]).mean(2) >= MAY_LINK for at in range(0, len(marks), 64)])
+
+
 def _compare_small(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     ids, others = [], []
     for group in whole_groups(batches, ["bucket"]):
@@ -199,7 +207,8 @@ def _compare_small(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _split_large(threshold: float):
-    """A row per record that has any: the pivots it is linked to, and its next paths unless it is close to one, with its sketch.
+    """A row per record that is linked to a pivot or close to none: the pivots it is linked to, and unless it is close to one
+    its sketch and next paths. Its family are the records that hang together by the same pivots, named by the first (PIVOTS: none).
 
     Rows come by bucket and piece, the pivots of a bucket (``head``) before its members.
     """
@@ -224,7 +233,9 @@ def _split_large(threshold: float):
             close = np.stack([(marks == marked[at, i]).mean(1) for i in range(PIVOTS)], 1)
             # Pivots that hang together are linked by their own rows; one link to any of them is enough.
             together = np.stack([spanning(np.stack([(m == other).mean(1) for other in m]) >= MAY_LINK) for m in marked])[at]
-            linked = (close >= MAY_LINK) & (ids[at] != rid[:, None])
+            near = close >= MAY_LINK
+            family = np.where(near.any(1), together[np.arange(len(rid)), near.argmax(1)], PIVOTS)
+            linked = near & (ids[at] != rid[:, None])
             own = (ids[at] == rid[:, None]).any(1)
             for i in range(1, PIVOTS):
                 for j in range(i):
@@ -234,15 +245,46 @@ def _split_large(threshold: float):
             row, next_paths = stays[row], paths.view(np.int64)
             of = lambda values, places: np.split(values, np.cumsum(np.bincount(places, minlength=len(rid)))[:-1])
             linked_row, which = np.nonzero(linked)
-            goes_on = np.bincount(row, minlength=len(rid)) > 0
+            goes_on = close.max(1) < COVERED
             out = pd.DataFrame({
-                "x": rid, "pivots": of(ids[at][linked_row, which], linked_row), "paths": of(next_paths, row),
-                "sketch": np.where(goes_on, members["sketch"].to_numpy(), None)})
+                "bucket": members["bucket"].to_numpy(), "x": rid, "pivots": of(ids[at][linked_row, which], linked_row), "paths": of(next_paths, row),
+                "family": family.astype(np.int32), "sketch": np.where(goes_on, members["sketch"].to_numpy(), None)})
             yield out[goes_on | linked.any(1)]
 
     return rows
 
 
+def _compare_rest(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links among the records outside a bucket's main family, and one of each of them to the piece of the main family it meets."""
+    for group in whole_groups(batches, ["bucket", "piece"]):
+        marks, rid, rest = sketch_matrix(group["sketch"]), group["rid"].to_numpy(), group["rest"].to_numpy(bool)
+        near = may_link(marks[rest], marks)
+        inner, outer = near[:, rest], near[:, ~rest]
+        label = spanning(inner)
+        moved, met = np.flatnonzero(label != np.arange(len(label))), np.flatnonzero(outer.any(1))
+        # A piece may hold nothing of the main family.
+        main = rid[~rest][outer[met].argmax(1)] if len(met) else rid[:0]
+        yield pd.DataFrame({"a": np.concatenate([rid[rest][moved], rid[rest][met]]), "b": np.concatenate([rid[rest][label[moved]], main])}, dtype="int64")
+
+
+def settled_buckets(split: DataFrame) -> DataFrame:
+    """Buckets whose records, as far as they are close to no pivot, lie in one family but for a few, with that family (main) and the number outside it (rest)."""
+    counts = [F.struct(F.count_if(F.col("family") == i).alias("n"), F.lit(i).alias("main")) for i in range(PIVOTS)]
+    sized = split.where("sketch is not null").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.greatest(*counts).alias("largest"))
+    sized = sized.select("bucket", "n", F.col("largest.main").alias("main"), (F.col("n") - F.col("largest.n")).alias("rest"))
+    return sized.where(F.col("rest") <= FEW_OUTSIDE)
+
+
+def rest_links(split: DataFrame, settled: DataFrame) -> DataFrame:
+    """Links of the records outside the main families of settled buckets; the main family meets them in pieces."""
+    pieces = F.ceil(F.col("n") / TILE_SKETCHES).cast("int")
+    own = F.array(F.pmod(F.xxhash64("x"), pieces).cast("int"))
+    rows = split.where("sketch is not null").join(settled.where("rest > 0").drop("rest"), "bucket").withColumn("rest", F.col("family") != F.col("main"))
+    rows = rows.select("bucket", F.col("x").alias("rid"), "sketch", "rest", F.explode(F.when(F.col("rest"), F.sequence(F.lit(0), pieces - 1)).otherwise(own)).alias("piece"))
+    dealt = rows.repartition(shuffle_partitions(split.sparkSession), "bucket", "piece").sortWithinPartitions("bucket", "piece")
+    return dealt.mapInPandas(_compare_rest, "a long, b long")
+
+
 def _with_heads(members: DataFrame, sketched: Callable[[DataFrame], DataFrame], large: DataFrame, pieces: int) -> DataFrame:
     """The members of large buckets dealt to ``pieces`` by record, and the bucket's pivots once in each piece."""
     inside = sketched(members.join(large.select("bucket"), "bucket", "left_semi")).select(
@@ -270,8 +312,7 @@ def by_tile(tiles: DataFrame, group: str) -> DataFrame:
 def _compare_tiles(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for group in whole_groups(batches, ["bucket", "i", "j"]):
         marks, rid = sketch_matrix(group["sketch"]), group["rid"].to_numpy()
-        near = np.concatenate([(marks[at : at + 64, None, :] == marks[None, :, :]).mean(2) >= MAY_LINK for at in range(0, len(marks), 64)])
-        label = spanning(near)
+        label = spanning(may_link(marks, marks))
         moved = np.flatnonzero(label != np.arange(len(label)))
         yield pd.DataFrame({"a": rid[moved], "b": rid[label[moved]]})
 
@@ -317,9 +358,10 @@ def candidate_links(records: DataFrame, threshold: float, depth: int) -> DataFra
         whole = F.col("n") <= max(WHOLE_BUCKET, 4 * parts)
         dealt = _with_heads(members, sketched, large.where(whole), 1).unionByName(_with_heads(members, sketched, large.where(~whole), parts))
         dealt = dealt.repartition(parts, "bucket", "piece").sortWithinPartitions("bucket", "piece", F.col("head").desc())
-        split = materialize(dealt.mapInPandas(_split_large(threshold), "x long, pivots array<long>, paths array<long>, sketch binary"), "split")
-        links = links.union(split.select(F.col("x").alias("a"), F.explode("pivots").alias("b")))
-        members = split.select(F.col("x").alias("rid"), F.explode("paths").alias("bucket"), "sketch")
+        split = materialize(dealt.mapInPandas(_split_large(threshold), "bucket long, x long, pivots array<long>, paths array<long>, family int, sketch binary"), "split")
+        settled = materialize(settled_buckets(split), "settled")
+        links = links.union(split.select(F.col("x").alias("a"), F.explode("pivots").alias("b"))).union(rest_links(split, settled))
+        members = split.join(settled, "bucket", "left_anti").select(F.col("x").alias("rid"), F.explode("paths").alias("bucket"), "sketch")
     return links.distinct()
 
 

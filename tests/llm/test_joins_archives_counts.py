@@ -74,6 +74,49 @@ def test_large_buckets_lose_no_link(spark, monkeypatch, groups, each, small):
     assert sorted(clean(got.values.tolist())) == sorted(plain_classes(rows))
 
 
+def test_large_buckets_of_one_family_are_dealt_once(spark, monkeypatch):
+    """What hangs together by the pivots is not split again, level by level, for the few records outside it."""
+    monkeypatch.setattr(chosenpath, "SMALL_BUCKET", 16)
+    made, real = [], chosenpath.materialize
+    monkeypatch.setattr(chosenpath, "materialize", lambda df, name="step", **options: made.append(name) or real(df, name, **options))
+    rows = near_copies(spark, 1, 240)
+    shared = rows[0][1].split()[:70]
+    rows += [(1000 + i, " ".join(shared + [f"s{i}x{j}" for j in range(50)])) for i in range(60)]
+    got = chosenpath.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).drop("rid").toPandas()
+    assert sorted(clean(got.values.tolist())) == sorted(plain_classes(rows))
+    assert made.count("split") == 1 and "full-paths" not in made
+
+
+@pytest.mark.parametrize("few", [0, 40, 512])
+def test_rest_of_large_buckets_loses_no_link(spark, monkeypatch, few):
+    """A family, texts that drift away from it one word at a time, and strangers that share a passage with it."""
+    for name, value in {"SMALL_BUCKET": 16, "TILE_SKETCHES": 40, "WHOLE_BUCKET": 60, "FEW_OUTSIDE": few}.items():
+        monkeypatch.setattr(chosenpath, name, value)
+    rows = near_copies(spark, 1, 120)
+    drift = rows[0][1].split()
+    for i in range(80):
+        drift[i] = f"d{i}"
+        rows.append((len(rows), " ".join(drift)))
+    shared = rows[0][1].split()[-70:]
+    rows += [(1000 + i, " ".join([f"s{i // 2}x{j + i % 2}" for j in range(50)] + shared)) for i in range(60)]
+    got = chosenpath.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).drop("rid").toPandas()
+    assert sorted(clean(got.values.tolist())) == sorted(plain_classes(rows))
+
+
+def test_rest_meets_pieces():
+    draw = np.random.default_rng(3)
+    main, other, alone = draw.integers(0, 2**32, (3, chosenpath.COORDINATES), np.uint32)
+    half = np.where(np.arange(chosenpath.COORDINATES) < 44, main, other)  # may link to main, 0.69; not to other, 0.31
+    row = lambda bucket, piece, rid, marks, rest: (bucket, piece, rid, marks.tobytes(), rest)
+    rows = [
+        row(1, 0, 10, half, True), row(1, 0, 11, half, True), row(1, 0, 12, other, True), row(1, 0, 13, alone, True), row(1, 0, 1, main, False), row(1, 0, 2, main, False),
+        row(1, 1, 13, alone, True),  # a piece without any of the main family
+    ]
+    batch = pd.DataFrame(rows, columns=["bucket", "piece", "rid", "sketch", "rest"])
+    found = pd.concat(chosenpath._compare_rest(iter([batch.iloc[:3], batch.iloc[3:]])))
+    assert sorted(map(tuple, found.values.tolist())) == [(10, 1), (11, 1), (11, 10)]
+
+
 def test_runs_and_recall():
     assert abs(chosenpath.recall_of_run(1) - (1 - np.exp(-1))) < 1e-12
     for depth in (1, 2, 3):
