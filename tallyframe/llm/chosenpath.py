@@ -361,7 +361,9 @@ def candidate_links(records: DataFrame, threshold: float, depth: int) -> DataFra
         split = materialize(dealt.mapInPandas(_split_large(threshold), "bucket long, x long, pivots array<long>, paths array<long>, family int, sketch binary"), "split")
         settled = materialize(settled_buckets(split), "settled")
         links = links.union(split.select(F.col("x").alias("a"), F.explode("pivots").alias("b"))).union(rest_links(split, settled))
-        members = split.join(settled, "bucket", "left_anti").select(F.col("x").alias("rid"), F.explode("paths").alias("bucket"), "sketch")
+        # Written once: the next level reads its members for buckets, small buckets, pivots' pieces and links.
+        further = split.join(settled, "bucket", "left_anti")
+        members = materialize(further.select(F.col("x").alias("rid"), F.explode("paths").alias("bucket"), "sketch"), "members")
     return links.distinct()
 
 

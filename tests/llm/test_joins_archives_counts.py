@@ -103,6 +103,24 @@ def test_rest_of_large_buckets_loses_no_link(spark, monkeypatch, few):
     assert sorted(clean(got.values.tolist())) == sorted(plain_classes(rows))
 
 
+def test_members_of_the_next_level_are_made_once(spark, monkeypatch):
+    """Buckets, small buckets, pieces and links of a level read its members; none of them splits the level before again."""
+    monkeypatch.setattr(chosenpath, "SMALL_BUCKET", 16)
+    monkeypatch.setattr(chosenpath, "FEW_OUTSIDE", 0)
+    plans, real, hang = [], chosenpath.materialize, chosenpath.components
+    plan = lambda name, df: plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+    monkeypatch.setattr(chosenpath, "materialize", lambda df, name="step", **options: plan(name, df) or real(df, name, **options))
+    monkeypatch.setattr(chosenpath, "components", lambda df: plan("components", df) or hang(df))
+    rows = near_copies(spark, 1, 120)
+    shared = rows[0][1].split()[-70:]
+    rows += [(1000 + i, " ".join([f"s{i // 2}x{j + i % 2}" for j in range(50)] + shared)) for i in range(120)]
+    got = chosenpath.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).drop("rid").toPandas()
+    assert sorted(clean(got.values.tolist())) == sorted(plain_classes(rows))
+    levels = sum(name == "split" for name, _ in plans)
+    again = [name for name, text in plans for line in text.splitlines() if "Generate explode(paths" in line and "LeftAnti" in text]
+    assert levels and again == ["members"] * levels
+
+
 def test_rest_meets_pieces():
     draw = np.random.default_rng(3)
     main, other, alone = draw.integers(0, 2**32, (3, chosenpath.COORDINATES), np.uint32)
