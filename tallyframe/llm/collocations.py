@@ -10,9 +10,11 @@ of a prefix tells whether a longer phrase takes all its occurrences, and the ele
 prefixes tell the same of extensions to the left.
 
 Most phrases are rare, and no rare one is worth a stripe. A phrase cannot be more frequent than its
-parts, so before the stripes one pass per length counts 64-bit hashes of the phrases whose longer parts
+parts, so before the stripes one pass per length counts 56-bit hashes of the phrases whose longer parts
 were frequent a pass before, and keeps a bitmap of ``filter_bits`` bits, whose size does not grow with the
-corpus, of the frequent ones. Hashes that collide and bits set by chance only let more phrases pass:
+corpus, of the frequent ones. A hash and its count are one number, an entry; entries go from task to task
+as one row per cell, a range of hashes, so that no phrase is a row before it is known to be frequent.
+Hashes that collide and bits set by chance only let more phrases pass:
 the stripes count words, exactly. Texts are split into words once; the passes read numbered words.
 
 Defined cases: a missing text counts as empty, a missing language as ``und``; words are cut by blank
@@ -56,19 +58,20 @@ _SHEET = "cell int, lang string, prefixes array<string>, words array<string>, co
 _LISTED = [("prefixes", "prefix"), ("words", "word"), ("counts", "n")]
 _SHEET_ARROW = pa.schema([("cell", pa.int32()), ("lang", pa.string()), *[(many, pa.list_(_ELEMENT_ARROW.field(one).type)) for many, one in _LISTED]])
 CELLS = 256
-#: Elements a task holds before it hands them on.
-HELD_ELEMENTS = 1 << 18
+#: Elements a task holds before it hands them on, and elements handed on at once.
+HELD_ELEMENTS, HANDED_ELEMENTS = 1 << 17, 1 << 14
 
 
 _BLOCK = "lang string, words array<string>, numbers binary, starts binary, n long"
 _BLOCK_ARROW = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.string())), ("numbers", pa.binary()), ("starts", pa.binary()), ("n", pa.int64())])
+_ENTRIES_ARROW = pa.schema([("cell", pa.int32()), ("entries", pa.binary())])
 _HASH_ARROW = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
 #: Row groups and pages of a few blocks, so that writer and reader hold no more of them at once.
 _FEW_AT_ONCE = {"parquet.block.size": str(4 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.row.count.limit": "1"}
-#: Phrases a task holds before it hands on their counts, and phrases handed on at once.
-HELD_PHRASES, HANDED_PHRASES = 1 << 19, 1 << 16
-#: Times as many partitions as usual for these counts, whose keys are nearly all different.
-DEALT = 4
+#: Phrases a task holds before it hands on their counts, also the most that one cell of hashes is meant to meet.
+HELD_PHRASES = 1 << 19
+#: An entry is a hash less its highest bits, and below it a count of at most FULL.
+_COUNT_BITS, FULL = np.uint64(8), 255
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -240,14 +243,60 @@ def _mixed(x: np.ndarray) -> np.ndarray:
         return (x ^ (x >> np.uint64(27))) * _K1
 
 
-def _hash_counts(blocks: DataFrame, length: int, shared: list) -> DataFrame:
-    """hash and n: how often each phrase of that length was met, where its shorter parts are known."""
+def _entries(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Hashes with their counts, in the order given; a count beyond FULL takes several entries."""
+    times = (counts + (FULL - 1)) // FULL
+    entries = np.repeat(hashes << _COUNT_BITS, times)
+    own = np.full(len(entries), FULL, np.uint64)
+    own[np.cumsum(times) - 1] = counts - (times - 1) * FULL
+    entries |= own
+    return entries
+
+
+def _added_up(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes of some entries, at least one, in order, and their counts. The entries get sorted."""
+    entries.sort()
+    hashes = entries >> _COUNT_BITS
+    first = np.flatnonzero(np.concatenate([np.ones(1, bool), hashes[1:] != hashes[:-1]]))
+    return hashes[first], np.add.reduceat((entries & np.uint64(FULL)).astype(np.int64), first)
+
+
+def _dealt(held: Sequence[np.ndarray], cells: int) -> Iterator[pa.RecordBatch]:
+    """The phrases' hashes as entries: one row for each cell that has some, cells being even ranges of hashes."""
+    occurrences = np.concatenate(held)
+    if not len(occurrences):
+        return
+    occurrences <<= _COUNT_BITS
+    occurrences |= np.uint64(1)
+    entries = _entries(*_added_up(occurrences))
+    cell = ((entries >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)
+    first = np.flatnonzero(np.concatenate([np.ones(1, bool), cell[1:] != cell[:-1]]))
+    ends = pa.py_buffer((np.append(first, len(entries)) * entries.itemsize).astype(np.int32))
+    packed = pa.Array.from_buffers(pa.binary(), len(first), [None, ends, pa.py_buffer(entries)])
+    yield pa.RecordBatch.from_arrays([pa.array(cell[first].astype(np.int32)), packed], schema=_ENTRIES_ARROW)
+
+
+def _met(parts: Iterator[np.ndarray], least: int) -> Iterator[pa.RecordBatch]:
+    """The hashes counted ``least`` times or more in all parts. Parts are added up as they come."""
+    held: list[np.ndarray] = []
+    most = HELD_PHRASES
+    for part in parts:
+        held.append(part)
+        if sum(map(len, held)) >= most:
+            held = [_entries(*_added_up(np.concatenate(held)))]
+            most = max(HELD_PHRASES, 2 * len(held[0]))
+    if held:
+        hashes, counts = _added_up(np.concatenate(held))
+        enough = counts >= least
+        yield pa.RecordBatch.from_arrays([pa.array(hashes[enough].astype(np.int64)), pa.array(counts[enough])], schema=_HASH_ARROW)
+
 
-    def merged(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        found, counts = np.unique(np.concatenate(held), return_counts=True)
-        for i in range(0, len(found), HANDED_PHRASES):
-            some = slice(i, i + HANDED_PHRASES)
-            yield pa.RecordBatch.from_arrays([pa.array(found[some].view(np.int64)), pa.array(counts[some], pa.int64())], schema=_HASH_ARROW)
+def _frequent_hashes(blocks: DataFrame, length: int, shared: list, least: int, occurrences: int) -> DataFrame:
+    """hash and n, ``least`` or more: how often a phrase of that length was met, where its shorter parts are known.
+
+    About as many ``occurrences`` are to be met in all, so the cells are as many as keep each of them small.
+    """
+    cells = max(shuffle_partitions(blocks.sparkSession), -(-occurrences // HELD_PHRASES))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -255,25 +304,27 @@ def _hash_counts(blocks: DataFrame, length: int, shared: list) -> DataFrame:
             for i in range(batch.num_rows):
                 held.append(_Block(batch, i, shared).counted(length))
                 if sum(map(len, held)) >= HELD_PHRASES:
-                    yield from merged(held)
+                    yield from _dealt(held, cells)
                     held = []
         if held:
-            yield from merged(held)
+            yield from _dealt(held, cells)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in b.column("entries")]) for b in batches if b.num_rows)
+        yield from _met(rows, least)
 
-    counts = blocks.select("lang", "words", "numbers", "starts").mapInArrow(work, "hash long, n long")
-    # Tasks have added up what they can; adding up again before the shuffle takes much memory and leaves out few rows.
-    dealt = counts.repartition(DEALT * shuffle_partitions(blocks.sparkSession), "hash")
-    return dealt.groupBy("hash").agg(F.sum("n").alias("n"))
+    entries = blocks.select("lang", "words", "numbers", "starts").mapInArrow(work, "cell int, entries binary")
+    return entries.repartitionById(cells, "cell").select("entries").mapInArrow(meet, "hash long, n long")
 
 
-def _bitmap(frequent: DataFrame, filter_bits: int) -> np.ndarray:
-    """A bit for each hash: as words of 64 bits, at most filter_bits / 64 of them. ``filter_bits`` divides 2^64, so signs do not matter."""
-    bits = frequent.select(F.pmod("hash", F.lit(filter_bits)).alias("bit"))
-    packed = bits.select(F.expr("bit div 64").alias("at"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("mask"))
-    words = packed.groupBy("at").agg(F.bit_or("mask").alias("mask")).toPandas()
+def _bitmap(frequent: DataFrame, filter_bits: int) -> tuple[np.ndarray, int]:
+    """A bit for each hash: as words of 64 bits, at most filter_bits / 64 of them. Also the sum of n."""
+    bits = frequent.select(F.pmod("hash", F.lit(filter_bits)).alias("bit"), "n")
+    packed = bits.select(F.expr("bit div 64").alias("at"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("mask"), "n")
+    words = packed.groupBy("at").agg(F.bit_or("mask").alias("mask"), F.sum("n").alias("n")).toPandas()
     out = np.zeros(filter_bits // 64, np.uint64)
     out[words["at"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).view(np.uint64)
-    return out
+    return out, int(words["n"].sum())
 
 
 def _merged(parts: Iterator[pa.Table]) -> Iterator[pa.Table]:
@@ -286,12 +337,14 @@ def _merged(parts: Iterator[pa.Table]) -> Iterator[pa.Table]:
         return sums.select([*keys, "n_sum"]).rename_columns([*keys, "n"])
 
     held: list[pa.Table] = []
+    some = max(1, HELD_ELEMENTS // 4)
     for part in parts:
-        held.append(part)
-        if sum(map(len, held)) >= HELD_ELEMENTS:
-            held = [one()]
-            if len(held[0]) >= HELD_ELEMENTS // 2:
-                yield held.pop()
+        for i in range(0, len(part), some):
+            held.append(part.slice(i, some))
+            if sum(map(len, held)) >= HELD_ELEMENTS:
+                held = [one()]
+                if len(held[0]) >= HELD_ELEMENTS // 2:
+                    yield held.pop()
     if held:
         yield one()
 
@@ -317,11 +370,14 @@ def merged_stripes(blocks: DataFrame, longest: int, shared: list) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = (part for b in batches for i in range(b.num_rows) for part in _Block(b, i, shared).stripes(longest))
-        yield from map(_sheets, _merged(parts))
+        for elements in _merged(parts):
+            sheets = _sheets(elements)
+            some = max(1, sheets.num_rows * HANDED_ELEMENTS // len(elements))
+            yield from (sheets.slice(i, some) for i in range(0, sheets.num_rows, some))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for elements in _merged(map(_elements, batches)):
-            yield from elements.combine_chunks().to_batches()
+            yield from elements.combine_chunks().to_batches(HANDED_ELEMENTS)
 
     sheets = blocks.select("lang", "words", "numbers", "starts").mapInArrow(count, _SHEET)
     elements = sheets.repartition("cell").mapInArrow(merge, "lang string, prefix string, word string, n long")
@@ -344,10 +400,14 @@ def frequent_phrases(
     # The passes read one block at once: a few MB in all, on either side of the pipe.
     blocks = bounded_batches(text_blocks(rows, longest - 1, block_bytes), block_bytes)
     totals = materialize(blocks.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
-    known = []
+    words = totals.agg(F.sum("n")).first()[0] or 0
+    known, occurrences = [], words
     for length in range(1, longest + 1):
-        frequent = _hash_counts(blocks, length, list(known)).where(F.col("n") >= least)
-        known.append(context.broadcast(_bitmap(frequent, filter_bits)))  # filter_bits / 8 bytes
+        bitmap, found = _bitmap(_frequent_hashes(blocks, length, list(known), least, occurrences), filter_bits)
+        known.append(context.broadcast(bitmap))  # filter_bits / 8 bytes
+        if length > 1:
+            # A longer phrase starts with one of these, or with one whose bit is set by chance.
+            occurrences = min(words, found + int(words * np.bitwise_count(bitmap).sum() / filter_bits))
     elements = merged_stripes(blocks, longest, known).where(F.col("f") >= least)
     return elements, totals
 

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,58 @@ def test_stripes_are_added_up_before_they_become_rows(spark, monkeypatch):
         assert again == want
 
 
+def test_phrases_are_counted_as_entries_that_meet_by_cell(spark, monkeypatch):
+    draw = random.Random(7)
+    # Without an end of a piece, so that every word starts a pair but the last of a text; "of" beyond what one entry counts.
+    texts = [("x", " ".join(draw.choice(["of", "of", "a", "b", f"w{draw.randrange(400)}"]) for _ in range(60))) for _ in range(40)] + [("y", "of a")] * 3
+    want = [Counter(), Counter()]
+    for lang, text in texts:
+        words = text.split()
+        want[0].update((lang, w) for w in words)
+        want[1].update((lang, *pair) for pair in zip(words, words[1:]))
+    assert max(want[0].values()) > 510
+    met, bitmap = [], collocations._bitmap
+    monkeypatch.setattr(collocations, "_bitmap", lambda frequent, bits: (met.append(frequent), bitmap(frequent, bits))[1])
+    elements, _ = collocations.frequent_phrases(spark.createDataFrame(texts, "lang string, text string").repartition(4), longest=2, least=3, block_bytes=64)
+    elements.collect()
+    for counts, frequent in zip(want, met, strict=True):
+        assert sorted(r.n for r in frequent.collect()) == sorted(c for c in counts.values() if c >= 3)
+        # No row for a phrase before it is known to be frequent: neither dealt out nor added up by Spark.
+        assert "Aggregate" not in frequent._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_entries_keep_hashes_and_counts(monkeypatch):
+    draw = np.random.default_rng(3)
+    hashes = draw.integers(0, 2**64, 300, np.uint64)
+    occurrences = np.concatenate([hashes, np.repeat(hashes[:3], [254, 255, 1020]), draw.choice(hashes, 900)])
+    low = lambda h: int(h) % 2**56
+    want = Counter(map(low, occurrences))
+    draw.shuffle(occurrences)
+    for cells in (1, 7, 1000):
+        rows = [r for part in np.array_split(occurrences, 5) for b in collocations._dealt([part], cells) for r in b.to_pylist()]
+        parts = {cell: [np.frombuffer(r["entries"], np.uint64) for r in rows if r["cell"] == cell] for cell in {r["cell"] for r in rows}}
+        assert set(parts) <= set(range(cells)) and (cells > 1) == (len(parts) > 1)
+        for held in (1, 50, 1 << 19):
+            monkeypatch.setattr(collocations, "HELD_PHRASES", held)
+            again = [r for cell in parts.values() for b in collocations._met(iter(cell), 4) for r in b.to_pylist()]
+            assert len({r["hash"] for r in again}) == len(again) and {r["hash"]: r["n"] for r in again} == {h: n for h, n in want.items() if n >= 4}
+    assert not list(collocations._dealt([occurrences[:0]], 5)) and not list(collocations._met(iter([]), 1))
+
+
+def test_a_large_table_of_elements_is_merged_in_pieces(monkeypatch):
+    monkeypatch.setattr(collocations, "HELD_ELEMENTS", 64)
+    table = pa.Table.from_arrays(
+        [pa.array([1] * 1000, pa.int32()), pa.array(["x"] * 1000), pa.array([""] * 1000), pa.array([f"w{i % 900}" for i in range(1000)]), pa.array([2] * 1000)],
+        schema=collocations._DEALT_ARROW)
+    merged = list(collocations._merged(iter([table])))
+    assert max(map(len, merged)) <= 64 + 64 // 4
+    again = Counter()
+    for t in merged:
+        for r in t.to_pylist():
+            again[r["word"]] += r["n"]
+    assert again == Counter({f"w{i}": 4 if i < 100 else 2 for i in range(900)})
+
+
 def test_edges(edge_docs, empty_docs):
     rows = [tuple(r) for r in edge_docs.select("lang", "text").collect()]
     for least in (1, 2):
