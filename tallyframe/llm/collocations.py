@@ -54,9 +54,9 @@ _CLEAN = bytes(10 if chr(b) in PIECE_ENDS else 32 if chr(b) in BLANKS else b for
 #: Elements of stripes; the part of them that lies in one cell is a sheet.
 _ELEMENT_ARROW = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 _DEALT_ARROW = pa.schema([("cell", pa.int32()), *_ELEMENT_ARROW])
-_SHEET = "cell int, lang string, prefixes array<string>, words array<string>, counts array<bigint>"
-_LISTED = [("prefixes", "prefix"), ("words", "word"), ("counts", "n")]
-_SHEET_ARROW = pa.schema([("cell", pa.int32()), ("lang", pa.string()), *[(many, pa.list_(_ELEMENT_ARROW.field(one).type)) for many, one in _LISTED]])
+#: A sheet's phrases are one text, a line for each with a blank between prefix and next word; no word has blanks or line ends.
+_SHEET = "cell int, lang string, phrases string, counts array<bigint>"
+_SHEET_ARROW = pa.schema([("cell", pa.int32()), ("lang", pa.string()), ("phrases", pa.string()), ("counts", pa.list_(pa.int64()))])
 CELLS = 256
 #: Elements a task holds before it hands them on, and elements handed on at once.
 HELD_ELEMENTS, HANDED_ELEMENTS = 1 << 17, 1 << 14
@@ -356,13 +356,17 @@ def _sheets(elements: pa.Table) -> pa.RecordBatch:
     langs, cells = column("lang"), column("cell")
     first = np.flatnonzero((np.diff(cells.to_numpy(), prepend=-1) != 0) | (np.diff(langs.dictionary_encode().indices.to_numpy(), prepend=-1) != 0))
     ends = pa.array(np.append(first, len(cells)).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(ends, column(one)) for _, one in _LISTED]
-    return pa.RecordBatch.from_arrays([cells.take(pa.array(first)), langs.take(pa.array(first)), *lists], schema=_SHEET_ARROW)
+    lines = pc.binary_join_element_wise(column("prefix"), column("word"), " ")
+    phrases = pc.binary_join(pa.ListArray.from_arrays(ends, lines), "\n")
+    counts = pa.ListArray.from_arrays(ends, column("n"))
+    return pa.RecordBatch.from_arrays([cells.take(pa.array(first)), langs.take(pa.array(first)), phrases, counts], schema=_SHEET_ARROW)
 
 
 def _elements(sheets: pa.RecordBatch) -> pa.Table:
-    langs = sheets.column("lang").take(pc.list_parent_indices(sheets.column("words")))
-    return pa.Table.from_arrays([langs, *[sheets.column(many).flatten() for many, _ in _LISTED]], schema=_ELEMENT_ARROW)
+    lines = pc.split_pattern(sheets.column("phrases"), "\n")
+    langs = sheets.column("lang").take(pc.list_parent_indices(lines))
+    parts = pc.split_pattern(lines.flatten(), " ", max_splits=1, reverse=True)
+    return pa.Table.from_arrays([langs, pc.list_element(parts, 0), pc.list_element(parts, 1), sheets.column("counts").flatten()], schema=_ELEMENT_ARROW)
 
 
 def merged_stripes(blocks: DataFrame, longest: int, shared: list) -> DataFrame:

@@ -134,6 +134,19 @@ def test_a_large_table_of_elements_is_merged_in_pieces(monkeypatch):
     assert again == Counter({f"w{i}": 4 if i < 100 else 2 for i in range(900)})
 
 
+def test_sheets_hold_a_line_for_each_element():
+    rows = [(3, "x", "", "of", 4), (1, "x", "a b", "c", 2), (3, "x", "a b c d", "é", 1), (3, "y", "", "of", 1 << 40), (1, "x", "", "\xa0", 7)]
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), collocations._DEALT_ARROW)], schema=collocations._DEALT_ARROW)
+    sheets = collocations._sheets(table)
+    assert sorted((r["cell"], r["lang"], len(r["counts"])) for r in sheets.to_pylist()) == [(1, "x", 2), (3, "x", 2), (3, "y", 1)]
+    # One text in place of a list: Spark holds no place and length for every word of it.
+    assert sheets.schema.field("phrases").type == pa.string()
+    for some in (sheets, sheets.slice(0, 1), sheets.slice(1)):
+        cells = [r["cell"] for r in some.to_pylist() for _ in r["counts"]]
+        again = [(cell, r["lang"], r["prefix"], r["word"], r["n"]) for cell, r in zip(cells, collocations._elements(some).to_pylist(), strict=True)]
+        assert set(again) <= set(rows) and len(set(again)) == len(cells)
+
+
 def test_edges(edge_docs, empty_docs):
     rows = [tuple(r) for r in edge_docs.select("lang", "text").collect()]
     for least in (1, 2):
